@@ -18,19 +18,20 @@ How the order of all windows is found without one global suffix array:
 3. Neighbours in suffix order that share ``length`` bytes form classes, and every
    window but the earliest of its class is repeated.
 
-Equal contexts are merged before the sort by their (anchor, context) hashes of 128 bits
-in all, with map-side combine, so thousands of copies of a passage reach the sorter as
-one context; exact copies of whole documents are resolved by SHA-256 before that.
+Equal contexts, known by 128 bits of hash, are resolved without their bytes: all but the
+first are repeated as a whole. Each task does so for its own rows before the shuffle, so
+thousands of copies of a passage or of a document reach a bucket as one row a task.
+Only buckets that hold different contexts fetch bytes and are sorted.
 
 Defined cases: a null text is empty; texts shorter than ``length`` keep all bytes; a
-null doc_id comes before all others; rows equal in doc_id and text are one document and
+null doc_id comes before all others (or with the least long, if both occur); rows equal in doc_id and text are one document and
 repeat its result; documents that share a doc_id but not a text are ordered by SHA-256.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
@@ -42,6 +43,7 @@ GRAM = 36
 PERIOD, COVER = 7, (0, 1, 3)
 PIECE = 1 << 20
 BLOCK = 1 << 20
+MERGE = 200_000
 _SALT = 0x9E3779B97F4A7C15
 
 
@@ -103,8 +105,31 @@ def window_anchors(data, ends, length: int = LENGTH, gram: int = GRAM):
     return anchor[new], at[new], at[np.r_[new[1:], len(at)] - 1], h[anchor[new]]
 
 
+def context_hashes(data, start, stop):
+    """64-bit polynomial hashes of ``data[start:stop]``, from prefix sums."""
+    import numpy as np
+
+    rng = np.random.default_rng(20240502)
+    letters = rng.integers(0, 1 << 63, 256, dtype=np.uint64)
+    base = _SALT | 1
+
+    def powers(x):
+        p = np.full(len(data) + 1, x, np.uint64)
+        p[0] = 1
+        return np.multiply.accumulate(p)
+
+    prefix = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(letters[data] * powers(np.uint64(base))[:-1], out=prefix[1:])
+    # Shifted down by the start, so equal strings hash alike wherever they stand.
+    return (prefix[stop] - prefix[start]) * powers(np.uint64(pow(base, -1, 1 << 64)))[start] ^ (stop - start).astype(np.uint64)
+
+
 def anchor_rows(batches, length: int, gram: int):
-    """Batches (ord, text) to rows (h, ord, place); place = anchor << 16 | before << 8 | after."""
+    """Batches (ord, text) to rows (h, cx, ord, place) of contexts.
+
+    place = first window << 16 | repeated << 8 | windows - 1. A context that this task has
+    already met earlier in document order is marked repeated and keeps no bucket.
+    """
     import numpy as np
 
     def solve(pieces):
@@ -113,11 +138,22 @@ def anchor_rows(batches, length: int, gram: int):
         pos, first, last, h = window_anchors(data, ends, length, gram)
         which = np.searchsorted(ends, pos, side="right")
         origin = np.array([base for _, base, _ in pieces], dtype=np.int64) - np.r_[0, ends[:-1]]
-        place = (pos + origin[which]) << 16 | (pos - first) << 8 | (pos - last)
         orders = np.array([o for o, _, _ in pieces], dtype=np.int64)[which]
-        return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(orders), pa.array(place)], ["h", "ord", "place"])
+        cx = context_hashes(data, first, last + length)
+        return h.view(np.int64), cx.view(np.int64), orders, (first + origin[which]) << 16 | (last - first)
+
+    def merged(held):
+        h, cx, o, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((place, o, cx, h))
+        h, cx, o, place = h[order], cx[order], o[order], place[order]
+        again = np.r_[False, (h[1:] == h[:-1]) & (cx[1:] == cx[:-1])]
+        place[again] |= 1 << 8
+        h[again] = o[again] * 0x2545F491 + place[again]  # any partition will do
+        cx[again] = 0
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, cx, o, place)], ["h", "cx", "ord", "place"])
 
     pieces: list = []
+    held: list = []
     size = 0
     for batch in batches:
         for o, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
@@ -127,34 +163,62 @@ def anchor_rows(batches, length: int, gram: int):
                 pieces.append((o, base, text[base : base + PIECE + length - 1]))
                 size += len(pieces[-1][2])
                 if size >= PIECE:
-                    yield solve(pieces)
+                    held.append(solve(pieces))
                     pieces, size = [], 0
+                    if sum(len(x[0]) for x in held) >= MERGE:
+                        yield merged(held)
+                        held = []
     if pieces:
-        yield solve(pieces)
+        held.append(solve(pieces))
+    if held:
+        yield merged(held)
 
 
-# -- contexts ---------------------------------------------------------------------------
+def resolve_buckets(batches, length: int):
+    """Rows of ``anchor_rows`` sorted by bucket to (kind, h, ord, s, t): kind 0, a repeated span;
+    kind 1, the first context of its text in a bucket that holds different ones."""
+    import numpy as np
+
+    def solve(held):
+        h, cx, o, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        marked = (place >> 8 & 1) == 1
+        new_h = np.r_[True, h[1:] != h[:-1]]
+        new_cx = new_h | np.r_[True, cx[1:] != cx[:-1]] | marked | np.r_[False, marked[:-1]]
+        group = np.cumsum(new_h) - 1
+        different = np.bincount(group, new_cx & ~marked)[group] > 1
+        kind = np.where(marked | ~new_cx, 0, np.where(different, 1, 2))
+        use = kind < 2
+        start = place[use] >> 16
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (kind[use].astype(np.int32), h[use], o[use], start, start + (place[use] & 255) + length)], ["kind", "h", "ord", "s", "t"])
+
+    held: list = []
+    for batch in batches:
+        rows = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        if not len(rows[0]):
+            continue
+        held.append(rows)
+        if rows[0][0] == rows[0][-1]:
+            continue
+        cut = int(np.searchsorted(rows[0], rows[0][-1]))
+        held[-1] = tuple(x[:cut] for x in rows)
+        yield solve(held)
+        held = [tuple(x[cut:] for x in rows)]
+    if held:
+        yield solve(held)
 
 
-def context_rows(batches, length: int):
-    """Documents with their repeated anchors to contexts; one met before in the same document carries no bytes."""
-    from xxhash import xxh64_intdigest
+# -- contexts ---------------------------------------------------------------------------
 
-    names = ["h", "cx", "ord", "start", "stop", "text"]
-    kinds = [pa.int64()] * 5 + [pa.binary()]
+
+def context_rows(batches):
+    """Documents with the places of contexts to rows (h, ord, start, text)."""
+    names, kinds = ["h", "ord", "start", "text"], [pa.int64()] * 3 + [pa.binary()]
     for batch in batches:
         out: list[list] = [[] for _ in names]
         for o, text, found in zip(batch.column("ord").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("found").to_pylist(), strict=True):
-            seen = set()
-            for place, h in sorted((x["place"], x["h"]) for x in found):
-                pos, before, after = place >> 16, place >> 8 & 255, place & 255
-                ctx = text[pos - before : pos - after + length]
-                cx = xxh64_intdigest(ctx, 7)
-                cx -= cx >> 63 << 64
-                new = (h, cx) not in seen
-                seen.add((h, cx))
-                for col, x in zip(out, (h, cx, o, pos - before, pos - after, ctx if new else None), strict=True):
-                    col.append(x)
+            for x in found:
+                for col, v in zip(out, (x["h"], o, x["s"], text[x["s"] : x["t"]]), strict=True):
+                    col.append(v)
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names)
 
 
@@ -299,56 +363,40 @@ def sort_buckets(batches, length: int):
 # -- the operator -----------------------------------------------------------------------
 
 
-def numbered(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """``docs`` with __lf_ord, unique a document and in document order, and __lf_sha."""
-    d = docs.withColumns({"__lf_ord": F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST)), "__lf_sha": F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")), 256))})
-    ids = staged(d.select("__lf_ord", "__lf_sha").distinct(), "ids")
-    if ids.groupBy("__lf_ord").count().where("count > 1").isEmpty():
-        return d
-    # Ids repeat with other texts: number the (id, SHA-256) pairs in order.
+def numbered(docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, bool]:
+    """``docs`` with __lf_ord, unique a document and in document order; whether rows repeat."""
+    d = docs.withColumn("__lf_ord", F.coalesce(F.col(doc_id).cast("long"), F.lit(LEAST)))
+    if d.groupBy("__lf_ord").count().where("count > 1").isEmpty():
+        return d, False
+    # Ids repeat: number the distinct (id, SHA-256) pairs in order.
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = d.withColumn("__lf_sha", F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+    ids = d.select("__lf_ord", "__lf_sha").distinct()
     ranged = staged(ids.repartitionByRange(parts, "__lf_ord", "__lf_sha").withColumn("p", F.spark_partition_id()), "ranged")
-    from pyspark.sql import Window
-
     local = ranged.withColumn("r", F.row_number().over(Window.partitionBy("p").orderBy("__lf_ord", "__lf_sha")).cast("long"))
     offset = ranged.groupBy("p").count().withColumn("o", F.coalesce(F.sum("count").over(Window.orderBy("p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     dense = local.join(F.broadcast(offset.select("p", "o")), "p").select("__lf_ord", "__lf_sha", (F.col("r") + F.col("o")).alias("__lf_new"))
-    return d.join(dense, ["__lf_ord", "__lf_sha"]).drop("__lf_ord").withColumnRenamed("__lf_new", "__lf_ord")
+    return d.join(dense, ["__lf_ord", "__lf_sha"]).drop("__lf_ord", "__lf_sha").withColumnRenamed("__lf_new", "__lf_ord"), True
 
 
-def repeated_spans(d: DataFrame, text: str, length: int = LENGTH, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
-    """(spans(ord, s, t), copies(ord)) of numbered documents; a copy is repeated as a whole."""
+def repeated_spans(d: DataFrame, text: str, many_rows: bool, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """Spans (ord, s, t) of numbered documents that a merged list of them repeats."""
     spark = d.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     texts = d.select(F.col("__lf_ord").alias("ord"), F.col(text).alias("text"))
-    ids = d.select(F.col("__lf_ord").alias("ord"), F.col("__lf_sha").alias("sha"))
-    firsts = ids.groupBy("sha").agg(F.min("ord").alias("first"))
-    copies = staged(ids.join(firsts, "sha").where("ord > first").select("ord").distinct(), "copies")
-
-    anchors = texts.mapInArrow(lambda b: anchor_rows(b, length, gram), "h long, ord long, place long")
-    many = anchors.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
-    again = anchors.join(many, "h", "left_semi").join(copies, "ord", "left_anti")
-    many_rows = _repeats(d)
-    found = (again.distinct() if many_rows else again).groupBy("ord").agg(F.collect_list(F.struct("place", "h")).alias("found"))  # bounded by the document's own length
-    rows = found.join(texts.dropDuplicates(["ord"]) if many_rows else texts, "ord")
-    contexts = staged(rows.select("ord", "text", "found").mapInArrow(lambda b: context_rows(b, length), "h long, cx long, ord long, start long, stop long, text binary"), "contexts")
-    del anchors, many, again, found, rows
+    if many_rows:
+        texts = texts.groupBy("ord").agg(F.first("text").alias("text"))
+    anchors = texts.mapInArrow(lambda b: anchor_rows(b, length, gram), "h long, cx long, ord long, place long")
+    dealt = anchors.repartition(parts, "h").sortWithinPartitions("h", "cx", "ord", "place")
+    found = staged(dealt.mapInArrow(lambda b: resolve_buckets(b, length), "kind int, h long, ord long, s long, t long"), "buckets")
+    del anchors, dealt
     forget(spark)
 
-    new = contexts.where("text is not null")
-    distinct = new.groupBy("h", "cx").agg(F.min(F.struct("ord", "start")).alias("f"), F.any_value("text").alias("text"))
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = distinct.select("h", "f.ord", "f.start", "text").repartition(parts, "h").sortWithinPartitions("h", "ord", "start")
-    sorted_spans = dealt.mapInArrow(lambda b: sort_buckets(b, length), "ord long, s long, t long")
-    first = new.groupBy("h", "cx").agg(F.min("ord").alias("first"))
-    later = new.select("h", "cx", "ord", "start", "stop").join(first, ["h", "cx"]).where("ord > first")
-    inner = contexts.where("text is null")
-    whole = later.select("ord", "start", "stop").unionByName(inner.select("ord", "start", "stop"))
-    return sorted_spans.unionByName(whole.select("ord", F.col("start").alias("s"), (F.col("stop") + length).alias("t"))), copies
-
-
-def _repeats(d: DataFrame) -> bool:
-    """Whether some document has several rows."""
-    return not d.groupBy("__lf_ord").count().where("count > 1").isEmpty()
+    wanted = found.where("kind = 1").groupBy("ord").agg(F.collect_list(F.struct("h", "s", "t")).alias("found"))  # bounded by the document's own length
+    contexts = wanted.join(texts, "ord").select("ord", "text", "found").mapInArrow(context_rows, "h long, ord long, start long, text binary")
+    blocks = contexts.repartition(parts, "h").sortWithinPartitions("h", "ord", "start")
+    sorted_ = blocks.mapInArrow(lambda b: sort_buckets(b, length), "ord long, s long, t long")
+    return sorted_.unionByName(found.where("kind = 0").select("ord", "s", "t"))
 
 
 def cut(text: bytes, spans) -> tuple[bytes, list[tuple[int, int]]]:
@@ -389,11 +437,10 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     if gram > length or length - gram > 254 or length < 8:
         raise ValueError("8 <= length, gram <= length <= gram + 254")
     kept = list(docs.columns)
-    d = numbered(docs, doc_id, text)
-    spans, copies = repeated_spans(d, text, length, gram)
-    per = spans.distinct().groupBy("ord").agg(F.collect_list(F.struct("s", "t")).alias("__lf_list"))
-    marks = per.join(copies.withColumn("__lf_copy", F.lit(True)), "ord", "full_outer").withColumnRenamed("ord", "__lf_o")
-    rows = d.join(marks, d["__lf_ord"] == marks["__lf_o"], "left").select(*[F.col(f"`{c}`") for c in kept], "__lf_sha", "__lf_list", "__lf_copy")
+    d, many_rows = numbered(docs, doc_id, text)
+    spans = repeated_spans(d, text, many_rows, length, gram)
+    marks = spans.groupBy(F.col("ord").alias("__lf_o")).agg(F.collect_list(F.struct("s", "t")).alias("__lf_list"))
+    rows = d.join(marks, F.col("__lf_ord") == F.col("__lf_o"), "left").select(*[F.col(f"`{c}`") for c in kept], "__lf_list")
     facts = ["__lf_bytes", "__lf_removed", "__lf_spans", "__lf_kept"]
     schema = StructType([*[StructField(f.name, f.dataType, True) for f in docs.schema], *[StructField(x, LongType()) for x in facts[:3]], StructField(facts[3], BinaryType())])
     at = kept.index(text)
@@ -402,18 +449,15 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
         from hashlib import sha256
 
         for batch in batches:
-            shas, lists, copy = (batch.column(c).to_pylist() for c in ("__lf_sha", "__lf_list", "__lf_copy"))
+            lists = batch.column("__lf_list").to_pylist()
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             out: list[list] = [[], [], [], []]
             left: list = []
             for i, raw in enumerate(texts):
                 raw_ = raw or b""
-                if copy[i] and len(raw_) >= length:
-                    spans_ = [(0, len(raw_))]
-                else:
-                    spans_ = [(x["s"], x["t"]) for x in lists[i] or ()]
+                spans_ = [(x["s"], x["t"]) for x in lists[i] or ()]
                 rest, merged = cut(raw_, spans_) if spans_ else (raw_, [])
-                for col, x in zip(out, (len(raw_), len(raw_) - len(rest), len(merged), sha256(rest).digest() if merged else shas[i]), strict=True):
+                for col, x in zip(out, (len(raw_), len(raw_) - len(rest), len(merged), sha256(rest).digest()), strict=True):
                     col.append(x)
                 if replace:
                     left.append(whole_characters(raw_, merged) if merged else raw)
