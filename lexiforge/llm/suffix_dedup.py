@@ -210,12 +210,12 @@ def resolve_buckets(batches, length: int):
 # -- contexts ---------------------------------------------------------------------------
 
 
-def context_rows(batches):
+def context_rows(batches, column: str):
     """Documents with the places of contexts to rows (h, ord, start, text)."""
     names, kinds = ["h", "ord", "start", "text"], [pa.int64()] * 3 + [pa.binary()]
     for batch in batches:
         out: list[list] = [[] for _ in names]
-        for o, text, found in zip(batch.column("ord").to_pylist(), batch.column("text").cast(pa.binary()).to_pylist(), batch.column("found").to_pylist(), strict=True):
+        for o, text, found in zip(batch.column("__lf_ord").to_pylist(), batch.column(column).cast(pa.binary()).to_pylist(), batch.column("__lf_found").to_pylist(), strict=True):
             for x in found:
                 for col, v in zip(out, (x["h"], o, x["s"], text[x["s"] : x["t"]]), strict=True):
                     col.append(v)
@@ -392,8 +392,12 @@ def repeated_spans(d: DataFrame, text: str, many_rows: bool, length: int = LENGT
     del anchors, dealt
     forget(spark)
 
-    wanted = found.where("kind = 1").groupBy("ord").agg(F.collect_list(F.struct("h", "s", "t")).alias("found"))  # bounded by the document's own length
-    contexts = wanted.join(texts, "ord").select("ord", "text", "found").mapInArrow(context_rows, "h long, ord long, start long, text binary")
+    wanted = found.where("kind = 1").groupBy(F.col("ord").alias("__lf_o")).agg(F.collect_list(F.struct("h", "s", "t")).alias("__lf_found"))  # bounded by the document's own length
+    if many_rows:
+        d = texts.select(F.col("ord").alias("__lf_ord"), F.col("text").alias(text))
+    # All columns go along, so that this exchange of the documents is the one the last join reuses.
+    rows = d.join(wanted, F.col("__lf_ord") == F.col("__lf_o")).drop("__lf_o")
+    contexts = rows.mapInArrow(lambda b: context_rows(b, text), "h long, ord long, start long, text binary")
     blocks = contexts.repartition(parts, "h").sortWithinPartitions("h", "ord", "start")
     sorted_ = blocks.mapInArrow(lambda b: sort_buckets(b, length), "ord long, s long, t long")
     return sorted_.unionByName(found.where("kind = 0").select("ord", "s", "t"))
