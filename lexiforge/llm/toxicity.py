@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import staged
 from .common import remainder
 from .langid import bounded_sample
 
@@ -65,84 +66,97 @@ def swapped(words: set[str]) -> list[set[str]]:
 
 
 def word_rows(batches):
-    """(toxic, text) to (toxic, words, sentences' swaps)."""
+    """(toxic, text) to (toxic, features, sentences' swaps as pairs of feature lists)."""
+    pair = pa.list_(pa.list_(pa.string()))
+    schema = pa.schema([("toxic", pa.int32()), ("words", pa.list_(pa.string())), ("pairs", pa.list_(pair))])
     for batch in batches:
-        rows = {"toxic": [], "words": [], "pairs": []}
+        rows: dict[str, list] = {"toxic": [], "words": [], "pairs": []}
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             w = words_of(text)
             pairs = []
             if w & TERMS.keys():
                 for s in SENTENCE.findall(text):
                     own = words_of(s)
-                    pairs += [[sorted(own), sorted(x)] for x in swapped(own)]
+                    pairs += [[sorted(features(own)), sorted(features(x))] for x in swapped(own)]
             rows["toxic"].append(y)
-            rows["words"].append(sorted(w))
+            rows["words"].append(sorted(features(w)))
             rows["pairs"].append(pairs)
-        yield pa.RecordBatch.from_pydict(rows, schema=pa.schema([("toxic", pa.int32()), ("words", pa.list_(pa.string())), ("pairs", pa.list_(pa.list_(pa.list_(pa.string()))))]))
+        yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
 
-def fit(rows, pairs, least_docs: int = LEAST_DOCS, most_words: int = WORDS, fairness: float = 1.0, decay: float = 1e-4, rounds: int = 250):
-    """Rows (toxic, words) and pairs (words, swapped words) to (bias, word -> weight)."""
+def fit(rows, pairs, size: int, fairness: float = 1.0, decay: float = 1e-4, rounds: int = 250):
+    """Rows (toxic, feature ids) and pairs (ids, ids of the swapped sentence) to (bias, weights)."""
     import numpy as np
 
-    seen: dict[str, list[int]] = {}
-    rows = [(y, sorted(features(words))) for y, words in rows]
-    pairs = [(features(a), features(b)) for a, b in pairs]
-    for y, words in rows:
-        for w in words:
-            seen.setdefault(w, [0, 0])[y] += 1
     total = [sum(1 for y, _ in rows if y == k) for k in (0, 1)]
     if not total[0] or not total[1]:
-        return (-20.0 if not total[1] else 20.0), {}
-    frequent = [w for w, c in seen.items() if sum(c) >= least_docs or w in TERMS]
-    frequent.sort(key=lambda w: (-abs((seen[w][1] + 0.5) / (total[1] + 1) - (seen[w][0] + 0.5) / (total[0] + 1)), w))
-    index = {w: i for i, w in enumerate(sorted(frequent[:most_words]))}
-    for a, b in pairs:
-        for w in TERMS.keys() & {*a, *b}:
-            index.setdefault(w, len(index))
+        return (-20.0 if not total[1] else 20.0), np.zeros(size)
 
     def coded(sets):
-        ids = [[index[w] for w in s if w in index] for s in sets]
-        return np.array([x for r in ids for x in r], np.int64), np.repeat(np.arange(len(ids)), [len(r) for r in ids])
+        return np.array([x for r in sets for x in r], np.int64), np.repeat(np.arange(len(sets)), [len(r) for r in sets])
 
     y = np.array([t for t, _ in rows], float)
     x, of = coded([w for _, w in rows])
-    pa_, pa_of = coded([a for a, _ in pairs])
-    pb, pb_of = coded([b for _, b in pairs])
-    w, bias = np.zeros(len(index)), np.log((total[1] + 0.5) / (total[0] + 0.5))
-    m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
+    left, left_of = coded([a for a, _ in pairs])
+    right, right_of = coded([b for _, b in pairs])
+    w, bias = np.zeros(size), np.log((total[1] + 0.5) / (total[0] + 0.5))
+    m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     n, k = len(y), max(1, len(pairs))
     balance = np.where(y == 1, 0.5 * n / total[1], 0.5 * n / total[0]) ** 0.75  # toxic rows are rare
     for step in range(1, rounds + 1):
         z = bias + np.bincount(of, w[x], n)
         err = balance * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y) / n
-        g = np.bincount(x, err[of], len(w)) + decay * np.sign(w) + decay * w
+        g = np.bincount(x, err[of], size) + decay * np.sign(w) + decay * w
         gb = err.sum()
         if len(pairs):
-            change = np.bincount(pa_of, w[pa_], k) - np.bincount(pb_of, w[pb], k)
+            change = np.bincount(left_of, w[left], k) - np.bincount(right_of, w[right], k)
             pull = 2 * fairness * change / k
-            g += np.bincount(pa_, pull[pa_of], len(w)) - np.bincount(pb, pull[pb_of], len(w))
+            g += np.bincount(left, pull[left_of], size) - np.bincount(right, pull[right_of], size)
         rate = 0.1 if step < rounds * 0.7 else 0.02
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         mb, vb = 0.9 * mb + 0.1 * gb, 0.999 * vb + 0.001 * gb * gb
         c1, c2 = 1 - 0.9**step, 1 - 0.999**step
         w -= rate * (m / c1) / (np.sqrt(v / c2) + 1e-8) * (np.abs(g) > 1e-9)
         bias -= rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    return float(bias), {t: float(w[i]) for t, i in index.items() if abs(w[i]) > 0.05}
+    return float(bias), w
 
 
-def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS):
-    """Rows (doc_id, text, toxic) to (bias, weights)."""
+def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, words: int = WORDS):
+    """Rows (doc_id, text, toxic) to (bias, weight by feature).
+
+    Documents are counted by feature on the executors; only the ``words`` features whose
+    share of toxic and of other documents differs most become the vocabulary, and only
+    ids of these reach the driver.
+    """
     sample = bounded_sample(labelled.where("toxic is not null"), train_rows)
-    got = sample.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(word_rows, "toxic int, words array<string>, pairs array<array<array<string>>>")
+    seen = staged(sample.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(word_rows, "toxic int, words array<string>, pairs array<array<array<string>>>"), "features")
+    total = {r["toxic"]: r["count"] for r in seen.groupBy("toxic").count().collect()}
+    if not total:
+        return -1e9, {}
+    pos, neg = F.sum("toxic"), F.sum(1 - F.col("toxic"))
+    per = seen.select("toxic", F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.abs(pos / F.lit(total.get(1, 0) + 1.0) - neg / F.lit(total.get(0, 0) + 1.0)).alias("gap"))
+    vocabulary = [r["w"] for r in per.where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("gap"), "w").limit(words).select("w").collect()]
+    index = {w: i for i, w in enumerate(sorted({*vocabulary, *features(TERMS)}))}
+    known = seen.sparkSession.sparkContext.broadcast(index)
+
+    def ids(batches):
+        at = known.value
+        pair = pa.list_(pa.list_(pa.int32()))
+        schema = pa.schema([("toxic", pa.int32()), ("x", pa.list_(pa.int32())), ("pairs", pa.list_(pair))])
+        code = lambda ws: [at[w] for w in ws if w in at]
+        for batch in batches:
+            t, ws, ps = (c.to_pylist() for c in batch.columns)
+            yield pa.RecordBatch.from_pydict({"toxic": t, "x": [code(w) for w in ws], "pairs": [[[code(a), code(b)] for a, b in p] for p in ps]}, schema=schema)
+
     rows, pairs = [], []
-    for r in got.toLocalIterator():  # TRAIN_ROWS at most
-        rows.append((r["toxic"], r["words"]))
+    for r in seen.mapInArrow(ids, "toxic int, x array<int>, pairs array<array<array<int>>>").toLocalIterator():  # TRAIN_ROWS at most
+        rows.append((r["toxic"], sorted(r["x"])))
         if len(pairs) < SENTENCES:
-            pairs += [(a, b) for a, b in r["pairs"]]
-    rows.sort(key=lambda r: (r[0], r[1]))
+            pairs += [(sorted(a), sorted(b)) for a, b in r["pairs"]]
+    rows.sort()
     pairs.sort()
-    return fit(rows, pairs) if rows else (-1e9, {})
+    bias, w = fit(rows, pairs, len(index))
+    return bias, {t: float(w[i]) for t, i in index.items() if abs(w[i]) > 0.05}
 
 
 def scorer(spark, bias: float, weights: dict[str, float]):
