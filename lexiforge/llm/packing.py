@@ -20,6 +20,8 @@ rows are packed as often as they occur; a null doc_id is carried through.
 
 from __future__ import annotations
 
+from array import array
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from ..staging import staged
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 400_000
+CACHE = 1_000_000
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -55,17 +57,33 @@ class Encoder:
         # pattern only if no other white space is next to it.
         self.odd = re.compile(r"[^\S\n ]|[ \n](?=\s)|[ \n]\Z|\A\n")
         self.cache: dict[str, bytes] = {}
+        self.ordinary = self._ranks(path)
         self.line_end = self._ids("\n")
 
     def _ids(self, text: str) -> bytes:
-        import numpy as np
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _ranks(self, path: str):
+        """The same vocabulary as ranks, if its file lies beside: several times as fast for one word."""
+        from base64 import b64decode
+
+        beside = path.removesuffix(".json") + ".tiktoken"
+        try:
+            import public_tokenizers
+            import tiktoken
 
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            with open(beside, "rb") as f:
+                ranks = {b64decode(a): int(b) for a, b in map(bytes.split, f)}
+        except (ImportError, OSError):
+            return None
+        if any(self.tokenizer.token_to_id(x) is None for x in ("a", "the")):
+            return None
+        return tiktoken.Encoding("words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def _word(self, word: str) -> bytes:
         if len(self.cache) >= CACHE:
             self.cache.clear()
-        found = self.cache[word] = self._ids(word)
+        found = self.cache[word] = array("I", self.ordinary(word)).tobytes() if self.ordinary else self._ids(word)
         return found
 
     def encode(self, text: str) -> bytes:
