@@ -83,9 +83,12 @@ class Encoder:
     def _word(self, word: str) -> bytes:
         if len(self.cache) >= CACHE:
             self.cache.clear()
-        found = self.cache[word] = array("I", self.ordinary(word)).tobytes() if self.ordinary else self._ids(word)
+        found = self.cache[word] = self._plain(" " + word)
         return found
 
+    def _plain(self, word: str) -> bytes:
+        return array("I", self.ordinary(word)).tobytes() if self.ordinary else self._ids(word)
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
@@ -94,11 +97,8 @@ class Encoder:
         cache, word, lines = self.cache, self._word, []
         for line in text.split("\n"):
             head, *rest = line.split(" ")
-            out = [cache.get(head) or word(head)] if head else []
-            for x in rest:
-                x = " " + x
-                out.append(cache.get(x) or word(x))
-            lines.append(b"".join(out))
+            out = [cache.get(x) or word(x) for x in rest]  # the cache holds words with their space
+            lines.append(b"".join([self._plain(head), *out]) if head else b"".join(out))
         return self.line_end.join(lines)
 
 
