@@ -52,13 +52,17 @@ def postings(df: DataFrame, key: str, text: str, tokens: Column | None = None) -
     return d.select("key", "length", F.explode("w").alias("term")).groupBy("term", "key", "length").agg(F.count("*").alias("tf")).withColumnRenamed("key", key)
 
 
+def _equals(term: str):
+    return lambda x: x == F.lit(term)
+
+
 def bm25(df: DataFrame, key: str, text: str, query: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """(key, score) of the rows that hold every term; smaller is better, as bm25() ranks.
 
     Only rows that hold a query term are exploded; lengths are averaged in one pass.
     """
     words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    d = df.select(F.col(key), words.alias("w")).select(key, F.size("w").alias("length"), *[F.size(F.filter("w", lambda x, t=t: x == t)).alias(f"tf{i}") for i, t in enumerate(query)])
+    d = df.select(F.col(key), words.alias("w")).select(key, F.size("w").alias("length"), *[F.size(F.filter("w", _equals(t))).alias(f"tf{i}") for i, t in enumerate(query)])
     stats = d.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(query))]).first()
     score = F.lit(0.0)
     for i in range(len(query)):

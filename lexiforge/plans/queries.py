@@ -313,7 +313,7 @@ GOLDEN_SQL = {
     "dict_q11_locutions": "SELECT 'PANIER' AS headword, 'Le dessus du panier' AS canonical_form",
     "dict_q12_locution_like": "SELECT 'Le dessus du panier' AS canonical_form",
     "dict_q24_supplements": "SELECT 'eclat_2_s2' AS xml_id, 'Rayon.' AS content_plain",
-    "dict_q13_transitions": "SELECT * FROM (VALUES ('PANIER', 'usage_group', NULL, NULL), ('PANIER', 'transition_group', NULL, NULL), ('ÉCLAT', 'homonymic_entry', 'SE BRISER', 'v. réfl')) t(headword, sense_type, transition_form, transition_pos)",
+    "dict_q13_transitions": "SELECT * FROM (VALUES ('PANIER', 'usage_group', NULL, NULL), ('PANIER', 'transition_group', NULL, NULL), ('ÉCLAT', 'homonymic_entry', 'S''ÉCLATER', 'v. réfl.')) t(headword, sense_type, transition_form, transition_pos)",
     "dict_q05_children": "SELECT * FROM (VALUES ('panier.1_s1.1', 'figurative'), ('panier.1_s1.2', 'domain'), ('panier.1_s1.3', 'locution'), ('panier.1_s1.4', 'proverb'), ('panier.1_s1.5', 'unclassified')) t(xml_id, sense_type)",
     "dict_q04_tree": """SELECT * FROM (VALUES ('panier.1_s1', 0, 'sense'), ('panier.1_s1.1', 1, 'figurative'), ('panier.1_s1.2', 1, 'domain'), ('panier.1_s1.3', 1, 'locution'), ('panier.1_s1.4', 1, 'proverb'), ('panier.1_s1.5', 1, 'unclassified'),
       ('panier.1_s2', 0, 'usage_group'), ('panier.1_s2.1', 1, 'sense'), ('panier.1_s2.2', 1, 'sense'), ('panier.1_s2.2.1', 2, 'transition_group'), ('panier.1_s2.2.1.1', 3, 'unclassified'), ('panier.1_s2.2.1.2', 3, 'register'),

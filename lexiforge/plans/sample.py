@@ -22,6 +22,6 @@ TEXT = """<xmllittre>
 <rubrique nom="HISTORIQUE">XIIe s.<indent>Vieux texte<cit aut="MARIN" ref="1">Panier en main</cit></indent></rubrique>
 </entree>
 <entree terme="PANIER" sens="2"><entete><nature>v. a.</nature></entete><corps><variante>Voir &amp; mettre.<indent><a ref="corbeille.1">Voy. CORBEILLE</a></indent><indent>voy. <a ref="corbeille">CORBEILLE</a></indent></variante></corps></entree>
-<entree terme="ÉCLAT"><corps><variante num="1">Morceau.<indent>SE BRISER, v. réfl.</indent></variante><variante num="2">Bruit.</variante></corps></entree>
+<entree terme="ÉCLAT"><corps><variante num="1">Morceau.<indent><exemple>S'ÉCLATER</exemple>, v. réfl.</indent></variante><variante num="2">Bruit.</variante></corps></entree>
 <entree terme="ÉCLAT"><corps><variante num="1">Lueur.</variante></corps><rubrique nom="SUPPLÉMENT AU DICTIONNAIRE">Ajout<variante num="2">Rayon.</variante></rubrique></entree>
 </xmllittre>"""
