@@ -110,4 +110,7 @@ def quality_rules(docs: DataFrame, text: str = "text", thresholds=THRESHOLDS) ->
 def quality_filter(docs: DataFrame, text: str = "text", thresholds=THRESHOLDS) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns of ``docs``."""
     private = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(_P + "row"), F.col(text).alias(_P + "in"))
-    return quality_rules(private, _P + "in", thresholds).where("kept").select(_P + "row.*")
+    # The filter refers to a non-deterministic column, so it is not pushed below the
+    # projections, where their arrays would be worked out anew for each element.
+    judged = quality_rules(private, _P + "in", thresholds).withColumn(_P + "at", F.monotonically_increasing_id())
+    return judged.where(F.col("kept") & (F.col(_P + "at") >= 0)).select(_P + "row.*")
