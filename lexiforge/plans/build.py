@@ -11,9 +11,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.etymology import segments
+from ..functions.labels import has_valency, split_gram
 from ..functions.text import make_id, strip, strip_tags, truncate
 from ..operators.lookup import override
-from ..operators.sequence import islands, neighbours, number_repeats, resolve_idem, stratified_sample
+from ..operators.sequence import islands, neighbours, number_repeats, number_rows, resolve_idem, stratified_sample
 from ..staging import staged
 
 ENTRY = ["source_file", "entry_ord"]
@@ -181,7 +183,7 @@ class Dictionary:
     """The built tables of one corpus."""
 
     def __init__(self, rows: DataFrame, verdicts: DataFrame | None = None):
-        self._senses = None
+        self._senses = self._etymology = None
         self.rows = rows = staged(rows, "scan")
         self.entries = staged(entries_of(rows), "entries")
         ids = self.entries.select(*ENTRY, "entry_id")
@@ -235,12 +237,35 @@ class Dictionary:
         e.createOrReplaceTempView("entries")
         senses.drop("canonical_form", *ENTRY, "src_path").createOrReplaceTempView("senses")
         c = self.all_citations.join(senses.select(*ENTRY, "src_path", "sense_id"), [*ENTRY, "src_path"])
-        c.select("sense_id", "cit_ord", strip_tags(F.col("text_markup")).alias("text_plain"), "text_markup", "author", "resolved_author", "reference", (F.col("hide") != "").cast("int").alias("is_hidden")).createOrReplaceTempView("citations")
+        c = number_rows(c, "sense_id", ["cit_ord"], "citation_id")
+        c.select("citation_id", "sense_id", "cit_ord", strip_tags(F.col("text_markup")).alias("text_plain"), "text_markup", "author", "resolved_author", "reference", (F.col("hide") != "").cast("int").alias("is_hidden")).createOrReplaceTempView("citations")
         senses.where("role = 'Locution' and canonical_form <> ''").select("sense_id", "canonical_form").createOrReplaceTempView("locutions")
-        r = self.nodes.where("kind = 'rubrique' and not in_top").join(self.entries.select(*ENTRY, "entry_id"), ENTRY)
-        r.select("entry_id", F.lower("rubrique_kind").alias("rubrique_type"), F.col("plain").alias("content_plain"), F.col("content").alias("content_markup")).createOrReplaceTempView("rubriques")
+        self.rubriques().createOrReplaceTempView("rubriques")
         self.flags().createOrReplaceTempView("review_queue")
 
+    def rubrique_lines(self) -> DataFrame:
+        """Every rubrique's own text (``line`` 0) and those of the blocks directly below it."""
+        rub = self.nodes.where("kind = 'rubrique'").select(*ENTRY, F.col("src_path").alias("rubrique"), "rubrique_kind", "in_top", F.lit(0).alias("line"), "content", F.col("src_path").alias("owner"))
+        up = F.slice("src_path", F.lit(1), F.size("src_path") - 1)
+        below = self.nodes.where("kind = 'indent'").select(*ENTRY, up.alias("rubrique"), F.element_at("src_path", -1).alias("line"), "content", F.col("src_path").alias("owner"))
+        below = below.join(rub.select(*ENTRY, "rubrique", "rubrique_kind", "in_top"), [*ENTRY, "rubrique"])
+        return rub.unionByName(below)
+
+    def rubriques(self) -> DataFrame:
+        """Entry-level rubriques, with the texts of their blocks."""
+        d = self.rubrique_lines().where("not in_top and content <> ''").groupBy(*ENTRY, "rubrique").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "content"))), lambda x: x["content"]), " ").alias("m"))
+        r = self.nodes.where("kind = 'rubrique' and not in_top").select(*ENTRY, F.col("src_path").alias("rubrique"), "rubrique_kind")
+        r = r.join(d, [*ENTRY, "rubrique"], "left").join(self.entries.select(*ENTRY, "entry_id"), ENTRY).withColumn("m", F.coalesce("m", F.lit("")))
+        return r.select("entry_id", F.col("rubrique_kind").alias("rubrique_type"), strip_tags(F.col("m")).alias("content_plain"), F.col("m").alias("content_markup"))
+
+    def etymology(self) -> DataFrame:
+        """(entry_id, rubrique, line, content, segments) of every etymology line, segmented once."""
+        if self._etymology is None:
+            d = self.rubrique_lines().where((F.col("rubrique_kind") == "Etymologie") & (strip(F.col("content")) != ""))
+            d = d.join(self.entries.select(*ENTRY, "entry_id"), ENTRY).select("entry_id", "rubrique", "line", "content", segments(F.col("content")).alias("segments"))
+            self._etymology = staged(d, "etymology")
+        return self._etymology
+
     def flags(self) -> DataFrame:
         """The review queue: everything uncertain, one row a case, context as JSON."""
         names = self.entries.select("entry_id", "headword")
@@ -256,6 +281,12 @@ class Dictionary:
         content = truncate(F.col("content"), 200)
         group = b.where("kind = 'group'")
         absorbed = b.where(F.size("path") >= 4).groupBy("entry_id", F.slice("path", F.lit(1), F.size("path") - 1).alias("path")).agg(F.count("*").alias("n"))
+        forms_in = ind.where(F.col("role").isin("NatureLabel", "VoiceTransition")).withColumn("g", split_gram(F.col("content"))).where("g.pre_kind in ('reflexive_form', 'locution_form')")
+        cited = self.rubrique_lines().where("rubrique_kind = 'Synonyme'").join(self.all_citations.select(*ENTRY, F.col("src_path").alias("owner")), [*ENTRY, "owner"])
+        cited = cited.groupBy(*ENTRY, "rubrique").agg(F.count("*").alias("n")).join(self.entries.select(*ENTRY, "entry_id"), ENTRY)
+        etym = self.etymology()
+        part = etym.select("entry_id", F.explode("segments").alias("s"))
+        fallback = etym.where((F.size("segments") == 1) & (F.col("segments")[0]["kind"] == "prose") & F.col("content").contains("<"))
         sample = stratified_sample(ind, ["role", "method"], ["xml_id"])
         made = [
             flag(direct.where("role = 'Unclassified'"), "phase3", "unclassified", "no rule matched", indent_content=content, method=F.col("method"), prev_indent=F.col("prev_text"), next_indent=F.col("next_text")),
@@ -264,6 +295,12 @@ class Dictionary:
             flag(group, "phase5", F.when(F.col("n_scoped") > 15, "large_scope").otherwise("scope_decision"), F.concat("transition_type", F.lit(" scope, "), "n_scoped", F.lit(" senses")), transition_content=truncate(F.col("plain"), 100), scope_type=F.col("transition_type"), transition_form=F.col("transition_form"), num_scoped=F.col("n_scoped")),
             flag(ind.where(F.col("role").isin("NatureLabel", "VoiceTransition")).join(absorbed, ["entry_id", "path"]).where("n > 5"), "phase5", "large_intra_scope", F.concat("role", F.lit(" scoped "), "n", F.lit(" children")), indent_content=truncate(F.col("plain"), 100), num_children=F.col("n")),
             flag(ind.where("role = 'Locution' and canonical_form <> ''").where(gloss(F.col("plain"), F.col("canonical_form")).rlike(METONYMIC)), "structural", "metonymic_subsense", "locution gloss opens with a definite article", canonical_form=F.col("canonical_form"), gloss=truncate(gloss(F.col("plain"), F.col("canonical_form")), 200)),
+            flag(group.where((F.col("transition_type") == "medium") & has_valency(F.col("plain"))), "structural", "sense_level_valency", "valency transition scoped without a printed form", transition_content=truncate(F.col("plain"), 100), num_scoped=F.col("n_scoped")),
+            flag(cited, "structural", "synonyme_citations", F.concat("n", F.lit(" citations emitted as siblings after the synonymy xr")), num_citations=F.col("n")),
+            flag(forms_in, "structural", "intra_sense_form", F.concat(F.lit("printed form on an intra-sense transition ("), "g.pre_kind", F.lit(")")), form=F.col("g.pre"), label=F.col("g.label")),
+            flag(fallback, "etymology", "etym_fallback", "content carries markup outside the segmentable inventory", content=truncate(F.col("content"), 160)),
+            flag(part.where("s.kind = 'suspect'"), "etymology", "suspect_language_token", "token in language-abbreviation position missing from language table", token=F.col("s.text"), anchor=F.col("s.anchor")),
+            flag(part.where("s.kind = 'cit' and s.defaulted"), "etymology", "cognate_defaulted", "etymon-vs-cognate not disambiguated by surrounding prose", forms=F.array_join("s.forms", ", ")),
             flag(sample, "calibration", "calibration_sample", F.concat(F.lit("sample from "), "role", F.lit("/"), "method", F.lit(" (n="), "bucket_size", F.lit(")")), indent_content=content, role=F.col("role"), method=F.col("method"), bucket_size=F.col("bucket_size")),
         ]
         out = reduce(DataFrame.unionByName, made)

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import labels as N
 from ..functions import text as T
 from ..operators import lookup as L
 from ..operators import sequence as S
@@ -32,9 +33,19 @@ USER_SQL = {
     "dict_q15_by_author": "SELECT c.text_plain, c.reference FROM citations c WHERE c.resolved_author = 'DUVAL'",
     "dict_q16_hidden": "SELECT c.text_plain FROM citations c WHERE c.is_hidden = 1",
     "dict_q17_rubriques": "SELECT e.headword, r.rubrique_type, r.content_plain FROM rubriques r JOIN entries e USING (entry_id)",
-    "dict_q20_review_counts": "SELECT flag_type, count(*) AS n FROM review_queue WHERE resolution IS NULL OR resolution = '' GROUP BY flag_type",
+    "dict_q18_history": "SELECT e.headword, r.content_plain FROM rubriques r JOIN entries e USING (entry_id) WHERE r.rubrique_type = 'Historique' ORDER BY e.headword",
+    "dict_q19_review": "SELECT entry_id, headword, phase, flag_type, reason, context FROM review_queue WHERE resolution IS NULL OR resolution = '' ORDER BY phase, flag_type, headword",
+    "dict_q20_review_counts": "SELECT phase, flag_type, count(*) AS n FROM review_queue WHERE resolution IS NULL OR resolution = '' GROUP BY phase, flag_type",
     "dict_q21_objects": "SELECT e.entry_id, coalesce(s.n, 0) AS n_senses, coalesce(c.n, 0) AS n_citations FROM entries e LEFT JOIN (SELECT entry_id, count(*) AS n FROM senses GROUP BY entry_id) s USING (entry_id) LEFT JOIN (SELECT entry_id, count(*) AS n FROM citations JOIN senses USING (sense_id) GROUP BY entry_id) c USING (entry_id)",
     "dict_q24_supplements": "SELECT xml_id, content_plain FROM senses WHERE is_supplement = 1",
+    "dict_q24_supplement_entries": "SELECT entry_id, headword, pos FROM entries WHERE is_supplement = 1 ORDER BY headword",
+    "dict_q27_suspects": "SELECT entry_id, headword, reason, context FROM review_queue WHERE flag_type = 'suspect_language_token' ORDER BY headword",
+    "dict_rq1_by_poet": "SELECT e.headword, c.text_plain, c.reference FROM citations c JOIN senses s USING (sense_id) JOIN entries e USING (entry_id) WHERE c.resolved_author = 'DUVAL'",
+    "dict_rq2_with_figurative": "SELECT DISTINCT e.headword FROM entries e JOIN senses s USING (entry_id) WHERE s.sense_type = 'figurative'",
+    "dict_rq3_unclassified": "SELECT e.headword, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE s.role = 'Unclassified'",
+    "dict_rq4_text_like": "SELECT e.headword, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE s.content_plain ILIKE '%jupes%'",
+    "dict_starter_entries": "SELECT headword, pos FROM entries ORDER BY headword, entry_id LIMIT 20",
+    "dict_starter_senses": "SELECT e.headword, s.sense_type, s.role, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE e.headword = 'PANIER' ORDER BY s.sense_id",
     "dict_q25_sense_types": "SELECT sense_type, count(*) AS n FROM senses GROUP BY sense_type",
     "dict_q26_roles": "SELECT role, count(*) AS n FROM senses WHERE role IS NOT NULL GROUP BY role",
 }
@@ -65,6 +76,47 @@ def _user(sql: str):
     return run
 
 
+def search(spark: SparkSession, view: str, key: str, text: str, terms: list[str]) -> DataFrame:
+    """(key, score) of the rows of a view that hold every term, case and accents folded."""
+    folded = F.regexp_replace(T.nfkd(F.lower(text)), r"\p{M}", "")
+    return L.bm25(spark.table(view).select(key, folded.alias("t")), key, "t", terms)
+
+
+def dict_q22_search_senses(spark, d):
+    dictionary(spark)
+    hits = search(spark, "senses", "sense_id", "content_plain", ["corbeille"])
+    return hits.join(spark.table("senses"), "sense_id").join(spark.table("entries"), "entry_id").orderBy("score", "sense_id").select("headword", "sense_type", "content_plain")
+
+
+def dict_q23_search_citations(spark, d):
+    dictionary(spark)
+    hits = search(spark, "citations", "citation_id", "text_plain", ["panier", "vide"])
+    c = hits.join(spark.table("citations"), "citation_id").join(spark.table("senses").select("sense_id", "entry_id"), "sense_id").join(spark.table("entries"), "entry_id")
+    return c.orderBy("score", "citation_id").select("headword", "resolved_author", "reference", "text_plain")
+
+
+def dict_etymology_segments(spark, d):
+    e = dictionary(spark).etymology().select("entry_id", F.posexplode("segments").alias("i", "s"))
+    return e.select("entry_id", "i", "s.kind", "s.cit_type", "s.language", F.array_join("s.forms", ", ").alias("forms"), "s.gloss", "s.text")
+
+
+def dict_pos_readings(spark, d):
+    dictionary(spark)
+    e = spark.table("entries").select("entry_id", F.explode(N.parse_pos(F.col("pos"))).alias("g"))
+    return e.select("entry_id", "g.kind", "g.norm", "g.printed")
+
+
+def route_labels(spark, d):
+    labels = ["s. m. et f.", "v. a. et n.", "Familièrement et par plaisanterie", "Populairement encore", "Terme de marine", "Au plur.", "Absolument aussi", "Inusité"]
+    r = spark.createDataFrame([(x,) for x in labels], "label string").select("label", F.explode(N.route(F.col("label"))).alias("r"))
+    return r.select("label", "r.printed", "r.target", F.array_join(F.transform("r.elements", lambda e: F.concat(e["kind"], F.lit("="), e["norm"])), " ").alias("reading"))
+
+
+def bare_labels(spark, d):
+    blocks = ["Populairement encore, une ficelle", "Substantivement et au neutre. Le beau.", "Absolument.", "Une chose."]
+    return spark.createDataFrame([(x,) for x in blocks], "block string").select("block", N.split_bare_label(F.col("block")).alias("s")).select("block", "s.label", "s.rest")
+
+
 # -- the same operators over the driver's tables ----------------------------------------
 
 
@@ -303,7 +355,9 @@ DATA_SQL = {
 
 _DATA = (author_locf, id_dedup, scope_inter, scope_intra, neighbour_texts, path_ids, stratified, island_first_last, strip_tags, escape_xml, collapse_ws, slugs, xref_targets, dangling_refs, first_match_rules, cascade_classify, verdict_override, split_atoms, form_before_comma, century_ranges, json_context, flag_union, range_join, full_outer_verdicts, except_ids, object_counts, bm25_topk, postings_stats, balanced_tags, like_and_sort, distinct_segments)
 
-QUERIES = {**{n: _user(s) for n, s in USER_SQL.items()}, **{f.__name__: f for f in _DATA}}
+_OWN = (dict_q22_search_senses, dict_q23_search_citations, dict_etymology_segments, dict_pos_readings, route_labels, bare_labels)
+
+QUERIES = {**{n: _user(s) for n, s in USER_SQL.items()}, **{f.__name__: f for f in _OWN}, **{f.__name__: f for f in _DATA}}
 
 #: Rows worked out by hand from the rules, for the small dictionary.
 GOLDEN_SQL = {
@@ -318,7 +372,19 @@ GOLDEN_SQL = {
     "dict_q04_tree": """SELECT * FROM (VALUES ('panier.1_s1', 0, 'sense'), ('panier.1_s1.1', 1, 'figurative'), ('panier.1_s1.2', 1, 'domain'), ('panier.1_s1.3', 1, 'locution'), ('panier.1_s1.4', 1, 'proverb'), ('panier.1_s1.5', 1, 'unclassified'),
       ('panier.1_s2', 0, 'usage_group'), ('panier.1_s2.1', 1, 'sense'), ('panier.1_s2.2', 1, 'sense'), ('panier.1_s2.2.1', 2, 'transition_group'), ('panier.1_s2.2.1.1', 3, 'unclassified'), ('panier.1_s2.2.1.2', 3, 'register'),
       ('panier.2_s1', 0, 'sense'), ('panier.2_s1.1', 1, 'cross_reference'), ('panier.2_s1.2', 1, 'cross_reference')) t(xml_id, depth, sense_type)""",
-    "dict_q17_rubriques": "SELECT * FROM (VALUES ('PANIER', 'historique', 'XIIe s.'), ('ÉCLAT', 'supplement', 'Ajout')) t(headword, rubrique_type, content_plain)",
+    "dict_q17_rubriques": "SELECT * FROM (VALUES ('PANIER', 'Historique', 'XIIe s. Vieux texte'), ('PANIER', 'Etymologie', 'Lat. panarium, corbeille à pain ; zzz. pana'), ('ÉCLAT', 'Supplement', 'Ajout')) t(headword, rubrique_type, content_plain)",
+    "dict_q18_history": "SELECT 'PANIER' AS headword, 'XIIe s. Vieux texte' AS content_plain",
+    "dict_q22_search_senses": "SELECT * FROM (VALUES ('PANIER', 'sense', 'Corbeille tressée d''osier.'), ('PANIER', 'cross_reference', 'Voy. CORBEILLE'), ('PANIER', 'cross_reference', 'voy. CORBEILLE')) t(headword, sense_type, content_plain)",
+    "dict_q23_search_citations": "SELECT 'PANIER' AS headword, 'DUVAL' AS resolved_author, 'ib. 4' AS reference, 'Le panier vide' AS text_plain",
+    "dict_q27_suspects": """SELECT 'panier.1' AS entry_id, 'PANIER' AS headword, 'token in language-abbreviation position missing from language table' AS reason, '{"token":"zzz.","anchor":"zzz."}' AS context""",
+    "dict_rq2_with_figurative": "SELECT 'PANIER' AS headword",
+    "dict_rq4_text_like": "SELECT 'PANIER' AS headword, 'Grandes jupes.' AS content_plain",
+    "dict_etymology_segments": "SELECT * FROM (VALUES ('panier.1', 0, 'cit', 'cognate', 'la', 'panarium', 'corbeille à pain', NULL), ('panier.1', 1, 'suspect', NULL, NULL, NULL, NULL, 'zzz.'), ('panier.1', 2, 'cit', 'cognate', '', 'pana', '', NULL)) t(entry_id, i, kind, cit_type, language, forms, gloss, text)",
+    "dict_pos_readings": "SELECT * FROM (VALUES ('panier.1', 'pos', 'noun', 's.'), ('panier.1', 'gender', 'masculine', 'm.'), ('panier.2', 'pos', 'verb', 'v.'), ('panier.2', 'valency', 'active', 'a.')) t(entry_id, kind, norm, printed)",
+    "route_labels": """SELECT * FROM (VALUES ('s. m. et f.', 's. m. et f.', 'gram', 'pos=noun gender=masculine gender=feminine'), ('v. a. et n.', 'v. a. et n.', 'gram', 'pos=verb valency=active valency=intransitive'),
+      ('Familièrement et par plaisanterie', 'Familièrement', 'usg', 'socioCultural=familiar'), ('Familièrement et par plaisanterie', 'par plaisanterie', 'usg', 'attitude=jocular'), ('Populairement encore', 'Populairement encore', 'usg', 'socioCultural=popular'),
+      ('Terme de marine', 'Terme de marine', 'usg', 'domain='), ('Au plur.', 'Au plur.', 'gram', 'number=plural'), ('Absolument aussi', 'Absolument aussi', 'gram', 'construction=absolute'), ('Inusité', 'Inusité', 'usg', 'frequency=rare')) t(label, printed, target, reading)""",
+    "bare_labels": "SELECT * FROM (VALUES ('Populairement encore, une ficelle', 'populairement encore', 'une ficelle'), ('Substantivement et au neutre. Le beau.', 'substantivement et au neutre', 'Le beau.'), ('Absolument.', NULL, NULL), ('Une chose.', NULL, NULL)) t(block, label, rest)",
     "dict_q26_roles": "SELECT * FROM (VALUES ('Figurative', 1), ('DomainLabel', 1), ('Locution', 1), ('Proverb', 1), ('Unclassified', 2), ('NatureLabel', 1), ('RegisterLabel', 1), ('CrossReference', 2)) t(role, n)",
 }
 

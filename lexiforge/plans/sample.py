@@ -20,6 +20,7 @@ TEXT = """<xmllittre>
 <variante num="3">La mesure.<indent><nature>Au pluriel.</nature></indent><indent>Grandes jupes.</indent><indent>Familièrement, bagages.</indent></variante>
 </corps>
 <rubrique nom="HISTORIQUE">XIIe s.<indent>Vieux texte<cit aut="MARIN" ref="1">Panier en main</cit></indent></rubrique>
+<rubrique nom="ÉTYMOLOGIE">Lat. <i>panarium</i>, corbeille à pain ; zzz. <i>pana</i></rubrique>
 </entree>
 <entree terme="PANIER" sens="2"><entete><nature>v. a.</nature></entete><corps><variante>Voir &amp; mettre.<indent><a ref="corbeille.1">Voy. CORBEILLE</a></indent><indent>voy. <a ref="corbeille">CORBEILLE</a></indent></variante></corps></entree>
 <entree terme="ÉCLAT"><corps><variante num="1">Morceau.<indent><exemple>S'ÉCLATER</exemple>, v. réfl.</indent></variante><variante num="2">Bruit.</variante></corps></entree>
