@@ -229,121 +229,214 @@ def hex_fingerprint(fp="fp"):
 
 # -- similar texts at a wider radius ----------------------------------------------------
 
-SIMILAR_WORDS, SIMILAR_RADIUS, AGREEMENT = 5, 15, 0.74
+SIMILAR_WORDS, SIMILAR_RADIUS, SIMILARITY = 5, 28, 0.8
 BINS, KEYS = 128, 6
+DEVIATIONS = 6  # how far below its mean the agreement of two sketches may lie
 
 
-def sketch(text: bytes | None, size: int = SIMILAR_WORDS) -> tuple[int, bytes, list[int]]:
-    """(fingerprint, least hash by bin as one byte each, shard keys) of a text's shingle set.
-
-    A bin's byte is zero if no shingle falls in it. A key is the least hash of one class
-    of shingles, so two texts share it with the probability of their similarity.
-    """
+def shingle_set(text: bytes | None, size: int = SIMILAR_WORDS):
+    """The sorted 64-bit hashes of a text's distinct word shingles; a blank text has the one hash 0."""
     import numpy as np
     from xxhash import xxh64_intdigest
 
     w = text.lower().split() if text else ()
+    if not w:
+        return np.zeros(1, "<u8")
     join = b" ".join
     tuples = zip(*(w[i:] for i in range(size)), strict=False) if len(w) > size else [w]
-    h = np.array([xxh64_intdigest(join(t), 42) for t in tuples] if w else [0], dtype="<u8")
-    votes = np.zeros(64, dtype=np.int64)
-    for at in range(0, len(h), 4096):
-        votes += np.unpackbits(h[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    fp = sum(1 << i for i in np.flatnonzero(2 * votes > len(h)).tolist()) if w else 0
-    mixed = np.sort((h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15))
-    bins = (mixed % np.uint64(BINS)).astype(np.int64)
-    seen, first = np.unique(bins, return_index=True)
-    least = np.zeros(BINS, np.uint8)
-    least[seen] = (mixed[first] >> np.uint64(40)).astype(np.uint8) | 1
+    return np.unique(np.array([xxh64_intdigest(join(t), 42) for t in tuples], dtype="<u8"))
+
+
+def _mixed(h):
+    import numpy as np
+
+    return np.sort((h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def shard_keys(h) -> list[int]:
+    """The least hash of each class of a set's shingles: two sets share it with the probability of their similarity."""
+    import numpy as np
+
+    mixed = _mixed(h)
     classes = (mixed >> np.uint64(50)) % np.uint64(KEYS)
     keys = []
     for k in range(KEYS):
         own = mixed[classes == k]
         keys.append(int(own[0] if len(own) else mixed[0]) ^ k)
-    return fp, least.tobytes(), keys
+    return keys
+
 
+def sketch(h) -> tuple[int, bytes]:
+    """(SimHash, least hash by bin as one byte each) of a shingle set; the byte of a bin without shingles is zero."""
+    import numpy as np
 
-def agreement(a, b):
-    """Share of equal bins among those that either sketch fills; rows of (n, BINS) bytes."""
-    filled = (a > 0) | (b > 0)
-    return ((a == b) & filled).sum(axis=1) / filled.sum(axis=1)
+    votes = np.zeros(64, dtype=np.int64)
+    for at in range(0, len(h), 4096):
+        votes += np.unpackbits(h[at : at + 4096].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    fp = sum(1 << i for i in np.flatnonzero(2 * votes > len(h)).tolist())
+    mixed = _mixed(h)
+    seen, first = np.unique((mixed % np.uint64(BINS)).astype(np.int64), return_index=True)
+    least = np.zeros(BINS, np.uint8)
+    least[seen] = (mixed[first] >> np.uint64(40)).astype(np.uint8) | 1
+    return fp, least.tobytes()
 
 
-def similar_links(batches, radius: int, least: float, least_rows: int = 50_000):
-    """Rows (shard, node, fp, sig) sorted by shard to a spanning forest (u, v) of each shard's links."""
+def may_reach(a, b, least: float):
+    """Whether sketches (n, BINS) agree within ``DEVIATIONS`` of what sets of similarity ``least`` do."""
     import numpy as np
 
-    def solve(rows):
-        shard, node, fp = (np.array(x, dtype=np.int64) for x in list(zip(*rows, strict=True))[:3])
+    filled = ((a > 0) | (b > 0)).sum(axis=1)
+    same = ((a == b) & (a > 0)).sum(axis=1)
+    return same >= least * filled - DEVIATIONS * np.sqrt(least * (1 - least) * filled)
+
+
+def jaccard(a, b) -> float:
+    """The similarity of two sorted sets."""
+    import numpy as np
+
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both / (len(a) + len(b) - both)
+
+
+def similar_links(batches, radius: int, least: float, least_rows: int = 50_000, least_bytes: int = 1 << 26):
+    """Rows (shard, node, fp, sig, own) sorted by shard to a spanning forest (u, v) of each shard's links.
+
+    SimHash and sketch only pass over pairs far below ``least``; a link is a pair whose sets
+    (``own``) are that similar. Pairs already connected are not compared again.
+    """
+    import numpy as np
+
+    def solve(shard, node, fp, sig, own):
         many = np.r_[False, shard[1:] == shard[:-1]]
         many[:-1] |= many[1:].copy()
         if not many.any():
             return None
         at = np.flatnonzero(many)
-        sig = np.frombuffer(b"".join(rows[i][3] for i in at.tolist()), np.uint8).reshape(-1, BINS)
         shard, node, bits = shard[at], node[at], fp[at].view(np.uint64)
+        sig = np.frombuffer(b"".join(sig[i] for i in at.tolist()), np.uint8).reshape(-1, BINS)
+        sets = [np.frombuffer(own[i], "<u8") for i in at.tolist()]
+        size = np.array([len(x) for x in sets])
         root, codes, children = build_forest(bits, shard)
-
-        def verified():
-            for a, b in search_forest(bits, root, codes, children, radius, chunk=512):
-                for i in range(0, len(a), 65536):  # bounded scratch space
-                    x, y = a[i : i + 65536], b[i : i + 65536]
-                    ok = agreement(sig[x], sig[y]) >= least
-                    yield x[ok], y[ok]
-
-        up = spanning_forest(len(at), verified())
-        own = np.flatnonzero(up != np.arange(len(at)))
-        return pa.RecordBatch.from_arrays([pa.array(node[own]), pa.array(node[up[own]])], ["u", "v"]) if len(own) else None
+        up = np.arange(len(at))
+
+        def top(x):
+            while (up[x] != x).any():
+                x = up[x]
+            return x
+
+        for a, b in search_forest(bits, root, codes, children, radius, chunk=512):
+            for i in range(0, len(a), 8192):  # bounded scratch space, and few pairs that others connect meanwhile
+                x, y = a[i : i + 8192], b[i : i + 8192]
+                near = (top(x) != top(y)) & (np.minimum(size[x], size[y]) >= least * np.maximum(size[x], size[y]) - 1e-6)
+                x, y = x[near], y[near]
+                near = may_reach(sig[x], sig[y], least)
+                for p, q in zip(x[near].tolist(), y[near].tolist(), strict=True):
+                    u, v = p, q
+                    while up[u] != u:
+                        u = up[u]
+                    while up[v] != v:
+                        v = up[v]
+                    if u != v and jaccard(sets[p], sets[q]) >= least:
+                        up[max(u, v)] = min(u, v)
+            up = up[up]
+        while (up[up] != up).any():
+            up = up[up]
+        linked = np.flatnonzero(up != np.arange(len(at)))
+        return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[up[linked]])], ["u", "v"]) if len(linked) else None
+
+    def columns():
+        shard, node, fp = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in kept]) for i in range(3))
+        return shard, node, fp, *([x for b in kept for x in b.column(i).to_pylist()] for i in (3, 4))
 
     kept: list = []
+    size = held = 0
     for batch in batches:
-        for row in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-            if len(kept) >= least_rows and kept[-1][0] != row[0]:
-                if (out := solve(kept)) is not None:
-                    yield out
-                kept = []
-            kept.append(row)
-    if kept and (out := solve(kept)) is not None:
+        if not batch.num_rows:
+            continue
+        kept.append(batch)
+        size, held = size + batch.num_rows, held + batch.nbytes
+        shard = batch.column(0).to_numpy(zero_copy_only=False)
+        cut = int(np.searchsorted(shard, shard[-1]))  # the last shard may go on in the next batch
+        if (size < least_rows and held < least_bytes) or (cut == 0 and kept[0].column(0)[0].as_py() == shard[-1]):
+            continue
+        if cut == 0:  # all of this batch is one shard, which may have begun before it
+            rest, back = [], len(kept)
+            while back and kept[back - 1].column(0)[kept[back - 1].num_rows - 1].as_py() == shard[-1]:
+                own = kept[back - 1].column(0).to_numpy(zero_copy_only=False)
+                first = int(np.searchsorted(own, shard[-1]))
+                rest.insert(0, kept[back - 1].slice(first))
+                kept[back - 1] = kept[back - 1].slice(0, first)
+                back -= 1
+        else:
+            rest, kept[-1] = [batch.slice(cut)], batch.slice(0, cut)
+        if sum(b.num_rows for b in kept) and (out := solve(*columns())) is not None:
+            yield out
+        kept = rest
+        size, held = sum(b.num_rows for b in kept), sum(b.nbytes for b in kept)
+    if kept and (out := solve(*columns())) is not None:
         yield out
 
 
-def similar_components(d: DataFrame, radius: int = SIMILAR_RADIUS, least: float = AGREEMENT) -> DataFrame:
-    """Staged rows (doc_id, node, fp, sig, keys) to (node, component_id)."""
+def similar_components(rows: DataFrame, d: DataFrame, radius: int = SIMILAR_RADIUS, least: float = SIMILARITY, size: int = SIMILAR_WORDS) -> DataFrame:
+    """``rows`` (key, text) and their staged rows (doc_id, key, node, keys) to (node, component_id)."""
     spark = d.sparkSession
-    per = staged(d.groupBy("node").agg(F.min("doc_id").alias("first")), "nodes")
-    one = d.groupBy("node").agg(F.any_value("fp").alias("fp"), F.any_value("sig").alias("sig"), F.any_value("keys").alias("keys"))
+    one = d.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.any_value("keys").alias("keys"))
+    per = staged(one, "nodes")
+    dealt = per.select(F.explode("keys").alias("shard"), "key")
+    shared = dealt.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1").select("shard")
+    # Only texts that share a key bring their sets to the shards, each shard's as often as it is shared.
+    wanted = staged(dealt.join(shared, "shard").groupBy("key").agg(F.collect_set("shard").alias("shards")), "shared")
+
+    @F.arrow_udf("struct<node: long, fp: long, sig: binary, own: binary>")
+    def sk(col: pa.Array) -> pa.Array:
+        out = []
+        for x in col.cast(pa.binary()).to_pylist():
+            h = shingle_set(x, size)
+            fp, sig = sketch(h)
+            out.append({"node": node_of(h), "fp": signed(fp), "sig": sig, "own": h.tobytes()})
+        return pa.array(out, pa.struct([("node", pa.int64()), ("fp", pa.int64()), ("sig", pa.binary()), ("own", pa.binary())]))
+
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = one.select(F.explode("keys").alias("shard"), "node", "fp", "sig").repartition(parts, "shard").sortWithinPartitions("shard", "node")
-    links = dealt.mapInArrow(lambda b: similar_links(b, radius, least), "u long, v long")
+    sets = rows.join(wanted, "key").select("shards", sk(F.col("text")).alias("s")).select(F.explode("shards").alias("shard"), "s.*")
+    links = sets.repartition(parts, "shard").sortWithinPartitions("shard", "node").mapInArrow(lambda b: similar_links(b, radius, least), "u long, v long")
     stars = connected_components(links)
-    comp = per.join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    comp = per.select("node", "first").join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = comp.groupBy("root").agg(F.min("first").alias("component_id"))
     return comp.join(named, "root").select("node", "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", size: int = SIMILAR_WORDS, radius: int = SIMILAR_RADIUS, least: float = AGREEMENT) -> DataFrame:
+def signed(x: int) -> int:
+    return x - (x >> 63 << 64)
+
+
+def node_of(h) -> int:
+    from xxhash import xxh64_intdigest
+
+    return signed(xxh64_intdigest(h.tobytes(), 7))
+
+
+def keep_one(docs: DataFrame, text: str = "text", size: int = SIMILAR_WORDS, radius: int = SIMILAR_RADIUS, least: float = SIMILARITY) -> DataFrame:
     """``docs`` with one document of each group of similar texts: its smallest id.
 
-    Texts of a similarity of 0.8 or more are grouped: SimHashes of five-word shingles
-    within 15 of 64 bits (texts of similarity 0.8 differ in 10 on average) whose least-hash
-    sketches agree in three bins of four, which allows for sampling error. At that
-    radius equal bit blocks no longer narrow a search, so the shards of BK-trees are the
-    texts that share the least hash of a class of shingles, which texts of similarity s
-    do with probability s; with six classes a link of 0.8 is missed once in 15,000.
-    Of rows that repeat the smallest id, the least by text hash stays.
+    Texts are grouped whose sets of five-word shingles have a Jaccard similarity of 0.8 or
+    more, worked out from the sets (told by 64-bit hashes). Candidates are the texts that
+    share the least hash of one of six classes of shingles; sets of similarity s share each
+    with probability s, so a pair of 0.8 is missed once in 15,000, more similar ones less
+    often. Inside these shards the BK-trees' radius of 28 of 64 bits (such texts differ in
+    10 to 12 on average) and the sketches only pass over what lies five or six deviations
+    off. Of rows that repeat the smallest id, the least by text hash stays.
     """
     kept = list(docs.columns)
     key = F.xxhash64(F.col(text), *[F.col(f"`{c}`").cast("string") for c in kept if c != text])
 
-    @F.arrow_udf("struct<fp: long, sig: binary, keys: array<long>>")
+    @F.arrow_udf("struct<node: long, keys: array<long>>")
     def sk(col: pa.Array) -> pa.Array:
-        signed = lambda x: x - (x >> 63 << 64)
-        found = [sketch(x, size) for x in col.cast(pa.binary()).to_pylist()]
-        return pa.array([{"fp": signed(f), "sig": s, "keys": [signed(k) for k in ks]} for f, s, ks in found], pa.struct([("fp", pa.int64()), ("sig", pa.binary()), ("keys", pa.list_(pa.int64()))]))
+        found = (shingle_set(x, size) for x in col.cast(pa.binary()).to_pylist())
+        return pa.array([{"node": node_of(h), "keys": [signed(k) for k in shard_keys(h)]} for h in found], pa.struct([("node", pa.int64()), ("keys", pa.list_(pa.int64()))]))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), sk(F.col(text)).alias("s"))
-    d = staged(rows.select("doc_id", "key", "s.*").withColumn("node", F.xxhash64("fp", "sig")), "sketches")
-    named = similar_components(d, radius, least)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
+    d = staged(rows.select("doc_id", "key", sk(F.col("text")).alias("s")).select("doc_id", "key", "s.*"), "sketches")
+    named = similar_components(rows.select("key", "text"), d, radius, least, size)
     own = d.select("doc_id", "key", "node").join(named, "node").where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     each = own.groupBy("component_id", "key").agg(F.count("*").alias("n"))
     chosen = staged(each.groupBy("component_id").agg(F.min(F.struct("key", "n")).alias("s")).select(F.col("component_id").alias("__lf_c"), F.col("s.key").alias("__lf_k"), F.col("s.n").alias("__lf_n")), "chosen")

@@ -6,6 +6,7 @@ from collections import Counter
 from math import log10
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -194,6 +195,67 @@ def test_simhash(spark, mixed):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def similar_pairs(seed, most, at):
+    """Pairs of texts of own words whose five-word shingle sets have a similarity near ``at``: words appended or replaced."""
+    rng = np.random.default_rng(seed)
+    rows, word = [], iter(range(10**9))
+    for k in range(most):
+        n = int(rng.integers(12, 300))
+        a = [f"w{next(word)}" for _ in range(n)]
+        s = at(rng)
+        if k % 2:
+            b = a + [f"w{next(word)}" for _ in range(round((n - 4) * (1 / s - 1)))]
+        else:
+            b, gone = list(a), round((n - 4) * (1 - s) / (1 + s) / 5)
+            for i in range(gone):
+                b[(2 * i + 1) * n // (2 * gone)] = f"w{next(word)}"
+        rows += [(2 * k, " ".join(a), "en", "s", 1), (2 * k + 1, " ".join(b), "en", "s", 1)]
+    return rows
+
+
+def brute_keep_one(rows):
+    """Ids of ``rows`` (of distinct ids) that are the smallest of their group at similarity 0.8."""
+    sets = []
+    for r in rows:
+        w = (r[1] or "").lower().split()
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) > 5 else {tuple(w)})
+    holders = {}
+    for i, x in enumerate(sets):
+        for g in x:
+            holders.setdefault(g, []).append(i)
+    both = Counter((i, j) for own in holders.values() for i in own for j in own if i < j)
+    links = [(i, j) for (i, j), n in both.items() if 5 * n >= 4 * (len(sets[i]) + len(sets[j]) - n)]
+    least = [r[0] for r in rows]
+    while any(least[i] != least[j] for i, j in links):
+        for i, j in links:
+            least[i] = least[j] = min(least[i], least[j])
+    return {r[0] for r, m in zip(rows, least, strict=True) if r[0] == m}
+
+
+def test_keep_one_decides_by_similarity(spark):
+    rows = similar_pairs(11, 400, lambda rng: rng.uniform(0.72, 0.88))
+    want = brute_keep_one(rows)
+    assert 550 < len(want) < 700
+    assert {r["doc_id"] for r in simhash.keep_one(docs_of(spark, rows)).collect()} == want
+
+
+def test_similar_links_over_batches():
+    # Shards that end inside, at the end of and after several batches give the links of one batch.
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**62, 50).astype(np.uint64)) for _ in range(12)]
+    rows = []
+    for k in range(60):
+        h = np.unique(np.r_[sets[k % 12][:48], rng.integers(0, 2**62, 1).astype(np.uint64)])
+        fp, sig = simhash.sketch(h)
+        rows.append((k % 12 // 2, k, simhash.signed(fp), sig, h.tobytes()))
+    rows.sort(key=lambda r: r[:2])
+    schema = pa.schema([("shard", pa.int64()), ("node", pa.int64()), ("fp", pa.int64()), ("sig", pa.binary()), ("own", pa.binary())])
+    for step in (1, 3, 5, 10, 60):
+        batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, r, strict=True)) for r in rows[i : i + step]], schema) for i in range(0, 60, step)]
+        got = sorted((r["u"], r["v"]) for b in simhash.similar_links(iter(batches), 28, 0.8, least_rows=1) for r in b.to_pylist())
+        assert got == sorted((k, k % 12) for k in range(12, 60))
+
+
 @pytest.mark.parametrize("deep", [False, True])
 def test_bk_trees_lose_no_link(spark, monkeypatch, deep):
     monkeypatch.setattr(simhash, "SHARD_ROWS", 0 if deep else 64)
