@@ -315,3 +315,44 @@ def test_context_tree_is_a_distribution():
     rng = np.random.default_rng(1)
     m = ctw.Model(rng.integers(0, 1 << 24, 500), rng.integers(1, 9, 500))
     assert np.allclose((10.0 ** m.rows.astype(float)).sum(axis=1), 1, atol=1e-4)
+
+
+def brute_scores(rows, trained, depth):
+    """Text scores by the dense mixture over the contexts of all depths."""
+    def coded(t):
+        x = bytes(depth) + (t or "").encode() + b"\0"
+        return [(x[i - depth : i], x[i]) for i in range(depth, len(x))]
+
+    seen = Counter(c for t in trained for c in coded(t))
+    code = lambda ctx: int.from_bytes(ctx, "big")
+    contexts, counts = [], []
+    for d in range(depth + 1):
+        own = sorted({code(c[depth - d :]) for c, _ in seen})
+        n = np.zeros((len(own), 256))
+        for (c, b), k in seen.items():
+            n[own.index(code(c[depth - d :])), b] += k
+        contexts.append(np.array(own))
+        counts.append(n)
+    tables = ctw.mixture(contexts, counts)
+    row = {(d, c): tables[d][i] for d in range(depth + 1) for i, c in enumerate(contexts[d].tolist())}
+    deepest = lambda c: next(row[d, x] for d in range(depth, -1, -1) if (d, x := code(c[depth - d :])) in row)
+    return [sum(float(deepest(c)[b]) for c, b in coded(t)) for t in rows]
+
+
+@pytest.mark.parametrize("depth", [1, 2, 3, ctw.DEPTH])
+def test_deep_contexts_are_the_dense_mixture(spark, monkeypatch, depth):
+    monkeypatch.setattr(ctw, "BLOCK", 300)
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(rng.choice(["abc", "abd", "xbc", "é", "longer"], 12)), "en", "s", 1) for i in range(25)] + [(30, None, "en", "s", 1), (31, "zzz new", "en", "s", 1)]
+    held = [zlib.crc32(str(r[0]).encode()) % 5 == 1 for r in rows]
+    want = brute_scores([r[1] for r in rows], [r[1] for r, h in zip(rows, held, strict=True) if not h], depth)
+    got = {r["doc_id"]: r["score"] for r in ctw.score_documents(docs_of(spark, rows), depth=depth).collect()}
+    assert any(held) and np.allclose([got[r[0]] for r in rows], want, rtol=1e-4)
+
+
+def test_contexts_beyond_two_bytes_are_used(spark):
+    # After "xx" comes what stood before it, which two bytes of context cannot tell.
+    rng = np.random.default_rng(6)
+    rows = [(i, "".join(c + "xx" + c for c in rng.choice(list("abcdefgh"), 200)), "en", "s", 1) for i in range(60)]
+    got = ctw.score_documents(docs_of(spark, rows)).where("held_out").collect()
+    assert got and all(r["bits_per_byte"] < 0.95 for r in got)  # 3 bits of every 4 bytes are new; 6 without deep contexts
