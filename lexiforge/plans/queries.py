@@ -220,6 +220,20 @@ def split_atoms(spark, d):
     return docs
 
 
+def split_atoms_whole(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.explode(T.split_atoms(F.col("text"), r"(?U)\s+(?:et|and)\s+")).alias("atom"))
+
+
+def collapse_ws_whole(spark, d):
+    x = _t(spark, d, "documents").select("doc_id", T.collapse_ws(F.col("text")).alias("t"))
+    return x.select("doc_id", F.length("t").cast("long").alias("n_chars"), F.md5("t").alias("text_md5"), T.truncate(F.col("t"), 200).alias("head"))
+
+
+def slugs_whole(spark, d):
+    x = _t(spark, d, "documents").select("doc_id", T.make_id(F.col("text")).alias("s"))
+    return x.select("doc_id", F.length("s").cast("long").alias("n_chars"), F.md5("s").alias("slug_md5"))
+
+
 def form_before_comma(spark, d):
     lines = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     return lines.select("doc_id", "i", T.form_before_comma(F.col("line")).alias("form")).where("form is not null")
@@ -291,6 +305,20 @@ def distinct_segments(spark, d):
 _UNI = r"[^\p{L}\p{N}]+"
 _ROLE = """CASE WHEN regexp_matches(l, '(?i)^prov\\.\\s|^proverbe\\b|^proverbialement\\b') THEN 'Proverb' {} ELSE 'Unclassified' END"""
 
+#: What (?U)\\s matches, as RE2 spells it.
+_WS = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+
+WHOLE_SQL = {
+    "split_atoms_whole": rf"""WITH h AS (SELECT doc_id, trim(regexp_replace(lower(regexp_replace(text, '<[^>]+>', '', 'g')), '{_WS}+', ' ', 'g')) AS h FROM documents),
+      a AS (SELECT doc_id, unnest(string_split_regex(h, ' (?:et|and) ')) AS a FROM h), b AS (SELECT doc_id, trim(regexp_replace(a, '[.,;:]+$', '')) AS atom FROM a)
+      SELECT doc_id, atom FROM b WHERE atom <> ''""",
+    "collapse_ws_whole": rf"""SELECT doc_id, length(t)::BIGINT AS n_chars, md5(t) AS text_md5, substr(t, 1, 200) AS head
+      FROM (SELECT doc_id, trim(regexp_replace(text, '{_WS}+', ' ', 'g')) AS t FROM documents)""",
+    "slugs_whole": r"""WITH s AS (SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^\x00-\x7F]', '', 'g'), '[^a-z0-9]+', '_', 'g'), '_') AS s FROM documents),
+      m AS (SELECT doc_id, CASE WHEN regexp_matches(s, '^[a-z]') THEN s ELSE 'e_' || s END AS s FROM s)
+      SELECT doc_id, length(s)::BIGINT AS n_chars, md5(s) AS slug_md5 FROM m""",
+}
+
 DATA_SQL = {
     "author_locf": """WITH a AS (SELECT *, CASE event_type WHEN 'error' THEN 'ID.' WHEN 'view' THEN '' ELSE upper(event_type) END AS author FROM events),
       b AS (SELECT *, last_value(CASE WHEN author NOT IN ('', 'ID.') THEN author END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS k FROM a)
@@ -353,7 +381,7 @@ DATA_SQL = {
     "distinct_segments": "SELECT DISTINCT c_mktsegment FROM customer",
 }
 
-_DATA = (author_locf, id_dedup, scope_inter, scope_intra, neighbour_texts, path_ids, stratified, island_first_last, strip_tags, escape_xml, collapse_ws, slugs, xref_targets, dangling_refs, first_match_rules, cascade_classify, verdict_override, split_atoms, form_before_comma, century_ranges, json_context, flag_union, range_join, full_outer_verdicts, except_ids, object_counts, bm25_topk, postings_stats, balanced_tags, like_and_sort, distinct_segments)
+_DATA = (author_locf, id_dedup, scope_inter, scope_intra, neighbour_texts, path_ids, stratified, island_first_last, strip_tags, escape_xml, collapse_ws, slugs, xref_targets, dangling_refs, first_match_rules, cascade_classify, verdict_override, split_atoms, split_atoms_whole, collapse_ws_whole, slugs_whole, form_before_comma, century_ranges, json_context, flag_union, range_join, full_outer_verdicts, except_ids, object_counts, bm25_topk, postings_stats, balanced_tags, like_and_sort, distinct_segments)
 
 _OWN = (dict_q22_search_senses, dict_q23_search_citations, dict_etymology_segments, dict_pos_readings, route_labels, bare_labels)
 
@@ -388,7 +416,7 @@ GOLDEN_SQL = {
     "dict_q26_roles": "SELECT * FROM (VALUES ('Figurative', 1), ('DomainLabel', 1), ('Locution', 1), ('Proverb', 1), ('Unclassified', 2), ('NatureLabel', 1), ('RegisterLabel', 1), ('CrossReference', 2)) t(role, n)",
 }
 
-ORACLE_SQL = {**DATA_SQL, **GOLDEN_SQL}
+ORACLE_SQL = {**DATA_SQL, **WHOLE_SQL, **GOLDEN_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
