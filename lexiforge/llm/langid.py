@@ -1,13 +1,17 @@
 """Language identification: multinomial naive Bayes over hashed character n-grams.
 
-Training counts hashed 1- to 3-byte grams of each language in a bounded sample of the
-labelled rows (``TRAIN_ROWS``, chosen by a hash of the id). The log-probability matrix
-(``BUCKETS`` rows, one column a language) is broadcast, and a batch of texts is scored as
-a sparse product: gram rows are gathered and summed by text in numpy. Every whole text
-is scored, in pieces of bounded size.
+Training counts hashed grams of one to three characters of each language in a bounded
+sample of the labelled rows (``TRAIN_ROWS``, chosen by a hash of id and text). The
+log-probability matrix (``BUCKETS`` rows, one column a language, fixed point) is broadcast,
+and a batch of texts is scored as a sparse product: gram rows are gathered and summed by
+text in numpy. Every whole text is scored, in parts of bounded size. A gram never reaches
+over its text's end and sums are of whole numbers, so a prediction depends on its text
+alone, whatever rows share its batch.
 
 Defined cases: a text that is null or has no letter is ``und`` with score 0; with no
-labelled rows at all every text is ``und``; ties go to the first language by code point.
+labelled rows at all every text is ``und``; ties go to the first language by code point;
+repeated rows are scored alike; an empty table gives no rows; columns beyond the ones named
+are not read.
 """
 
 from __future__ import annotations
@@ -23,41 +27,73 @@ ORDERS = (1, 2, 3)
 TRAIN_ROWS = 20_000
 SMOOTHING = 0.5
 PIECE = 1 << 18
+#: Log probabilities are kept as whole multiples of 1 / ONE.
+ONE = 1 << 20
 
 
-def gram_buckets(data, order: int, buckets: int = BUCKETS):
-    """Bucket of the ``order``-byte gram at each place of ``data`` (uint8)."""
+def gram_buckets(chars, order: int, buckets: int = BUCKETS):
+    """Bucket of the gram of ``order`` characters that starts at each place of ``chars`` (uint32)."""
     import numpy as np
 
-    x = data.astype(np.uint32)
-    h = x[: len(x) - order + 1] + np.uint32(order * 0x9E3779B1 & 0xFFFFFFFF)
+    n = len(chars) - order + 1
+    h = chars[:n] + np.uint32(order * 0x9E3779B1 & 0xFFFFFFFF)
     for i in range(1, order):
-        h = h * np.uint32(0x01000193) ^ x[i : len(x) - order + 1 + i]
+        h = h * np.uint32(0x01000193) ^ chars[i : n + i]
     h = h * np.uint32(0x85EBCA6B)
     return (h >> np.uint32(16)) % np.uint32(buckets)
 
 
+def characters(text: str):
+    """The lower-cased characters of a text between two blanks, as uint32."""
+    import numpy as np
+
+    return np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "replace"), np.uint32)
+
+
 def _pieces(texts):
-    """Texts laid end to end in pieces of bounded size: (bytes, which text, where each begins)."""
+    """Parts of bounded size laid end to end: (characters, which text, where each begins, how many grams start in it)."""
     import numpy as np
 
-    held, who, begin, size = [], [], [], 0
+    held, who, starts, size = [], [], [], 0
+
+    def flush():
+        lengths = np.array([len(x) for x in held])
+        return np.concatenate(held), np.array(who), np.r_[0, np.cumsum(lengths)[:-1]], np.array(starts)
+
     for i, text in enumerate(texts):
-        for at in range(0, max(1, len(text)), PIECE):
-            part = text[at : at + PIECE + max(ORDERS) - 1] + b" "
+        chars = characters(text)
+        for at in range(0, len(chars), PIECE):
+            part = chars[at : at + PIECE + max(ORDERS) - 1]  # grams of the part's last places
             held.append(part)
             who.append(i)
-            begin.append(size)
+            starts.append(min(PIECE, len(part)))
             size += len(part)
             if size >= PIECE:
-                yield np.frombuffer(b"".join(held), np.uint8), np.array(who), np.array(begin)
-                held, who, begin, size = [], [], [], 0
+                yield flush()
+                held, who, starts, size = [], [], [], 0
     if held:
-        yield np.frombuffer(b"".join(held), np.uint8), np.array(who), np.array(begin)
+        yield flush()
+
+
+def part_grams(texts, buckets: int = BUCKETS):
+    """For each order of each run of parts: (bucket by place, which text, where each part begins).
 
+    Places where no gram of that order starts have the bucket ``buckets``.
+    """
+    import numpy as np
 
-def lowered(text: str) -> bytes:
-    return text.lower().encode("utf-8", "replace")
+    for chars, who, begin, starts in _pieces(texts):
+        end = np.r_[begin[1:], len(chars)]
+        for order in ORDERS:
+            out = np.full(len(chars), buckets, np.int64)
+            h = gram_buckets(chars, order, buckets) if len(chars) >= order else out[:0]
+            out[: len(h)] = h
+            # A gram starts in its part's own places and ends before the part does.
+            last = np.minimum(begin + starts, end - order + 1)
+            for k in range(order + max(ORDERS)):
+                place = last + k
+                out[place[(place >= begin) & (place < end)]] = buckets
+            yield out, who, begin
 
 
 def count_rows(batches, buckets: int):
@@ -66,33 +102,39 @@ def count_rows(batches, buckets: int):
 
     tables: dict[str, np.ndarray] = {}
     for batch in batches:
-        by: dict[str, list[bytes]] = {}
+        by: dict[str, list[str]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            by.setdefault(lang, []).append(lowered(text))
+            by.setdefault(lang, []).append(text)
         for lang, texts in by.items():
             t = tables.setdefault(lang, np.zeros(buckets, np.int64))
-            for data, _, _ in _pieces(texts):
-                for order in ORDERS:
-                    if len(data) >= order:
-                        t += np.bincount(gram_buckets(data, order, buckets), minlength=buckets)
+            for grams, _, _ in part_grams(texts, buckets):
+                t += np.bincount(grams, minlength=buckets + 1)[:buckets]
     for lang, t in tables.items():
         at = np.flatnonzero(t)
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at), pa.array(t[at])], ["lang", "bucket", "n"])
 
 
-def bounded_sample(rows: DataFrame, most: int, seed: int = 5) -> DataFrame:
-    """About ``most`` of ``rows`` at most, by a hash of doc_id; all of them if they are fewer."""
+def bounded_sample(rows: DataFrame, most: int, seed: int = 5, key: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """About ``most`` of ``rows`` at most, by a hash of ``key``; all of them if they are fewer."""
     n = rows.count()
     if n <= most:
         return rows
-    return rows.where(F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 24)) < int((1 << 24) * most / n))
+    return rows.where(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 24)) < int((1 << 24) * most / n))
+
+
+def log_matrix(table):
+    """Counts (bucket, language) to smoothed log probabilities in fixed point, with a row of zeros for no gram."""
+    import numpy as np
+
+    p = np.log((table + SMOOTHING) / (table + SMOOTHING).sum(axis=0, keepdims=True))
+    return np.vstack([np.rint(p * ONE).astype(np.int64), np.zeros((1, table.shape[1]), np.int64)])
 
 
 def train(labelled: DataFrame, buckets: int = BUCKETS, train_rows: int = TRAIN_ROWS):
-    """Rows (doc_id, text, lang) to (languages, log-probability matrix as float32)."""
+    """Rows (doc_id, text, lang) to (languages, matrix)."""
     import numpy as np
 
-    sample = bounded_sample(labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text"), train_rows)
+    sample = bounded_sample(labelled.where("lang is not null and text is not null").select("doc_id", "lang", "text"), train_rows, key=("doc_id", "text"))
     counts = sample.select("lang", "text").mapInArrow(lambda b: count_rows(b, buckets), "lang string, bucket long, n long")
     got = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()  # languages x BUCKETS at most
     langs = sorted(got["lang"].unique().tolist())
@@ -101,45 +143,44 @@ def train(labelled: DataFrame, buckets: int = BUCKETS, train_rows: int = TRAIN_R
         own = got[got["lang"] == lang]
         table[own["bucket"].to_numpy(), i] = own["n"].to_numpy()
     # Priors are left uniform: the text decides.
-    return langs, np.log((table + SMOOTHING) / (table + SMOOTHING).sum(axis=0, keepdims=True)).astype(np.float32)
+    return langs, log_matrix(table)
+
 
+def score_texts(texts, names, weights) -> list[dict]:
+    """{lang_pred, score} of each text."""
+    import re
+
+    import numpy as np
 
-def predictor(spark, langs, weights, buckets: int = BUCKETS):
+    letter = re.compile(r"[^\W\d_]")
+    open_ = [i for i, t in enumerate(texts) if names and t and letter.search(t)]
+    out: list[dict] = [{"lang_pred": "und", "score": 0.0}] * len(texts)
+    if not open_:
+        return out
+    columns = [np.ascontiguousarray(weights[:, j]) for j in range(len(names))]
+    none = len(weights) - 1
+    sums = np.zeros((len(open_), len(names)), np.int64)
+    grams = np.zeros(len(open_), np.int64)
+    for place, who, begin in part_grams([texts[i] for i in open_], none):
+        np.add.at(grams, who, np.add.reduceat((place != none).astype(np.int64), begin))
+        for j, w in enumerate(columns):
+            np.add.at(sums[:, j], who, np.add.reduceat(w[place], begin))
+    # The posterior of an average stretch of text: whole texts would all read 1.
+    z = (sums - sums.max(axis=1, keepdims=True)) / ONE / np.maximum(1.0, grams / 150.0)[:, None]
+    best = sums.argmax(axis=1)
+    for i, k, row in zip(open_, best.tolist(), z.tolist(), strict=True):
+        share = sum(np.exp(x) for x in row)
+        out[i] = {"lang_pred": names[k], "score": min(1.0, max(0.0, float(1.0 / share)))}
+    return out
+
+
+def predictor(spark, langs, weights):
     """A Column function text -> struct(lang_pred, score)."""
-    shared = spark.sparkContext.broadcast((langs, weights))
+    shared = spark.sparkContext.broadcast((langs, weights))  # BUCKETS rows, a column a language
 
     @F.arrow_udf("struct<lang_pred: string, score: double>")
     def predict(col: pa.Array) -> pa.Array:
-        import re
-
-        import numpy as np
-
-        names, w = shared.value
-        letter = re.compile(r"[^\W\d_]")
-        texts = col.to_pylist()
-        open_ = [i for i, t in enumerate(texts) if names and t and letter.search(t)]
-        sums = np.zeros((len(open_), len(names)))
-        grams = np.zeros(len(open_))
-        for data, who, begin in _pieces([lowered(texts[i]) for i in open_]):
-            edge = np.r_[begin, len(data)]
-            for order in ORDERS:
-                if len(data) < order:
-                    continue
-                h = gram_buckets(data, order, buckets)
-                at = np.minimum(begin, len(h) - 1)
-                for j in range(len(names)):
-                    np.add.at(sums[:, j], who, np.add.reduceat(w[:, j][h], at, dtype=np.float64))
-            np.add.at(grams, who, np.diff(edge))
-        out: list = [{"lang_pred": "und", "score": 0.0}] * len(texts)
-        if open_:
-            # The posterior of an average stretch of text: whole texts would all read 1.
-            z = (sums - sums.max(axis=1, keepdims=True)) / np.maximum(1.0, grams / 50.0)[:, None]
-            p = np.exp(z)
-            p /= p.sum(axis=1, keepdims=True)
-            best = sums.argmax(axis=1)
-            for i, k, q in zip(open_, best.tolist(), p.max(axis=1).tolist(), strict=True):
-                out[i] = {"lang_pred": names[k], "score": min(1.0, max(0.0, q))}
-        return pa.array(out, pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
+        return pa.array(score_texts(col.to_pylist(), *shared.value), pa.struct([("lang_pred", pa.string()), ("score", pa.float64())]))
 
     return predict
 

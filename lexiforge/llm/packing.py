@@ -6,16 +6,19 @@ pieces of each length, ``capacity`` figures whatever the corpus, decides the pac
 a round takes all unplaced pieces of the greatest length and all gaps, run-length coded
 by size; every piece seeks its successor, the smallest gap that holds it; where more
 pieces than gaps meet, ranks decide and the rest go on to the next gap or to new
-sequences; gaps shrink and the next round starts. That is best-fit decreasing. The
-rounds' matches are ranges of ranks, and a sweep over the sorted pieces turns them into
-sequence numbers and offsets.
+sequences; gaps shrink and the next round starts. That is best-fit decreasing, piece by
+piece. The rounds' matches are ranges of ranks, and a sweep over the sorted pieces turns
+them into sequence numbers and offsets.
 
 Token ids come from the byte-level BPE file through a bounded cache of words: between
 single spaces and single line ends the encoder treats each word by itself, so equal words
 are encoded once. A text with other white space is encoded whole.
 
 Defined cases: a null or empty text is one piece that holds only the end id; repeated
-rows are packed as often as they occur; a null doc_id is carried through.
+rows are packed as often as they occur; a null doc_id is carried through; an empty table
+gives no pieces; a text beyond the capacity is cut, never shortened; ``pack`` replaces
+columns named ``sequence_id`` or ``offset`` and carries all others; rows of ``pack`` whose
+length is null or outside 1 to the capacity raise an error.
 """
 
 from __future__ import annotations
@@ -102,14 +105,17 @@ class Encoder:
         return self.line_end.join(lines)
 
 
-def piece_rows(batches, path: str, capacity: int, end_id: int):
-    """(doc_id, text) to pieces (doc_id, piece, start, length, ids_crc32)."""
+PIECE = "doc_id long, piece int, start long, length long, ids_crc32 long"
+
+
+def piece_rows(batches, path: str, capacity: int, end_id: int, with_ids: bool = False):
+    """(doc_id, text) to pieces (doc_id, piece, start, length, ids_crc32[, ids])."""
     from zlib import crc32
 
     encoder = Encoder(path)
     end = end_id.to_bytes(4, "little")
-    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-    names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.binary()] * with_ids]
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids]
     for batch in batches:
         out: list[list] = [[] for _ in names]
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -118,16 +124,18 @@ def piece_rows(batches, path: str, capacity: int, end_id: int):
             at, k = 0, 0
             while at < n:
                 stop = at + (n - at) % capacity if k == 0 and (n - at) % capacity else at + capacity
-                for col, x in zip(out, (doc_id, k, at, stop - at, crc32(ids[4 * at : 4 * stop])), strict=True):
+                own = ids[4 * at : 4 * stop]
+                for col, x in zip(out, (doc_id, k, at, stop - at, crc32(own), *[bytes(own)] * with_ids), strict=True):
                     col.append(x)
                 at, k = stop, k + 1
         yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names)
 
 
-def tokenised_pieces(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def tokenised_pieces(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False) -> DataFrame:
+    """Each row's pieces; with ``ids``, a binary column of unsigned little-endian 32-bit ids."""
     path = path or tokenizer_path()
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("t"))
-    return narrow.mapInArrow(lambda b: piece_rows(b, path, capacity, end_id), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return narrow.mapInArrow(lambda b: piece_rows(b, path, capacity, end_id, ids), PIECE + ", ids binary" * ids)
 
 
 def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
@@ -143,78 +151,106 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, in
     made, out = 0, []
 
     def put(gap: int, first: int, many: int):
-        if gap > 0:
+        if gap > 0 and many > 0:
             if gap not in gaps:
                 gaps[gap] = []
                 insort(sizes, gap)
             gaps[gap].append((first, many))
 
+    def fill(length: int, gap: int, first: int, many: int, rank: int, left: int) -> int:
+        """Fill ``many`` sequences one after the other, as best fit does with pieces of one length."""
+        each = gap // length
+        whole = min(many, left // each)
+        one = min(left - whole * each, each) if whole < many else 0
+        for k in range(each if whole else 0):
+            out.append((length, rank + k * whole, rank + (k + 1) * whole, first, capacity - gap + k * length))
+        for k in range(one):
+            at = rank + whole * each + k
+            out.append((length, at, at + 1, first + whole, capacity - gap + k * length))
+        put(gap - each * length, first, whole)
+        put(gap - one * length, first + whole, 1 if one else 0)
+        put(gap, first + whole + (one > 0), many - whole - (one > 0))
+        return whole * each + one
+
     for length in sorted(counts, reverse=True):
         rank, left = 0, counts[length]
         while left:
             i = bisect_left(sizes, length)
-            if i == len(sizes):  # no gap holds it: open sequences, each filled as best fit would
-                each = capacity // length
-                many = -(-left // each)
-                put(capacity, made, many)
+            if i == len(sizes):  # no gap holds it
+                gap, first, many = capacity, made, -(-left // (capacity // length))
                 made += many
-                continue
-            gap = sizes[i]
-            first, many = gaps[gap].pop()
-            if not gaps[gap]:
-                del gaps[gap]
-                sizes.pop(i)
-            take = min(many, left)
-            out.append((length, rank, rank + take, first, capacity - gap))
-            put(gap - length, first, take)
-            if take < many:
-                put(gap, first + take, many - take)
-            rank, left = rank + take, left - take
+            else:
+                gap = sizes[i]
+                first, many = gaps[gap].pop()
+                if not gaps[gap]:
+                    del gaps[gap]
+                    sizes.pop(i)
+            done = fill(length, gap, first, many, rank, left)
+            rank, left = rank + done, left - done
     return out
 
 
+_P = "__lf_pack_"
+
+
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Rows with a ``length`` to the same rows with ``sequence_id`` and ``offset``."""
     spark = pieces.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    pieces = staged(pieces, "pieces")
-    order = [F.col("length").desc(), *[F.col(c) for c in pieces.columns if c != "length"]]
-    ranged = staged(pieces.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn("__lf_part", F.spark_partition_id()), "ranged")
-    each = ranged.groupBy("length", "__lf_part").agg(F.count("*").alias("n"))
+    pieces = pieces.drop("sequence_id", "offset")
+    names = pieces.columns
+    pieces = staged(pieces.toDF(*[c if c in ("length", "ids") else f"{_P}{i}" for i, c in enumerate(names)]), "pieces")
+    order = [F.col("length").desc(), *[F.col(c) for c in pieces.columns if c not in ("length", "ids")]]
+    ranged = staged(pieces.repartitionByRange(parts, *order).sortWithinPartitions(*order).withColumn(_P + "part", F.spark_partition_id()), "ranged")
+    each = ranged.groupBy("length", _P + "part").agg(F.count("*").alias("n"))
     # At most one row for each partition, and for each length: sorted ranges hardly overlap.
-    before = staged(each.withColumn("before", F.coalesce(F.sum("n").over(Window.partitionBy("length").orderBy("__lf_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))), "counts")
-    counts = {r["length"]: r["n"] for r in before.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # capacity rows at most
-    matches = plan(counts, capacity)
+    before = Window.partitionBy("length").orderBy(_P + "part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = each.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0))).collect()
+    counts: dict[int, int] = {}
+    for r in runs:
+        counts[r["length"]] = counts.get(r["length"], 0) + r["n"]
+    if any(n is None or not 0 < n <= capacity for n in counts):
+        raise ValueError(f"a piece must hold 1 to {capacity} tokens")
     by_length: dict[int, tuple[list, list, list]] = {}
-    for length, start, _, sequence, offset in matches:
+    for length, start, _, sequence, offset in sorted(plan(counts, capacity)):
         for col, x in zip(by_length.setdefault(length, ([], [], [])), (start, sequence, offset), strict=True):
             col.append(x)
-    offsets = before.select(F.col("length").alias("__lf_l"), F.col("__lf_part").alias("__lf_p"), "before")
-    local = F.row_number().over(Window.partitionBy("__lf_part", "length").orderBy(*order[1:]))
-    ranked = ranged.withColumn("__lf_local", local).join(offsets, (F.col("length") == F.col("__lf_l")) & (F.col("__lf_part") == F.col("__lf_p")))
-    ranked = ranked.withColumn("__lf_rank", F.col("before") + F.col("__lf_local") - 1).drop("__lf_l", "__lf_p", "before", "__lf_local", "__lf_part")
-    schema = ranked.drop("__lf_rank").withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
-    shared = spark.sparkContext.broadcast(by_length)  # bounded by the capacity, not by the corpus
+    first = {(r["length"], r[_P + "part"]): r["before"] for r in runs}
+    schema = pieces.withColumns({"sequence_id": F.lit(0).cast("long"), "offset": F.lit(0).cast("long")}).schema
+    shared = spark.sparkContext.broadcast((by_length, first))  # runs of lengths: bounded by capacity and partitions
+
+    # A partition's rows keep their order, so a row's rank is its place among its length's rows there.
+    local = F.row_number().over(Window.partitionBy(_P + "part", "length").orderBy(*order[1:], F.monotonically_increasing_id()))
+    ranked = ranged.withColumn(_P + "rank", local.cast("long") - 1)
 
     def place(batches):
         import numpy as np
 
-        tables = {k: tuple(np.array(x) for x in v) for k, v in shared.value.items()}
+        matches, before = shared.value
+        tables = {k: tuple(np.array(x) for x in v) for k, v in matches.items()}
         for batch in batches:
-            length, rank = batch.column("length").to_numpy(), batch.column("__lf_rank").to_numpy()
+            length, rank, part = (batch.column(c).to_numpy() for c in ("length", _P + "rank", _P + "part"))
             sequence, offset = np.zeros(len(rank), np.int64), np.zeros(len(rank), np.int64)
-            for x in np.unique(length).tolist():
-                own = length == x
-                start, first, off = tables[x]
-                i = np.searchsorted(start, rank[own], side="right") - 1
-                sequence[own], offset[own] = first[i] + rank[own] - start[i], off[i]
-            cols = {n: batch.column(n) for n in batch.schema.names if n != "__lf_rank"}
+            for x, p in {*zip(length.tolist(), part.tolist(), strict=True)}:
+                own = (length == x) & (part == p)
+                start, at, off = tables[x]
+                r = rank[own] + before[x, p]
+                i = np.searchsorted(start, r, side="right") - 1
+                sequence[own], offset[own] = at[i] + r - start[i], off[i]
+            cols = {n: batch.column(n) for n in batch.schema.names if n not in (_P + "rank", _P + "part")}
             yield pa.RecordBatch.from_arrays([*cols.values(), pa.array(sequence), pa.array(offset)], [*cols, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(place, schema)
+    return ranked.mapInArrow(place, schema).toDF(*names, "sequence_id", "offset")
+
+
+def pack_documents(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, ids: bool = False) -> DataFrame:
+    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset[, ids]) for each piece of each row."""
+    out = pack(tokenised_pieces(docs, text, path, capacity, ids=ids), capacity)
+    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * ids)
 
 
-def pack_documents(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32, sequence_id, offset) for each piece of each row."""
-    out = pack(tokenised_pieces(docs, text, path, capacity), capacity)
-    return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+def packed_sequences(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
+    """(sequence_id, ids): the packed sequences themselves, each of at most ``capacity`` ids."""
+    d = pack_documents(docs, text, path, capacity, ids=True)
+    parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))  # at most ``capacity`` pieces a sequence
+    return d.groupBy("sequence_id").agg(F.aggregate(parts, F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
