@@ -10,6 +10,9 @@ Null labels give null; blank ones an empty list.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+from typing import NamedTuple
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -22,39 +25,75 @@ TAIL = r"(?U)(?:\s+(?:encore|aussi|aujourd['’]hui|en ce sens|en cet emploi|dan
 ET = r"(?U)\s+et\s+"
 
 
+def strip_discourse_tail(c: Column) -> Column:
+    return F.regexp_replace(c, TAIL, "")
+
+
 def let(value: Column, then) -> Column:
     """``then(value)`` with the value worked out once, not copied into every place that names it."""
     return F.get(F.transform(F.array(value), then), F.lit(0))
 
 
-def _map(pairs: dict) -> Column:
-    flat = [x for k, v in pairs.items() for x in (F.lit(k), F.struct(F.lit(v[0]).alias("kind"), F.lit(v[1]).alias("norm")))]
-    return F.create_map(*flat)
+class Gram(NamedTuple):
+    """One element of a reading."""
+
+    kind: str
+    norm: str
+    printed: str
+
+
+class Reading(NamedTuple):
+    """What a label stands for: grammar or usage."""
+
+    target: str
+    elements: tuple
+
+
+@dataclass(frozen=True)
+class NormTables:
+    """The router's tables; those of ``tables`` unless others are given (``sources.tables`` reads them from files)."""
+
+    construction: dict = field(default_factory=lambda: V.CONSTRUCTION)
+    agreement: dict = field(default_factory=lambda: V.AGREEMENT)
+    pos_heads: dict = field(default_factory=lambda: V.POS_HEADS)
+    pos_modifiers: dict = field(default_factory=lambda: V.POS_MODIFIERS)
+    pos_head_sensitive: dict = field(default_factory=lambda: V.POS_HEAD_SENSITIVE)
+    pos_connectors: tuple = V.POS_CONNECTORS
+    usage_exact: dict = field(default_factory=lambda: V.USAGE_EXACT)
+    usage_prefix: list = field(default_factory=lambda: V.USAGE_PREFIX)
+    usage_lemma: list = field(default_factory=lambda: V.USAGE_LEMMA)
+    usage_domain: list = field(default_factory=lambda: V.USAGE_DOMAIN)
+
+    def usage_rules(self) -> list[tuple[str, str, str]]:
+        """(pattern, kind, norm) in the order they are tried; prefixes and domains at the start only."""
+        start = lambda rules: [(f"^(?:{p})", k, n) for p, k, n in rules]
+        return start(self.usage_prefix) + [tuple(r) for r in self.usage_lemma] + start(self.usage_domain)
 
+    def pos_tokens(self) -> dict[str, tuple[str, str, str]]:
+        """token: (place, kind, norm); the place is head, own, or hangs (on the head before it)."""
+        hanging = {k.split("|")[0]: ("hangs", "", "") for k in self.pos_head_sensitive}
+        return {k: ("own", *v) for k, v in self.pos_modifiers.items()} | hanging | {k: ("head", *v) for k, v in self.pos_heads.items()}
 
-_POS = {**{k: ("head",) + v for k, v in V.POS_HEADS.items()}, **{k: ("own",) + v for k, v in V.POS_MODIFIERS.items() if k not in V.POS_HEADS}}
 
-_HANGING = sorted({k.split("|")[0] for k in V.POS_HEAD_SENSITIVE})
+BUILT_IN = NormTables()
 
 
-def _pos_map() -> Column:
-    flat = []
-    for token, (place, kind, norm) in _POS.items():
-        flat += [F.lit(token), F.struct(F.lit(place).alias("place"), F.lit(kind).alias("kind"), F.lit(norm).alias("norm"))]
-    for token in _HANGING:
-        flat += [F.lit(token), F.struct(F.lit("hangs").alias("place"), F.lit("").alias("kind"), F.lit("").alias("norm"))]
-    return F.create_map(*flat)
+def _map(pairs: dict, names: tuple[str, ...] = ("kind", "norm")) -> Column:
+    if not pairs:
+        return F.create_map().cast("map<string,struct<" + ",".join(f"{n}:string" for n in names) + ">>")
+    return F.create_map(*[x for k, v in pairs.items() for x in (F.lit(k), F.struct(*[F.lit(y).alias(n) for n, y in zip(names, v, strict=True)]))])
 
 
-def parse_pos(text: Column) -> Column:
+def parse_pos(text: Column, t: NormTables = BUILT_IN) -> Column:
     """array<struct(kind, norm, printed)> of a part-of-speech string; null if any token is unknown."""
-    known, hangs = _pos_map(), _map(V.POS_HEAD_SENSITIVE)
-    names = [*_POS, *_HANGING]
+    tokens = t.pos_tokens()
+    known, hangs = _map(tokens, ("place", "kind", "norm")), _map(t.pos_head_sensitive)
+    names = list(tokens)
     clean = F.regexp_replace(F.regexp_replace(collapse_ws(text), "[,;:]+$", ""), r"\.\.+$", ".")
 
     def step(state: Column, printed: Column) -> Column:
-        def with_token(t: Column) -> Column:
-            return let(F.struct(t.alias("token"), F.element_at(known, t).alias("hit"), F.coalesce(F.element_at(hangs, F.concat(t, F.lit("|"), state["head"])), F.element_at(hangs, F.concat(t, F.lit("|")))).alias("hung")), read)
+        def with_token(x: Column) -> Column:
+            return let(F.struct(x.alias("token"), F.element_at(known, x).alias("hit"), F.coalesce(F.element_at(hangs, F.concat(x, F.lit("|"), state["head"])), F.element_at(hangs, F.concat(x, F.lit("|")))).alias("hung")), read)
 
         def read(x: Column) -> Column:
             hit = F.when(x["hit"]["place"] == "hangs", x["hung"]).when(x["hit"].isNotNull(), F.struct(x["hit"]["kind"].alias("kind"), x["hit"]["norm"].alias("norm")))
@@ -63,7 +102,7 @@ def parse_pos(text: Column) -> Column:
         low = F.lower(printed)
         bare = F.regexp_replace(low, r"\.+$", "")
         token = F.get(F.filter(F.array(low, bare, F.concat(bare, F.lit("."))), lambda c: c.isin(*names)), F.lit(0))
-        return F.when(low.isin(*V.POS_CONNECTORS), state).otherwise(let(token, with_token))
+        return F.when(low.isin(*t.pos_connectors), state).otherwise(let(token, with_token))
 
     start = F.struct(F.lit("").alias("head"), F.lit(True).alias("ok"), F.array().cast(f"array<{ELEMENT}>").alias("found"))
     def parsed(c: Column) -> Column:
@@ -76,25 +115,23 @@ def _one(kind: Column, norm: Column, printed: Column) -> Column:
     return F.array(F.struct(kind.alias("kind"), norm.alias("norm"), printed.alias("printed")))
 
 
-def _usage(atom: Column) -> Column:
+def _usage(atom: Column, t: NormTables = BUILT_IN) -> Column:
     """struct(kind, norm) of the first usage tier that knows the atom, else null."""
-    exact = _map(V.USAGE_EXACT)
-    out = F.when(atom.isin(*V.USAGE_EXACT), F.element_at(exact, atom))
-    rules = [(f"^(?:{p})", t, n) for p, t, n in V.USAGE_PREFIX] + list(V.USAGE_LEMMA) + [(f"^(?:{p})", t, n) for p, t, n in V.USAGE_DOMAIN]
-    for pattern, kind, norm in rules:
+    out = F.when(atom.isin(*t.usage_exact), F.element_at(_map(t.usage_exact), atom))
+    for pattern, kind, norm in t.usage_rules():
         out = out.when(atom.rlike("(?U)" + pattern), F.struct(F.lit(kind).alias("kind"), F.lit(norm).alias("norm")))
     return out
 
 
-def route_atom(atom: Column, printed: Column | None = None) -> Column:
+def route_atom(atom: Column, printed: Column | None = None, t: NormTables = BUILT_IN) -> Column:
     """struct(target, elements) of one normalised label; ``printed`` is its text in the source."""
     printed = atom if printed is None else printed
-    agreement, construction = _map(V.AGREEMENT), _map({k: ("construction", v) for k, v in V.CONSTRUCTION.items()})
+    agreement, construction = _map(t.agreement), _map({k: ("construction", v) for k, v in t.construction.items()})
 
     def tiers(x: Column) -> Column:
         named = F.coalesce(F.element_at(agreement, x), F.element_at(construction, x))
-        gram = F.coalesce(let(named, lambda n: F.when(n.isNotNull(), _one(n["kind"], n["norm"], x))), parse_pos(x))
-        return F.struct(gram.alias("gram"), _usage(x).alias("usage"))
+        gram = F.coalesce(let(named, lambda n: F.when(n.isNotNull(), _one(n["kind"], n["norm"], x))), parse_pos(x, t))
+        return F.struct(gram.alias("gram"), _usage(x, t).alias("usage"))
 
     def choose(both: Column) -> Column:
         usage = F.coalesce(both[0]["usage"], both[1]["usage"])
@@ -107,7 +144,7 @@ def route_atom(atom: Column, printed: Column | None = None) -> Column:
     return let(F.transform(F.array(atom, F.regexp_replace(atom, TAIL, "")), tiers), choose)
 
 
-def route(content: Column) -> Column:
+def route(content: Column, t: NormTables = BUILT_IN) -> Column:
     """array<struct(printed, target, elements)>: what each piece of a label stands for."""
     folded = F.split(collapse_content(content), ET)
     source = F.split(content, ET)
@@ -115,18 +152,18 @@ def route(content: Column) -> Column:
     pairs = F.filter(F.zip_with(folded, shown, lambda f, s: F.struct(normalize_atom(f).alias("atom"), strip(s).alias("printed"))), lambda p: p["atom"] != "")
 
     def routed(p: Column) -> Column:
-        return let(route_atom(p["atom"], p["printed"]), lambda r: F.struct(p["printed"].alias("printed"), r["target"].alias("target"), r["elements"].alias("elements")))
+        return let(route_atom(p["atom"], p["printed"], t), lambda r: F.struct(p["printed"].alias("printed"), r["target"].alias("target"), r["elements"].alias("elements")))
 
     def pieces(whole: Column) -> Column:
         one = F.array(F.struct(strip(content).alias("printed"), F.lit("gram").alias("target"), whole.alias("elements")))
         return F.when(whole.isNotNull(), one).otherwise(F.transform(pairs, routed))
 
-    return let(parse_pos(content), pieces)
+    return let(parse_pos(content, t), pieces)
 
 
-def has_valency(content: Column) -> Column:
+def has_valency(content: Column, t: NormTables = BUILT_IN) -> Column:
     """Whether any grammatical reading of a label is of valency."""
-    return F.coalesce(F.exists(route(content), lambda r: (r["target"] == "gram") & F.exists(r["elements"], lambda e: e["kind"] == "valency")), F.lit(False))
+    return F.coalesce(F.exists(route(content, t), lambda r: (r["target"] == "gram") & F.exists(r["elements"], lambda e: e["kind"] == "valency")), F.lit(False))
 
 
 # -- markup of readings -----------------------------------------------------------------

@@ -66,14 +66,6 @@ def split_atoms(c: Column, separator: str = r"(?U)\s+et\s+") -> Column:
     return F.filter(F.transform(F.split(collapse_content(c), separator), lambda x: strip(F.regexp_replace(x, r"[.,;:]+$", ""))), lambda x: x != "")
 
 
-#: Closing runs that only colour a label.
-DISCOURSE_TAIL = r"(?iu)(?:[\s,]+(?:encore|aussi|aujourd['’]hui|en ce sens|en cet emploi|dans le même sens))+$"
-
-
-def strip_discourse_tail(c: Column) -> Column:
-    return F.regexp_replace(c, DISCOURSE_TAIL, "")
-
-
 def form_before_comma(plain: Column, most: int = 60) -> Column:
     """The text before the first comma, if there is a comma and it is short enough."""
     head = strip(F.substring_index(plain, ",", 1))

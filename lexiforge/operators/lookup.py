@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..staging import staged
+
 
 def first_match(text: Column, rules: list[tuple[str, str]], default: str | None = None) -> Column:
     """The label of the first rule (pattern, label) that matches: an ordered CASE, no join."""
@@ -17,15 +17,38 @@ def first_match(text: Column, rules: list[tuple[str, str]], default: str | None
     return F.lit(default) if out is None else out.otherwise(F.lit(default))
 
 
-def override(df: DataFrame, verdicts: DataFrame, keys: list[str], plain: str, default: Column, check: str = "check", role: str = "verdict") -> DataFrame:
-    """``role`` of the verdict whose check is empty or a prefix of the text, else ``default``."""
-    v = verdicts.select(*[F.col(k).alias("__v_" + k) for k in keys], F.col(check).alias("__check"), F.col(role).alias("__role"))
-    on = [F.col(k) == F.col("__v_" + k) for k in keys] + [(F.coalesce("__check", F.lit("")) == "") | F.startswith(F.col(plain), F.col("__check"))]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    d = df.join(v, cond, "left")
-    return d.withColumns({"role": F.coalesce("__role", default), "method": F.when(F.col("__role").isNotNull(), "LlmAssisted").otherwise("Heuristic")}).drop("__check", "__role", *["__v_" + k for k in keys])
+def last_of(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The row of each key that comes last in ``order`` (then by its own values)."""
+    rest = [c for c in df.columns if c not in keys]
+    rank = F.struct(*order, *[c for c in rest if c not in order])
+    return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("__last")).select(*keys, "__last.*")
+
+
+def _against(df: DataFrame, verdicts: DataFrame, keys: list[str], check: str, role: str, order: list[str]) -> DataFrame:
+    v = last_of(verdicts.select(*keys, F.col(check).alias("__check"), F.col(role).alias("__role"), *order), keys, order).drop(*order)
+    v = v.withColumnsRenamed({k: "__v_" + k for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & (F.col(k) == F.col("__v_" + k))
+    return df.join(v, cond, "left").drop(*["__v_" + k for k in keys])
+
+
+def override(df: DataFrame, verdicts: DataFrame, keys: list[str], plain: str, default: Column, method: Column | None = None, check: str = "check", role: str = "verdict", order: tuple[str, ...] = ()) -> DataFrame:
+    """``role`` and ``method`` of the verdict whose check is empty or opens the text, else ``default`` and ``method``.
+
+    Of several verdicts for one key the last in ``order`` counts, so no row is multiplied.
+    """
+    d = _against(df, verdicts, keys, check, role, list(order))
+    fits = F.col("__role").isNotNull() & ((F.coalesce("__check", F.lit("")) == "") | F.startswith(F.coalesce(F.col(plain), F.lit("")), F.col("__check")))
+    other = F.lit("Heuristic") if method is None else method
+    return d.withColumns({"role": F.when(fits, F.col("__role")).otherwise(default), "method": F.when(fits, "LlmAssisted").otherwise(other)}).drop("__check", "__role")
+
+
+def mismatches(df: DataFrame, verdicts: DataFrame, keys: list[str], plain: str, check: str = "check", role: str = "verdict", order: tuple[str, ...] = ()) -> DataFrame:
+    """(keys, check, actual): verdicts that meet a row whose text their check does not open."""
+    d = _against(df, verdicts, keys, check, role, list(order))
+    d = d.where((F.coalesce("__check", F.lit("")) != "") & ~F.startswith(F.coalesce(F.col(plain), F.lit("")), F.col("__check")))
+    return d.select(*keys, F.col("__check").alias("check"), F.substring(plain, 1, 30).alias("actual"))
 
 
 def in_ranges(points: DataFrame, ranges: DataFrame, point: str, low: str, high: str, bucket: int) -> DataFrame:
@@ -45,32 +68,44 @@ def compare(observed: DataFrame, expected: DataFrame, key: str, value: str) -> D
 # -- full-text search -------------------------------------------------------------------
 
 
-def postings(df: DataFrame, key: str, text: str, tokens: Column | None = None) -> DataFrame:
-    """(term, key, tf, length): the inverted index."""
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "") if tokens is None else tokens
-    d = df.select(F.col(key).alias("key"), words.alias("w")).withColumn("length", F.size("w"))
-    return d.select("key", "length", F.explode("w").alias("term")).groupBy("term", "key", "length").agg(F.count("*").alias("tf")).withColumnRenamed("key", key)
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
-def _equals(term: str):
-    return lambda x: x == F.lit(term)
+def postings(df: DataFrame, key: str, text: str) -> DataFrame:
+    """(term, key, tf, length): the inverted index."""
+    d = df.select(F.col(key).alias("key"), words_of(F.col(text)).alias("w")).withColumn("length", F.size("w"))
+    return d.select("key", "length", F.explode("w").alias("term")).groupBy("term", "key", "length").agg(F.count("*").alias("tf"))
 
 
-def bm25(df: DataFrame, key: str, text: str, query: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
-    """(key, score) of the rows that hold every term; smaller is better, as bm25() ranks.
+class Index:
+    """A stored inverted index: postings sorted by term over range partitions, so a search reads only its terms' files.
 
-    Only rows that hold a query term are exploded; lengths are averaged in one pass.
+    Frequent terms spread over several partitions. ``n`` and ``mean`` are the rows and their mean length.
     """
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    d = df.select(F.col(key), words.alias("w")).select(key, F.size("w").alias("length"), *[F.size(F.filter("w", _equals(t))).alias(f"tf{i}") for i, t in enumerate(query)])
-    stats = d.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), *[F.count_if(F.col(f"tf{i}") > 0).alias(f"df{i}") for i in range(len(query))]).first()
-    score = F.lit(0.0)
-    for i in range(len(query)):
-        n, df_i = stats["n"], stats[f"df{i}"]
-        idf = max(math.log((n - df_i + 0.5) / (df_i + 0.5)) if n else 0.0, 1e-6)
-        tf = F.col(f"tf{i}")
-        score = score - F.lit(idf) * (tf * (k1 + 1)) / (tf + k1 * (1 - b + b * F.col("length") / (stats["mean"] or 1.0)))
-    hit = F.lit(True)
-    for i in range(len(query)):
-        hit = hit & (F.col(f"tf{i}") > 0)
-    return d.where(hit).select(key, score.alias("score"))
+
+    def __init__(self, df: DataFrame, key: str, text: str):
+        spark = df.sparkSession
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.key = key
+        made = postings(df, key, text).repartitionByRange(parts, "term", "key").sortWithinPartitions("term", "key")
+        self.postings = staged(made, "postings")
+        size = df.agg(F.count("*").alias("n"), F.avg(F.size(words_of(F.col(text)))).alias("mean")).first()
+        self.n, self.mean = size["n"], size["mean"] or 1.0
+
+    def terms(self) -> DataFrame:
+        """(term, df, cf) of every term."""
+        return self.postings.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+
+    def search(self, query: list[str], k1: float = 1.2, b: float = 0.75) -> DataFrame:
+        """(key, score) of the rows that hold every term; smaller is better, as bm25() ranks."""
+        terms = sorted(set(query))
+        hits = self.postings.where(F.col("term").isin(terms))
+        n = F.lit(float(self.n))
+        per_term = hits.groupBy("term").agg(F.count("*").alias("df"))
+        idf = F.greatest(F.log((n - F.col("df") + 0.5) / (F.col("df") + 0.5)), F.lit(1e-6))
+        weights = F.broadcast(per_term.select("term", idf.alias("idf")))  # a row for each term of the question
+        tf = F.col("tf")
+        part = F.col("idf") * (tf * (k1 + 1)) / (tf + k1 * (1 - b + b * F.col("length") / self.mean))
+        d = hits.join(weights, "term").groupBy("key").agg(F.sum(part).alias("s"), F.count("*").alias("held"))
+        return d.where(F.col("held") == len(terms)).select(F.col("key").alias(self.key), (-F.col("s")).alias("score"))

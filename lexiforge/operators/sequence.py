@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import truncate
+from ..staging import staged
 
 IDEM = "ID."
 
@@ -41,19 +42,38 @@ def neighbours(df: DataFrame, keys: list[str], order: list, text: Column, most:
 
 
 def stratified_sample(df: DataFrame, strata: list[str], identity: list, most: int = 5, seed: int = 42) -> DataFrame:
-    """At most ``most`` rows a stratum, by a seeded hash of their identity, with ``bucket_size``."""
-    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *identity))
-    part = Window.partitionBy(*strata)
-    d = df.withColumns({"bucket_size": F.count("*").over(part), "pick": F.row_number().over(part.orderBy(draw, *identity))})
-    return d.where(F.col("pick") <= most)
-
+    """At most ``most`` rows a stratum, by a seeded hash of their identity, with ``bucket_size`` and ``pick``.
 
-def number_rows(df: DataFrame, group: str, order: list, out: str) -> DataFrame:
-    """Gapless numbers from 1 in (group, order): counts a group, their prefix sums, ranks inside."""
-    counts = df.groupBy(group).agg(F.count("*").alias("__n"))
-    before = counts.withColumn("__before", F.coalesce(F.sum("__n").over(Window.orderBy(group).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    local = F.row_number().over(Window.partitionBy(group).orderBy(*order))
-    return df.join(before.select(group, "__before"), group).withColumn(out, (F.col("__before") + local).cast("long")).drop("__before")
+    Sizes are an aggregate and the rank is cut at ``most``, so a stratum of any size is
+    reduced to a few rows a partition before it is gathered.
+    """
+    draw = F.md5(F.concat_ws("|", F.lit(str(seed)), *identity))
+    ranked = df.withColumn("pick", F.row_number().over(Window.partitionBy(*strata).orderBy(draw, *identity))).where(F.col("pick") <= most)
+    sizes = df.groupBy(*strata).agg(F.count("*").alias("bucket_size")).withColumnsRenamed({c: "__s_" + c for c in strata})
+    same = F.lit(True)
+    for c in strata:
+        same = same & F.col(c).eqNullSafe(F.col("__s_" + c))
+    return ranked.join(sizes, same).drop(*["__s_" + c for c in strata])
+
+
+def number_rows(df: DataFrame, order: list, out: str) -> DataFrame:
+    """Gapless numbers from 1 in ``order``, without a window over all rows.
+
+    Rows are range-partitioned and sorted; a row's number is its place in its partition plus
+    the rows of the partitions before it, of which there are as many figures as partitions.
+    ``order`` should tell rows apart; ties are numbered in an arbitrary but gapless way.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
+    d = staged(ranged.withColumns({"__part": F.spark_partition_id(), "__place": F.monotonically_increasing_id()}), "numbered")
+    before, at = {}, 0
+    for r in sorted(d.groupBy("__part").count().collect()):  # one row a partition
+        before[r["__part"]] = at
+        at += r["count"]
+    start = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("__part")) if before else F.lit(0)
+    # The lower 33 bits of a monotonic id count within a partition.
+    return d.withColumn(out, (start + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("long")).drop("__part", "__place")
 
 
 def island_ends(df: DataFrame, keys: list[str], order: str, text: Column, most: int = 80) -> DataFrame:

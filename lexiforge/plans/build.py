@@ -2,20 +2,23 @@
 
 Roles follow "certain or Unclassified": the first rule that matches decides. Two paths
 are kept: ``src_path`` (parse order; authors, lines) and ``path`` (after scope; ids).
+Tables follow the order of file names, then of entries, then of the tree.
 """
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import tei
 from ..functions.etymology import segments
-from ..functions.labels import has_valency, split_gram
+from ..functions.labels import BUILT_IN, NormTables, has_valency, is_pronunciation_prose
 from ..functions.text import make_id, strip, strip_tags, truncate
-from ..operators.lookup import override
-from ..operators.sequence import islands, neighbours, number_repeats, number_rows, resolve_idem, stratified_sample
+from ..operators.lookup import mismatches, override
+from ..operators.sequence import islands, number_repeats, number_rows, resolve_idem, stratified_sample
+from ..sources.dictionary import RUBRIQUES
 from ..staging import staged
 
 ENTRY = ["source_file", "entry_ord"]
@@ -23,31 +26,40 @@ ENTRY = ["source_file", "entry_ord"]
 #: What a block opens with, by role, in rule order (case is ignored).
 PROVERB = [r"^prov\.\s", r"^proverbe\b", r"^proverbialement\b"]
 REGISTER = [
-    r"^populaire(?:ment)?\b",
-    r"^(?:familièr|vulgair|ironiqu|burlesqu|poétiqu)ement\b",
+    r"^populaire(ment)?\b",
+    r"^(familièr|vulgair|ironiqu|burlesqu|poétiqu)ement\b",
     r"^plaisamment\b",
-    r"^par (?:euphémisme|exagération|ironie|dérision|extension|analogie|métaphore|plaisanterie|antiphrase)\b",
+    r"^par (euphémisme|exagération|ironie|dérision|extension|analogie|métaphore|plaisanterie|antiphrase)\b",
     r"^néologisme\b",
-    r"^(?:très )?peu usité\b",
-    r"^hors d['’]usage\b",
+    r"^(très )?peu usité\b",
+    r"^hors d'usage\b",
     r"^tombé en désuétude\b",
-    r"^il est (?:familier|vieux|populaire|inusité|hors d['’]usage)\b",
-    r"^il n['’]est plus usité\b",
-    r"^il (?:a vieilli|vieillit)\b",
-    r"^ce mot (?:est|a vieilli)\b",
+    r"^il est (familier|vieux|populaire|inusité|hors d'usage)\b",
+    r"^il n'est plus usité\b",
+    r"^il (a vieilli|vieillit)\b",
+    r"^ce mot (est|a vieilli)\b",
     r"^ce sens a vieilli\b",
-    r"^cet emploi (?:vieillit|a vieilli)\b",
-    r"^(?:mot|terme) (?:vieilli|vieux|familier|populaire|inusité|bas)\b",
+    r"^cet emploi (vieillit|a vieilli)\b",
+    r"^(mot|terme) (vieilli|vieux|familier|populaire|inusité|bas)\b",
+]
+VOICE = [
+    r"^v\.\s*(n|a|réfl)\b",
+    r"^se\s+conjugue\b",
+    r"^(absolument|substantivement|adverbialement|adjectivement|intransitivement|neutralement|impersonnellement|activement)\b",
 ]
-VOICE = [r"^v\.\s*(?:n|a|réfl)\b", r"^se\s+conjugue\b", r"^(?:absolument|substantivement|adverbialement|adjectivement|intransitivement|neutralement|impersonnellement|activement)\b"]
 FIGURATIVE = [r"^fig\.\s"]
-VOICE_LABEL = [r"^au (?:pluriel|féminin|singulier|masc\.?|masculin|fém\.?|féminin)\.?\s*$", r"^avec un nom de [^,.]+\.?\s*$"]
-REGISTER_LABEL = [r"^(?:familière?|familier|vieux|vieillie?|rare|bas(?:se)?|vulgaire|triviale?|inusitée?)\.?\s*$"]
-XREF_LEAD, XREF_TAIL = r"^(?:voy\.|v\.|voyez\b)", r",\s*voy\.\s*$"
-STRONG = [r"^(S['’][\p{Lu}].+),\s+(v\.\s*.+)", r"^([\p{Lu}][\p{Lu} '’-]+),\s+(v\.\s*(?:n|a|réfl)|s\.\s*[mf]|adj)\b"]
-GLOSS = r"(?iu),?\s*(?:c\.-à-d\.|c['’]est-à-dire|se dit|pour dire|signifie)"
-PROVERB_LEAD = r"(?iu)^(?:prov\.|proverbe\b|proverbialement\b)[\s,.:]*"
-METONYMIC = r"(?iu)^(?:(?:les|la|le)\s+|l['’])\p{L}"
+VOICE_LABEL = [r"^au (pluriel|féminin|singulier|masc(\.|ulin)?|fém(\.|inin)?)\.?\s*$", r"^avec un nom de [^,.]*\.?\s*$"]
+REGISTER_LABEL = [r"^(familière?|familier|vieux|vieillie?|rare|bas(se)?|vulgaire|triviale?|inusitée?)\.?\s*$"]
+XREF_LEAD, XREF_TAIL, XREF_LONGEST = r"^(voy\.|v\.|voyez\b)", r",\s*voy\.\s*$", 120
+CAPITALS = "A-ZÉÈÊÀÂÎÏÔÙÛÜÇ"
+REFLEXIVE = rf"^S'[{CAPITALS}].*,\s*v\.\s*réfl\b"
+STRONG = [rf"^(S'[{CAPITALS}].+),\s+(v\.\s*.+)", rf"^([{CAPITALS}][{CAPITALS} '\-]+),\s+(v\.\s*(?:n|a|réfl)|s\.\s*[mf]|adj)\b"]
+GLOSS = r",?\s*(?:c\.-à-d\.|c'est-à-dire|se dit|pour dire|signifie)"
+PROVERB_LEAD = r"^\s*prov(?:erbe|erbialement)?\.?\s*[:.]?\s*"
+METONYMIC = r"^(?:(?:les|la|le)\s+|l')\p{L}"
+LIKELY_LOCUTION = r"^(Loc\.\s|Locution)"
+#: The longest form taken from prose, the scopes that are flagged as large, the rows sampled of a bucket.
+FORM_LONGEST, LARGE_SCOPE, LARGE_INTRA, SAMPLED = 60, 15, 5, 5
 
 
 def _any(text: Column, patterns: list[str]) -> Column:
@@ -56,7 +68,7 @@ def _any(text: Column, patterns: list[str]) -> Column:
 
 def role_by_markup(content: Column, plain: Column) -> Column:
     """Tier A: what markup says for certain; null otherwise."""
-    xref = content.contains("<a ref=") & (F.length(plain) < 120) & (plain.rlike("(?iuU)" + XREF_LEAD) | plain.rlike("(?iuU)" + XREF_TAIL))
+    xref = content.contains("<a ref=") & (F.length(plain) < XREF_LONGEST) & (plain.rlike("(?iuU)" + XREF_LEAD) | plain.rlike("(?iuU)" + XREF_TAIL))
     return (
         F.when(content.contains('<semantique type="indicateur">Fig.'), "Figurative")
         .when(content.contains('<semantique type="domaine">'), "DomainLabel")
@@ -66,43 +78,52 @@ def role_by_markup(content: Column, plain: Column) -> Column:
     )
 
 
+def _openings() -> set[str]:
+    """The first two letters of every text that a rule can match, as the patterns spell them."""
+    words = "pr po fa vu ir bu pl pa né tr pe ho to il ce mo te v. se ab su ad in ne im ac fi au av vi ra ba"
+    return set(words.split())
+
+
 def role_by_text(plain: Column) -> Column:
-    """Tier B: what the block opens with."""
-    return (
-        F.when(_any(plain, PROVERB), "Proverb")
-        .when(_any(plain, REGISTER), "RegisterLabel")
-        .when(_any(plain, VOICE), "VoiceTransition")
-        .when(_any(plain, FIGURATIVE), "Figurative")
-        .when(_any(plain, VOICE_LABEL), "VoiceTransition")
-        .when(_any(plain, REGISTER_LABEL), "RegisterLabel")
-        .otherwise("Unclassified")
-    )
+    """Tier B: what the block opens with. Two letters rule most texts out before any pattern is tried."""
+    rules = [(PROVERB, "Proverb"), (REGISTER, "RegisterLabel"), (VOICE, "VoiceTransition"), (FIGURATIVE, "Figurative"), (VOICE_LABEL, "VoiceTransition"), (REGISTER_LABEL, "RegisterLabel")]
+    cascade = reduce(lambda out, rule: out.when(_any(plain, rule[0]), rule[1]), rules[1:], F.when(_any(plain, rules[0][0]), rules[0][1]))
+    opens = F.lower(F.substring(plain, 1, 2)).isin(*sorted(_openings()))
+    return F.when(opens, cascade.otherwise("Unclassified")).otherwise("Unclassified")
 
 
 def classify(nodes: DataFrame, verdicts: DataFrame | None = None) -> DataFrame:
     """``role`` and ``method`` of indents under body senses; null for all other nodes."""
-    a, b = role_by_markup(F.col("content"), F.col("plain")), role_by_text(F.col("plain"))
-    d = nodes.withColumns({"role": F.coalesce(a, b), "method": F.when(a.isNotNull(), "Deterministic").otherwise("Heuristic")})
-    if verdicts is not None:
-        d = d.drop("method").withColumnsRenamed({"role": "__rule", "content": "content"})
-        d = override(d, verdicts, ["source_file", "source_line"], "plain", F.col("__rule")).drop("__rule")
     own = (F.col("kind") == "indent") & F.col("in_body")
+    a, b = role_by_markup(F.col("content"), F.col("plain")), role_by_text(F.col("plain"))
+    rule, method = F.coalesce(a, b), F.when(a.isNotNull(), "Deterministic").otherwise("Heuristic")
+    if verdicts is None:
+        d = nodes.withColumns({"role": rule, "method": method})
+    else:
+        order = ("ord",) if "ord" in verdicts.columns else ()
+        d = override(nodes, verdicts, ["source_file", "source_line"], "plain", rule, method, order=order)
     return d.withColumns({"role": F.when(own, F.col("role")), "method": F.when(own, F.col("method"))})
 
 
 def forms(d: DataFrame) -> DataFrame:
-    """``canonical_form`` and its source for locutions and proverbs; a reflexive locution is a voice transition."""
+    """``canonical_form`` and its source for locutions and proverbs; a reflexive locution is a voice transition.
+
+    A printed example is the form, even an empty one; else a locution's form is the text before
+    its first comma, if there is one, and a proverb's the text before its gloss.
+    """
     plain, content = F.col("plain"), F.col("content")
-    reflexive = (F.col("role") == "Locution") & plain.rlike(r"(?u)^S['’]\p{Lu}.*,\s*v\.\s*réfl\b")
+    reflexive = (F.col("role") == "Locution") & plain.rlike("(?uU)" + REFLEXIVE)
     d = d.withColumns({"method": F.when(reflexive, "Heuristic").otherwise(F.col("method")), "role": F.when(reflexive, "VoiceTransition").otherwise(F.col("role"))})
+    printed = content.rlike("<exemple>.*?</exemple>")
     example = strip(F.regexp_extract(content, "<exemple>(.*?)</exemple>", 1))
     head = strip(F.substring_index(plain, ",", 1))
-    short = F.when(F.length(head) <= 60, head).otherwise("")
-    gloss_cut = F.get(F.split(F.regexp_replace(plain, PROVERB_LEAD, ""), GLOSS), 0)
-    proverb = F.regexp_replace(gloss_cut, r"^[.,;:\s]+|[.,;:\s]+$", "")
-    form = F.when(F.col("role") == "Locution", F.when(example != "", example).otherwise(short)).when(F.col("role") == "Proverb", F.when(example != "", example).otherwise(proverb)).otherwise("")
-    source = F.when(F.coalesce(form, F.lit("")) == "", "none").when(example != "", "exemple").otherwise("prose")
-    return d.withColumns({"canonical_form": F.coalesce(form, F.lit("")), "canonical_form_source": source})
+    before_comma = F.when(plain.contains(",") & (F.length(head) <= FORM_LONGEST), head).otherwise("")
+    body = F.regexp_replace(plain, "(?iuU)" + PROVERB_LEAD, "")
+    saying = strip(F.regexp_replace(strip(F.get(F.split(body, "(?iuU)" + GLOSS, 2), F.lit(0))), r"[.,;:]+$", ""))
+    form = F.when(F.col("role") == "Locution", F.when(printed, example).otherwise(before_comma)).when(F.col("role") == "Proverb", F.when(printed, example).otherwise(saying))
+    form = F.coalesce(form, F.lit(""))
+    source = F.when(F.col("role").isin("Locution", "Proverb") & printed, "exemple").when(form != "", "prose").otherwise("none")
+    return d.withColumns({"canonical_form": form, "canonical_form_source": source})
 
 
 def entries_of(rows: DataFrame) -> DataFrame:
@@ -115,7 +136,8 @@ def entries_of(rows: DataFrame) -> DataFrame:
 
 def citations_of(rows: DataFrame) -> DataFrame:
     c = rows.where("kind = 'citation'").select(*ENTRY, F.col("path").alias("src_path"), "cit_ord", F.col("content").alias("text_markup"), "author", "reference", "hide", "source_line")
-    return resolve_idem(c, ENTRY, ["src_path", "cit_ord"])
+    c = resolve_idem(c, ENTRY, ["src_path", "cit_ord"])
+    return c.withColumn("resolved_author", F.when(F.col("resolved_author") == "", F.col("author")).otherwise(F.col("resolved_author")))
 
 
 def scoped(nodes: DataFrame, cited: DataFrame) -> DataFrame:
@@ -167,82 +189,149 @@ def scoped(nodes: DataFrame, cited: DataFrame) -> DataFrame:
     t = t.withColumn("absorbed", (F.col("k_island") > 0) & (F.col("k_rank") > 0)).withColumn("at", F.sum((~F.col("absorbed")).cast("int")).over(wk))
     head_kids = F.first("kids").over(Window.partitionBy(*key, "k_island").orderBy("a"))
     t = t.withColumn("tail", F.when(F.col("absorbed"), F.array("at", head_kids + F.col("k_rank"))).otherwise(F.array("at")).cast("array<int>"))
-    heads = s.select(*key, F.col("new").alias("head"))
+    heads = s.select(*key, F.col("new").alias("head"), F.col("num").alias("sense_num"))
     tails = t.select(*key, "a", "tail")
     d = body.withColumns({"i": i, "a": F.get("src_path", F.lit(2))}).join(popped.withColumn("gone", F.lit(True)), [*ENTRY, "src_path"], "left").where("gone is null").drop("gone")
     d = d.join(heads, key).join(tails, [*key, "a"], "left")
     rubrique = F.concat("head", F.slice("src_path", F.lit(3), F.size("src_path")))
     path = F.when(F.col("kind") == "sense", F.col("head")).when(F.col("in_rubrique"), rubrique).otherwise(F.concat("head", "tail", F.slice("src_path", F.lit(4), F.size("src_path"))))
-    return d.withColumn("path", path).drop("i", "a", "head", "tail").unionByName(groups, allowMissingColumns=True)
+    return d.withColumn("path", path).withColumnRenamed("head", "sense_path").drop("i", "a", "tail").unionByName(groups, allowMissingColumns=True)
 
 
+#: The type of a block by its role.
 SENSE_TYPE = {"Figurative": "figurative", "DomainLabel": "domain", "CrossReference": "cross_reference", "RegisterLabel": "register", "Proverb": "proverb", "Locution": "locution", "Unclassified": "unclassified"}
+METONYMIC_LABEL = "metonymic_subsense"
+TRANSITIONS = ("NatureLabel", "VoiceTransition")
+ORDER = ["source_file", "entry_ord"]
+
+
+def _json(**values: Column) -> Column:
+    return F.to_json(F.struct(*[v.alias(k) for k, v in values.items()]), {"ignoreNullFields": "false"})
+
+
+def _with_neighbours(json: Column) -> Column:
+    """A context with the texts of the blocks beside it; a key is absent where there is none."""
+    beside = F.to_json(F.struct(F.col("prev_text").alias("prev_indent"), F.col("next_text").alias("next_indent")))
+    return F.when(beside == "{}", json).otherwise(F.concat(F.regexp_replace(json, r"\}$", ","), F.substring(beside, 2, 1 << 20)))
+
+
+def _flag(when: Column, order: int, phase: str, kind, reason, context: Column) -> Column:
+    """A struct of the review queue where ``when`` holds, else null."""
+    text = lambda x: F.lit(x) if isinstance(x, str) else x
+    return F.when(when, F.struct(F.lit(order).alias("flag_ord"), F.lit(phase).alias("phase"), text(kind).alias("flag_type"), text(reason).alias("reason"), context.alias("context")))
+
+
+def _flags(d: DataFrame, flags: list[Column], level: Column, path: Column, sub: Column | None = None) -> DataFrame:
+    """The flags of each row, in one pass over ``d``."""
+    every = F.explode(F.filter(F.array(*flags), lambda f: f.isNotNull()))
+    place = F.struct(F.lit("").alias("bucket"), "source_file", "entry_ord", level.alias("level"), path.cast("array<int>").alias("path"), (F.lit(0) if sub is None else sub).cast("int").alias("sub"))
+    return d.select("entry_id", "headword", place.alias("place"), every.alias("f")).select("entry_id", "headword", "place", "f.*")
 
 
 class Dictionary:
-    """The built tables of one corpus."""
+    """The built tables of one corpus.
+
+    ``verdicts`` (source_file, source_line, check, verdict[, ord]) override roles;
+    ``adjudications`` (xml_id, label) take metonymic sub-senses out of the locutions;
+    ``tables`` and ``languages`` replace the router's and the segmenter's tables.
+    """
 
-    def __init__(self, rows: DataFrame, verdicts: DataFrame | None = None):
-        self._senses = self._etymology = None
+    def __init__(self, rows: DataFrame, verdicts: DataFrame | None = None, adjudications: DataFrame | None = None, tables: NormTables = BUILT_IN, languages: tuple[dict, frozenset] | None = None):
+        self.tables, self.languages, self.verdicts = tables, languages or (None, None), verdicts
         self.rows = rows = staged(rows, "scan")
+        self.spark = rows.sparkSession
+        empty = self.spark.createDataFrame([], "xml_id string, label string")
+        self.adjudications = (empty if adjudications is None else adjudications).where(F.col("label") == METONYMIC_LABEL).select("xml_id").distinct()
         self.entries = staged(entries_of(rows), "entries")
-        ids = self.entries.select(*ENTRY, "entry_id")
         self.all_citations = staged(citations_of(rows), "citations")
-        nodes = rows.where("kind in ('sense', 'indent', 'rubrique')").withColumnRenamed("path", "src_path")
-        nodes = nodes.withColumn("plain", strip_tags(F.col("content")))
-        rub = nodes.where("kind = 'rubrique'").select(*ENTRY, F.col("src_path").alias("r"))
-        w = rub.groupBy(*ENTRY).agg(F.collect_list("r").alias("rubs"))
-        nodes = nodes.join(w, ENTRY, "left")
-        inside = F.coalesce(F.exists("rubs", lambda r: (F.size(r) <= F.size("src_path")) & (F.slice("src_path", F.lit(1), F.size(r)) == r)), F.lit(False))
-        nodes = nodes.withColumns({"in_rubrique": inside, "in_top": F.col("src_path")[0] == 1}).drop("rubs")
-        nodes = nodes.withColumn("in_body", F.col("in_top") & ((F.col("kind") != "indent") | ~F.col("in_rubrique")))
-        self.nodes = staged(forms(classify(nodes.drop("path", "cit_ord", "headword", "homograph_index", "pronunciation", "pos", "resume_text", "author", "reference", "hide"), verdicts)), "nodes")
+        self.nodes = staged(forms(classify(self._plain_nodes(), verdicts)), "nodes")
         walked = scoped(self.nodes.withColumn("in_body", F.col("in_top")), self.all_citations)
-        walked = staged(walked, "scoped")
-        self.body = walked.join(ids, ENTRY).withColumn("xml_id", F.concat(F.col("entry_id"), F.lit("_s"), F.array_join(F.slice("path", F.lit(2), F.size("path")), ".")))
-
+        kids = walked.where("kind <> 'rubrique' and not coalesce(in_rubrique, false)").groupBy(*ENTRY, F.slice("path", F.lit(1), F.size("path") - 1).alias("path")).agg(F.count("*").alias("kids"))
+        walked = walked.join(kids, [*ENTRY, "path"], "left").fillna(0, ["kids"]).join(self.entries.select(*ENTRY, "entry_id", "headword"), ENTRY)
+        xml_id = F.concat(F.col("entry_id"), F.lit("_s"), F.array_join(F.slice("path", F.lit(2), F.size("path")), "."))
+        self.body = staged(walked.withColumn("xml_id", xml_id), "body")
+
+    def _plain_nodes(self) -> DataFrame:
+        """Senses, blocks and rubriques with their text and whether they stand in a rubrique."""
+        wanted = [*ENTRY, "kind", F.col("path").alias("src_path"), "rubrique_kind", "rubrique_name", "num", "is_resume", "is_supplement", "content", "source_line"]
+        nodes = self.rows.where("kind in ('sense', 'indent', 'rubrique')").select(*wanted).withColumn("plain", strip_tags(F.col("content")))
+        # In tree order a rubrique stands before what it holds, so the last one before a row is the only one that can hold it.
+        w = Window.partitionBy(*ENTRY).orderBy("src_path").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        r = F.last(F.when(F.col("kind") == "rubrique", F.col("src_path")), ignorenulls=True).over(w)
+        inside = F.coalesce((F.size(r) <= F.size("src_path")) & (F.slice("src_path", F.lit(1), F.size(r)) == r), F.lit(False))
+        nodes = nodes.withColumns({"in_rubrique": inside, "in_top": F.col("src_path")[0] == 1})
+        return nodes.withColumn("in_body", F.col("in_top") & ((F.col("kind") != "indent") | ~F.col("in_rubrique")))
+
+    # -- the six tables ---------------------------------------------------------------------
+
+    @cached_property
     def senses(self) -> DataFrame:
+        """The contract's senses with the keys that lead back to the source."""
         d = self.body.where("kind <> 'rubrique' and not coalesce(in_rubrique, false)")
-        kids = d.select(*ENTRY, F.slice("path", F.lit(1), F.size("path") - 1).alias("path")).groupBy(*ENTRY, "path").agg(F.count("*").alias("kids"))
-        d = d.join(kids, [*ENTRY, "path"], "left").fillna(0, ["kids"])
+        d = d.join(self.adjudications.withColumn("metonymic", F.lit(True)), "xml_id", "left").withColumn("metonymic", F.coalesce("metonymic", F.lit(False)) & (F.col("role") == "Locution"))
         named = F.create_map(*[F.lit(x) for p in SENSE_TYPE.items() for x in p])
         kind = (
-            F.when(F.col("kind") == "sense", "sense")
+            F.when((F.col("kind") == "sense") | F.col("metonymic"), "sense")
             .when(F.col("kind") == "group", F.when(F.col("transition_type") == "strong", "homonymic_entry").otherwise("usage_group"))
-            .when(F.col("role").isin("NatureLabel", "VoiceTransition"), F.when(F.col("kids") == 0, "annotation").otherwise("transition_group"))
+            .when(F.col("role").isin(*TRANSITIONS), F.when(F.col("kids") == 0, "annotation").otherwise("transition_group"))
             .otherwise(F.element_at(named, F.col("role")))
         )
-        d = d.withColumns({"sense_type": kind, "depth": F.size("path") - 2, "parent_path": F.slice("path", F.lit(1), F.size("path") - 1)})
+        below = F.slice("path", F.size("sense_path") + 1, F.size("path"))
+        indent_id = F.when(F.col("kind") != "group", F.array_join(F.concat(F.array("entry_id", F.coalesce("sense_num", F.lit(1)).cast("string")), below.cast("array<string>")), "."))
+        d = d.withColumns({"sense_type": kind, "depth": F.size("path") - 2, "parent_path": F.slice("path", F.lit(1), F.size("path") - 1), "indent_id": indent_id})
         empty = (F.col("kind") != "indent") & (F.col("content") == "")
-        order = Window.partitionBy(*ENTRY).orderBy("path")
-        per = d.groupBy(*ENTRY).agg(F.count("*").alias("n"))
-        per = per.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy(*ENTRY).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select(*ENTRY, "before")
-        d = d.withColumn("local", F.row_number().over(order)).join(per, ENTRY).withColumn("sense_id", (F.col("before") + F.col("local")).cast("long"))
+        d = number_rows(d, [*ORDER, "path"], "sense_id")
         parent = d.select(*ENTRY, F.col("path").alias("parent_path"), F.col("sense_id").alias("parent_sense_id"))
         d = d.join(parent, [*ENTRY, "parent_path"], "left")
-        return d.select(
-            "sense_id", "entry_id", "parent_sense_id", "num", "xml_id", "sense_type", "role",
+        d = d.select(
+            "sense_id", "entry_id", "parent_sense_id", "num", "indent_id", "xml_id", "sense_type", "role",
             F.when(~empty, F.col("plain")).alias("content_plain"), F.when(~empty, F.col("content")).alias("content_markup"),
             (F.coalesce("is_supplement", F.lit(False)) & (F.col("kind") == "sense")).cast("int").alias("is_supplement"),
             "transition_type", F.expr("nullif(transition_form, '')").alias("transition_form"), F.expr("nullif(transition_pos, '')").alias("transition_pos"),
-            "depth", "canonical_form", *ENTRY, "src_path",
+            "depth", "canonical_form", "canonical_form_source", "method", "metonymic", *ENTRY, F.when(F.col("kind") != "group", F.col("src_path")).alias("src_path"), "source_line",
         )
+        return staged(d, "senses")
 
-    def register(self, spark: SparkSession) -> None:
-        """The contract's tables as temporary views."""
-        if self._senses is None:
-            self._senses = staged(self.senses(), "senses")
-        senses = self._senses
+    @cached_property
+    def citations(self) -> DataFrame:
+        c = self.all_citations.join(self.senses.select(*ENTRY, "src_path", "sense_id"), [*ENTRY, "src_path"])
+        c = number_rows(c, ["sense_id", "cit_ord"], "citation_id")
+        return c.select("citation_id", "sense_id", strip_tags(F.col("text_markup")).alias("text_plain"), "text_markup", "author", "resolved_author", "reference", (F.col("hide") != "").cast("int").alias("is_hidden"))
+
+    @cached_property
+    def rubriques(self) -> DataFrame:
+        """Entry-level rubriques, with the texts of their blocks."""
+        lines = self.rubrique_lines.where("not in_top")
+        texts = F.array_sort(F.collect_list(F.when((F.col("line") > 0) | (F.col("content") != ""), F.struct("line", "content"))))
+        r = lines.groupBy(*ENTRY, "rubrique").agg(F.first("rubrique_kind").alias("rubrique_type"), F.array_join(F.transform(texts, lambda x: x["content"]), " ").alias("m"))
+        r = number_rows(r.join(self.entries.select(*ENTRY, "entry_id"), ENTRY), [*ORDER, "rubrique"], "rubrique_id")
+        return r.select("rubrique_id", "entry_id", "rubrique_type", strip_tags(F.col("m")).alias("content_plain"), F.col("m").alias("content_markup"))
+
+    @property
+    def contract(self) -> dict[str, DataFrame]:
+        """The six tables with the contract's columns."""
         e = self.entries.select("entry_id", "headword", "homograph_index", F.expr("nullif(pronunciation, '')").alias("pronunciation"), F.expr("nullif(pos, '')").alias("pos"), F.col("is_supplement").cast("int").alias("is_supplement"), "source_letter")
-        e.createOrReplaceTempView("entries")
-        senses.drop("canonical_form", *ENTRY, "src_path").createOrReplaceTempView("senses")
-        c = self.all_citations.join(senses.select(*ENTRY, "src_path", "sense_id"), [*ENTRY, "src_path"])
-        c = number_rows(c, "sense_id", ["cit_ord"], "citation_id")
-        c.select("citation_id", "sense_id", "cit_ord", strip_tags(F.col("text_markup")).alias("text_plain"), "text_markup", "author", "resolved_author", "reference", (F.col("hide") != "").cast("int").alias("is_hidden")).createOrReplaceTempView("citations")
-        senses.where("role = 'Locution' and canonical_form <> ''").select("sense_id", "canonical_form").createOrReplaceTempView("locutions")
-        self.rubriques().createOrReplaceTempView("rubriques")
-        self.flags().createOrReplaceTempView("review_queue")
+        own = ["canonical_form", "canonical_form_source", "method", "metonymic", *ENTRY, "src_path", "source_line"]
+        locutions = self.senses.where("role = 'Locution' and canonical_form <> '' and not metonymic").select("sense_id", "canonical_form")
+        return {"entries": e, "senses": self.senses.drop(*own), "citations": self.citations, "locutions": locutions, "rubriques": self.rubriques, "review_queue": self.flags}
 
+    def register(self) -> None:
+        """The contract's tables as temporary views."""
+        for name, df in self.contract.items():
+            df.createOrReplaceTempView(name)
+
+    def write(self, folder: str) -> DataFrame:
+        """The six tables as Parquet (an older build is replaced), and (table, n_rows) of what was written."""
+        counts = []
+        for name, df in self.contract.items():
+            path = f"{folder}/{name}"
+            df.write.mode("overwrite").parquet(path)
+            counts.append(self.spark.read.parquet(path).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows"))
+        return reduce(DataFrame.unionByName, counts)
+
+    # -- rubriques and etymology ------------------------------------------------------------
+
+    @cached_property
     def rubrique_lines(self) -> DataFrame:
         """Every rubrique's own text (``line`` 0) and those of the blocks directly below it."""
         rub = self.nodes.where("kind = 'rubrique'").select(*ENTRY, F.col("src_path").alias("rubrique"), "rubrique_kind", "in_top", F.lit(0).alias("line"), "content", F.col("src_path").alias("owner"))
@@ -251,64 +340,172 @@ class Dictionary:
         below = below.join(rub.select(*ENTRY, "rubrique", "rubrique_kind", "in_top"), [*ENTRY, "rubrique"])
         return rub.unionByName(below)
 
-    def rubriques(self) -> DataFrame:
-        """Entry-level rubriques, with the texts of their blocks."""
-        d = self.rubrique_lines().where("not in_top and content <> ''").groupBy(*ENTRY, "rubrique").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "content"))), lambda x: x["content"]), " ").alias("m"))
-        r = self.nodes.where("kind = 'rubrique' and not in_top").select(*ENTRY, F.col("src_path").alias("rubrique"), "rubrique_kind")
-        r = r.join(d, [*ENTRY, "rubrique"], "left").join(self.entries.select(*ENTRY, "entry_id"), ENTRY).withColumn("m", F.coalesce("m", F.lit("")))
-        return r.select("entry_id", F.col("rubrique_kind").alias("rubrique_type"), strip_tags(F.col("m")).alias("content_plain"), F.col("m").alias("content_markup"))
-
+    @cached_property
     def etymology(self) -> DataFrame:
-        """(entry_id, rubrique, line, content, segments) of every etymology line, segmented once."""
-        if self._etymology is None:
-            d = self.rubrique_lines().where((F.col("rubrique_kind") == "Etymologie") & (strip(F.col("content")) != ""))
-            d = d.join(self.entries.select(*ENTRY, "entry_id"), ENTRY).select("entry_id", "rubrique", "line", "content", segments(F.col("content")).alias("segments"))
-            self._etymology = staged(d, "etymology")
-        return self._etymology
+        """Every etymology line with its segments: flags and rendering read them from here."""
+        d = self.rubrique_lines.where((F.col("rubrique_kind") == "Etymologie") & (strip(F.col("content")) != ""))
+        d = d.join(self.entries.select(*ENTRY, "entry_id", "headword"), ENTRY).withColumn("segments", segments(F.col("content"), *self.languages))
+        return staged(d, "etymology")
+
+    # -- the review queue -------------------------------------------------------------------
 
+    @cached_property
     def flags(self) -> DataFrame:
-        """The review queue: everything uncertain, one row a case, context as JSON."""
-        names = self.entries.select("entry_id", "headword")
-        b = self.body
-        ind = b.where("kind = 'indent' and not in_rubrique")
-        direct = neighbours(ind.where(F.size("path") == 3), ["entry_id", *ENTRY], ["path"], F.col("plain"))
-
-        def flag(d: DataFrame, phase: str, kind, reason, **context) -> DataFrame:
-            kind_ = F.lit(kind) if isinstance(kind, str) else kind
-            reason_ = F.lit(reason) if isinstance(reason, str) else reason
-            return d.select("entry_id", F.lit(phase).alias("phase"), kind_.alias("flag_type"), reason_.alias("reason"), F.to_json(F.struct(*[v.alias(k) for k, v in context.items()])).alias("context"))
-
-        content = truncate(F.col("content"), 200)
-        group = b.where("kind = 'group'")
-        absorbed = b.where(F.size("path") >= 4).groupBy("entry_id", F.slice("path", F.lit(1), F.size("path") - 1).alias("path")).agg(F.count("*").alias("n"))
-        forms_in = ind.where(F.col("role").isin("NatureLabel", "VoiceTransition")).withColumn("g", split_gram(F.col("content"))).where("g.pre_kind in ('reflexive_form', 'locution_form')")
-        cited = self.rubrique_lines().where("rubrique_kind = 'Synonyme'").join(self.all_citations.select(*ENTRY, F.col("src_path").alias("owner")), [*ENTRY, "owner"])
-        cited = cited.groupBy(*ENTRY, "rubrique").agg(F.count("*").alias("n")).join(self.entries.select(*ENTRY, "entry_id"), ENTRY)
-        etym = self.etymology()
-        part = etym.select("entry_id", F.explode("segments").alias("s"))
-        fallback = etym.where((F.size("segments") == 1) & (F.col("segments")[0]["kind"] == "prose") & F.col("content").contains("<"))
-        sample = stratified_sample(ind, ["role", "method"], ["xml_id"])
-        made = [
-            flag(direct.where("role = 'Unclassified'"), "phase3", "unclassified", "no rule matched", indent_content=content, method=F.col("method"), prev_indent=F.col("prev_text"), next_indent=F.col("next_text")),
-            flag(ind.where("role = 'Locution' and canonical_form = ''"), "phase4", "skipped_locution", "no canonical form extracted", indent_content=content),
-            flag(ind.where((F.col("role") != "Locution") & F.col("plain").rlike(r"(?iu)^(?:Loc\.\s|Locution)")), "phase3", "likely_locution", F.concat(F.lit("starts with Loc./Locution but classified as "), F.col("role")), indent_content=content, current_role=F.col("role")),
-            flag(group, "phase5", F.when(F.col("n_scoped") > 15, "large_scope").otherwise("scope_decision"), F.concat("transition_type", F.lit(" scope, "), "n_scoped", F.lit(" senses")), transition_content=truncate(F.col("plain"), 100), scope_type=F.col("transition_type"), transition_form=F.col("transition_form"), num_scoped=F.col("n_scoped")),
-            flag(ind.where(F.col("role").isin("NatureLabel", "VoiceTransition")).join(absorbed, ["entry_id", "path"]).where("n > 5"), "phase5", "large_intra_scope", F.concat("role", F.lit(" scoped "), "n", F.lit(" children")), indent_content=truncate(F.col("plain"), 100), num_children=F.col("n")),
-            flag(ind.where("role = 'Locution' and canonical_form <> ''").where(gloss(F.col("plain"), F.col("canonical_form")).rlike(METONYMIC)), "structural", "metonymic_subsense", "locution gloss opens with a definite article", canonical_form=F.col("canonical_form"), gloss=truncate(gloss(F.col("plain"), F.col("canonical_form")), 200)),
-            flag(group.where((F.col("transition_type") == "medium") & has_valency(F.col("plain"))), "structural", "sense_level_valency", "valency transition scoped without a printed form", transition_content=truncate(F.col("plain"), 100), num_scoped=F.col("n_scoped")),
-            flag(cited, "structural", "synonyme_citations", F.concat("n", F.lit(" citations emitted as siblings after the synonymy xr")), num_citations=F.col("n")),
-            flag(forms_in, "structural", "intra_sense_form", F.concat(F.lit("printed form on an intra-sense transition ("), "g.pre_kind", F.lit(")")), form=F.col("g.pre"), label=F.col("g.label")),
-            flag(fallback, "etymology", "etym_fallback", "content carries markup outside the segmentable inventory", content=truncate(F.col("content"), 160)),
-            flag(part.where("s.kind = 'suspect'"), "etymology", "suspect_language_token", "token in language-abbreviation position missing from language table", token=F.col("s.text"), anchor=F.col("s.anchor")),
-            flag(part.where("s.kind = 'cit' and s.defaulted"), "etymology", "cognate_defaulted", "etymon-vs-cognate not disambiguated by surrounding prose", forms=F.array_join("s.forms", ", ")),
-            flag(sample, "calibration", "calibration_sample", F.concat(F.lit("sample from "), "role", F.lit("/"), "method", F.lit(" (n="), "bucket_size", F.lit(")")), indent_content=content, role=F.col("role"), method=F.col("method"), bucket_size=F.col("bucket_size")),
+        """Everything uncertain, one row a case, context as JSON, in the order of its kinds."""
+        made = [*self._block_flags(), self._group_flags(), *self._rubrique_flags()]
+        d = reduce(DataFrame.unionByName, made)
+        d = number_rows(d, ["flag_ord", "place.bucket", "place.source_file", "place.entry_ord", "place.level", "place.path", "place.sub", "context"], "review_id")
+        none = F.lit(None).cast("string")
+        return d.select("review_id", "entry_id", "headword", "phase", "flag_type", "reason", "context", none.alias("resolution"), none.alias("resolved_by"))
+
+    def _block_flags(self) -> list[DataFrame]:
+        ind = self.body.where("kind = 'indent' and not in_rubrique").withColumn("parent", F.slice("path", F.lit(1), F.size("path") - 1))
+        direct = F.size("path") == F.size("sense_path") + 1
+        w = Window.partitionBy(*ENTRY, "parent").orderBy("path")
+        beside = {"prev_text": truncate(F.lag("plain").over(w), 100), "next_text": truncate(F.lead("plain").over(w), 100)}
+        ind = ind.withColumns({"direct": direct, **beside})
+        ind = ind.withColumn("g", F.when(F.col("role").isin(*TRANSITIONS) & F.col("content").contains("<nature>"), tei.gram_split(F.col("content"))))
+        role, num, content = F.col("role"), F.col("sense_num").alias("sense_num"), truncate(F.col("content"), 200)
+        transition, locution = role.isin(*TRANSITIONS), role == "Locution"
+        said = gloss(F.col("plain"), F.col("canonical_form"))
+        flags = [
+            _flag(F.col("direct") & (role == "Unclassified"), 1, "phase3", "unclassified", "no rule matched", _with_neighbours(_json(sense_num=num, indent_content=content, method=F.col("method")))),
+            _flag(F.col("direct") & locution & (F.col("canonical_form") == ""), 2, "phase4", "skipped_locution", "no canonical form extracted", _json(sense_num=num, indent_content=content)),
+            _flag(F.col("direct") & ~locution & F.col("plain").rlike("(?iuU)" + LIKELY_LOCUTION), 3, "phase3", "likely_locution", F.concat(F.lit("starts with Loc./Locution but classified as "), role), _json(sense_num=num, indent_content=content, current_role=role)),
+            _flag(F.col("direct") & transition & (F.col("kids") > LARGE_INTRA), 4, "phase5", "large_intra_scope", F.concat(role, F.lit(" scoped "), "kids", F.lit(" children")), _json(sense_num=num, indent_content=truncate(F.col("plain"), 100), num_children=F.col("kids"))),
+            _flag(locution & said.rlike("(?iuU)" + METONYMIC), 6, "structural", "metonymic_subsense", "locution gloss opens with a definite article", _json(canonical_form=F.col("canonical_form"), gloss=truncate(said, 200))),
+            _flag(transition & F.col("g.pre_kind").isin("reflexive_form", "locution_form"), 9, "structural", "intra_sense_form", F.concat(F.lit("printed form on an intra-sense transition ("), "g.pre_kind", F.lit(")")), _json(form=F.col("g.pre"), label=F.col("g.label"))),
+        ]
+        # A sample of each bucket of direct blocks, by a seeded draw.
+        sample = stratified_sample(ind.where("direct and role is not null"), ["role", "method"], ["xml_id"], SAMPLED)
+        reason = F.concat(F.lit("sample from "), role, F.lit("/"), "method", F.lit(" (n="), "bucket_size", F.lit(")"))
+        context = _with_neighbours(_json(sense_num=num, indent_content=content, role=role, method=F.col("method"), bucket_size=F.col("bucket_size")))
+        place = F.struct(F.concat_ws("/", "role", "method").alias("bucket"), F.lit("").alias("source_file"), F.lit(0).alias("entry_ord"), F.lit(0).alias("level"), F.array().cast("array<int>").alias("path"), F.col("pick").cast("int").alias("sub"))
+        sampled = sample.select("entry_id", "headword", place.alias("place"), F.lit(11).alias("flag_ord"), F.lit("calibration").alias("phase"), F.lit("calibration_sample").alias("flag_type"), reason.alias("reason"), context.alias("context"))
+        return [_flags(ind, flags, F.lit(0), F.col("path")), sampled]
+
+    def _group_flags(self) -> DataFrame:
+        group = self.body.where("kind = 'group'")
+        subs = self.body.where("kind = 'sense' and size(path) = 3").groupBy(*ENTRY, F.slice("path", 1, 2).alias("path")).agg(*[truncate(f("plain", "path"), 80).alias(n) for f, n in ((F.min_by, "first_scoped"), (F.max_by, "last_scoped"))])
+        d = group.join(subs, [*ENTRY, "path"], "left")
+        text, n = truncate(F.col("plain"), 100), F.col("n_scoped")
+        reason = F.concat("transition_type", F.lit(" scope, "), "n_scoped", F.lit(" senses"))
+        context = _json(transition_content=text, scope_type=F.col("transition_type"), transition_form=F.col("transition_form"), transition_pos=F.col("transition_pos"), num_scoped=n, first_scoped=F.coalesce("first_scoped", F.lit("")), last_scoped=F.coalesce("last_scoped", F.lit("")))
+        flags = [
+            _flag(F.lit(True), 4, "phase5", F.when(n > LARGE_SCOPE, "large_scope").otherwise("scope_decision"), reason, context),
+            _flag((F.col("transition_type") == "medium") & has_valency(F.col("plain"), self.tables), 7, "structural", "sense_level_valency", "valency transition scoped without a printed form", _json(transition_content=text, num_scoped=n)),
+        ]
+        return _flags(d, flags, F.lit(0), F.col("path"))
+
+    def _rubrique_flags(self) -> list[DataFrame]:
+        level = F.col("in_top").cast("int")  # an entry's rubriques before its senses'
+        cits = self.all_citations.groupBy(*ENTRY, F.col("src_path").alias("owner")).agg(F.count("*").alias("n"))
+        cited = self.rubrique_lines.where("rubrique_kind = 'Synonyme'").join(cits, [*ENTRY, "owner"]).groupBy(*ENTRY, "rubrique", "in_top").agg(F.sum("n").alias("n"))
+        cited = cited.join(self.entries.select(*ENTRY, "entry_id", "headword"), ENTRY)
+        synonyme = _flag(F.lit(True), 8, "structural", "synonyme_citations", F.concat("n", F.lit(" citations emitted as siblings after the synonymy xr")), _json(num_citations=F.col("n")))
+        e = self.etymology
+        whole = (F.size("segments") == 1) & (F.col("segments")[0]["kind"] == "prose") & F.col("content").contains("<")
+        fallback = _flag(whole, 10, "etymology", "etym_fallback", "content carries markup outside the segmentable inventory; emitted as pre-W4 prose", _json(content=truncate(F.col("content"), 160)))
+        part = e.select(*ENTRY, "entry_id", "headword", "in_top", "rubrique", "line", F.posexplode("segments").alias("i", "s")).withColumn("at", F.concat("rubrique", F.array(F.lit(0), "line")))
+        s = F.col("s")
+        flags = [
+            _flag(s["kind"] == "suspect", 10, "etymology", "suspect_language_token", "token in language-abbreviation position missing from language table", _json(token=s["text"], anchor=s["anchor"])),
+            _flag((s["kind"] == "cit") & s["defaulted"], 10, "etymology", "cognate_defaulted", "etymon-vs-cognate not disambiguated by surrounding prose", _json(forms=F.array_join(s["forms"], ", "))),
         ]
-        out = reduce(DataFrame.unionByName, made)
-        return out.join(names, "entry_id").select("entry_id", "headword", "phase", "flag_type", "reason", "context", F.lit(None).cast("string").alias("resolution"), F.lit(None).cast("string").alias("resolved_by"))
+        return [
+            _flags(cited, [synonyme], level, F.col("rubrique")),
+            _flags(e, [fallback], level, F.concat("rubrique", F.array(F.lit(0), "line"))),
+            _flags(part, flags, level, F.col("at"), F.col("i") + 1),
+        ]
+
+    # -- counters ---------------------------------------------------------------------------
+
+    def metrics(self) -> DataFrame:
+        """(metric, value): what the build's phases count."""
+        ind = self.nodes.where("kind = 'indent' and in_body")
+        group = self.body.where("kind = 'group'")
+        sum_of = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("double")
+        n, known = F.count("*"), F.count_if(F.col("role").isNotNull())
+
+        def long(d: DataFrame, **named: Column) -> DataFrame:
+            one = d.agg(*[v.cast("double").alias(k) for k, v in named.items()])
+            return one.select(F.explode(F.create_map(*[x for k in named for x in (F.lit(k), F.col(k))])).alias("metric", "value"))
+
+        seg = self.etymology.select(F.explode_outer("segments").alias("s"))
+        cues, suspects = F.count_if(F.col("s.cue").isNotNull()), F.count_if(F.col("s.kind") == "suspect")
+        absorbed = self.body.where("kind = 'indent' and not in_rubrique and size(path) = size(sense_path) + 2 and size(src_path) = 3")
+        carriers = self._terminal_transitions()
+        parts = [
+            long(ind, indents=n, classified=known, percent_classified=F.coalesce(F.round(F.try_divide(known * 100, n), 1), F.lit(0.0))),
+            long(group, strong_scoped=sum_of(F.when(F.col("transition_type") == "strong", F.col("n_scoped"))), medium_scoped=sum_of(F.when(F.col("transition_type") == "medium", F.col("n_scoped"))), ambiguous_scopes=F.count_if(F.col("n_scoped") > LARGE_SCOPE)),
+            long(absorbed, intra_grouped=n),
+            long(carriers, zero_scope=n),
+            long(seg, cues_resolved=cues, cues_suspect=suspects, cue_hit_rate=F.coalesce(F.round(F.try_divide(cues * 100, cues + suspects), 1), F.lit(100.0))),
+            long(self.nodes.where("kind = 'rubrique'"), unknown_rubriques=F.count_if(~F.col("rubrique_name").isin(*RUBRIQUES))),
+        ]
+        roles = ind.groupBy(F.concat(F.lit("role "), F.coalesce("role", F.lit("unknown"))).alias("metric")).agg(n.cast("double").alias("value"))
+        flags = self.flags.groupBy(F.concat(F.lit("flag "), "flag_type").alias("metric")).agg(n.cast("double").alias("value"))
+        return reduce(DataFrame.unionByName, [*parts, roles, flags])
+
+    def _terminal_transitions(self) -> DataFrame:
+        """Senses that end in an uncited voice transition that governs nothing."""
+        tops = self.nodes.where("kind = 'indent' and in_body and size(src_path) = 3")
+        ends = tops.groupBy(*ENTRY, F.slice("src_path", 1, 2).alias("sense")).agg(F.max_by(F.struct("role", "src_path"), "src_path").alias("last"))
+        ends = ends.where("last.role = 'VoiceTransition'").select(*ENTRY, F.col("last.src_path").alias("src_path"))
+        cited, governs = self.all_citations.select(*ENTRY, "src_path"), self.body.where("kind = 'group'").select(*ENTRY, "src_path")
+        return ends.join(cited.unionByName(governs), [*ENTRY, "src_path"], "left_anti")
+
+    def verdict_mismatches(self) -> DataFrame:
+        """(source_file, source_line, check, actual) of verdicts whose check does not open the block on their line."""
+        order = ("ord",) if "ord" in self.verdicts.columns else ()
+        return mismatches(self.nodes.where("kind = 'indent' and in_body"), self.verdicts, ["source_file", "source_line"], "plain", order=order)
+
+    # -- rendering --------------------------------------------------------------------------
+
+    @cached_property
+    def rendered(self) -> DataFrame:
+        """(source_file, entry_ord, entry_id, headword, pronunciation, pron_is_prose, tei, hoists), one row an entry."""
+        nodes = self.body.where("kind <> 'rubrique' and not coalesce(in_rubrique, false)").select(
+            *ENTRY, F.struct("path", "src_path", "kind", "role", "content", "num", F.coalesce("is_supplement", F.lit(False)).alias("is_supplement"), F.col("canonical_form").alias("form"), F.col("canonical_form_source").alias("form_source"), "transition_type", "transition_form", "transition_pos").alias("x")
+        )
+        cits = self.all_citations.select(*ENTRY, F.struct(F.col("src_path").alias("owner"), "cit_ord", F.col("text_markup").alias("text"), "author", "resolved_author", "reference", "hide").alias("x"))
+        found = self.etymology.select(*ENTRY, "owner", "segments")
+        lines = self.rubrique_lines.join(found, [*ENTRY, "owner"], "left").select(*ENTRY, F.struct("rubrique", "rubrique_kind", "line", "content", "owner", "segments").alias("x"))
+        e = self.entries.withColumn("pron_is_prose", (F.col("pronunciation") != "") & is_pronunciation_prose(F.col("pronunciation")))
+        for name, d in (("n", nodes), ("c", cits), ("r", lines)):
+            e = e.join(d.groupBy(*ENTRY).agg(F.collect_list("x").alias(name)), ENTRY, "left")
+        head = F.struct("entry_id", "headword", "pronunciation", "pron_is_prose", "pos", "is_supplement")
+        names = frozenset(r["xml_id"] for r in self.adjudications.limit(ADJUDICATED + 1).collect())
+        if len(names) > ADJUDICATED:
+            raise ValueError(f"more than {ADJUDICATED} adjudications: they are made by hand and come to the driver")
+        made = e.withColumn("x", tei.rendered(head, F.col("n"), F.col("c"), F.col("r"), self.tables, names))
+        return staged(made.select(*ENTRY, "entry_id", "headword", "pronunciation", "pron_is_prose", "x.tei", "x.hoists"), "tei")
+
+    def hoists(self) -> DataFrame:
+        """(context_id, position, usg_type, label, def_excerpt) of every usage element lifted out of a definition."""
+        d = self.rendered.select(F.explode("hoists").alias("h")).select("h.*")
+        return d.select(*[F.regexp_replace(c, "\t", " ").alias(c) for c in d.columns])
+
+    def prose_pronunciations(self) -> DataFrame:
+        """(entry_id, headword, pronunciation) of remarks that stood where a transcription should."""
+        return self.rendered.where("pron_is_prose").select("entry_id", "headword", F.regexp_replace("pronunciation", "\t", " ").alias("pronunciation"))
+
+    def write_tei(self, folder: str, header: str = tei.HEADER, footer: str = tei.FOOTER) -> None:
+        """The document as text parts that make it up in the order of their names, and the two reports."""
+        ends = self.spark.createDataFrame([(0, "", 0, header), (2, "", 0, footer)], "part int, source_file string, entry_ord int, tei string")
+        body = self.rendered.select(F.lit(1).alias("part"), "source_file", "entry_ord", "tei")
+        whole = ends.unionByName(body).orderBy("part", "source_file", "entry_ord").select("tei")
+        whole.write.mode("overwrite").text(f"{folder}/tei")
+        for name, d in (("def_usg_hoists", self.hoists()), ("pron_prose_flags", self.prose_pronunciations())):
+            d.write.mode("overwrite").csv(f"{folder}/reports/{name}", sep="\t", header=True, quote="", escapeQuotes=False)
+
+
+#: The most adjudications the renderer takes to its workers.
+ADJUDICATED = 100_000
 
 
 def gloss(plain: Column, form: Column) -> Column:
     """What follows the printed form in a locution's text."""
-    p, f = F.regexp_replace(plain, PROVERB_LEAD, ""), strip_tags(form)
-    rest = F.when(F.startswith(F.lower(p), F.lower(f)), F.substr(p, F.length(f) + 1)).otherwise(p)
-    return F.regexp_replace(rest, r"^[\s,;:.]+", "")
+    p = F.regexp_replace(plain, "(?iuU)" + PROVERB_LEAD, "")
+    rest = F.when((form != "") & F.startswith(F.lower(p), F.lower(form)), F.regexp_replace(F.substr(p, F.length(form) + 1), r"^[ ,;:.]+", "")).otherwise(p)
+    return strip(rest)

@@ -12,96 +12,187 @@ from ..functions import text as T
 from ..operators import lookup as L
 from ..operators import sequence as S
 from ..sources.dictionary import scan_files
-from . import sample
+from . import goldens, sample
 from .build import Dictionary, role_by_text
 
 # -- the user's SQL over the built tables -----------------------------------------------
 
-_LIST = "SELECT e.headword, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE s.sense_type = '{}' ORDER BY e.headword, s.sense_id"
+_LIST = "SELECT e.headword, s.sense_id,{} s.content_plain FROM senses s JOIN entries e ON e.entry_id = s.entry_id WHERE s.sense_type = '{}' ORDER BY e.headword, s.sense_id"
+_OPEN = "(resolution IS NULL OR resolution = '')"
 
+#: The documented questions; ``:name`` is a parameter.
 USER_SQL = {
-    "dict_q01_vocabularies": "SELECT DISTINCT 'sense_type' AS kind, sense_type AS value FROM senses UNION SELECT DISTINCT 'role', role FROM senses WHERE role IS NOT NULL UNION SELECT DISTINCT 'rubrique', rubrique_type FROM rubriques",
-    "dict_q02_entry": "SELECT entry_id, headword, pos FROM entries WHERE headword = 'PANIER'",
-    "dict_q03_top_senses": "SELECT s.num, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE e.headword = 'PANIER' AND s.parent_sense_id IS NULL ORDER BY coalesce(s.num, 999999), s.sense_id",
-    "dict_q04_tree": "SELECT s.xml_id, s.depth, s.sense_type FROM senses s JOIN entries e USING (entry_id) WHERE e.headword = 'PANIER' ORDER BY s.sense_id",
-    "dict_q05_children": "SELECT c.xml_id, c.sense_type FROM senses c JOIN senses p ON c.parent_sense_id = p.sense_id WHERE p.xml_id = 'panier.1_s1'",
-    **{f"dict_q{n:02d}_{kind}": _LIST.format(kind) for n, kind in zip(range(6, 11), ("figurative", "domain", "register", "proverb", "cross_reference"), strict=True)},
-    "dict_q11_locutions": "SELECT e.headword, l.canonical_form FROM locutions l JOIN senses s USING (sense_id) JOIN entries e USING (entry_id)",
-    "dict_q12_locution_like": "SELECT l.canonical_form FROM locutions l JOIN senses s USING (sense_id) WHERE l.canonical_form ILIKE '%PANIER%'",
-    "dict_q13_transitions": "SELECT e.headword, s.sense_type, s.transition_form, s.transition_pos FROM senses s JOIN entries e USING (entry_id) WHERE s.sense_type IN ('transition_group', 'usage_group', 'homonymic_entry')",
-    "dict_q14_citations": "SELECT c.text_plain, c.resolved_author FROM citations c JOIN senses s USING (sense_id) JOIN entries e USING (entry_id) WHERE e.headword = 'PANIER'",
-    "dict_q15_by_author": "SELECT c.text_plain, c.reference FROM citations c WHERE c.resolved_author = 'DUVAL'",
-    "dict_q16_hidden": "SELECT c.text_plain FROM citations c WHERE c.is_hidden = 1",
-    "dict_q17_rubriques": "SELECT e.headword, r.rubrique_type, r.content_plain FROM rubriques r JOIN entries e USING (entry_id)",
-    "dict_q18_history": "SELECT e.headword, r.content_plain FROM rubriques r JOIN entries e USING (entry_id) WHERE r.rubrique_type = 'Historique' ORDER BY e.headword",
-    "dict_q19_review": "SELECT entry_id, headword, phase, flag_type, reason, context FROM review_queue WHERE resolution IS NULL OR resolution = '' ORDER BY phase, flag_type, headword",
-    "dict_q20_review_counts": "SELECT phase, flag_type, count(*) AS n FROM review_queue WHERE resolution IS NULL OR resolution = '' GROUP BY phase, flag_type",
-    "dict_q21_objects": "SELECT e.entry_id, coalesce(s.n, 0) AS n_senses, coalesce(c.n, 0) AS n_citations FROM entries e LEFT JOIN (SELECT entry_id, count(*) AS n FROM senses GROUP BY entry_id) s USING (entry_id) LEFT JOIN (SELECT entry_id, count(*) AS n FROM citations JOIN senses USING (sense_id) GROUP BY entry_id) c USING (entry_id)",
-    "dict_q24_supplements": "SELECT xml_id, content_plain FROM senses WHERE is_supplement = 1",
-    "dict_q24_supplement_entries": "SELECT entry_id, headword, pos FROM entries WHERE is_supplement = 1 ORDER BY headword",
+    "dict_q01_vocabularies": "SELECT DISTINCT 'sense_type' AS kind, sense_type AS value FROM senses UNION SELECT DISTINCT 'role', role FROM senses WHERE role IS NOT NULL UNION SELECT DISTINCT 'rubrique', rubrique_type FROM rubriques ORDER BY kind, value",
+    "dict_q02_entry": "SELECT entry_id, headword, homograph_index, pronunciation, pos, is_supplement, source_letter FROM entries WHERE headword = :headword",
+    "dict_q03_top_senses": "SELECT s.sense_id, s.num, s.sense_type, s.role, s.content_plain FROM senses s JOIN entries e ON e.entry_id = s.entry_id WHERE e.headword = :headword AND s.parent_sense_id IS NULL ORDER BY COALESCE(s.num, 999999), s.sense_id",
+    "dict_q04_tree": "SELECT s.sense_id, s.parent_sense_id, s.depth, s.num, s.indent_id, s.xml_id, s.sense_type, s.role, s.transition_type, s.transition_form, s.transition_pos, s.content_plain FROM senses s JOIN entries e ON e.entry_id = s.entry_id WHERE e.headword = :headword ORDER BY s.sense_id",
+    "dict_q05_children": "SELECT child.sense_id, child.parent_sense_id, child.depth, child.num, child.sense_type, child.role, child.content_plain FROM senses child WHERE child.parent_sense_id = :sense_id ORDER BY child.sense_id",
+    "dict_q05_descendants": "WITH RECURSIVE below AS (SELECT sense_id, parent_sense_id, xml_id, 0 AS steps FROM senses WHERE sense_id = :sense_id UNION ALL SELECT s.sense_id, s.parent_sense_id, s.xml_id, b.steps + 1 FROM senses s JOIN below b ON s.parent_sense_id = b.sense_id) SELECT sense_id, xml_id, steps FROM below ORDER BY sense_id",
+    "dict_q06_figurative": _LIST.format(" s.indent_id,", "figurative"),
+    **{f"dict_q{n:02d}_{kind}": _LIST.format("", kind) for n, kind in zip(range(7, 11), ("domain", "register", "proverb", "cross_reference"), strict=True)},
+    "dict_q11_locutions": "SELECT e.headword, l.canonical_form, s.sense_id, s.content_plain FROM locutions l JOIN senses s ON s.sense_id = l.sense_id JOIN entries e ON e.entry_id = s.entry_id ORDER BY l.canonical_form",
+    "dict_q12_locution_like": "SELECT e.headword, l.canonical_form, s.content_plain FROM locutions l JOIN senses s ON s.sense_id = l.sense_id JOIN entries e ON e.entry_id = s.entry_id WHERE l.canonical_form ILIKE :pattern ORDER BY e.headword",
+    "dict_q13_transitions": "SELECT e.headword, s.sense_id, s.parent_sense_id, s.depth, s.sense_type, s.transition_type, s.transition_form, s.transition_pos, s.content_plain FROM senses s JOIN entries e ON e.entry_id = s.entry_id WHERE s.sense_type IN ('transition_group', 'homonymic_entry', 'usage_group') ORDER BY e.headword, s.sense_id",
+    "dict_q14_citations": "SELECT e.headword, s.sense_id, c.citation_id, c.author, c.resolved_author, c.reference, c.text_plain FROM citations c JOIN senses s ON s.sense_id = c.sense_id JOIN entries e ON e.entry_id = s.entry_id WHERE e.headword = :headword ORDER BY s.sense_id, c.citation_id",
+    "dict_q15_by_author": "SELECT e.headword, s.sense_id, c.reference, c.text_plain FROM citations c JOIN senses s ON s.sense_id = c.sense_id JOIN entries e ON e.entry_id = s.entry_id WHERE c.resolved_author = :author ORDER BY e.headword, s.sense_id, c.citation_id",
+    "dict_q16_hidden": "SELECT e.headword, s.sense_id, c.reference, c.text_plain FROM citations c JOIN senses s ON s.sense_id = c.sense_id JOIN entries e ON e.entry_id = s.entry_id WHERE c.is_hidden = 1 ORDER BY e.headword, s.sense_id",
+    "dict_q17_rubriques": "SELECT e.headword, r.rubrique_type, r.content_plain FROM rubriques r JOIN entries e ON e.entry_id = r.entry_id WHERE e.headword = :headword ORDER BY r.rubrique_id",
+    "dict_q18_history": "SELECT e.headword, r.content_plain FROM rubriques r JOIN entries e ON e.entry_id = r.entry_id WHERE r.rubrique_type = 'Historique' ORDER BY e.headword",
+    "dict_q19_review": f"SELECT review_id, entry_id, headword, phase, flag_type, reason, context FROM review_queue WHERE {_OPEN} ORDER BY phase, flag_type, headword",
+    "dict_q20_review_counts": f"SELECT phase, flag_type, COUNT(*) AS n FROM review_queue WHERE {_OPEN} GROUP BY phase, flag_type ORDER BY n DESC, phase, flag_type",
+    "dict_q21_objects": """SELECT e.headword, coalesce(s.n, 0) AS n_senses, coalesce(c.n, 0) AS n_citations, coalesce(l.n, 0) AS n_locutions, coalesce(r.n, 0) AS n_rubriques FROM entries e
+      LEFT JOIN (SELECT entry_id, count(*) AS n FROM senses GROUP BY entry_id) s ON s.entry_id = e.entry_id
+      LEFT JOIN (SELECT entry_id, count(*) AS n FROM citations JOIN senses USING (sense_id) GROUP BY entry_id) c ON c.entry_id = e.entry_id
+      LEFT JOIN (SELECT entry_id, count(*) AS n FROM locutions JOIN senses USING (sense_id) GROUP BY entry_id) l ON l.entry_id = e.entry_id
+      LEFT JOIN (SELECT entry_id, count(*) AS n FROM rubriques GROUP BY entry_id) r ON r.entry_id = e.entry_id ORDER BY n_senses DESC, e.headword""",
+    "dict_q24_supplements": "SELECT entry_id, headword, pos FROM entries WHERE is_supplement = 1 ORDER BY headword",
+    "dict_q24_supplement_senses": "SELECT xml_id, content_plain FROM senses WHERE is_supplement = 1",
+    "dict_q25_sense_types": "SELECT sense_type, COUNT(*) AS n FROM senses GROUP BY sense_type ORDER BY n DESC, sense_type",
+    "dict_q26_roles": "SELECT role, COUNT(*) AS n FROM senses WHERE role IS NOT NULL GROUP BY role ORDER BY n DESC, role",
     "dict_q27_suspects": "SELECT entry_id, headword, reason, context FROM review_queue WHERE flag_type = 'suspect_language_token' ORDER BY headword",
-    "dict_rq1_by_poet": "SELECT e.headword, c.text_plain, c.reference FROM citations c JOIN senses s USING (sense_id) JOIN entries e USING (entry_id) WHERE c.resolved_author = 'DUVAL'",
+    "dict_rq1_by_poet": "SELECT e.headword, c.text_plain, c.reference FROM citations c JOIN senses s USING (sense_id) JOIN entries e USING (entry_id) WHERE c.resolved_author = :author",
     "dict_rq2_with_figurative": "SELECT DISTINCT e.headword FROM entries e JOIN senses s USING (entry_id) WHERE s.sense_type = 'figurative'",
     "dict_rq3_unclassified": "SELECT e.headword, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE s.role = 'Unclassified'",
-    "dict_rq4_text_like": "SELECT e.headword, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE s.content_plain ILIKE '%jupes%'",
+    "dict_rq4_text_like": "SELECT e.headword, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE s.content_plain ILIKE :pattern",
     "dict_starter_entries": "SELECT headword, pos FROM entries ORDER BY headword, entry_id LIMIT 20",
-    "dict_starter_senses": "SELECT e.headword, s.sense_type, s.role, s.content_plain FROM senses s JOIN entries e USING (entry_id) WHERE e.headword = 'PANIER' ORDER BY s.sense_id",
-    "dict_q25_sense_types": "SELECT sense_type, count(*) AS n FROM senses GROUP BY sense_type",
-    "dict_q26_roles": "SELECT role, count(*) AS n FROM senses WHERE role IS NOT NULL GROUP BY role",
+    "dict_starter_senses": "SELECT e.headword, s.sense_type, s.role, s.content_plain FROM senses s JOIN entries e ON e.entry_id = s.entry_id WHERE e.headword = :headword ORDER BY s.sense_id",
 }
 
+#: The values the registered queries ask with.
+ARGUMENTS = {"headword": "PANIER", "author": "DUVAL", "sense_id": 1, "dict_q12_locution_like": "%PANIER%", "dict_rq4_text_like": "%jupes%"}
 
-_built: dict[str, Dictionary] = {}
 
+_built: dict[tuple[str, str], Dictionary] = {}
 
-def dictionary(spark: SparkSession) -> Dictionary:
-    """The small dictionary, built once a session, its tables registered as views."""
-    key = spark.sparkContext.applicationId
+
+def dictionary(spark: SparkSession, name: str = "small") -> Dictionary:
+    """One of the small dictionaries, built once a session; its tables are registered as views."""
+    key = (spark.sparkContext.applicationId, name)
     if key not in _built:
-        _built[key] = _build(spark)
-    _built[key].register(spark)
+        files = spark.createDataFrame(sample.FILES[name], "path string, text string")
+        more = {} if name == "small" else {"verdicts": spark.createDataFrame(sample.VERDICTS, "source_file string, source_line int, check string, verdict string, ord int"), "adjudications": spark.createDataFrame(sample.ADJUDICATIONS, "xml_id string, label string")}
+        _built[key] = Dictionary(scan_files(files, sample.PATCHES.get(name)), **more)
     return _built[key]
 
 
-def _build(spark: SparkSession) -> Dictionary:
-    files = spark.createDataFrame([(sample.FILE, sample.TEXT)], "path string, text string")
-    return Dictionary(scan_files(files))
+def ask(spark: SparkSession, name: str, **arguments) -> DataFrame:
+    """A documented question over the registered tables, with its parameters by name."""
+    sql = USER_SQL[name]
+    return spark.sql(sql, args={k: v for k, v in arguments.items() if ":" + k in sql})
 
 
-def _user(sql: str):
+def _user(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        dictionary(spark)
-        return spark.sql(sql)
+        dictionary(spark).register()
+        return ask(spark, name, **(ARGUMENTS | {"pattern": ARGUMENTS.get(name)}))
 
     return run
 
 
+_indexes: dict[tuple, L.Index] = {}
+
+
+def index_of(spark: SparkSession, name: tuple, rows, key: str, text: str) -> L.Index:
+    """The stored index of a table, built once a session."""
+    at = (spark.sparkContext.applicationId, *name)
+    if at not in _indexes:
+        _indexes[at] = L.Index(rows(), key, text)
+    return _indexes[at]
+
+
 def search(spark: SparkSession, view: str, key: str, text: str, terms: list[str]) -> DataFrame:
-    """(key, score) of the rows of a view that hold every term, case and accents folded."""
+    """(key, score) of the rows of a view of the small dictionary that hold every term, case and accents folded."""
     folded = F.regexp_replace(T.nfkd(F.lower(text)), r"\p{M}", "")
-    return L.bm25(spark.table(view).select(key, folded.alias("t")), key, "t", terms)
+    return index_of(spark, ("small", view), lambda: spark.table(view).select(key, folded.alias("t")), key, "t").search(terms)
 
 
 def dict_q22_search_senses(spark, d):
-    dictionary(spark)
+    dictionary(spark).register()
     hits = search(spark, "senses", "sense_id", "content_plain", ["corbeille"])
-    return hits.join(spark.table("senses"), "sense_id").join(spark.table("entries"), "entry_id").orderBy("score", "sense_id").select("headword", "sense_type", "content_plain")
+    found = hits.join(spark.table("senses"), "sense_id").join(spark.table("entries"), "entry_id")
+    return found.orderBy("score", "sense_id").select("sense_id", "headword", "sense_type", "content_plain")
 
 
 def dict_q23_search_citations(spark, d):
-    dictionary(spark)
+    dictionary(spark).register()
     hits = search(spark, "citations", "citation_id", "text_plain", ["panier", "vide"])
     c = hits.join(spark.table("citations"), "citation_id").join(spark.table("senses").select("sense_id", "entry_id"), "sense_id").join(spark.table("entries"), "entry_id")
-    return c.orderBy("score", "citation_id").select("headword", "resolved_author", "reference", "text_plain")
+    return c.orderBy("score", "citation_id").select("citation_id", "headword", "resolved_author", "reference", "text_plain")
 
 
 def dict_etymology_segments(spark, d):
-    e = dictionary(spark).etymology().select("entry_id", F.posexplode("segments").alias("i", "s"))
+    e = dictionary(spark).etymology.select("entry_id", F.posexplode("segments").alias("i", "s"))
     return e.select("entry_id", "i", "s.kind", "s.cit_type", "s.language", F.array_join("s.forms", ", ").alias("forms"), "s.gloss", "s.text")
 
 
+# -- a second dictionary that holds every role, rubrique and flag -------------------------
+
+
+def rich_senses(spark, d):
+    """All columns of every block, scoped, overridden and adjudicated."""
+    return dictionary(spark, "rich").contract["senses"].orderBy("sense_id")
+
+
+def rich_entries(spark, d):
+    return dictionary(spark, "rich").contract["entries"]
+
+
+def rich_resumes(spark, d):
+    return dictionary(spark, "rich").entries.where("resume_text <> ''").select("entry_id", "resume_text")
+
+
+def rich_citations(spark, d):
+    return dictionary(spark, "rich").contract["citations"].orderBy("citation_id")
+
+
+def rich_locutions(spark, d):
+    return dictionary(spark, "rich").contract["locutions"]
+
+
+def rich_forms(spark, d):
+    """Where each form comes from, proverbs included."""
+    return dictionary(spark, "rich").senses.where("canonical_form_source <> 'none'").select("xml_id", "role", "method", "canonical_form", "canonical_form_source")
+
+
+def rich_rubriques(spark, d):
+    return dictionary(spark, "rich").contract["rubriques"].orderBy("rubrique_id")
+
+
+def rich_flags(spark, d):
+    """The review queue in order, without the sample."""
+    return dictionary(spark, "rich").contract["review_queue"].where("flag_type <> 'calibration_sample'").select("review_id", "entry_id", "phase", "flag_type", "reason", "context")
+
+
+def rich_samples(spark, d):
+    """How many of each bucket are sampled: five at most."""
+    q = dictionary(spark, "rich").contract["review_queue"].where("flag_type = 'calibration_sample'")
+    return q.groupBy("reason").agg(F.count("*").alias("n"))
+
+
+def rich_metrics(spark, d):
+    return dictionary(spark, "rich").metrics()
+
+
+def rich_mismatches(spark, d):
+    return dictionary(spark, "rich").verdict_mismatches()
+
+
+def rich_tei(spark, d):
+    """The rendered entries, line by line."""
+    lines = dictionary(spark, "rich").rendered.select("entry_id", F.posexplode(F.split("tei", "\n")).alias("i", "line"))
+    return lines.select("entry_id", "i", "line")
+
+
+def rich_hoists(spark, d):
+    return dictionary(spark, "rich").hoists()
+
+
+def rich_pronunciations(spark, d):
+    return dictionary(spark, "rich").prose_pronunciations()
+
+
 def dict_pos_readings(spark, d):
-    dictionary(spark)
+    dictionary(spark).register()
     e = spark.table("entries").select("entry_id", F.explode(N.parse_pos(F.col("pos"))).alias("g"))
     return e.select("entry_id", "g.kind", "g.norm", "g.printed")
 
@@ -154,7 +245,7 @@ def path_ids(spark, d):
     lines = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     words = lines.select("doc_id", (F.col("i") + 1).alias("i"), F.posexplode(F.split("line", " ")).alias("j", "word"))
     w = words.select("doc_id", F.concat_ws(".", F.col("doc_id").cast("string"), F.col("i").cast("string"), (F.col("j") + 1).cast("string")).alias("xml_id"), F.array("i", F.col("j") + 1).alias("path"))
-    return S.number_rows(w, "doc_id", ["path"], "node_id").select("node_id", "xml_id")
+    return S.number_rows(w, ["doc_id", "path"], "node_id").select("node_id", "xml_id")
 
 
 def stratified(spark, d):
@@ -175,14 +266,6 @@ def escape_xml(spark, d):
     return _t(spark, d, "pages").select("page_id", T.escape_xml(F.col("html")).alias("escaped"))
 
 
-def collapse_ws(spark, d):
-    return _t(spark, d, "documents").select("doc_id", T.truncate(T.collapse_ws(F.col("text")), 200).alias("head"))
-
-
-def slugs(spark, d):
-    return _t(spark, d, "documents").select("doc_id", T.make_id(F.substring_index("text", "\n", 1)).alias("slug"))
-
-
 def _targets(spark, d):
     p = _t(spark, d, "pages")
     return p.select("page_id", "url", F.explode(F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))).alias("ref"))
@@ -204,32 +287,38 @@ def first_match_rules(spark, d):
     return p.groupBy("label").agg(F.count("*").alias("n"))
 
 
+#: What the lines of ``cascade_classify`` are led in by, in turn: nothing, or the opening of one rule.
+LEADS = (
+    "", "Prov. ", "Proverbialement, ", "Populairement, ", "Vulgairement. ", "Par extension, ", "Très peu usité. ", "Il est vieux. ", "Ce mot a vieilli ; ",
+    "Terme bas. ", "v. réfl. ", "Se conjugue comme ", "Substantivement. ", "Fig. ", "Fig", "Provence ", "Familier ", "Au pluriel, ",
+)
+
+
 def cascade_classify(spark, d):
-    lines = _t(spark, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("line"))
-    return lines.select("doc_id", role_by_text(F.col("line")).alias("role")).groupBy("role").agg(F.count("*").alias("n"))
+    """Every line of every document, led in by an opening in turn, and every opening that stands alone."""
+    lines = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
+    turn = F.pmod(F.col("doc_id") + F.col("i"), F.lit(len(LEADS) + 3)).cast("int")
+    alone = F.when(turn == len(LEADS), "Au fém.").when(turn == len(LEADS) + 1, "Vieillie.").when(turn == len(LEADS) + 2, "Avec un nom de chose")
+    text = F.coalesce(alone, F.concat(F.get(F.array(*[F.lit(x) for x in LEADS]), turn), "line"))
+    return lines.select(turn.alias("turn"), role_by_text(text).alias("role")).groupBy("turn", "role").agg(F.count("*").alias("n"))
 
 
 def verdict_override(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", "lang", T.truncate(F.col("text"), 40).alias("plain"))
+    docs = _t(spark, d, "documents").select("doc_id", "lang", F.col("text").alias("plain"))
     v = _t(spark, d, "labels").select("doc_id", F.when(F.col("toxic") == 1, "T").otherwise("").alias("check"), F.concat(F.lit("q"), "quality").alias("verdict"))
     return L.override(docs, v, ["doc_id"], "plain", F.col("lang")).select("doc_id", "role", "method")
 
 
 def split_atoms(spark, d):
-    docs = _t(spark, d, "documents").where("lang = 'en'").select("doc_id", F.explode(T.split_atoms(F.substring_index("text", ".", 1), r"\s+and\s+")).alias("atom"))
-    return docs
-
-
-def split_atoms_whole(spark, d):
     return _t(spark, d, "documents").select("doc_id", F.explode(T.split_atoms(F.col("text"), r"(?U)\s+(?:et|and)\s+")).alias("atom"))
 
 
-def collapse_ws_whole(spark, d):
+def collapse_ws(spark, d):
     x = _t(spark, d, "documents").select("doc_id", T.collapse_ws(F.col("text")).alias("t"))
     return x.select("doc_id", F.length("t").cast("long").alias("n_chars"), F.md5("t").alias("text_md5"), T.truncate(F.col("t"), 200).alias("head"))
 
 
-def slugs_whole(spark, d):
+def slugs(spark, d):
     x = _t(spark, d, "documents").select("doc_id", T.make_id(F.col("text")).alias("s"))
     return x.select("doc_id", F.length("s").cast("long").alias("n_chars"), F.md5("s").alias("slug_md5"))
 
@@ -256,9 +345,11 @@ def flag_union(spark, d):
 
 
 def range_join(spark, d):
-    spans = spark.createDataFrame([(1, 19920101, 19920630), (2, 19930315, 19930415), (3, 19970101, 19980101)], "span int, lo int, hi int")
-    o = _t(spark, d, "orders").select("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").cast("int").alias("day"))
-    return L.in_ranges(o, spans, "day", "lo", "hi", 10000).groupBy("span").agg(F.count("*").alias("n"))
+    """Orders in overlapping spans of days, one span a nation."""
+    n = F.col("n_nationkey")
+    spans = _t(spark, d, "nation").select("n_name", (9131 + n * 80).alias("lo"), (9131 + n * 97 + 30).alias("hi"))
+    o = _t(spark, d, "orders").select("o_totalprice", F.unix_date(F.to_date("o_orderdate")).alias("day"))
+    return L.in_ranges(o, spans, "day", "lo", "hi", 64).groupBy("n_name", "lo", "hi").agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total"))
 
 
 def full_outer_verdicts(spark, d):
@@ -279,14 +370,17 @@ def object_counts(spark, d):
     return c.join(per, c["c_custkey"] == per["o_custkey"], "left").select("c_custkey", F.coalesce("n_orders", F.lit(0)).alias("n_orders"), F.coalesce("n_lines", F.lit(0)).alias("n_lines"))
 
 
+def _documents_index(spark, d):
+    return index_of(spark, ("documents", d), lambda: _t(spark, d, "documents").select("doc_id", "text"), "doc_id", "text")
+
+
 def bm25_topk(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", "text")
-    return L.bm25(docs, "doc_id", "text", ["the", "idiot"]).select("doc_id", F.round("score", 6).alias("score")).orderBy("score", "doc_id").limit(20)
+    hits = _documents_index(spark, d).search(["the", "idiot"])
+    return hits.select("doc_id", F.round("score", 6).alias("score")).orderBy("score", "doc_id").limit(20)
 
 
 def postings_stats(spark, d):
-    p = L.postings(_t(spark, d, "documents"), "doc_id", "text")
-    return p.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf")).where("df >= 50")
+    return _documents_index(spark, d).terms().where("df >= 50")
 
 
 def balanced_tags(spark, d):
@@ -309,12 +403,12 @@ _ROLE = """CASE WHEN regexp_matches(l, '(?i)^prov\\.\\s|^proverbe\\b|^proverbial
 _WS = r"[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
 
 WHOLE_SQL = {
-    "split_atoms_whole": rf"""WITH h AS (SELECT doc_id, trim(regexp_replace(lower(regexp_replace(text, '<[^>]+>', '', 'g')), '{_WS}+', ' ', 'g')) AS h FROM documents),
+    "split_atoms": rf"""WITH h AS (SELECT doc_id, trim(regexp_replace(lower(regexp_replace(text, '<[^>]+>', '', 'g')), '{_WS}+', ' ', 'g')) AS h FROM documents),
       a AS (SELECT doc_id, unnest(string_split_regex(h, ' (?:et|and) ')) AS a FROM h), b AS (SELECT doc_id, trim(regexp_replace(a, '[.,;:]+$', '')) AS atom FROM a)
       SELECT doc_id, atom FROM b WHERE atom <> ''""",
-    "collapse_ws_whole": rf"""SELECT doc_id, length(t)::BIGINT AS n_chars, md5(t) AS text_md5, substr(t, 1, 200) AS head
+    "collapse_ws": rf"""SELECT doc_id, length(t)::BIGINT AS n_chars, md5(t) AS text_md5, substr(t, 1, 200) AS head
       FROM (SELECT doc_id, trim(regexp_replace(text, '{_WS}+', ' ', 'g')) AS t FROM documents)""",
-    "slugs_whole": r"""WITH s AS (SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^\x00-\x7F]', '', 'g'), '[^a-z0-9]+', '_', 'g'), '_') AS s FROM documents),
+    "slugs": r"""WITH s AS (SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(text)), '[^\x00-\x7F]', '', 'g'), '[^a-z0-9]+', '_', 'g'), '_') AS s FROM documents),
       m AS (SELECT doc_id, CASE WHEN regexp_matches(s, '^[a-z]') THEN s ELSE 'e_' || s END AS s FROM s)
       SELECT doc_id, length(s)::BIGINT AS n_chars, md5(s) AS slug_md5 FROM m""",
 }
@@ -340,33 +434,31 @@ DATA_SQL = {
       SELECT conv_id, island::BIGINT AS island, min_by(substr(text, 1, 80), turn) AS first_text, max_by(substr(text, 1, 80), turn) AS last_text, count(*) AS n FROM r WHERE rank > 0 GROUP BY conv_id, island""",
     "strip_tags": "SELECT page_id, regexp_replace(regexp_replace(html, '<[^>]+>', '', 'g'), '^\\s+|\\s+$', '', 'g') AS plain FROM pages",
     "escape_xml": "SELECT page_id, replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;') AS escaped FROM pages",
-    "collapse_ws": "SELECT doc_id, substr(trim(regexp_replace(text, '\\s+', ' ', 'g')), 1, 200) AS head FROM documents",
-    "slugs": """WITH s AS (SELECT doc_id, trim(regexp_replace(regexp_replace(strip_accents(lower(split_part(text, chr(10), 1))), '[^\\x00-\\x7F]', '', 'g'), '[^a-z0-9]+', '_', 'g'), '_') AS s FROM documents)
-      SELECT doc_id, CASE WHEN regexp_matches(s, '^[a-z]') THEN s ELSE 'e_' || s END AS slug FROM s""",
     "xref_targets": """SELECT page_id, count(*) AS n, min(ref) AS first_ref FROM (SELECT page_id, unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS ref FROM pages) GROUP BY page_id""",
     "dangling_refs": """SELECT ref, count(*) AS n FROM (SELECT unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS ref FROM pages) WHERE ref NOT IN (SELECT url FROM pages) GROUP BY ref""",
     "first_match_rules": """WITH r(ord, p, label) AS (VALUES (1, '^PROMO.*BRASS$', 'promo brass'), (2, 'BRASS$', 'brass'), (3, '^STANDARD', 'standard'), (4, '^(SMALL|MEDIUM|LARGE)', 'sized')),
       m AS (SELECT p_partkey, min_by(label, ord) AS label FROM part JOIN r ON regexp_matches(p_type, p) GROUP BY p_partkey)
       SELECT coalesce(label, 'hint') AS label, count(*) AS n FROM part LEFT JOIN m USING (p_partkey) GROUP BY 1""",
-    "cascade_classify": """WITH l AS (SELECT unnest(string_split(text, chr(10))) AS l FROM documents)
-      SELECT CASE WHEN regexp_matches(l, '(?i)^(prov\\.\\s|proverbe\\b|proverbialement\\b)') THEN 'Proverb'
-        WHEN regexp_matches(l, '(?i)^(populaire(ment)?|plaisamment|néologisme|par (euphémisme|exagération|ironie|extension))\\b') THEN 'RegisterLabel'
-        WHEN regexp_matches(l, '(?i)^(v\\.\\s*(n|a|réfl)\\b|se\\s+conjugue\\b|(absolument|substantivement|adverbialement)\\b)') THEN 'VoiceTransition'
+    "cascade_classify": f"""WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS i FROM documents),
+      t AS (SELECT *, ((doc_id + i) % {len(LEADS) + 3})::INT AS turn FROM l),
+      x AS (SELECT turn, CASE turn WHEN {len(LEADS)} THEN 'Au fém.' WHEN {len(LEADS) + 1} THEN 'Vieillie.' WHEN {len(LEADS) + 2} THEN 'Avec un nom de chose' ELSE [{", ".join("'" + x + "'" for x in LEADS)}][turn + 1] || line END AS l FROM t)
+      SELECT turn, CASE WHEN regexp_matches(l, '(?i)^(prov\\.\\s|proverbe\\b|proverbialement\\b)') THEN 'Proverb'
+        WHEN regexp_matches(l, '(?i)^(populaire(ment)?|(familièr|vulgair|ironiqu|burlesqu|poétiqu)ement|plaisamment|par (euphémisme|exagération|ironie|dérision|extension|analogie|métaphore|plaisanterie|antiphrase)|néologisme|(très )?peu usité|hors d''usage|tombé en désuétude|il est (familier|vieux|populaire|inusité|hors d''usage)|il n''est plus usité|il (a vieilli|vieillit)|ce mot (est|a vieilli)|ce sens a vieilli|cet emploi (vieillit|a vieilli)|(mot|terme) (vieilli|vieux|familier|populaire|inusité|bas))($|[^\\pL\\pN_])') THEN 'RegisterLabel'
+        WHEN regexp_matches(l, '(?i)^(v\\.\\s*(n|a|réfl)|se\\s+conjugue|absolument|substantivement|adverbialement|adjectivement|intransitivement|neutralement|impersonnellement|activement)($|[^\\pL\\pN_])') THEN 'VoiceTransition'
         WHEN regexp_matches(l, '(?i)^fig\\.\\s') THEN 'Figurative'
-        WHEN regexp_matches(l, '(?i)^(au (pluriel|féminin|singulier|masculin)\\.?\\s*$|avec un nom de [^,.]+\\.?\\s*$)') THEN 'VoiceTransition'
+        WHEN regexp_matches(l, '(?i)^(au (pluriel|féminin|singulier|masc(\\.|ulin)?|fém(\\.|inin)?)\\.?\\s*$|avec un nom de [^,.]*\\.?\\s*$)') THEN 'VoiceTransition'
         WHEN regexp_matches(l, '(?i)^(familière?|familier|vieux|vieillie?|rare|bas(se)?|vulgaire|triviale?|inusitée?)\\.?\\s*$') THEN 'RegisterLabel'
-        ELSE 'Unclassified' END AS role, count(*) AS n FROM l GROUP BY 1""",
+        ELSE 'Unclassified' END AS role, count(*) AS n FROM x GROUP BY ALL""",
     "verdict_override": """WITH v AS (SELECT doc_id, CASE WHEN toxic = 1 THEN 'T' ELSE '' END AS c, 'q' || quality AS v FROM labels)
       SELECT d.doc_id, coalesce(v.v, lang) AS role, CASE WHEN v.v IS NULL THEN 'Heuristic' ELSE 'LlmAssisted' END AS method FROM documents d LEFT JOIN v ON v.doc_id = d.doc_id AND starts_with(d.text, v.c)""",
-    "split_atoms": """WITH h AS (SELECT doc_id, trim(regexp_replace(lower(regexp_replace(split_part(text, '.', 1), '<[^>]+>', '', 'g')), '\\s+', ' ', 'g')) AS h FROM documents WHERE lang = 'en'),
-      a AS (SELECT doc_id, trim(regexp_replace(unnest(string_split_regex(h, '\\s+and\\s+')), '[.,;:]+$', '')) AS atom FROM h) SELECT * FROM a WHERE atom <> ''""",
     "form_before_comma": """WITH l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, (generate_subscripts(string_split(text, chr(10)), 1) - 1)::INT AS i FROM documents)
       SELECT doc_id, i, trim(split_part(line, ',', 1)) AS form FROM l WHERE contains(line, ',') AND length(trim(split_part(line, ',', 1))) BETWEEN 1 AND 60""",
     "century_ranges": """SELECT o_orderkey, ['IX','X','XI','XII','XIII','XIV','XV','XVI','XVII','XVIII','XIX'][o_orderkey % 11 + 1] || 'e s.' AS label, ((o_orderkey % 11 + 8) * 100 + 1)::INT AS lo,
       lpad(((o_orderkey % 11 + 8) * 100 + 1)::VARCHAR, 4, '0') || '-' || lpad(((o_orderkey % 11 + 9) * 100)::VARCHAR, 4, '0') AS dates FROM orders""",
     "json_context": "SELECT json_extract_string(props, '$.k')::INT AS k, count(*) AS n FROM events GROUP BY 1",
     "flag_union": "SELECT flag, count(*) AS n FROM (SELECT 'large_quantity' AS flag FROM lineitem WHERE l_quantity > 45 UNION ALL SELECT 'no_discount' FROM lineitem WHERE l_discount = 0 UNION ALL SELECT 'small_order' FROM orders WHERE o_totalprice < 5000) GROUP BY flag",
-    "range_join": "WITH s(span, lo, hi) AS (VALUES (1, 19920101, 19920630), (2, 19930315, 19930415), (3, 19970101, 19980101)) SELECT span, count(*) AS n FROM orders JOIN s ON strftime(o_orderdate, '%Y%m%d')::INT BETWEEN lo AND hi GROUP BY span",
+    "range_join": """WITH s AS (SELECT n_name, (9131 + n_nationkey * 80)::INT AS lo, (9131 + n_nationkey * 97 + 30)::INT AS hi FROM nation)
+      SELECT n_name, lo, hi, count(*) AS n, round(sum(o_totalprice), 2) AS total FROM orders JOIN s ON date_diff('day', DATE '1970-01-01', o_orderdate::DATE) BETWEEN lo AND hi GROUP BY n_name, lo, hi""",
     "full_outer_verdicts": """SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, coalesce(CASE WHEN d.doc_id IS NULL THEN NULL WHEN n_chars > 500 THEN '1' ELSE '0' END, 'missing') AS observed, coalesce(quality::VARCHAR, 'missing') AS expected,
       coalesce(CASE WHEN d.doc_id IS NULL THEN NULL WHEN n_chars > 500 THEN '1' ELSE '0' END, 'missing') = coalesce(quality::VARCHAR, 'missing') AS agrees FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id""",
     "except_ids": "SELECT doc_id FROM documents EXCEPT ALL SELECT doc_id FROM labels",
@@ -378,32 +470,24 @@ DATA_SQL = {
       FROM f, s WHERE a > 0 AND b > 0 ORDER BY score, doc_id LIMIT 20""",
     "postings_stats": "SELECT term, count(DISTINCT doc_id) AS df, count(*)::BIGINT AS cf FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[^\\p{L}\\p{N}]+')) AS term FROM documents) WHERE term <> '' GROUP BY term HAVING count(DISTINCT doc_id) >= 50",
     "like_and_sort": "SELECT c_custkey, c_name FROM customer WHERE c_name ILIKE '%customer%1%' AND c_mktsegment IN ('BUILDING', 'MACHINERY') ORDER BY coalesce(c_nationkey, 999999), c_custkey LIMIT 20",
+    "balanced_tags": """WITH t AS (SELECT page_id, unnest(regexp_extract_all(html, '<[^>]+>')) AS tag, generate_subscripts(regexp_extract_all(html, '<[^>]+>'), 1) AS i FROM pages),
+      d AS (SELECT page_id, sum(CASE WHEN starts_with(tag, '</') THEN -1 ELSE 1 END) OVER (PARTITION BY page_id ORDER BY i) AS depth, row_number() OVER (PARTITION BY page_id ORDER BY i DESC) AS back FROM t WHERE NOT ends_with(tag, '/>')),
+      b AS (SELECT page_id, min(depth) >= 0 AND max(CASE WHEN back = 1 THEN depth END) = 0 AS ok FROM d GROUP BY page_id)
+      SELECT page_id, coalesce(ok, html IS NOT NULL) AS balanced FROM pages LEFT JOIN b USING (page_id)""",
     "distinct_segments": "SELECT DISTINCT c_mktsegment FROM customer",
 }
 
-_DATA = (author_locf, id_dedup, scope_inter, scope_intra, neighbour_texts, path_ids, stratified, island_first_last, strip_tags, escape_xml, collapse_ws, slugs, xref_targets, dangling_refs, first_match_rules, cascade_classify, verdict_override, split_atoms, split_atoms_whole, collapse_ws_whole, slugs_whole, form_before_comma, century_ranges, json_context, flag_union, range_join, full_outer_verdicts, except_ids, object_counts, bm25_topk, postings_stats, balanced_tags, like_and_sort, distinct_segments)
+_DATA = (author_locf, id_dedup, scope_inter, scope_intra, neighbour_texts, path_ids, stratified, island_first_last, strip_tags, escape_xml, collapse_ws, slugs, xref_targets, dangling_refs, first_match_rules, cascade_classify, verdict_override, split_atoms, form_before_comma, century_ranges, json_context, flag_union, range_join, full_outer_verdicts, except_ids, object_counts, bm25_topk, postings_stats, balanced_tags, like_and_sort, distinct_segments)
+
+_RICH = (rich_entries, rich_resumes, rich_senses, rich_citations, rich_locutions, rich_forms, rich_rubriques, rich_flags, rich_samples, rich_metrics, rich_mismatches, rich_tei, rich_hoists, rich_pronunciations)
 
-_OWN = (dict_q22_search_senses, dict_q23_search_citations, dict_etymology_segments, dict_pos_readings, route_labels, bare_labels)
+_OWN = (*_RICH, dict_q22_search_senses, dict_q23_search_citations, dict_etymology_segments, dict_pos_readings, route_labels, bare_labels)
 
-QUERIES = {**{n: _user(s) for n, s in USER_SQL.items()}, **{f.__name__: f for f in _OWN}, **{f.__name__: f for f in _DATA}}
+QUERIES = {**{n: _user(n) for n in USER_SQL}, **{f.__name__: f for f in _OWN}, **{f.__name__: f for f in _DATA}}
 
 #: Rows worked out by hand from the rules, for the small dictionary.
 GOLDEN_SQL = {
-    "dict_q02_entry": "SELECT * FROM (VALUES ('panier.1', 'PANIER', 's. m.'), ('panier.2', 'PANIER', 'v. a.')) t(entry_id, headword, pos)",
-    "dict_q15_by_author": "SELECT * FROM (VALUES ('Un panier plein', 'Récits, 3'), ('Le panier vide', 'ib. 4'), ('Encore lui', 'ib. 9')) t(text_plain, reference)",
-    "dict_q16_hidden": "SELECT 'Le panier vide' AS text_plain",
-    "dict_q11_locutions": "SELECT 'PANIER' AS headword, 'Le dessus du panier' AS canonical_form",
-    "dict_q12_locution_like": "SELECT 'Le dessus du panier' AS canonical_form",
-    "dict_q24_supplements": "SELECT 'eclat_2_s2' AS xml_id, 'Rayon.' AS content_plain",
-    "dict_q13_transitions": "SELECT * FROM (VALUES ('PANIER', 'usage_group', NULL, NULL), ('PANIER', 'transition_group', NULL, NULL), ('ÉCLAT', 'homonymic_entry', 'S''ÉCLATER', 'v. réfl.')) t(headword, sense_type, transition_form, transition_pos)",
-    "dict_q05_children": "SELECT * FROM (VALUES ('panier.1_s1.1', 'figurative'), ('panier.1_s1.2', 'domain'), ('panier.1_s1.3', 'locution'), ('panier.1_s1.4', 'proverb'), ('panier.1_s1.5', 'unclassified')) t(xml_id, sense_type)",
-    "dict_q04_tree": """SELECT * FROM (VALUES ('panier.1_s1', 0, 'sense'), ('panier.1_s1.1', 1, 'figurative'), ('panier.1_s1.2', 1, 'domain'), ('panier.1_s1.3', 1, 'locution'), ('panier.1_s1.4', 1, 'proverb'), ('panier.1_s1.5', 1, 'unclassified'),
-      ('panier.1_s2', 0, 'usage_group'), ('panier.1_s2.1', 1, 'sense'), ('panier.1_s2.2', 1, 'sense'), ('panier.1_s2.2.1', 2, 'transition_group'), ('panier.1_s2.2.1.1', 3, 'unclassified'), ('panier.1_s2.2.1.2', 3, 'register'),
-      ('panier.2_s1', 0, 'sense'), ('panier.2_s1.1', 1, 'cross_reference'), ('panier.2_s1.2', 1, 'cross_reference')) t(xml_id, depth, sense_type)""",
-    "dict_q17_rubriques": "SELECT * FROM (VALUES ('PANIER', 'Historique', 'XIIe s. Vieux texte'), ('PANIER', 'Etymologie', 'Lat. panarium, corbeille à pain ; zzz. pana'), ('ÉCLAT', 'Supplement', 'Ajout')) t(headword, rubrique_type, content_plain)",
-    "dict_q18_history": "SELECT 'PANIER' AS headword, 'XIIe s. Vieux texte' AS content_plain",
-    "dict_q22_search_senses": "SELECT * FROM (VALUES ('PANIER', 'sense', 'Corbeille tressée d''osier.'), ('PANIER', 'cross_reference', 'Voy. CORBEILLE'), ('PANIER', 'cross_reference', 'voy. CORBEILLE')) t(headword, sense_type, content_plain)",
-    "dict_q23_search_citations": "SELECT 'PANIER' AS headword, 'DUVAL' AS resolved_author, 'ib. 4' AS reference, 'Le panier vide' AS text_plain",
+    **{n: goldens.sql(n) for n in goldens.EXPECTED},
     "dict_q27_suspects": """SELECT 'panier.1' AS entry_id, 'PANIER' AS headword, 'token in language-abbreviation position missing from language table' AS reason, '{"token":"zzz.","anchor":"zzz."}' AS context""",
     "dict_rq2_with_figurative": "SELECT 'PANIER' AS headword",
     "dict_rq4_text_like": "SELECT 'PANIER' AS headword, 'Grandes jupes.' AS content_plain",
@@ -413,7 +497,6 @@ GOLDEN_SQL = {
       ('Familièrement et par plaisanterie', 'Familièrement', 'usg', 'socioCultural=familiar'), ('Familièrement et par plaisanterie', 'par plaisanterie', 'usg', 'attitude=jocular'), ('Populairement encore', 'Populairement encore', 'usg', 'socioCultural=popular'),
       ('Terme de marine', 'Terme de marine', 'usg', 'domain='), ('Au plur.', 'Au plur.', 'gram', 'number=plural'), ('Absolument aussi', 'Absolument aussi', 'gram', 'construction=absolute'), ('Inusité', 'Inusité', 'usg', 'frequency=rare')) t(label, printed, target, reading)""",
     "bare_labels": "SELECT * FROM (VALUES ('Populairement encore, une ficelle', 'populairement encore', 'une ficelle'), ('Substantivement et au neutre. Le beau.', 'substantivement et au neutre', 'Le beau.'), ('Absolument.', NULL, NULL), ('Une chose.', NULL, NULL)) t(block, label, rest)",
-    "dict_q26_roles": "SELECT * FROM (VALUES ('Figurative', 1), ('DomainLabel', 1), ('Locution', 1), ('Proverb', 1), ('Unclassified', 2), ('NatureLabel', 1), ('RegisterLabel', 1), ('CrossReference', 2)) t(role, n)",
 }
 
 ORACLE_SQL = {**DATA_SQL, **WHOLE_SQL, **GOLDEN_SQL}

@@ -1,7 +1,8 @@
 """The dictionary scan: whole XML files to flat rows of entries, nodes and citations.
 
-Mixed content and line numbers rule Spark's own XML reader out, so each file is read by
-expat inside ``mapInPandas``-style Arrow batches; everything after the scan is columns.
+Mixed content and line numbers rule Spark's own XML reader out. Files are cut at their
+outermost entries, the cuts are dealt out over the cluster, and each is read by expat in
+Arrow batches; everything after the scan is columns.
 A node's ``path`` orders it as a tree walk would: [1, i, ...] are the body's senses and
 their indents, [2, j, ...] the entry's rubriques; a sense's rubriques follow its indents.
 
@@ -29,7 +30,7 @@ RUBRIQUES = {
 }
 BLOCKS = {"cit", "indent", "rubrique", "variante"}
 
-NODE = "source_file string, entry_ord int, kind string, path array<int>, cit_ord int, headword string, homograph_index int, is_supplement boolean, pronunciation string, pos string, resume_text string, rubrique_kind string, num int, is_resume boolean, content string, author string, reference string, hide string, source_line int"
+NODE = "source_file string, entry_ord int, kind string, path array<int>, cit_ord int, headword string, homograph_index int, is_supplement boolean, pronunciation string, pos string, resume_text string, rubrique_kind string, rubrique_name string, num int, is_resume boolean, content string, author string, reference string, hide string, source_line int"
 
 
 def patched(text: str, patches: list[dict]) -> str:
@@ -58,7 +59,7 @@ class _Element:
         self.tag, self.attrs, self.line, self.children = tag, attrs, line, []
 
 
-def tree(text: str) -> _Element:
+def tree(text: str, first_line: int = 1) -> _Element:
     from xml.parsers import expat
 
     root = _Element("", {}, 0)
@@ -67,7 +68,7 @@ def tree(text: str) -> _Element:
     parser.buffer_text = True
 
     def start(tag, attrs):
-        e = _Element(tag, attrs, parser.CurrentLineNumber)
+        e = _Element(tag, attrs, parser.CurrentLineNumber + first_line - 1)
         stack[-1].children.append(e)
         stack.append(e)
 
@@ -84,11 +85,15 @@ def _markup(e: _Element, skip=frozenset()) -> str:
         if isinstance(c, str):
             out.append(escaped(c))
         elif c.tag not in skip:
-            attrs = "".join(f' {k}="{escaped(v)}"' for k, v in c.attrs.items())
-            out.append(f"<{c.tag}{attrs}>{_markup(c)}</{c.tag}>")
+            out.append(_whole(c))
     return "".join(out)
 
 
+def _whole(e: _Element) -> str:
+    attrs = "".join(f' {k}="{escaped(v)}"' for k, v in e.attrs.items())
+    return f"<{e.tag}{attrs}>{_markup(e)}</{e.tag}>"
+
+
 def _content(e: _Element) -> str:
     return " ".join(_markup(e, BLOCKS).split())
 
@@ -118,9 +123,43 @@ def _int(x: str | None) -> int | None:
         return None
 
 
+_ENTRY = re.compile(r"<!--.*?-->|<!\[CDATA\[.*?\]\]>|(?P<empty><entree\b[^>]*/>)|(?P<open><entree\b[^>]*>)|(?P<close></entree\s*>)", re.S)
+
+
+def entry_cuts(text: str):
+    """(entries before it, first line, text) of each outermost entry; the whole text at once if it defines entities."""
+    if "<!ENTITY" in text:
+        yield 0, 1, text
+        return
+    depth, seen, start, before, line, at = 0, 0, 0, 0, 1, 0
+    for m in _ENTRY.finditer(text):
+        if m["close"]:
+            depth -= 1
+        elif m["open"] or m["empty"]:
+            if depth == 0:
+                start, before = m.start(), seen
+            seen += 1
+            depth += m["open"] is not None
+        else:
+            continue
+        if depth < 0:
+            raise ValueError("an entry is closed that was never opened")
+        if depth == 0:
+            line, at = line + text.count("\n", at, start), start
+            yield before, line, text[start : m.end()]
+    if depth:
+        raise ValueError("an entry is never closed")
+
+
 def file_rows(name: str, text: str, patches: list[dict]):
     """All rows of one file, as dicts of NODE's columns."""
-    root = tree(normalised(patched(text, patches)))
+    for before, line, cut in entry_cuts(normalised(patched(text, patches))):
+        yield from entry_rows(name, cut, before, line)
+
+
+def entry_rows(name: str, text: str, before: int = 0, first_line: int = 1):
+    """Rows of the entries of one cut; ``before`` entries and ``first_line - 1`` lines precede it in its file."""
+    root = tree(text, first_line)
 
     def entries(e):
         for c in e.children:
@@ -129,7 +168,7 @@ def file_rows(name: str, text: str, patches: list[dict]):
                     yield c
                 yield from entries(c)
 
-    for k, e in enumerate(entries(root), 1):
+    for k, e in enumerate(entries(root), before + 1):
         base = {"source_file": name, "entry_ord": k}
 
         def citations(owner, path, base=base):
@@ -143,7 +182,7 @@ def file_rows(name: str, text: str, patches: list[dict]):
                 yield from indent(c, [*path, i])
 
         def rubrique(x, path, base=base):
-            yield base | {"kind": "rubrique", "path": path, "rubrique_kind": RUBRIQUES.get(x.attrs.get("nom", ""), "Remarque"), "content": _content(x), "source_line": x.line}
+            yield base | {"kind": "rubrique", "path": path, "rubrique_kind": RUBRIQUES.get(x.attrs.get("nom", ""), "Remarque"), "rubrique_name": x.attrs.get("nom", ""), "content": _content(x), "source_line": x.line}
             yield from citations(x, path)
             for i, c in enumerate(_of(x, "indent"), 1):
                 yield from indent(c, [*path, i])
@@ -168,7 +207,7 @@ def file_rows(name: str, text: str, patches: list[dict]):
             "is_supplement": e.attrs.get("supplement") == "1",
             "pronunciation": _lead(_first(head, "prononciation")),
             "pos": _lead(_first(head, "nature")),
-            "resume_text": _content(resume) if resume is not None else "",
+            "resume_text": _whole(resume) if resume is not None else "",
             "source_line": e.line,
         }
         senses = [(v, False) for v in _of(body, "variante")] + [(v, True) for r in rubriques for v in _of(r, "variante")]
@@ -179,23 +218,53 @@ def file_rows(name: str, text: str, patches: list[dict]):
 
 
 def scan_files(files: DataFrame, patches: list[dict] | None = None) -> DataFrame:
-    """``files(path, text)`` to NODE rows; ``patches`` is the small list of a corrections file."""
+    """``files(path, text)`` to NODE rows; ``patches`` is the small list of a corrections file.
+
+    A file without entries gives no rows. The cuts are dealt out before they are read, so
+    the largest file bounds only the cutting, a search for tags.
+    """
+    spark = files.sparkSession
     names = [c.split()[0] for c in NODE.split(", ")]
-    schema = files.sparkSession.createDataFrame([], NODE).schema
+    schema = spark.createDataFrame([], NODE).schema
     arrow = {"string": pa.string(), "int": pa.int32(), "boolean": pa.bool_(), "array<int>": pa.list_(pa.int32())}
     kinds = pa.schema([(f.name, arrow[f.dataType.simpleString()]) for f in schema])
 
-    def scan(batches):
+    cuts_schema = pa.schema([("source_file", pa.string()), ("before", pa.int64()), ("line", pa.int64()), ("text", pa.string())])
+
+    def cut(batches):
         for batch in batches:
             for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 name = path.rsplit("/", 1)[-1]
-                rows = list(file_rows(name, text or "", [p for p in patches or () if p["file"] == name]))
-                yield pa.RecordBatch.from_pydict({n: [r.get(n) for r in rows] for n in names}, schema=kinds)
+                held, size = [], 0
+                for before, line, x in entry_cuts(normalised(patched(text or "", [p for p in patches or () if p["file"] == name]))):
+                    held.append({"source_file": name, "before": before, "line": line, "text": x})
+                    size += len(x)
+                    if size > 1 << 22:
+                        yield pa.RecordBatch.from_pylist(held, cuts_schema)
+                        held, size = [], 0
+                if held:
+                    yield pa.RecordBatch.from_pylist(held, cuts_schema)
+
+    def scan(batches):
+        for batch in batches:
+            rows = [r for x in batch.to_pylist() for r in entry_rows(x["source_file"], x["text"], x["before"], x["line"])]
+            yield pa.RecordBatch.from_pydict({n: [r.get(n) for r in rows] for n in names}, schema=kinds)
 
-    return files.select("path", "text").mapInArrow(scan, schema)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cuts = files.select("path", "text").mapInArrow(cut, "source_file string, before long, line long, text string")
+    return cuts.repartition(parts, "source_file", "before").mapInArrow(scan, schema)
 
 
 def read_files(spark: SparkSession, folder: str) -> DataFrame:
-    """``(path, text)`` of a folder's letter files (a.xml to z.xml and a_prep.xml)."""
+    """``(path, text, file_ord)`` of a folder's letter files (a.xml to z.xml and a_prep.xml).
+
+    ``file_ord`` counts from 1 by path, the order of all results; a folder without such files
+    is an error.
+    """
     raw = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(folder)
-    return raw.where(F.col("path").rlike(r"/(?:[a-z]|a_prep)\.xml$")).select("path", F.decode("content", "UTF-8").alias("text"))
+    named = raw.where(F.col("path").rlike(r"/(?:[a-z]|a_prep)\.xml$"))
+    paths = sorted(r["path"] for r in named.select("path").collect())  # 27 at most
+    if not paths:
+        raise FileNotFoundError(f"no letter files in {folder}")
+    ord_ = F.array_position(F.array(*[F.lit(p) for p in paths]), F.col("path")).cast("int")
+    return named.select("path", F.decode("content", "UTF-8").alias("text"), ord_.alias("file_ord"))

@@ -3,6 +3,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
+from lexiforge.functions import labels as N
 from lexiforge.functions import text as T
 from lexiforge.operators import lookup as L
 from lexiforge.operators import sequence as S
@@ -25,7 +26,7 @@ def test_text_functions(spark):
     assert one(spark, T.century_label, "XVIe s.", "IXe siècle", "XXe s.")[:2] == ["1501-1600", "0801-0900"]
     assert one(spark, T.is_balanced, "<a><b></b></a>", "</a><a>", "<a>", "x<br/>") == [True, False, False, True]
     assert one(spark, T.split_atoms, "Terme de <i>mer</i> et  de pêche.") == [["terme de mer", "de pêche"]]
-    assert one(spark, T.strip_discourse_tail, "figuré, encore aujourd'hui") == ["figuré"]
+    assert one(spark, N.strip_discourse_tail, "figuré, encore aujourd'hui", "absolument aussi", "au pluriel") == ["figuré,", "absolument", "au pluriel"]
 
 
 @pytest.mark.parametrize(
@@ -98,11 +99,11 @@ def test_whole_texts_of_all_languages(spark, tmp_path):
     long = "x\u00a0 y\n" * 150 + "z"
     rows = [(1, "Un <i>sel</i> et  de l'eau. Le vin\u00a0et\nle pain.", "fr"), (2, "Salt and tea. Bread\nand  wine;", "en"), (3, long, "de"), (4, None, "en"), (5, "\u00c9t\u00e9. 2\nlignes", "es")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
-    atoms = sorted((r["doc_id"], r["atom"]) for r in Q.split_atoms_whole(spark, str(tmp_path)).collect() if r["doc_id"] < 3)
+    atoms = sorted((r["doc_id"], r["atom"]) for r in Q.split_atoms(spark, str(tmp_path)).collect() if r["doc_id"] < 3)
     assert atoms == [(1, "de l'eau. le vin"), (1, "le pain"), (1, "un sel"), (2, "salt"), (2, "tea. bread"), (2, "wine")]
     flat = {i: None if t is None else " ".join(t.split()) for i, t, _ in rows}
     md5 = lambda t: None if t is None else hashlib.md5(t.encode()).hexdigest()
-    got = {r["doc_id"]: tuple(r)[1:] for r in Q.collapse_ws_whole(spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: tuple(r)[1:] for r in Q.collapse_ws(spark, str(tmp_path)).collect()}
     assert got == {i: (None, None, None) if t is None else (len(t), md5(t), t[:200]) for i, t in flat.items()}
-    slugs = {r["doc_id"]: r["slug_md5"] for r in Q.slugs_whole(spark, str(tmp_path)).collect()}
+    slugs = {r["doc_id"]: r["slug_md5"] for r in Q.slugs(spark, str(tmp_path)).collect()}
     assert slugs[5] == md5("ete_2_lignes") and slugs[3] == md5("_".join(long.split()))
