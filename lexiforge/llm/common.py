@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import gc
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +33,7 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD_CLASS + "+")).cast("long")
 
 
-def forget(spark: SparkSession) -> None:
-    """Let Spark drop shuffle files of frames that are no longer referenced."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+def row_key(*columns: Column) -> Column:
+    """128 bits of a SHA-256 over columns, nulls told from empty texts: the identity of a row's content."""
+    told = [F.concat(F.when(c.isNull(), "n").otherwise(F.concat(F.lit("v"), F.octet_length(c.cast("string")).cast("string"), F.lit(":"))), F.coalesce(c.cast("string"), F.lit(""))) for c in columns]
+    return F.substring(F.unhex(F.sha2(F.concat(*told), 256)), 1, 16)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import staged
+from ..staging import discard, staged
 
 
 def _signature(edges: DataFrame) -> tuple:
@@ -38,7 +38,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     before = None
     after = _signature(now)
     while after != before:
-        before = after
-        now = staged(_small_star(_large_star(now)), "links")
+        before, old = after, now
+        now = staged(_small_star(_large_star(old)), "links")
+        discard(old)
         after = _signature(now)
     return now

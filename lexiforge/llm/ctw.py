@@ -20,19 +20,19 @@ table; the ``HOT`` most frequent tokens are looked up in a broadcast table of bo
 size, and only the rest is shuffled, as (token, document) sums.
 
 Defined cases: null texts are empty and score their end alone; with no training text N
-and V are 0 and the base is log10 of 1 a token (0.5 / 0.5); repeated rows repeat.
+and V are 0 and the base is log10 of 1 a token (0.5 / 0.5), and every byte of the model is
+one of 256; repeated rows repeat; texts of any length are read whole, in parts; an empty
+table gives no rows; columns beyond doc_id and the text are not read.
 """
 
 from __future__ import annotations
 
-import time
-
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import staged
-from .common import forget, remainder
+from .common import remainder, row_key
 
 DEPTH, TOP = 5, 2
 BLOCK = 1 << 24
@@ -42,6 +42,7 @@ HOT_BYTES = 64
 FLUSH = 500_000
 PIECE = 1 << 20
 END = b" "  # no word holds a space
+OWN, LONG = b"  ", b"   "  # what a row of its own and the digest of a long word open with
 
 
 # -- the context tree -------------------------------------------------------------------
@@ -386,8 +387,10 @@ def laid(texts: list[bytes], depth: int):
 
 
 def tokens(text: bytes) -> list[bytes]:
-    """Words with A-Z lowered, then the end."""
-    out = text.lower().split()
+    """Words with A-Z lowered, then the end; a word of more than ``HOT_BYTES`` bytes is told by its SHA-256."""
+    from hashlib import sha256
+
+    out = [w if len(w) <= HOT_BYTES else LONG + sha256(w).digest() for w in text.lower().split()]
     out.append(END)
     return out
 
@@ -492,7 +495,6 @@ class Trained:
     def __init__(self, texts: DataFrame, depth: int = DEPTH, hot: int = HOT):
         counted = texts.mapInArrow(lambda b: count_rows(b, depth), "token binary, code long, n long")
         both = staged(counted.groupBy("token", "code").agg(F.sum("n").alias("n")), "counts")
-        forget(texts.sparkSession)
         self.counts = both.where("token is not null").select("token", "n")
         total = self.counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
         self.n, self.v = total[0], total[1]
@@ -506,7 +508,7 @@ class Trained:
         below = dealt.mapInArrow(lambda b: subtrees(b, depth, top), "key long, value double").toPandas()  # 255 * 256**top rows at most
         self.tree = Tree(tops["code"].to_numpy(), tops["n"].to_numpy(), 0, top, (below["key"].to_numpy(), below["value"].to_numpy()))
         # The least count that at most ``hot`` tokens reach, from a histogram of counts.
-        top = self.counts.where(F.length("token") <= HOT_BYTES).orderBy(F.desc("n"), "token").limit(hot)
+        top = self.counts.orderBy(F.desc("n"), "token").limit(hot)
         self.hot = {bytes(r["token"]): r["n"] for r in top.collect()}
 
 
@@ -531,7 +533,7 @@ def score_rows(batches, model, hot, n: int, v: int):
     floor = n + 0.5 * (v + 1)
     value = {t: log10((c + 0.5) / floor) for t, c in hot.items()}
     names = ["token", "times", "key", "doc_id", "held_out", "n_tokens", "known", "base", "score", "n_bytes"]
-    kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
+    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
     for batch in batches:
         key, doc_id, held = (batch.column(i).to_pylist() for i in range(3))
         texts = [t or b"" for t in batch.column(3).cast(pa.binary()).to_pylist()]
@@ -551,7 +553,7 @@ def score_rows(batches, model, hot, n: int, v: int):
                     known += c
                     base += c * x
             m = len(rare) + 1
-            own = (b" " + key[i].to_bytes(8, "little", signed=True), 0, key[i], doc_id[i], held[i], sum(words.values()), known, base, float(scores[i]), len(t))
+            own = (OWN + key[i], 0, key[i], doc_id[i], held[i], sum(words.values()), known, base, float(scores[i]), len(t))
             out[0] += [own[0], *rare]
             out[1] += [0, *times]
             out[2] += [key[i]] * m
@@ -574,8 +576,8 @@ def score_documents(docs: DataFrame, text: str = "text", depth: int = DEPTH, hot
     n, v, top = made.n, made.v, made.top
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    key = F.xxhash64("doc_id", "text")
-    keyed = rows.select(key.alias("key"), "doc_id", "held_out", "text", F.pmod(key, F.lit(size // BLOCK + 1)).alias("block"))
+    block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // BLOCK + 1))
+    keyed = rows.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "held_out", "text", block.alias("block"))
 
     def all_answers() -> DataFrame:
         asked = keyed.select("block", "text").repartition(parts, "block").sortWithinPartitions("block").mapInArrow(lambda b: questions(b, depth), "code long, n long, block long")
@@ -583,16 +585,13 @@ def score_documents(docs: DataFrame, text: str = "text", depth: int = DEPTH, hot
         return staged(both.mapInArrow(lambda b: answers(b, tree, depth, top), "block long, code long, value float"), "answers")
 
     answered = all_answers()
-    for _ in range(3):  # the texts are dealt out once more below; the first deal's files would add to them
-        forget(spark)
-        time.sleep(0.5)
 
     def score_block(texts: pa.Table, known: pa.Table) -> pa.Table:
         model = Answers(known.column("code").to_numpy(), known.column("value").to_numpy(), depth)
         batches = texts.select(["key", "doc_id", "held_out", "text"]).to_batches()
         return pa.Table.from_batches(score_rows(batches, model, hot_words.value, n, v))
 
-    schema = "token binary, times long, key long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long"
+    schema = "token binary, times long, key binary, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long"
     scored = keyed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(score_block, schema)
     joined = scored.join(made.counts, "token", "left")
     c = F.coalesce("n", F.lit(0))

@@ -11,8 +11,13 @@ draw. A source's taken words therefore miss its target by one document's size at
 Draws are hashes of the document and the level, so reruns agree. Leaves are salted, so
 a source of any share of the rows is dealt out over many tasks.
 
-Defined cases: a null text has size 0 and takes nothing; a null source is a source of
-its own, last in order; repeated rows are rounded one by one.
+Targets are worked out in one task over one row a source; tens of thousands of sources
+are little work there.
+
+Defined cases: a null or blank text has size 0 and takes nothing; a null source is a
+source of its own, last in order; repeated rows are rounded one by one; an empty table
+gives no rows, and if all sizes are 0 all targets are; columns of ``docs`` with clashing
+names are carried by ``resample`` and not read by ``mix``.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import staged
-from .common import word_count
+from .common import row_key, word_count
 
 WEIGHTS = (3, 1, 2)
 LEAF = 4096
@@ -159,9 +164,10 @@ def resample(docs: DataFrame, text: str = "text") -> DataFrame:
     their copies, dealt evenly.
     """
     kept = list(docs.columns)
-    made = mixed_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col(text)).alias("size"), draw_key(docs, text).alias("draw")))
-    total = staged(made.groupBy("draw").agg(F.sum("copies").alias("__lf_all"), F.count("*").alias("__lf_rows")).withColumnRenamed("draw", "__lf_draw"), "copies")
-    rows = docs.withColumn("__lf_key", draw_key(docs, text)).join(total.where("__lf_all > 0"), F.col("__lf_key") == F.col("__lf_draw"))
+    key = row_key(F.col("doc_id"), F.col("source"), F.col(text))
+    made = mixed_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", word_count(F.col(text)).alias("size"), draw_key(docs, text).alias("draw"), key.alias("key")))
+    total = staged(made.groupBy(F.col("key").alias("__lf_draw")).agg(F.sum("copies").alias("__lf_all"), F.count("*").alias("__lf_rows")), "copies")
+    rows = docs.withColumn("__lf_key", key).join(total.where("__lf_all > 0"), F.col("__lf_key") == F.col("__lf_draw"))
     if total.where("__lf_rows > 1").isEmpty():
         copies = F.col("__lf_all")
     else:

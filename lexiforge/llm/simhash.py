@@ -7,15 +7,17 @@ parent, and a search follows only edges within ``radius`` of the query's distanc
 trees of a partition are built and searched together, level by level, in numpy.
 
 A broadcast of all shard trees would grow with the corpus, so each shard's queries are
-brought to its tree by the shuffle instead. While the corpus has more than
-``SHARD_ROWS`` fingerprints a block value, blocks are halved once more: the remaining
-bits are cut into ``radius + 1`` parts of which again one must agree. Shards then stay
-small and no link is lost. Equal fingerprints are merged first, and a shard emits a
-spanning forest of its links, never all pairs.
+brought to its tree by the shuffle instead. A shard of more than ``SHARD_ROWS``
+fingerprints is split: its remaining bits are cut into ``radius + 1`` parts of which again
+one must agree, up to ``LEVELS`` times. A dense family then spreads over many tasks and no
+link is lost. Equal fingerprints are merged first, and a shard emits a spanning forest of
+its links, never all pairs.
 
 Defined cases: a null or blank text has fingerprint zero and links like any other; a
 null ``doc_id`` takes part, but is never the smallest id unless its component has no
-other; repeated rows repeat their result.
+other; repeated rows repeat their result; long texts are read whole, their votes counted
+4,096 shingles at a time; an empty table gives no rows; ``near_duplicates`` reads doc_id
+and text only, ``keep_one`` carries all columns, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,10 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..staging import staged
+from .common import row_key
 from .components import connected_components
 
 RADIUS = 3
-SHARD_ROWS = 64
+SHARD_ROWS, LEVELS = 4096, 3
 
 
 def fingerprint(text: bytes | None, size: int = 3, seed: int = 42) -> int:
@@ -166,43 +169,82 @@ def shard_links(batches, radius: int, least_rows: int = 100_000):
             yield out
 
 
-def _bits(low: int, width: int):
-    return F.shiftrightunsigned(F.col("fp"), low).bitwiseAND(F.lit((1 << width) - 1))
+def _bits(places: list[int]):
+    """The value of some bit places of ``fp``, as one number."""
+    runs: list[list[int]] = []
+    for x in places:
+        if runs and x == runs[-1][-1] + 1:
+            runs[-1].append(x)
+        else:
+            runs.append([x])
+    key = F.lit(0).cast("long")
+    for run in runs:
+        key = key * (1 << len(run)) + F.shiftrightunsigned(F.col("fp"), run[0]).bitwiseAND(F.lit((1 << len(run)) - 1))
+    return key
 
 
-def shards(fps: DataFrame, radius: int, deep: bool) -> DataFrame:
-    """``fps(fp)`` repeated once for each shard it belongs to, with the shard's number."""
-    parts = radius + 1
-    edge = [64 * i // parts for i in range(parts + 1)]
+def _cuts(places: list[int], parts: int) -> list[list[int]]:
+    return [places[len(places) * i // parts : len(places) * (i + 1) // parts] for i in range(parts)]
+
+
+def _blocks(route: tuple[int, ...], parts: int) -> tuple[list[int], list[int]]:
+    """(the places whose bits agree after the choices of ``route``, the places left)."""
+    held, left = [], list(range(64))
+    for i in route:
+        own = _cuts(left, parts)[i]
+        held, left = held + own, [x for x in left if x not in own]
+    return held, left
+
+
+def _split(fps: DataFrame, route: tuple[int, ...], parts: int) -> DataFrame:
+    """``fps(fp)`` once for each next part of the bits that ``route`` leaves: (route, value, fp)."""
     keys = []
     for i in range(parts):
-        low, width = edge[i], edge[i + 1] - edge[i]
-        if not deep:
-            keys.append(_bits(low, width) * 64 + i)
-            continue
-        rest = [x for x in range(64) if not low <= x < low + width]
-        cuts = [len(rest) * j // parts for j in range(parts + 1)]
-        for j in range(parts):
-            own = rest[cuts[j] : cuts[j + 1]]
-            runs: list[list[int]] = []
-            for x in own:
-                if runs and x == runs[-1][-1] + 1:
-                    runs[-1].append(x)
-                else:
-                    runs.append([x])
-            key = _bits(low, width)
-            for run in runs:
-                key = key * (1 << len(run)) + _bits(run[0], len(run))
-            keys.append(key * 64 + (i * parts + j))
-    return fps.select(F.explode(F.array(*keys)).alias("shard"), "fp")
+        held, _ = _blocks((*route, i), parts)
+        number = 0
+        for x in (*route, i):
+            number = number * (parts + 1) + x + 1
+        keys.append(F.struct(F.lit(number).cast("long").alias("route"), _bits(sorted(held)).alias("value")))
+    return fps.select(F.explode(F.array(*keys)).alias("k"), "fp").select("k.route", "k.value", "fp")
+
+
+def shards(fps: DataFrame, radius: int) -> DataFrame:
+    """``fps(fp)`` once for each shard it belongs to, (shard, fp); shards that are too large are split once more."""
+    from itertools import product
+
+    parts = radius + 1
+    done, now, level = [], _split(fps, (), parts), 1
+    while level < LEVELS:
+        large = now.groupBy("route", "value").agg(F.count("*").alias("n")).where(F.col("n") > SHARD_ROWS).select("route", "value")
+        large = staged(large, "large")
+        if large.isEmpty():
+            break
+        done.append(now.join(large, ["route", "value"], "left_anti"))
+        dense, routes = now.join(large, ["route", "value"], "left_semi"), {}
+        for route in product(range(parts), repeat=level):
+            number = 0
+            for x in route:
+                number = number * (parts + 1) + x + 1
+            routes[number] = route
+        seen = {r["route"] for r in large.select("route").distinct().collect()}  # parts ** level at most
+        deeper = [_split(dense.where(F.col("route") == n).select("fp"), routes[n], parts) for n in sorted(seen)]
+        now = deeper[0]
+        for x in deeper[1:]:
+            now = now.unionByName(x)
+        now, level = staged(now, "shards"), level + 1
+    for x in done:
+        now = now.unionByName(x)
+    return now.select(F.xxhash64("route", "value").alias("shard"), "fp")
 
 
 def link_fingerprints(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Distinct ``fps(fp)`` to links (u, v) that connect exactly what lies within ``radius``."""
+    """Distinct ``fps(fp)`` to links (u, v) that connect exactly what lies within ``radius``.
+
+    Shards that share a number by chance only share a tree: every link is checked by distance.
+    """
     spark = fps.sparkSession
-    deep = fps.count() > SHARD_ROWS << (64 // (radius + 1))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = shards(fps, radius, deep).repartition(parts, "shard").sortWithinPartitions("shard", "fp")
+    dealt = shards(fps, radius).repartition(parts, "shard").sortWithinPartitions("shard", "fp")
     return dealt.mapInArrow(lambda batches: shard_links(batches, radius), "u long, v long")
 
 
@@ -312,7 +354,7 @@ def similar_links(batches, radius: int, least: float, least_rows: int = 50_000,
         if not many.any():
             return None
         at = np.flatnonzero(many)
-        shard, node, bits = shard[at], node[at], fp[at].view(np.uint64)
+        shard, node, bits = shard[at], node.take(pa.array(at)), fp[at].view(np.uint64)
         sig = np.frombuffer(b"".join(sig[i] for i in at.tolist()), np.uint8).reshape(-1, BINS)
         sets = [np.frombuffer(own[i], "<u8") for i in at.tolist()]
         size = np.array([len(x) for x in sets])
@@ -342,11 +384,11 @@ def similar_links(batches, radius: int, least: float, least_rows: int = 50_000,
         while (up[up] != up).any():
             up = up[up]
         linked = np.flatnonzero(up != np.arange(len(at)))
-        return pa.RecordBatch.from_arrays([pa.array(node[linked]), pa.array(node[up[linked]])], ["u", "v"]) if len(linked) else None
+        return pa.RecordBatch.from_arrays([node.take(pa.array(linked)), node.take(pa.array(up[linked]))], ["u", "v"]) if len(linked) else None
 
     def columns():
-        shard, node, fp = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in kept]) for i in range(3))
-        return shard, node, fp, *([x for b in kept for x in b.column(i).to_pylist()] for i in (3, 4))
+        shard, fp = (np.concatenate([b.column(i).to_numpy(zero_copy_only=False) for b in kept]) for i in (0, 2))
+        return shard, pa.concat_arrays([b.column(1) for b in kept]), fp, *([x for b in kept for x in b.column(i).to_pylist()] for i in (3, 4))
 
     kept: list = []
     size = held = 0
@@ -387,18 +429,18 @@ def similar_components(rows: DataFrame, d: DataFrame, radius: int = SIMILAR_RADI
     # Only texts that share a key bring their sets to the shards, each shard's as often as it is shared.
     wanted = staged(dealt.join(shared, "shard").groupBy("key").agg(F.collect_set("shard").alias("shards")), "shared")
 
-    @F.arrow_udf("struct<node: long, fp: long, sig: binary, own: binary>")
+    @F.arrow_udf("struct<node: binary, fp: long, sig: binary, own: binary>")
     def sk(col: pa.Array) -> pa.Array:
         out = []
         for x in col.cast(pa.binary()).to_pylist():
             h = shingle_set(x, size)
             fp, sig = sketch(h)
             out.append({"node": node_of(h), "fp": signed(fp), "sig": sig, "own": h.tobytes()})
-        return pa.array(out, pa.struct([("node", pa.int64()), ("fp", pa.int64()), ("sig", pa.binary()), ("own", pa.binary())]))
+        return pa.array(out, pa.struct([("node", pa.binary()), ("fp", pa.int64()), ("sig", pa.binary()), ("own", pa.binary())]))
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sets = rows.join(wanted, "key").select("shards", sk(F.col("text")).alias("s")).select(F.explode("shards").alias("shard"), "s.*")
-    links = sets.repartition(parts, "shard").sortWithinPartitions("shard", "node").mapInArrow(lambda b: similar_links(b, radius, least), "u long, v long")
+    links = sets.repartition(parts, "shard").sortWithinPartitions("shard", "node").mapInArrow(lambda b: similar_links(b, radius, least), "u binary, v binary")
     stars = connected_components(links)
     comp = per.select("node", "first").join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = comp.groupBy("root").agg(F.min("first").alias("component_id"))
@@ -409,10 +451,11 @@ def signed(x: int) -> int:
     return x - (x >> 63 << 64)
 
 
-def node_of(h) -> int:
-    from xxhash import xxh64_intdigest
+def node_of(h) -> bytes:
+    """128 bits that tell a shingle set."""
+    from xxhash import xxh3_128_digest
 
-    return signed(xxh64_intdigest(h.tobytes(), 7))
+    return xxh3_128_digest(h.tobytes(), 7)
 
 
 def keep_one(docs: DataFrame, text: str = "text", size: int = SIMILAR_WORDS, radius: int = SIMILAR_RADIUS, least: float = SIMILARITY) -> DataFrame:
@@ -427,12 +470,12 @@ def keep_one(docs: DataFrame, text: str = "text", size: int = SIMILAR_WORDS, rad
     off. Of rows that repeat the smallest id, the least by text hash stays.
     """
     kept = list(docs.columns)
-    key = F.xxhash64(F.col(text), *[F.col(f"`{c}`").cast("string") for c in kept if c != text])
+    key = row_key(F.col(text), *[F.col(f"`{c}`").cast("string") for c in kept if c != text])
 
-    @F.arrow_udf("struct<node: long, keys: array<long>>")
+    @F.arrow_udf("struct<node: binary, keys: array<long>>")
     def sk(col: pa.Array) -> pa.Array:
         found = (shingle_set(x, size) for x in col.cast(pa.binary()).to_pylist())
-        return pa.array([{"node": node_of(h), "keys": [signed(k) for k in shard_keys(h)]} for h in found], pa.struct([("node", pa.int64()), ("keys", pa.list_(pa.int64()))]))
+        return pa.array([{"node": node_of(h), "keys": [signed(k) for k in shard_keys(h)]} for h in found], pa.struct([("node", pa.binary()), ("keys", pa.list_(pa.int64()))]))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
     d = staged(rows.select("doc_id", "key", sk(F.col("text")).alias("s")).select("doc_id", "key", "s.*"), "sketches")

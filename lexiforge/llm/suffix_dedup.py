@@ -21,11 +21,15 @@ How the order of all windows is found without one global suffix array:
 Equal contexts, known by 128 bits of hash, are resolved without their bytes: all but the
 first are repeated as a whole. Each task does so for its own rows before the shuffle, so
 thousands of copies of a passage or of a document reach a bucket as one row a task.
-Only buckets that hold different contexts fetch bytes and are sorted.
-
-Defined cases: a null text is empty; texts shorter than ``length`` keep all bytes; a
-null doc_id comes before all others (or with the least long, if both occur); rows equal in doc_id and text are one document and
-repeat its result; documents that share a doc_id but not a text are ordered by SHA-256.
+Only buckets that hold different contexts fetch bytes and are sorted. A bucket of more than
+``BUCKET_CONTEXTS`` different contexts is not sorted in one task: its windows are spread
+over all tasks and told by 128 bits of hash.
+
+Defined cases: a null text is empty; texts shorter than ``length`` keep all bytes; longer
+ones than a piece are read in overlapping pieces; a null doc_id comes before all others (or
+with the least long, if both occur); rows equal in doc_id and text are one document and
+repeat its result; documents that share a doc_id but not a text are ordered by SHA-256; an
+empty table gives no rows; other columns are carried, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,12 +40,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
 from ..staging import staged
-from .common import LEAST, forget
+from .common import LEAST
 
 LENGTH = 100
 GRAM = 36
 PERIOD, COVER = 7, (0, 1, 3)
 PIECE = 1 << 20
+PLACE_BITS = 22  # pieces laid end to end are shorter than two pieces and a window
+BUCKET_CONTEXTS = 20_000
 BLOCK = 1 << 20
 MERGE = 200_000
 _SALT = 0x9E3779B97F4A7C15
@@ -85,7 +91,10 @@ def window_anchors(data, ends, length: int = LENGTH, gram: int = GRAM):
     if n < length:
         return none
     h = gram_hashes(data, gram)
-    shift = np.uint64(max(1, int(n).bit_length()))
+    # Always the same bits of a hash are compared, so equal windows choose alike in any piece; ties go to the left.
+    if n > 1 << PLACE_BITS:
+        raise ValueError("a piece is too long")
+    shift = np.uint64(PLACE_BITS)
     key = (h >> shift << shift) | np.arange(len(h), dtype=np.uint64)
     span = length - gram + 1
     low, width = key, 1
@@ -389,8 +398,6 @@ def repeated_spans(d: DataFrame, text: str, many_rows: bool, length: int = LENGT
     anchors = texts.mapInArrow(lambda b: anchor_rows(b, length, gram), "h long, cx long, ord long, place long")
     dealt = anchors.repartition(parts, "h").sortWithinPartitions("h", "cx", "ord", "place")
     found = staged(dealt.mapInArrow(lambda b: resolve_buckets(b, length), "kind int, h long, ord long, s long, t long"), "buckets")
-    del anchors, dealt
-    forget(spark)
 
     wanted = found.where("kind = 1").groupBy(F.col("ord").alias("__lf_o")).agg(F.collect_list(F.struct("h", "s", "t")).alias("__lf_found"))  # bounded by the document's own length
     if many_rows:
@@ -398,9 +405,51 @@ def repeated_spans(d: DataFrame, text: str, many_rows: bool, length: int = LENGT
     # All columns go along, so that this exchange of the documents is the one the last join reuses.
     rows = d.join(wanted, F.col("__lf_ord") == F.col("__lf_o")).drop("__lf_o")
     contexts = rows.mapInArrow(lambda b: context_rows(b, text), "h long, ord long, start long, text binary")
+    spans = found.where("kind = 0").select("ord", "s", "t")
+    hot = staged(found.where("kind = 1").groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > BUCKET_CONTEXTS).select("h"), "hot")
+    if not hot.isEmpty():
+        spans = spans.unionByName(hot_spans(contexts.join(hot, "h", "left_semi"), length))
+        contexts = contexts.join(hot, "h", "left_anti")
     blocks = contexts.repartition(parts, "h").sortWithinPartitions("h", "ord", "start")
-    sorted_ = blocks.mapInArrow(lambda b: sort_buckets(b, length), "ord long, s long, t long")
-    return sorted_.unionByName(found.where("kind = 0").select("ord", "s", "t"))
+    return blocks.mapInArrow(lambda b: sort_buckets(b, length), "ord long, s long, t long").unionByName(spans)
+
+
+def window_rows(batches, length: int):
+    """Contexts (h, ord, start, text) to their windows (digest, ord, start); of equal ones in a batch the least is
+    marked by ``first`` and bears the digest into the shuffle, the others are decided."""
+    from hashlib import blake2b
+
+    for batch in batches:
+        seen: dict[bytes, tuple[int, int]] = {}
+        out: list[list] = [[], [], []]
+        for o, start, text in zip(*(batch.column(c).to_pylist() for c in ("ord", "start", "text")), strict=True):
+            for i in range(len(text) - length + 1):
+                digest, at = blake2b(text[i : i + length], digest_size=16).digest(), (o, start + i)
+                known = seen.get(digest)
+                if known is None or at < known:
+                    seen[digest] = at
+                    known, at = at, known
+                if at is not None and at != seen[digest]:
+                    for col, x in zip(out, (None, *at), strict=True):
+                        col.append(x)
+        for digest, at in seen.items():
+            for col, x in zip(out, (digest, *at), strict=True):
+                col.append(x)
+        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.binary()), *[pa.array(x, pa.int64()) for x in out[1:]]], ["digest", "ord", "start"])
+
+
+def hot_spans(contexts: DataFrame, length: int) -> DataFrame:
+    """Repeated windows (ord, s, t) of buckets too large for one task, told by 128 bits of hash.
+
+    Each window of a bucket is a row of its own, so a bucket of any size is spread over all
+    tasks; every task reduces equal windows to its first before the shuffle.
+    """
+    windows = staged(contexts.mapInArrow(lambda b: window_rows(b, length), "digest binary, ord long, start long"), "windows")
+    open_ = windows.where("digest is not null")
+    first = open_.groupBy("digest").agg(F.min(F.struct("ord", "start")).alias("first"))
+    again = open_.join(first, "digest").where(F.struct("ord", "start") != F.col("first")).select("ord", "start")
+    decided = windows.where("digest is null").select("ord", "start")
+    return again.unionByName(decided).select("ord", F.col("start").alias("s"), (F.col("start") + length).alias("t"))
 
 
 def cut(text: bytes, spans) -> tuple[bytes, list[tuple[int, int]]]:
@@ -440,7 +489,10 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
     """
     if gram > length or length - gram > 254 or length < 8:
         raise ValueError("8 <= length, gram <= length <= gram + 254")
-    kept = list(docs.columns)
+    shown = list(docs.columns)
+    kept = [f"__lf_c{i}" for i in range(len(shown))]  # names of any kind, dots included, come back at the end
+    text, doc_id = kept[shown.index(text)], kept[shown.index(doc_id)]
+    docs = docs.toDF(*kept)
     d, many_rows = numbered(docs, doc_id, text)
     spans = repeated_spans(d, text, many_rows, length, gram)
     marks = spans.groupBy(F.col("ord").alias("__lf_o")).agg(F.collect_list(F.struct("s", "t")).alias("__lf_list"))
@@ -471,7 +523,7 @@ def suffix_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", le
             yield pa.RecordBatch.from_arrays([*cols, *[pa.array(x, pa.int64()) for x in out[:3]], pa.array(out[3], pa.binary())], [*kept, *facts])
 
     assert isinstance(docs.schema[text].dataType, StringType)
-    return rows.mapInArrow(finish, schema)
+    return rows.mapInArrow(finish, schema).toDF(*shown, *facts)
 
 
 def drop_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:

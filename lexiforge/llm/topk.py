@@ -1,16 +1,30 @@
 """Exact top-k by inner product with vector-approximation files.
 
-Each vector is quantised to a cell a dimension. A scan of the cells bounds every score
-from both sides; the k-th best lower bound rules most candidates out, and the exact
-vectors of the rest are read in order of their bounds until the k-th score cannot be
-beaten (equal bounds are still read while their ids could win a tie). Queries are dealt
-in blocks of bounded size, each block is broadcast and meets every partition of all
-rows, and the partitions' bests of a query are merged by a grouped top-k.
-
-Defined cases: vectors that are null or hold a null or non-finite component take no
-part; only vectors of equal length are compared; a repeated vec_id is a candidate as
-often as it occurs, and is never its own query's; components times ``SCALE`` beyond
-2**24 in size leave the range in which scores are exact and raise an error.
+The file: every vector is quantised once, to one byte a component on a grid laid by each
+component's least and greatest value, and the cells are a stored table of their own, a
+small part of the vectors. A search has three steps.
+
+1. *Scan of the cells.* Each task takes a block of queries through its cells with one
+   matrix product. A cell's centre gives a score, and the half widths of all cells, the
+   same for every vector, give how far the exact score can lie from it. A task carries
+   each query's k-th best lower bound from batch to batch and hands on only what can still
+   reach it; the k-th best lower bound over all tasks then cuts the rest.
+2. *Exact vectors, best bounds first.* For each query the ``READ`` * k vectors of the
+   greatest bounds are read by id and scored exactly.
+3. *Until the k-th is certain.* Only where a remaining bound reaches the k-th exact score
+   are more vectors read; equal bounds are, for their ids could win a tie.
+
+Queries are dealt in blocks of bounded size (``BLOCK_BYTES``): a stated query set against
+all rows, one scan of the cells a block. Exact scores are sums of whole numbers: in doubles
+where these hold them, else in numbers of any size.
+
+Defined cases: vectors that are null or hold a null or non-finite component, and rows
+without an id, take no part; only vectors of equal length are compared, empty ones have
+score 0; a repeated vec_id is a candidate as often as it occurs and never its own query's;
+equal query rows are one query, rows of one vec_id with different vectors are queries of
+their own; ties go to the smaller vec_id; a score beyond a long is given as the nearest
+long, after ranking by the exact one; an empty table, or no queries, give no rows; columns
+beyond id and vector are not read.
 """
 
 from __future__ import annotations
@@ -22,108 +36,201 @@ from pyspark.sql import functions as F
 from ..staging import staged
 
 SCALE = 256
-CELLS = 32
-BLOCK = 4096
-READ = 64
+CELLS = 256
+READ = 4
+BLOCK_BYTES = 1 << 25
+_LONG = 2**63
 
 
 def integer_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, v): floor(SCALE * x) of each component, of the vectors that take part."""
+    """(vec_id, v): floor(SCALE * x) of each component as a whole double, of the vectors that take part."""
     x = F.transform(F.col(vector), lambda e: e.cast("double"))
-    fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
+    fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e * SCALE) < float("inf")))
     d = rows.where(F.col(vector).isNotNull() & F.col(vec_id).isNotNull()).where(fine)
-    return d.select(F.col(vec_id).cast("long").alias("vec_id"), F.transform(x, lambda e: F.floor(e * SCALE).cast("long")).alias("v"))
+    # Beyond 2**52 a double is whole already, and a long could not hold it.
+    whole = F.transform(x, lambda e: F.when(F.abs(e * SCALE) < float(1 << 52), F.floor(e * SCALE).cast("double")).otherwise(e * SCALE))
+    return d.select(F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v"))  # a negative zero stays zero in every sum
 
 
-def cell_bounds(v, low, width):
-    """Each component's cell, as the least and greatest value in it."""
+class Grid:
+    """Least value and cell width of each component, for the vectors of one length."""
+
+    def __init__(self, low, high):
+        import numpy as np
+
+        self.low = np.array(low, float)
+        # In halves, for the whole range may exceed the greatest double.
+        self.width = np.maximum((np.array(high, float) / 2 - self.low / 2) / (CELLS / 2), 2.0**-20)
+        self.reach = np.maximum(np.abs(self.low), np.abs(np.array(high, float)))
+
+    def cells(self, v):
+        import numpy as np
+
+        return np.clip(np.floor(v / self.width - self.low / self.width), 0, CELLS - 1).astype(np.uint8)
+
+    def approximate(self, q, cells):
+        """(scores of the cells' centres, how far exact scores can lie from them) for rows of queries."""
+        import numpy as np
+
+        with np.errstate(over="ignore", invalid="ignore"):
+            centre = (q @ (self.low + self.width / 2))[:, None] + (q * self.width) @ cells.astype(np.float64).T
+            size = np.abs(q)
+            # Half a cell, and what doubles lose on the way.
+            slack = size @ self.width * 0.5 * (1 + 1e-9) + (size @ (self.reach + self.width)) * (len(self.low) + 4) * 2.0**-51
+            return np.nan_to_num(centre, nan=0.0, posinf=0.0, neginf=0.0), np.where(np.isfinite(slack) & np.isfinite(centre).all(axis=1), slack, np.inf)
+
+
+def matrix_of(column, n: int):
+    """The rows of an array column, all of length ``n``, as a matrix."""
+    import numpy as np
+
+    return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, n) if n else np.zeros((len(column), 0))
+
+
+def by_length(batch, at: int):
+    """(length, row numbers) of an array column."""
+    import numpy as np
+
+    sizes = np.diff(batch.column(at).offsets.to_numpy())
+    return [(n, np.flatnonzero(sizes == n)) for n in np.unique(sizes).tolist()]
+
+
+def extremes(batches):
+    """(vec_id, v) to each component's least and greatest value in a batch: (n, d, low, high)."""
+    import numpy as np
+
+    for batch in batches:
+        for n, own in by_length(batch, 1):
+            if n:
+                v = matrix_of(batch.column(1).take(pa.array(own)), n)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, n, np.int32)), pa.array(np.arange(n, dtype=np.int32)), pa.array(v.min(axis=0)), pa.array(v.max(axis=0))], ["n", "d", "low", "high"])
+
+
+def cell_rows(batches, grids: dict):
+    """(vec_id, v) to (vec_id, n, cells)."""
     import numpy as np
 
-    cell = np.floor_divide(v - low, width).astype(np.int16)
-    floor = low + cell.astype(np.int64) * width
-    return floor.astype(np.float64), (floor + width - 1).astype(np.float64)
+    for batch in batches:
+        for n, own in by_length(batch, 1):
+            part = batch.take(pa.array(own))
+            cells = grids[n].cells(matrix_of(part.column(1), n))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.full(len(own), n, np.int32)), pa.array([c.tobytes() for c in cells], pa.binary())], ["vec_id", "n", "cells"])
+
 
+def scan_cells(batches, blocks: dict, grids: dict, k: int):
+    """(vec_id, n, cells) to what can still be among the k best of a query: (q, vec_id, low, high)."""
+    import numpy as np
 
-def search_block(q_ids, q, ids, v, k: int, cells: int = CELLS, read: int = READ):
-    """The k best (score, id) of the rows for each query, without the query's own id."""
+    held = {n: np.full((len(q), k), -np.inf) for n, (_, _, q) in blocks.items()}  # the k best lower bounds so far
+    for batch in batches:
+        ids, lengths = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_numpy(zero_copy_only=False)
+        for n in np.unique(lengths).tolist():
+            if n not in blocks:
+                continue
+            own = np.flatnonzero(lengths == n)
+            cells = np.frombuffer(b"".join(batch.column(2).take(pa.array(own)).to_pylist()), np.uint8).reshape(len(own), n)
+            number, q_ids, q = blocks[n]
+            for at in range(0, len(q), 512):
+                part = slice(at, min(at + 512, len(q)))
+                centre, slack = grids[n].approximate(q[part], cells)
+                low, high = centre - slack[:, None], centre + slack[:, None]
+                same = q_ids[part, None] == ids[own][None, :]
+                low[same] = high[same] = -np.inf
+                best = np.concatenate([held[n][part], low], axis=1)
+                held[n][part] = -np.partition(-best, k - 1, axis=1)[:, :k]
+                row, col = np.nonzero((high >= held[n][part].min(axis=1)[:, None]) & ~same)
+                if len(row):
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (number[part][row], ids[own][col], low[row, col], high[row, col])], ["q", "vec_id", "low", "high"])
+
+
+def exact_scores(a, b) -> list[int]:
+    """Inner products of the rows of two matrices of whole doubles."""
     import numpy as np
 
-    low = v.min(axis=0)
-    width = np.maximum(1, -(-(v.max(axis=0) - low + 1) // cells))
-    least, most = cell_bounds(v, low, width)
-    order_ids = np.argsort(ids, kind="stable")
-    ids, v, least, most = ids[order_ids], v[order_ids], least[order_ids], most[order_ids]
-    exact = v.astype(np.float64)
-    out = []
-    for at in range(0, len(q), 128):
-        part = q[at : at + 128].astype(np.float64)
-        up, down = np.maximum(part, 0), np.minimum(part, 0)
-        high = up @ most.T + down @ least.T
-        floor = up @ least.T + down @ most.T
-        own = q_ids[at : at + 128, None] == ids[None, :]
-        high[own] = -np.inf
-        floor[own] = -np.inf
-        n = len(ids)
-        sure = np.partition(floor, n - k, axis=1)[:, n - k] if n > k else np.full(len(part), -np.inf)
-        for i in range(len(part)):
-            open_ = np.flatnonzero((high[i] >= sure[i]) & ~own[i])
-            open_ = open_[np.argsort(-high[i, open_], kind="stable")]  # by bound, then by id
-            best: list[tuple[float, int]] = []
-            for start in range(0, len(open_), read):
-                if len(best) == k and best[-1][0] < -high[i, open_[start]]:
-                    break
-                own_ = open_[start : start + read]
-                if len(best) == k:  # an equal bound with a later id cannot win
-                    own_ = own_[(high[i, own_] > -best[-1][0]) | (ids[own_] < best[-1][1])]
-                scores = exact[own_] @ part[i]
-                best = sorted(best + list(zip((-scores).tolist(), ids[own_].tolist(), strict=True)))[:k]
-            out.append([(int(-s), j) for s, j in best])
+    if not a.shape[1]:
+        return [0] * len(a)
+    with np.errstate(over="ignore"):
+        sizes = np.abs(a).max(axis=1) * np.abs(b).max(axis=1) * a.shape[1]
+    fits = sizes < 2.0**53
+    out: list[int] = [0] * len(a)
+    for i, s in zip(np.flatnonzero(fits).tolist(), np.einsum("ij,ij->i", a[fits], b[fits]).tolist(), strict=True):
+        out[i] = int(s)
+    for i in np.flatnonzero(~fits).tolist():
+        out[i] = sum(int(x) * int(y) for x, y in zip(a[i].tolist(), b[i].tolist(), strict=True))
     return out
 
 
+def score_rows(batches):
+    """(q, query_id, vec_id, qv, v) to (q, query_id, vec_id, score, exact): ``exact`` sorts as the number does."""
+    import numpy as np
+
+    names = ["q", "query_id", "vec_id", "score", "exact"]
+    for batch in batches:
+        for n, own in by_length(batch, 3):
+            part = batch.take(pa.array(own))
+            alike = np.diff(part.column(4).offsets.to_numpy()) == n
+            part = part.filter(pa.array(alike))
+            s = exact_scores(matrix_of(part.column(3), n), matrix_of(part.column(4), n))
+            clipped = [max(-_LONG, min(_LONG - 1, x)) for x in s]
+            # Sign, count of digits, digits: as text these rank like the numbers.
+            told = [f"1{len(str(x)):05d}{x}" if x >= 0 else "0" + "".join(chr(105 - ord(c)) for c in f"{len(str(-x)):05d}{-x}") for x in s]
+            yield pa.RecordBatch.from_arrays([*[part.column(i) for i in range(3)], pa.array(clipped, pa.int64()), pa.array(told, pa.string())], names)
+
+
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of each row of ``queries`` against all ``rows``."""
     spark = rows.sparkSession
-    data = integer_vectors(rows, vec_id, vector)
-    asked = staged(integer_vectors(queries, vec_id, vector).distinct(), "queries")
-    blocks = max(1, -(-asked.count() // BLOCK))
-    asked = asked.withColumn("b", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)))
-
-    def found(block: int) -> DataFrame:
-        rows_ = asked.where(F.col("b") == block).select("vec_id", "v").collect()  # about BLOCK vectors
-        shared = spark.sparkContext.broadcast([(r["vec_id"], list(r["v"])) for r in rows_])
-
-        def scan(batches):
-            import numpy as np
-
-            by_size: dict[int, list] = {}
-            for i, v in shared.value:
-                by_size.setdefault(len(v), []).append((i, v))
-            sets = {n: (np.array([i for i, _ in x]), np.array([v for _, v in x], np.int64).reshape(len(x), n)) for n, x in by_size.items()}
-            for batch in batches:
-                ids = batch.column(0).to_numpy(zero_copy_only=False)
-                col = batch.column(1)
-                sizes = np.diff(col.offsets.to_numpy())
-                flat = col.flatten().to_numpy(zero_copy_only=False)
-                edge = np.r_[0, np.cumsum(sizes)]
-                out: list[tuple[int, int, int]] = []
-                for n in np.unique(sizes).tolist():
-                    if n not in sets or n == 0:
-                        continue
-                    own = np.flatnonzero(sizes == n)
-                    v = flat[(edge[own][:, None] + np.arange(n)).ravel()].reshape(-1, n)
-                    q_ids, q = sets[n]
-                    if max(np.abs(v).max(), np.abs(q).max()) > 1 << 24 or n > 1 << 5 and np.abs(v).max() * np.abs(q).max() * n >= 1 << 53:
-                        raise ValueError("components too large for exact scores")
-                    for query, best in zip(q_ids.tolist(), search_block(q_ids, q, ids[own], v, k), strict=True):
-                        out += [(query, j, s) for s, j in best]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["query_id", "vec_id", "score"])
-
-        return data.mapInArrow(scan, "query_id long, vec_id long, score long")
-
-    every = found(0)
-    for b in range(1, blocks):
-        every = every.unionByName(found(b))
-    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    asked = staged(integer_vectors(queries, vec_id, vector).distinct().withColumn("n", F.size("v")), "queries")
+    data = integer_vectors(rows, vec_id, vector).withColumn("n", F.size("v"))
+    ends = data.select("vec_id", "v").mapInArrow(extremes, "n int, d int, low double, high double").groupBy("n", "d").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    grids: dict[int, Grid] = {0: Grid([], [])}
+    found: dict[int, list] = {}
+    for r in ends.orderBy("n", "d").collect():  # one row a component
+        found.setdefault(r["n"], []).append((r["low"], r["high"]))
+    for n, x in found.items():
+        grids[n] = Grid([a for a, _ in x], [b for _, b in x])
+    shared = spark.sparkContext.broadcast(grids)
+    cells = staged(data.select("vec_id", "v").mapInArrow(lambda b: cell_rows(b, shared.value), "vec_id long, n int, cells binary"), "cells")
+
+    total = asked.agg(F.count("*"), F.max("n")).first()
+    block = max(1, BLOCK_BYTES // (8 * max(1, total[1] or 1)))
+    blocks = max(1, -(-total[0] // block))
+    numbered = staged(asked.withColumn("q", F.xxhash64("vec_id", "v")), "asked")
+    open_ = []
+    for b in range(blocks):
+        open_.append(_scan(numbered.where(F.pmod("q", F.lit(blocks)) == b), cells, shared, k))
+    bounds = open_[0]
+    for x in open_[1:]:
+        bounds = bounds.unionByName(x)
+    bounds = staged(bounds, "bounds")
+    best = Window.partitionBy("q").orderBy(F.desc("low"))
+    least = bounds.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).groupBy("q").agg(F.min("low").alias("sure"), F.count("*").alias("c"))
+    least = least.select("q", F.when(F.col("c") < k, F.lit(float("-inf"))).otherwise(F.col("sure")).alias("sure"))
+    left = bounds.join(least, "q").where(F.col("high") >= F.col("sure")).groupBy("q", "vec_id").agg(F.max("high").alias("high"))
+    left = staged(left.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("high"), "vec_id"))), "open")
+
+    def read(wanted: DataFrame) -> DataFrame:
+        pairs = wanted.select("q", "vec_id").join(data.select("vec_id", "v"), "vec_id")
+        pairs = pairs.join(numbered.select("q", F.col("vec_id").alias("query_id"), F.col("v").alias("qv")), "q")
+        return pairs.select("q", "query_id", "vec_id", "qv", "v").mapInArrow(score_rows, "q long, query_id long, vec_id long, score long, exact string")
+
+    ranked = Window.partitionBy("q", "query_id").orderBy(F.desc("exact"), "vec_id")
+    first = staged(read(left.where(F.col("r") <= READ * k)), "first")
+    kth = first.withColumn("r", F.row_number().over(ranked)).where(F.col("r") == k).groupBy("q").agg(F.min("score").alias("kth"))
+    # The k-th score as a double, rounded down; what a long cannot hold rules nothing out.
+    floor = F.when(F.col("kth") > -_LONG, F.col("kth").cast("double") * (1 - F.signum("kth") * 2.0**-52))
+    rest = staged(left.where(F.col("r") > READ * k).join(kth, "q", "left").where(floor.isNull() | (F.col("high") >= floor)), "rest")
+    every = first if rest.isEmpty() else first.unionByName(read(rest))
     return every.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
+def _scan(block: DataFrame, cells: DataFrame, grids, k: int) -> DataFrame:
+    """Bounds (q, vec_id, low, high) of what one block of queries leaves open."""
+    import numpy as np
+
+    own: dict[int, list] = {}
+    for r in block.select("q", "vec_id", "v", "n").collect():  # about BLOCK_BYTES
+        own.setdefault(r["n"], []).append((r["q"], r["vec_id"], r["v"]))
+    packed = {n: (np.array([a for a, _, _ in x]), np.array([b for _, b, _ in x]), np.array([c for _, _, c in x], float).reshape(len(x), n)) for n, x in own.items()}
+    shared = block.sparkSession.sparkContext.broadcast(packed)
+    return cells.mapInArrow(lambda b: scan_cells(b, shared.value, grids.value, k), "q long, vec_id long, low double, high double")

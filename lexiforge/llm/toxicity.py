@@ -4,12 +4,19 @@ A logistic model over the set of a text's lower-cased words and of their beginni
 (``PREFIXES`` letters, which stand for a root with its endings). Its loss adds, for every
 training sentence that names a group, the squared change of its score when the identity
 term is swapped for another of the same kind, so that group names carry no weight of
-their own and neutral mentions are not marked. Training takes a bounded sample of the
-labelled rows (``TRAIN_ROWS``) and a bounded vocabulary (``WORDS``); scoring reads every
-whole text and looks its words up in the broadcast weights.
+their own and neutral mentions are not marked. Each term also comes in the neutral
+sentences of ``TEMPLATES``, so terms that no labelled text holds are swapped as well.
+
+Bounds, all parameters: training takes ``TRAIN_ROWS`` labelled rows by a hash of id and
+text, ``WORDS`` features by the difference of their shares (of those in ``LEAST_DOCS``
+documents), and of each identity term ``TERM_PAIRS`` swapped sentences by a hash of the
+sentence; none depends on how rows are laid out. Every fitted weight is kept. Scoring reads
+every whole text and looks its words up in the broadcast weights.
 
 Defined cases: null and empty texts get the score of no words at all; with no labels
-every score is 0; a doc_id that is labelled several times counts as toxic if any is.
+every score is 0, with one class of them all are that class; a doc_id that is labelled
+several times counts as toxic if any label is; rows equal in id and text teach once and are
+scored alike; an empty table gives no rows; columns beyond the ones named are not read.
 """
 
 from __future__ import annotations
@@ -17,7 +24,7 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import staged
@@ -28,7 +35,10 @@ TRAIN_ROWS = 20_000
 WORDS = 20_000
 PREFIXES = (5, 6, 7, 8)
 LEAST_DOCS = 5
-SENTENCES = 20_000
+TERM_PAIRS = 200
+
+#: Neutral sentences that any identity term completes.
+TEMPLATES = ("I met {} today", "the {} in our street", "they said that {} came", "a {} wrote this")
 
 #: Identity terms by kind; terms of one kind are swapped for one another.
 IDENTITY = {
@@ -66,24 +76,36 @@ def swapped(words: set[str]) -> list[set[str]]:
 
 
 def word_rows(batches):
-    """(toxic, text) to (toxic, features, sentences' swaps as pairs of feature lists)."""
-    pair = pa.list_(pa.list_(pa.string()))
-    schema = pa.schema([("toxic", pa.int32()), ("words", pa.list_(pa.string())), ("pairs", pa.list_(pair))])
+    """(toxic, text) to (toxic, features, swaps); a swap is a term, a sentence's hash, its features and those of the swapped one."""
+    from xxhash import xxh64_intdigest
+
+    swap = pa.struct([("term", pa.string()), ("h", pa.int64()), ("own", pa.list_(pa.string())), ("other", pa.list_(pa.string()))])
+    schema = pa.schema([("toxic", pa.int32()), ("words", pa.list_(pa.string())), ("swaps", pa.list_(swap))])
     for batch in batches:
-        rows: dict[str, list] = {"toxic": [], "words": [], "pairs": []}
+        rows: dict[str, list] = {"toxic": [], "words": [], "swaps": []}
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             w = words_of(text)
-            pairs = []
-            if w & TERMS.keys():
-                for s in SENTENCE.findall(text):
-                    own = words_of(s)
-                    pairs += [[sorted(features(own)), sorted(features(x))] for x in swapped(own)]
+            swaps = []
+            for s in SENTENCE.findall(text) if w & TERMS.keys() else ():
+                own = words_of(s)
+                h = xxh64_intdigest(" ".join(sorted(own)).encode("utf-8", "replace")) >> 1
+                swaps += [{"term": term, "h": h, "own": sorted(features(own)), "other": sorted(features(x))} for term, x in zip(sorted(own & TERMS.keys()), swapped(own), strict=True)]
             rows["toxic"].append(y)
             rows["words"].append(sorted(features(w)))
-            rows["pairs"].append(pairs)
+            rows["swaps"].append(swaps)
         yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
 
+def template_pairs() -> list[tuple[set[str], set[str]]]:
+    """Features of each neutral sentence with each term, and with the next term of its kind."""
+    out = []
+    for sentence in TEMPLATES:
+        for term in sorted(TERMS):
+            own = words_of(sentence.format(term))
+            out += [(features(own), features(x)) for x in swapped(own)]
+    return out
+
+
 def fit(rows, pairs, size: int, fairness: float = 1.0, decay: float = 1e-4, rounds: int = 250):
     """Rows (toxic, feature ids) and pairs (ids, ids of the swapped sentence) to (bias, weights)."""
     import numpy as np
@@ -121,42 +143,42 @@ def fit(rows, pairs, size: int, fairness: float = 1.0, decay: float = 1e-4, roun
     return float(bias), w
 
 
-def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, words: int = WORDS):
+_SWAPS = "array<struct<term: string, h: long, own: array<string>, other: array<string>>>"
+
+
+def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, words: int = WORDS, term_pairs: int = TERM_PAIRS):
     """Rows (doc_id, text, toxic) to (bias, weight by feature).
 
     Documents are counted by feature on the executors; only the ``words`` features whose
     share of toxic and of other documents differs most become the vocabulary, and only
     ids of these reach the driver.
     """
-    sample = bounded_sample(labelled.where("toxic is not null"), train_rows)
-    seen = staged(sample.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(word_rows, "toxic int, words array<string>, pairs array<array<array<string>>>"), "features")
+    sample = bounded_sample(labelled.where("toxic is not null").dropDuplicates(["doc_id", "text"]), train_rows, key=("doc_id", "text"))
+    seen = staged(sample.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(word_rows, f"toxic int, words array<string>, swaps {_SWAPS}"), "features")
     total = {r["toxic"]: r["count"] for r in seen.groupBy("toxic").count().collect()}
     if not total:
         return -1e9, {}
     pos, neg = F.sum("toxic"), F.sum(1 - F.col("toxic"))
     per = seen.select("toxic", F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.abs(pos / F.lit(total.get(1, 0) + 1.0) - neg / F.lit(total.get(0, 0) + 1.0)).alias("gap"))
     vocabulary = [r["w"] for r in per.where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("gap"), "w").limit(words).select("w").collect()]
+    templates = template_pairs()
     index = {w: i for i, w in enumerate(sorted({*vocabulary, *features(TERMS)}))}
-    known = seen.sparkSession.sparkContext.broadcast(index)
+    known = seen.sparkSession.sparkContext.broadcast(index)  # ``words`` features and those of the terms
 
     def ids(batches):
         at = known.value
-        pair = pa.list_(pa.list_(pa.int32()))
-        schema = pa.schema([("toxic", pa.int32()), ("x", pa.list_(pa.int32())), ("pairs", pa.list_(pair))])
-        code = lambda ws: [at[w] for w in ws if w in at]
+        schema = pa.schema([("toxic", pa.int32()), ("x", pa.list_(pa.int32()))])
         for batch in batches:
-            t, ws, ps = (c.to_pylist() for c in batch.columns)
-            yield pa.RecordBatch.from_pydict({"toxic": t, "x": [code(w) for w in ws], "pairs": [[[code(a), code(b)] for a, b in p] for p in ps]}, schema=schema)
-
-    rows, pairs = [], []
-    for r in seen.mapInArrow(ids, "toxic int, x array<int>, pairs array<array<array<int>>>").toLocalIterator():  # TRAIN_ROWS at most
-        rows.append((r["toxic"], sorted(r["x"])))
-        if len(pairs) < SENTENCES:
-            pairs += [(sorted(a), sorted(b)) for a, b in r["pairs"]]
-    rows.sort()
-    pairs.sort()
-    bias, w = fit(rows, pairs, len(index))
-    return bias, {t: float(w[i]) for t, i in index.items() if abs(w[i]) > 0.05}
+            t, ws = (c.to_pylist() for c in batch.columns)
+            yield pa.RecordBatch.from_pydict({"toxic": t, "x": [[at[w] for w in own if w in at] for own in ws]}, schema=schema)
+
+    rows = sorted((r["toxic"], sorted(r["x"])) for r in seen.select("toxic", "words").mapInArrow(ids, "toxic int, x array<int>").toLocalIterator())  # TRAIN_ROWS at most
+    swaps = seen.select(F.explode("swaps").alias("s")).select("s.*").dropDuplicates(["term", "h"])
+    chosen = swaps.withColumn("r", F.row_number().over(Window.partitionBy("term").orderBy("h"))).where(F.col("r") <= term_pairs)
+    pairs = [(r["own"], r["other"]) for r in chosen.select("own", "other").toLocalIterator()]  # TERM_PAIRS a term at most
+    coded = sorted(tuple(sorted(index[w] for w in side if w in index) for side in pair) for pair in [*pairs, *templates])
+    bias, w = fit(rows, coded, len(index))
+    return bias, {t: float(w[i]) for t, i in index.items() if w[i]}
 
 
 def scorer(spark, bias: float, weights: dict[str, float]):
