@@ -2,7 +2,8 @@
 
 A stage is a Parquet table in the folder that ``spark.checkpoint.dir`` names, which
 every executor and the driver share; a lost executor costs a re-read, never a
-recomputation of the lineage above it.
+recomputation of the lineage above it. The shuffles that made a stage are deleted with
+the write's end, and a stage that nothing reads any more can be discarded.
 """
 
 from __future__ import annotations
@@ -14,35 +15,61 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_written: list[tuple[SparkSession, str]] = []
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_written: dict[str, SparkSession] = {}
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The shared folder; only a session that names none (tests) gets a temporary one."""
+    """The shared folder. A session in one process that names none (tests) gets a folder of its own; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="lexiforge-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
+@contextlib.contextmanager
+def _shuffles_end_with_their_query(spark: SparkSession):
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and return a reader of it."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/lexiforge/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _written.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_end_with_their_query(spark):
+        df.write.parquet(path)
+    _written[path] = spark
+    out = spark.read.schema(df.schema).parquet(path)
+    out.lexiforge_stage = path
+    return out
 
 
-def release() -> None:
-    """Delete every staged table of this process; frames read from them end here."""
-    while _written:
-        spark, path = _written.pop()
+def discard(df: DataFrame) -> None:
+    """Delete a staged table that nothing will read again; frames read from it end here."""
+    _delete(getattr(df, "lexiforge_stage", ""))
+
+
+def _delete(path: str) -> None:
+    spark = _written.pop(path, None)
+    if spark is not None:
         with contextlib.suppress(Exception):  # the session may have ended
             jvm = spark._jvm
             target = jvm.org.apache.hadoop.fs.Path(path)
             target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release() -> None:
+    """Delete every staged table of this process."""
+    for path in list(_written):
+        _delete(path)
+
+
 atexit.register(release)
