@@ -31,8 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import staged
-from .common import remainder, row_key
+from ..staging import discard, staged
+from .common import remainder
 
 DEPTH, TOP = 5, 2
 BLOCK = 1 << 24
@@ -520,8 +520,26 @@ def nearest(top: int):
 # -- scoring ----------------------------------------------------------------------------
 
 
-def score_rows(batches, model, hot, n: int, v: int):
-    """(key, doc_id, held_out, text) to one row a document and one a token that is not hot.
+SCORED = pa.schema(
+    [
+        ("token", pa.binary()),
+        ("times", pa.int64()),
+        ("key", pa.int64()),
+        ("doc_id", pa.int64()),
+        ("held_out", pa.bool_()),
+        ("n_tokens", pa.int64()),
+        ("known", pa.int64()),
+        ("base", pa.float64()),
+        ("score", pa.float64()),
+        ("n_bytes", pa.int64()),
+    ]
+)
+
+
+def score_rows(batches, model, hot, n: int, v: int, block: int):
+    """(doc_id, held_out, text) of one block to one row a document and one a token that is not hot.
+
+    ``key`` numbers the rows of a block, which one task makes and a stage then keeps.
 
     A document's own row bears a token that no corpus holds, so the join keeps it apart.
     """
@@ -532,11 +550,13 @@ def score_rows(batches, model, hot, n: int, v: int):
 
     floor = n + 0.5 * (v + 1)
     value = {t: log10((c + 0.5) / floor) for t, c in hot.items()}
-    names = ["token", "times", "key", "doc_id", "held_out", "n_tokens", "known", "base", "score", "n_bytes"]
-    kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.int64()]
+    names, kinds = SCORED.names, SCORED.types
+    number = block << 32
     for batch in batches:
-        key, doc_id, held = (batch.column(i).to_pylist() for i in range(3))
-        texts = [t or b"" for t in batch.column(3).cast(pa.binary()).to_pylist()]
+        doc_id, held = (batch.column(i).to_pylist() for i in range(2))
+        texts = [t or b"" for t in batch.column(2).cast(pa.binary()).to_pylist()]
+        key = range(number, number + len(texts))
+        number += len(texts)
         scores = np.zeros(len(texts))
         for data, who, begin in laid(texts, model.depth):
             np.add.at(scores, who, model.score(data, begin))
@@ -553,7 +573,7 @@ def score_rows(batches, model, hot, n: int, v: int):
                     known += c
                     base += c * x
             m = len(rare) + 1
-            own = (OWN + key[i], 0, key[i], doc_id[i], held[i], sum(words.values()), known, base, float(scores[i]), len(t))
+            own = (OWN + key[i].to_bytes(8, "little"), 0, key[i], doc_id[i], held[i], sum(words.values()), known, base, float(scores[i]), len(t))
             out[0] += [own[0], *rare]
             out[1] += [0, *times]
             out[2] += [key[i]] * m
@@ -577,7 +597,7 @@ def score_documents(docs: DataFrame, text: str = "text", depth: int = DEPTH, hot
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     block = F.pmod(F.xxhash64("doc_id", "text"), F.lit(size // BLOCK + 1))
-    keyed = rows.select(row_key(F.col("doc_id"), F.col("text")).alias("key"), "doc_id", "held_out", "text", block.alias("block"))
+    keyed = rows.select("doc_id", "held_out", "text", block.alias("block"))
 
     def all_answers() -> DataFrame:
         asked = keyed.select("block", "text").repartition(parts, "block").sortWithinPartitions("block").mapInArrow(lambda b: questions(b, depth), "code long, n long, block long")
@@ -588,11 +608,13 @@ def score_documents(docs: DataFrame, text: str = "text", depth: int = DEPTH, hot
 
     def score_block(texts: pa.Table, known: pa.Table) -> pa.Table:
         model = Answers(known.column("code").to_numpy(), known.column("value").to_numpy(), depth)
-        batches = texts.select(["key", "doc_id", "held_out", "text"]).to_batches()
-        return pa.Table.from_batches(score_rows(batches, model, hot_words.value, n, v))
+        batches = texts.select(["doc_id", "held_out", "text"]).to_batches()
+        block = texts.column("block")[0].as_py() if texts.num_rows else 0
+        return pa.Table.from_batches(score_rows(batches, model, hot_words.value, n, v, block), SCORED)
 
-    schema = "token binary, times long, key binary, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long"
-    scored = keyed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(score_block, schema)
+    schema = "token binary, times long, key long, doc_id long, held_out boolean, n_tokens long, known long, base double, score double, n_bytes long"
+    scored = staged(keyed.groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(score_block, schema), "scored")
+    discard(answered)
     joined = scored.join(made.counts, "token", "left")
     c = F.coalesce("n", F.lit(0))
     own = F.col("n_tokens").isNotNull()
@@ -603,23 +625,21 @@ def score_documents(docs: DataFrame, text: str = "text", depth: int = DEPTH, hot
         }
     )
     per = joined.groupBy("key").agg(
-        F.count("n_tokens").alias("rows"),
         F.max("doc_id").alias("doc_id"),
         F.max("held_out").alias("held_out"),
         F.max("n_tokens").alias("n_tokens"),
-        F.sum("known").alias("known"),
-        F.sum("base").alias("base"),
+        F.sum("known").cast("long").alias("n_known"),
+        F.sum("base").alias("base_score"),
         F.max("score").alias("score"),
         F.max("n_bytes").alias("n_bytes"),
     )
-    per = per.withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("rows").cast("int"))))  # equal rows
     return per.select(
         "doc_id",
         "held_out",
         "n_tokens",
-        F.floor(F.col("known") / F.col("rows")).cast("long").alias("n_known"),
+        "n_known",
         F.lit(n).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("rows")).alias("base_score"),
+        "base_score",
         "score",
         (-F.col("score") / 0.30102999566398120 / (F.col("n_bytes") + 1)).alias("bits_per_byte"),
     )
