@@ -80,3 +80,41 @@ def verdicts(spans: DataFrame, found: DataFrame) -> DataFrame:
     s, m = spans.withColumn("block", block), found.select(F.col("source").alias("file"), "line", F.floor(F.col("line") / 1024).alias("block"))
     hit = s.join(m, ["file", "block"]).where("line between first_line and last_line").select("file", "id", "first_line").distinct().withColumn("hit", F.lit(True))
     return spans.join(hit, ["file", "id", "first_line"], "left").select("id", F.when(F.col("hit"), "invalid").otherwise("valid").alias("verdict"))
+
+
+def errors_by_source(found: DataFrame) -> DataFrame:
+    """(source, errors): every message of a rendered entry's file, in the order of its lines."""
+    each = F.array_sort(F.collect_list(F.struct(F.coalesce("line", F.lit(0)).alias("line"), "signature")))
+    return found.groupBy("source").agg(F.transform(each, lambda x: x["signature"]).alias("errors"))
+
+
+def entry_results(entries: DataFrame, found: DataFrame) -> DataFrame:
+    """(id, errors) of each of ``entries(id, source)``: none if nothing is said of its file."""
+    return entries.join(errors_by_source(found), "source", "left").select("id", F.coalesce("errors", F.array().cast("array<string>")).alias("errors"))
+
+
+def baseline_lines(results: DataFrame, documents: DataFrame | None = None) -> DataFrame:
+    """(part, n, value): the lines of a baseline file, to be written in the order of part, n and value.
+
+    Counts, ranked signatures, messages outside any entry (``documents(value)``), and the
+    invalid entries by id with their messages.
+    """
+    spark = results.sparkSession
+    bad = F.size("errors") > 0
+    c = results.agg(F.count("*").alias("total"), F.count_if(~bad).alias("valid"), F.count_if(bad).alias("invalid"))
+    named = [F.struct(F.lit(i).cast("long").alias("n"), F.concat(F.lit(k + "\t"), F.col(k).cast("string")).alias("value")) for i, k in enumerate(("total", "valid", "invalid"))]
+    counts = c.select(F.lit(0).alias("part"), F.explode(F.array(*named)).alias("x")).select("part", "x.*")
+    heads = spark.createDataFrame([(1, 0, "# ranked error signatures"), (3, 0, "# document-level errors"), (5, 0, "# invalid entries")], "part int, n long, value string")
+    ranked = results.select(F.explode("errors").alias("s")).groupBy("s").agg(F.count("*").alias("k"))
+    ranked = ranked.select(F.lit(2).alias("part"), (-F.col("k")).alias("n"), F.concat(F.col("k").cast("string"), F.lit("\t"), "s").alias("value"))
+    invalid = results.where(bad).select(F.lit(6).alias("part"), F.lit(0).cast("long").alias("n"), F.concat("id", F.lit("\t"), F.array_join("errors", " | ")).alias("value"))
+    out = counts.unionByName(heads).unionByName(ranked).unionByName(invalid)
+    if documents is not None:
+        said = documents.where(F.col("value").rlike(r"^.*?\.xml:\d+:\d+:\s*(?:error|fatal)"))
+        out = out.unionByName(said.select(F.lit(4).alias("part"), F.lit(0).cast("long").alias("n"), F.trim("value").alias("value")))
+    return out
+
+
+def write_baseline(lines: DataFrame, folder: str) -> None:
+    """The lines as text; parts in the order of their names make up the file."""
+    lines.orderBy("part", "n", "value").select("value").write.mode("overwrite").text(folder)

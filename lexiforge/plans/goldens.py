@@ -822,6 +822,143 @@ EXPECTED = {
             ('voile.2', 'VOILE', "voi-l' ; plusieurs disent autrement, selon les lieux"),
         ],
     ),
+    "scan_folder": (
+        "file_ord INTEGER, source_file VARCHAR, entry_ord INTEGER, kind VARCHAR, path VARCHAR, headword VARCHAR, content VARCHAR, source_line INTEGER",
+        [
+            (1, 'a.xml', 1, 'entry', '', 'A', None, 2),
+            (1, 'a.xml', 1, 'indent', '1.1.1', None, 'y', 3),
+            (1, 'a.xml', 1, 'sense', '1.1', None, 'x', 3),
+            (2, 'a_prep.xml', 1, 'entry', '', 'A2', None, 2),
+            (2, 'a_prep.xml', 1, 'indent', '1.1.1', None, 'y', 3),
+            (2, 'a_prep.xml', 1, 'sense', '1.1', None, 'x', 3),
+            (3, 'b.xml', 1, 'entry', '', 'B', None, 1),
+            (3, 'b.xml', 1, 'sense', '1.1', None, 'b', 1),
+        ],
+    ),
+    "load_patches": (
+        "source_file VARCHAR, content VARCHAR, n_patches INTEGER",
+        [
+            ('c.xml', 'trois mot, un autre', 3),
+        ],
+    ),
+    "load_verdicts": (
+        "source_file VARCHAR, source_line INTEGER, check VARCHAR, verdict VARCHAR, state VARCHAR",
+        [
+            ('v.xml', 24, 'Autre', 'Figurative', 'used'),
+            ('v.xml', 25, 'Pas ce texte', 'Figurative', 'used'),
+            ('v.xml', 26, '', 'Nonsense', 'unknown role'),
+        ],
+    ),
+    "load_adjudications": (
+        "xml_id VARCHAR, label VARCHAR",
+        [
+            ('a_s1.1', 'metonymic_subsense'),
+            ('b_s1.1', 'proverb'),
+        ],
+    ),
+    "load_norms": (
+        "label VARCHAR, printed VARCHAR, target VARCHAR, reading VARCHAR",
+        [
+            ('argot', 'argot', 'usg', 'socioCultural=slang'),
+            ('familièrement', 'familièrement', 'usg', 'hint='),
+            ('mot vieux', 'mot vieux', 'usg', 'temporal=old'),
+            ('n. c.', 'n. c.', 'gram', 'pos=noun gender=common'),
+            ('n. x.', 'n. x.', 'gram', 'pos=noun subtype=proper'),
+            ('par jeu de mots', 'par jeu de mots', 'usg', 'attitude=playful'),
+            ('s. m.', 's. m.', 'usg', 'hint='),
+            ('seul et au duel', 'au duel', 'gram', 'number=dual'),
+            ('seul et au duel', 'seul', 'gram', 'construction=alone'),
+            ("terme d'art", "terme d'art", 'usg', 'domain='),
+            ('x.', 'x.', 'usg', 'hint='),
+        ],
+    ),
+    "load_languages": (
+        "line VARCHAR, i INTEGER, kind VARCHAR, cit_type VARCHAR, language VARCHAR, expand VARCHAR, gloss VARCHAR, text VARCHAR",
+        [
+            ('du v. klg. <i>ab</i>, mot', 0, 'connector', None, None, None, None, 'du'),
+            ('du v. klg. <i>ab</i>, mot', 1, 'cit', 'etymon', 'tlh-x-old', '', 'mot', None),
+            ('klg. <i>ab</i>', 0, 'cit', 'cognate', 'tlh', 'klingon', '', None),
+            ('lat. <i>ab</i>', 0, 'suspect', None, None, None, None, 'lat.'),
+            ('lat. <i>ab</i>', 1, 'cit', 'cognate', '', None, '', None),
+        ],
+    ),
+    "probe_verdicts": (
+        "id VARCHAR, observed VARCHAR, expected VARCHAR, agrees BOOLEAN",
+        [
+            ('a', 'valid', 'valid', True),
+            ('b', 'invalid', 'valid', False),
+            ('c', 'valid', 'missing', False),
+            ('d', 'missing', 'invalid', False),
+        ],
+    ),
+    "validation_report": (
+        "value VARCHAR",
+        [
+            ('# document-level errors',),
+            ('# invalid entries',),
+            ('# ranked error signatures',),
+            ('/t/corpus.xml:3:1: error: header wrong',),
+            ('1\tb wrong',),
+            ('1\tnot well-formed XML',),
+            ('2\ta wrong',),
+            ('e2\tb wrong | a wrong',),
+            ('e4\ta wrong',),
+            ('e5\tnot well-formed XML',),
+            ('invalid\t3',),
+            ('total\t5',),
+            ('valid\t2',),
+        ],
+    ),
+    "corpus_fragments": (
+        "entry_ord INTEGER, id VARCHAR, batch BIGINT, fragment_md5 VARCHAR",
+        [
+            (0, 'esque', 0, 'e84d1d2ce3acbbf02e4ee7ff9b51286a'),
+            (1, 'mot_1_1', 0, '3f15cf54231625f3ce264d7529077d63'),
+            (2, 'voile.1', 1, '01b1c2aa95d426796d2c277b93d34c4d'),
+            (3, 'voile.2', 1, '2654d81dee123a6bb80458c4b250fa0d'),
+            (4, 'mot_1_2', 2, 'c17eaa27bf109dba5149b7c150d1d5e4'),
+            (5, 'mot_2', 2, '9cf4517edbae73be80a61c68f63085a7'),
+        ],
+    ),
+    "tei_document": (
+        "first_line VARCHAR, last_line VARCHAR, n_lines BIGINT, n_entries BIGINT, first_entry VARCHAR, n_hoists BIGINT, n_prose BIGINT",
+        [
+            ('<?xml version="1.0" encoding="UTF-8"?>', '</TEI>', 334, 6, '  <entry xml:id="esque" xml:lang="fr-x-lit19c" type="mainEntry">', 1, 1),
+        ],
+    ),
+    "written_tables": (
+        "table_name VARCHAR, n_rows BIGINT, columns VARCHAR",
+        [
+            ('citations', 5, 'citation_id,sense_id,text_plain,text_markup,author,resolved_author,reference,is_hidden'),
+            ('entries', 6, 'entry_id,headword,homograph_index,pronunciation,pos,is_supplement,source_letter'),
+            ('locutions', 2, 'sense_id,canonical_form'),
+            ('review_queue', 43, 'review_id,entry_id,headword,phase,flag_type,reason,context,resolution,resolved_by'),
+            ('rubriques', 7, 'rubrique_id,entry_id,rubrique_type,content_plain,content_markup'),
+            ('senses', 51, 'sense_id,entry_id,parent_sense_id,num,indent_id,xml_id,sense_type,role,content_plain,content_markup,is_supplement,transition_type,transition_form,transition_pos,depth'),
+        ],
+    ),
+    "stored_index": (
+        "term VARCHAR, df BIGINT, cf BIGINT",
+        [
+            ('corbeille', 3, 3),
+            ('de', 2, 3),
+            ('le', 2, 3),
+            ('une', 2, 2),
+            ('voy', 2, 2),
+        ],
+    ),
+    "release_manifest": (
+        "n_files BIGINT, held VARCHAR",
+        [
+            (1, 'deux un'),
+        ],
+    ),
+    "corrected_sample": (
+        "source_file VARCHAR, source_line INTEGER, content VARCHAR",
+        [
+            ('v.xml', 45, 'Genre inconnu.'),
+        ],
+    ),
     "dict_q22_search_senses": (
         "sense_id BIGINT, headword VARCHAR, sense_type VARCHAR, content_plain VARCHAR",
         [

@@ -14,6 +14,7 @@ from ..operators import sequence as S
 from ..sources.dictionary import scan_files
 from . import goldens, sample
 from .build import Dictionary, role_by_text
+from .files import FILE_QUERIES
 
 # -- the user's SQL over the built tables -----------------------------------------------
 
@@ -481,7 +482,7 @@ _DATA = (author_locf, id_dedup, scope_inter, scope_intra, neighbour_texts, path_
 
 _RICH = (rich_entries, rich_resumes, rich_senses, rich_citations, rich_locutions, rich_forms, rich_rubriques, rich_flags, rich_samples, rich_metrics, rich_mismatches, rich_tei, rich_hoists, rich_pronunciations)
 
-_OWN = (*_RICH, dict_q22_search_senses, dict_q23_search_citations, dict_etymology_segments, dict_pos_readings, route_labels, bare_labels)
+_OWN = (*_RICH, *FILE_QUERIES, dict_q22_search_senses, dict_q23_search_citations, dict_etymology_segments, dict_pos_readings, route_labels, bare_labels)
 
 QUERIES = {**{n: _user(n) for n in USER_SQL}, **{f.__name__: f for f in _OWN}, **{f.__name__: f for f in _DATA}}
 
