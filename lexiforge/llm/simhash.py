@@ -22,6 +22,8 @@ and text only, ``keep_one`` carries all columns, whatever their names.
 
 from __future__ import annotations
 
+import math
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -273,6 +275,7 @@ def hex_fingerprint(fp="fp"):
 
 SIMILAR_WORDS, SIMILAR_RADIUS, SIMILARITY = 5, 28, 0.8
 BINS, KEYS = 128, 6
+SIMILAR_ROWS = 20_000  # a larger shard is dealt out by the sizes of its sets
 DEVIATIONS = 6  # how far below its mean the agreement of two sketches may lie
 
 
@@ -425,9 +428,9 @@ def similar_components(rows: DataFrame, d: DataFrame, radius: int = SIMILAR_RADI
     one = d.groupBy("node").agg(F.min("doc_id").alias("first"), F.min("key").alias("key"), F.any_value("keys").alias("keys"))
     per = staged(one, "nodes")
     dealt = per.select(F.explode("keys").alias("shard"), "key")
-    shared = dealt.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1").select("shard")
+    shared = dealt.groupBy("shard").agg(F.count("*").alias("n")).where("n > 1").select("shard", (F.col("n") > SIMILAR_ROWS).alias("large"))
     # Only texts that share a key bring their sets to the shards, each shard's as often as it is shared.
-    wanted = staged(dealt.join(shared, "shard").groupBy("key").agg(F.collect_set("shard").alias("shards")), "shared")
+    wanted = staged(dealt.join(shared, "shard").groupBy("key").agg(F.collect_set(F.struct("shard", "large")).alias("shards")), "shared")
 
     @F.arrow_udf("struct<node: binary, fp: long, sig: binary, own: binary>")
     def sk(col: pa.Array) -> pa.Array:
@@ -439,7 +442,11 @@ def similar_components(rows: DataFrame, d: DataFrame, radius: int = SIMILAR_RADI
         return pa.array(out, pa.struct([("node", pa.binary()), ("fp", pa.int64()), ("sig", pa.binary()), ("own", pa.binary())]))
 
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sets = rows.join(wanted, "key").select("shards", sk(F.col("text")).alias("s")).select(F.explode("shards").alias("shard"), "s.*")
+    sets = rows.join(wanted, "key").select("shards", sk(F.col("text")).alias("s")).select(F.explode("shards").alias("k"), "s.*")
+    # Sets that are similar enough differ in size by one band at most, so each goes to its own band and the next.
+    band = F.floor(F.log(F.octet_length("own") / 8) / math.log(1.001 / least))
+    bands = F.array(*[F.xxhash64("k.shard", band + i) for i in (0, 1)])
+    sets = sets.select(F.explode(F.when(F.col("k.large"), bands).otherwise(F.array("k.shard"))).alias("shard"), "node", "fp", "sig", "own")
     links = sets.repartition(parts, "shard").sortWithinPartitions("shard", "node").mapInArrow(lambda b: similar_links(b, radius, least), "u binary, v binary")
     stars = connected_components(links)
     comp = per.select("node", "first").join(stars.withColumnsRenamed({"u": "node", "v": "root"}), "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -467,7 +474,8 @@ def keep_one(docs: DataFrame, text: str = "text", size: int = SIMILAR_WORDS, rad
     with probability s, so a pair of 0.8 is missed once in 15,000, more similar ones less
     often. Inside these shards the BK-trees' radius of 28 of 64 bits (such texts differ in
     10 to 12 on average) and the sketches only pass over what lies five or six deviations
-    off. Of rows that repeat the smallest id, the least by text hash stays.
+    off. A shard of more than ``SIMILAR_ROWS`` texts is dealt out by bands of set sizes, which
+    loses no pair. Of rows that repeat the smallest id, the least by text hash stays.
     """
     kept = list(docs.columns)
     key = row_key(F.col(text), *[F.col(f"`{c}`").cast("string") for c in kept if c != text])

@@ -18,7 +18,7 @@ How the order of all windows is found without one global suffix array:
 3. Neighbours in suffix order that share ``length`` bytes form classes, and every
    window but the earliest of its class is repeated.
 
-Equal contexts, known by 128 bits of hash, are resolved without their bytes: all but the
+Equal contexts, known by 128 bits of hash beside their anchor's 64, are resolved without their bytes: all but the
 first are repeated as a whole. Each task does so for its own rows before the shuffle, so
 thousands of copies of a passage or of a document reach a bucket as one row a task.
 Only buckets that hold different contexts fetch bytes and are sorted. A bucket of more than
@@ -133,8 +133,20 @@ def context_hashes(data, start, stop):
     return (prefix[stop] - prefix[start]) * powers(np.uint64(pow(base, -1, 1 << 64)))[start] ^ (stop - start).astype(np.uint64)
 
 
+def second_hashes(data, start, stop, width: int):
+    """Other 64-bit hashes of ``data[start:stop]``: of three strings of ``width`` bytes that cover it."""
+    import numpy as np
+
+    h = gram_hashes(data, width)
+    out = (stop - start).astype(np.uint64)
+    for at in (start, (start + stop - width) // 2, stop - width):
+        out = (out ^ h[at]) * np.uint64(0xC2B2AE3D27D4EB4F)
+        out ^= out >> np.uint64(31)
+    return out
+
+
 def anchor_rows(batches, length: int, gram: int):
-    """Batches (ord, text) to rows (h, cx, ord, place) of contexts.
+    """Batches (ord, text) to rows (h, cx, cy, ord, place) of contexts.
 
     place = first window << 16 | repeated << 8 | windows - 1. A context that this task has
     already met earlier in document order is marked repeated and keeps no bucket.
@@ -149,17 +161,18 @@ def anchor_rows(batches, length: int, gram: int):
         origin = np.array([base for _, base, _ in pieces], dtype=np.int64) - np.r_[0, ends[:-1]]
         orders = np.array([o for o, _, _ in pieces], dtype=np.int64)[which]
         cx = context_hashes(data, first, last + length)
-        return h.view(np.int64), cx.view(np.int64), orders, (first + origin[which]) << 16 | (last - first)
+        cy = second_hashes(data, first, last + length, -(-(2 * length - gram) // 3))  # three of them cover the longest context
+        return h.view(np.int64), cx.view(np.int64), cy.view(np.int64), orders, (first + origin[which]) << 16 | (last - first)
 
     def merged(held):
-        h, cx, o, place = (np.concatenate(x) for x in zip(*held, strict=True))
-        order = np.lexsort((place, o, cx, h))
-        h, cx, o, place = h[order], cx[order], o[order], place[order]
-        again = np.r_[False, (h[1:] == h[:-1]) & (cx[1:] == cx[:-1])]
+        h, cx, cy, o, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        order = np.lexsort((place, o, cy, cx, h))
+        h, cx, cy, o, place = h[order], cx[order], cy[order], o[order], place[order]
+        again = np.r_[False, (h[1:] == h[:-1]) & (cx[1:] == cx[:-1]) & (cy[1:] == cy[:-1])]
         place[again] |= 1 << 8
         h[again] = o[again] * 0x2545F491 + place[again]  # any partition will do
-        cx[again] = 0
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, cx, o, place)], ["h", "cx", "ord", "place"])
+        cx[again] = cy[again] = 0
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (h, cx, cy, o, place)], ["h", "cx", "cy", "ord", "place"])
 
     pieces: list = []
     held: list = []
@@ -189,10 +202,10 @@ def resolve_buckets(batches, length: int):
     import numpy as np
 
     def solve(held):
-        h, cx, o, place = (np.concatenate(x) for x in zip(*held, strict=True))
+        h, cx, cy, o, place = (np.concatenate(x) for x in zip(*held, strict=True))
         marked = (place >> 8 & 1) == 1
         new_h = np.r_[True, h[1:] != h[:-1]]
-        new_cx = new_h | np.r_[True, cx[1:] != cx[:-1]] | marked | np.r_[False, marked[:-1]]
+        new_cx = new_h | np.r_[True, (cx[1:] != cx[:-1]) | (cy[1:] != cy[:-1])] | marked | np.r_[False, marked[:-1]]
         group = np.cumsum(new_h) - 1
         different = np.bincount(group, new_cx & ~marked)[group] > 1
         kind = np.where(marked | ~new_cx, 0, np.where(different, 1, 2))
@@ -202,7 +215,7 @@ def resolve_buckets(batches, length: int):
 
     held: list = []
     for batch in batches:
-        rows = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        rows = tuple(batch.column(i).to_numpy(zero_copy_only=False) for i in range(5))
         if not len(rows[0]):
             continue
         held.append(rows)
@@ -395,8 +408,8 @@ def repeated_spans(d: DataFrame, text: str, many_rows: bool, length: int = LENGT
     texts = d.select(F.col("__lf_ord").alias("ord"), F.col(text).alias("text"))
     if many_rows:
         texts = texts.groupBy("ord").agg(F.first("text").alias("text"))
-    anchors = texts.mapInArrow(lambda b: anchor_rows(b, length, gram), "h long, cx long, ord long, place long")
-    dealt = anchors.repartition(parts, "h").sortWithinPartitions("h", "cx", "ord", "place")
+    anchors = texts.mapInArrow(lambda b: anchor_rows(b, length, gram), "h long, cx long, cy long, ord long, place long")
+    dealt = anchors.repartition(parts, "h").sortWithinPartitions("h", "cx", "cy", "ord", "place")
     found = staged(dealt.mapInArrow(lambda b: resolve_buckets(b, length), "kind int, h long, ord long, s long, t long"), "buckets")
 
     wanted = found.where("kind = 1").groupBy(F.col("ord").alias("__lf_o")).agg(F.collect_list(F.struct("h", "s", "t")).alias("__lf_found"))  # bounded by the document's own length

@@ -232,7 +232,9 @@ def brute_keep_one(rows):
     return {r[0] for r, m in zip(rows, least, strict=True) if r[0] == m}
 
 
-def test_keep_one_decides_by_similarity(spark):
+@pytest.mark.parametrize("large", [20_000, 1])
+def test_keep_one_decides_by_similarity(spark, monkeypatch, large):
+    monkeypatch.setattr(simhash, "SIMILAR_ROWS", large)
     rows = similar_pairs(11, 400, lambda rng: rng.uniform(0.72, 0.88))
     want = brute_keep_one(rows)
     assert 550 < len(want) < 700
