@@ -205,6 +205,9 @@ TRANSITIONS = ("NatureLabel", "VoiceTransition")
 ORDER = ["source_file", "entry_ord"]
 
 
+TABLES = ("entries", "senses", "citations", "locutions", "rubriques", "review_queue")
+
+
 def _json(**values: Column) -> Column:
     return F.to_json(F.struct(*[v.alias(k) for k, v in values.items()]), {"ignoreNullFields": "false"})
 
@@ -307,18 +310,25 @@ class Dictionary:
         r = number_rows(r.join(self.entries.select(*ENTRY, "entry_id"), ENTRY), [*ORDER, "rubrique"], "rubrique_id")
         return r.select("rubrique_id", "entry_id", "rubrique_type", strip_tags(F.col("m")).alias("content_plain"), F.col("m").alias("content_markup"))
 
+    def table(self, name: str) -> DataFrame:
+        """One of the six tables with the contract's columns; nothing that it does not need is built."""
+        if name == "entries":
+            nulled = [F.expr(f"nullif({c}, '')").alias(c) for c in ("pronunciation", "pos")]
+            return self.entries.select("entry_id", "headword", "homograph_index", *nulled, F.col("is_supplement").cast("int").alias("is_supplement"), "source_letter")
+        if name == "senses":
+            return self.senses.drop("canonical_form", "canonical_form_source", "method", "metonymic", *ENTRY, "src_path", "source_line")
+        if name == "locutions":
+            return self.senses.where("role = 'Locution' and canonical_form <> '' and not metonymic").select("sense_id", "canonical_form")
+        return {"citations": lambda: self.citations, "rubriques": lambda: self.rubriques, "review_queue": lambda: self.flags}[name]()
+
     @property
     def contract(self) -> dict[str, DataFrame]:
-        """The six tables with the contract's columns."""
-        e = self.entries.select("entry_id", "headword", "homograph_index", F.expr("nullif(pronunciation, '')").alias("pronunciation"), F.expr("nullif(pos, '')").alias("pos"), F.col("is_supplement").cast("int").alias("is_supplement"), "source_letter")
-        own = ["canonical_form", "canonical_form_source", "method", "metonymic", *ENTRY, "src_path", "source_line"]
-        locutions = self.senses.where("role = 'Locution' and canonical_form <> '' and not metonymic").select("sense_id", "canonical_form")
-        return {"entries": e, "senses": self.senses.drop(*own), "citations": self.citations, "locutions": locutions, "rubriques": self.rubriques, "review_queue": self.flags}
+        return {name: self.table(name) for name in TABLES}
 
-    def register(self) -> None:
+    def register(self, names: tuple[str, ...] = TABLES) -> None:
         """The contract's tables as temporary views."""
-        for name, df in self.contract.items():
-            df.createOrReplaceTempView(name)
+        for name in names:
+            self.table(name).createOrReplaceTempView(name)
 
     def write(self, folder: str) -> DataFrame:
         """The six tables as Parquet (an older build is replaced), and (table, n_rows) of what was written."""

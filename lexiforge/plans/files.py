@@ -172,7 +172,7 @@ def stored_index(spark, d):
     """Terms of the small dictionary's senses with their frequencies, from the stored postings."""
     from .queries import dictionary, index_of
 
-    dictionary(spark).register()
+    dictionary(spark).register(("senses",))
     index = index_of(spark, ("small-plain", "senses"), lambda: spark.table("senses").select("sense_id", F.col("content_plain").alias("t")), "sense_id", "t")
     return index.terms().where("cf > 1")
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from ..operators import lookup as L
 from ..operators import sequence as S
 from ..sources.dictionary import scan_files
 from . import goldens, sample
-from .build import Dictionary, role_by_text
+from .build import TABLES, Dictionary, role_by_text
 from .files import FILE_QUERIES
 
 # -- the user's SQL over the built tables -----------------------------------------------
@@ -84,7 +85,7 @@ def ask(spark: SparkSession, name: str, **arguments) -> DataFrame:
 
 def _user(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        dictionary(spark).register()
+        dictionary(spark).register(tuple(t for t in TABLES if re.search(rf"\b{t}\b", USER_SQL[name])))
         return ask(spark, name, **(ARGUMENTS | {"pattern": ARGUMENTS.get(name)}))
 
     return run
@@ -108,14 +109,14 @@ def search(spark: SparkSession, view: str, key: str, text: str, terms: list[str]
 
 
 def dict_q22_search_senses(spark, d):
-    dictionary(spark).register()
+    dictionary(spark).register(("entries", "senses"))
     hits = search(spark, "senses", "sense_id", "content_plain", ["corbeille"])
     found = hits.join(spark.table("senses"), "sense_id").join(spark.table("entries"), "entry_id")
     return found.orderBy("score", "sense_id").select("sense_id", "headword", "sense_type", "content_plain")
 
 
 def dict_q23_search_citations(spark, d):
-    dictionary(spark).register()
+    dictionary(spark).register(("entries", "senses", "citations"))
     hits = search(spark, "citations", "citation_id", "text_plain", ["panier", "vide"])
     c = hits.join(spark.table("citations"), "citation_id").join(spark.table("senses").select("sense_id", "entry_id"), "sense_id").join(spark.table("entries"), "entry_id")
     return c.orderBy("score", "citation_id").select("citation_id", "headword", "resolved_author", "reference", "text_plain")
@@ -193,7 +194,7 @@ def rich_pronunciations(spark, d):
 
 
 def dict_pos_readings(spark, d):
-    dictionary(spark).register()
+    dictionary(spark).register(("entries",))
     e = spark.table("entries").select("entry_id", F.explode(N.parse_pos(F.col("pos"))).alias("g"))
     return e.select("entry_id", "g.kind", "g.norm", "g.printed")
 
