@@ -7,11 +7,16 @@ source; where they differ, as backslashes before a control string make them, the
 rendered again with every backslash escaped too, which always reads back. The parser
 needs no level: an escape is a backslash before a control string or a backslash.
 
-Turns are rendered in parallel before the shuffle. A conversation's turns are then
-streamed in order through one digest state, so memory does not grow with its length.
+Turns are rendered in parallel before the shuffle, each with its loss mask: the span of the
+rendered text, in characters, on which a model is trained (the text of an assistant's turn).
+``formatted_texts`` gives whole conversations with their masks. For digests a
+conversation's turns are streamed in order through one state, in one task, so memory does
+not grow with its length.
 
 Defined cases: null text is empty, a null role is the empty role; turns of equal number
-are ordered by role and text, null turns come first; a null conv_id is one conversation.
+are ordered by role and text, null turns come first; a null conv_id is one conversation;
+repeated rows are repeated turns; long texts are escaped and read whole; an empty table
+gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -88,21 +93,70 @@ def round_trip(role: str, text: str) -> str:
     raise ParseError("no level reads back")  # level 1 always does
 
 
-def rendered_turns(turns: DataFrame) -> DataFrame:
-    """Rows (conv_id, turn, role, text) with ``formatted``, each read back and compared."""
+LOSS_ROLES = ("assistant",)
 
-    @F.arrow_udf("string")
+
+def rendered_turns(turns: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) -> DataFrame:
+    """Rows (conv_id, turn, role, text) with ``formatted``, each read back and compared, and its loss span.
+
+    ``loss_start`` and ``loss_end`` are character offsets in ``formatted``; null where no loss is taken.
+    """
+    kind = pa.struct([("formatted", pa.string()), ("loss_start", pa.int64()), ("loss_end", pa.int64())])
+
+    @F.arrow_udf("struct<formatted: string, loss_start: long, loss_end: long>")
     def fmt(role: pa.Array, text: pa.Array) -> pa.Array:
-        return pa.array([round_trip(r or "", t or "") for r, t in zip(role.to_pylist(), text.to_pylist(), strict=True)], pa.string())
+        out = []
+        for r, t in zip(role.to_pylist(), text.to_pylist(), strict=True):
+            made = round_trip(r or "", t or "")
+            (_, _, start, end) = parse(made)[0]
+            taken = r in loss_roles
+            out.append({"formatted": made, "loss_start": start if taken else None, "loss_end": end if taken else None})
+        return pa.array(out, kind)
 
-    return turns.withColumn("formatted", fmt(F.col("role"), F.col("text")))
+    return turns.withColumn("__lf_f", fmt(F.col("role"), F.col("text"))).select(*turns.columns, "__lf_f.*")
 
 
-def conversation_digests(rows: DataFrame) -> DataFrame:
-    """One row a conversation, from what the parser reads in the rendered turns."""
+def _in_order(rows: DataFrame, *columns: str) -> DataFrame:
+    """A conversation's turns, one after the other, in one task."""
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    narrow = rows.select("conv_id", "turn", "role", "text", "formatted")
-    dealt = narrow.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "formatted")
+    return rows.repartition(parts, "conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select(*columns)
+
+
+def formatted_texts(turns: DataFrame, loss_roles: tuple[str, ...] = LOSS_ROLES) -> DataFrame:
+    """(conv_id, formatted, loss): each whole conversation and the spans (start, end) of its loss mask."""
+    narrow = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    dealt = _in_order(rendered_turns(narrow, loss_roles), "conv_id", "formatted", "loss_start", "loss_end")
+    span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+    schema = pa.schema([("conv_id", pa.int64()), ("formatted", pa.string()), ("loss", pa.list_(span))])
+
+    def whole(batches):
+        held: dict | None = None
+
+        def done(x):
+            return {"conv_id": x["conv_id"], "formatted": "".join(x["parts"]), "loss": x["loss"]}
+
+        for batch in batches:
+            out = []
+            for r in batch.to_pylist():
+                if held is None or held["conv_id"] != r["conv_id"]:
+                    if held is not None:
+                        out.append(done(held))
+                    held = {"conv_id": r["conv_id"], "parts": [], "loss": [], "at": 0}
+                if r["loss_start"] is not None:
+                    held["loss"].append({"start": held["at"] + r["loss_start"], "end": held["at"] + r["loss_end"]})
+                held["parts"].append(r["formatted"])
+                held["at"] += len(r["formatted"])
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema)
+        if held is not None:
+            yield pa.RecordBatch.from_pylist([done(held)], schema)
+
+    return dealt.mapInArrow(whole, "conv_id long, formatted string, loss array<struct<start: long, end: long>>")
+
+
+def conversation_digests(rows: DataFrame) -> DataFrame:
+    """One row a conversation, from what the parser and the loss mask read in the rendered turns."""
+    dealt = _in_order(rows, "conv_id", "formatted", "loss_start", "loss_end")
     names = ["conv_id", "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"]
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64()]
 
@@ -115,7 +169,7 @@ def conversation_digests(rows: DataFrame) -> DataFrame:
         state = None
         for batch in batches:
             out = []
-            for conv, formatted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for conv, formatted, loss_start, loss_end in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if state is None or state[0] != conv:
                     if state is not None:
                         out.append(done(state))
@@ -123,9 +177,10 @@ def conversation_digests(rows: DataFrame) -> DataFrame:
                 for role, text, _, _ in parse(formatted):
                     state[1] += 1
                     state[2].update(f"{role}\n{text}\n".encode())
-                    if role == "assistant":
-                        state[3] += len(text)
-                        state[4].update(text.encode())
+                if loss_start is not None:
+                    taught = unescape(formatted[loss_start:loss_end])
+                    state[3] += len(taught)
+                    state[4].update(taught.encode())
                 state[5] += len(formatted)
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), kinds, strict=True)], names)

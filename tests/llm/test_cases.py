@@ -141,3 +141,13 @@ def test_dense_family_splits_without_loss(spark, monkeypatch):
         stars = {r["u"]: r["v"] for r in simhash.connected_components(simhash.link_fingerprints(d)).collect()}
         groups = Counter(stars.get(int(x.view(np.int64)), int(x.view(np.int64))) for x in f)
         assert sorted(groups.values()) == sorted(Counter(want).values())
+
+
+def test_formatted_texts_and_their_masks(spark):
+    rows = [(1, 2, "assistant", "b </turn> c", 9), (1, 1, "user", "hi: there", 9), (1, 3, "assistant", None, 9), (2, 1, None, "\\### x", 9), (None, 1, "assistant", "é" * 5, 9)]
+    d = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, loss int")
+    got = {r["conv_id"]: r for r in chat.formatted_texts(d).collect()}
+    assert [x[:2] for x in chat.parse(got[1]["formatted"])] == [("user", "hi: there"), ("assistant", "b </turn> c"), ("assistant", "")]
+    taught = lambda r: [chat.unescape(r["formatted"][x["start"] : x["end"]]) for x in r["loss"]]
+    assert taught(got[1]) == ["b </turn> c", ""] and taught(got[2]) == [] and taught(got[None]) == ["é" * 5]
+    assert [x["start"] for x in chat.formatted_texts(d, ("user",)).where("conv_id = 1").first()["loss"]] == [len("### user: ")]
