@@ -303,6 +303,8 @@ EXPECTED = {
             ('mot_1_1', 'MOT_1', None, None, None, 0, 'a'),
             ('mot_1_2', 'MOT', None, None, None, 0, 'v'),
             ('mot_2', 'MOT', None, None, None, 0, 'v'),
+            ('rendre', 'RENDRE', None, None, 'v. a.', 0, 'w'),
+            ('venir', 'VENIR', None, None, None, 0, 'w'),
             ('voile.1', 'VOILE', 1, "voi-l'", 's. m.', 0, 'v'),
             ('voile.2', 'VOILE', 2, "voi-l' ; plusieurs disent autrement, selon les lieux", 's. f. tout neuf', 1, 'v'),
         ],
@@ -367,6 +369,31 @@ EXPECTED = {
             (49, 'voile.2', None, 1, 'voile.2.1', 'voile.2_s1', 'sense', None, 'Toile de vent.', 'Toile de vent.', 0, None, None, None, 0),
             (50, 'mot_1_2', None, None, 'mot_1_2.1', 'mot_1_2_s1', 'sense', None, 'Une chose dite.', 'Une chose dite.', 0, None, None, None, 0),
             (51, 'mot_2', None, None, 'mot_2.1', 'mot_2_s1', 'sense', None, 'Une autre.', 'Une autre.', 0, None, None, None, 0),
+            (52, 'rendre', None, 1, 'rendre.1', 'rendre_s1', 'sense', None, 'Remettre.', 'Remettre.', 0, None, None, None, 0),
+            (53, 'rendre', 52, None, 'rendre.1.1', 'rendre_s1.1', 'locution', 'Locution', 'Dit sans virgule ni forme', 'Dit sans virgule ni forme', 0, None, None, None, 1),
+            (54, 'rendre', 52, None, 'rendre.1.2', 'rendre_s1.2', 'locution', 'Locution', 'Rendre gorge, vomir.', 'Rendre gorge, vomir.', 0, None, None, None, 1),
+            (55, 'rendre', None, None, None, 'rendre_s2', 'homonymic_entry', None, 'SE RENDRE, v. réfl. Aller.', 'SE RENDRE, v. réfl. Aller.', 0, 'strong', 'SE RENDRE', 'v. réfl', 0),
+            (56, 'rendre', 55, 2, 'rendre.2', 'rendre_s2.1', 'sense', None, 'Céder.', 'Céder.', 0, None, None, None, 1),
+            (57, 'rendre', 56, None, 'rendre.2.1', 'rendre_s2.1.1', 'figurative', 'Figurative', 'Fig. Se donner.', 'Fig. Se donner.', 0, None, None, None, 2),
+            (58, 'venir', None, 1, 'venir.1', 'venir_s1', 'sense', None, 'Arriver.', 'Arriver.', 0, None, None, None, 0),
+            (59, 'venir', None, None, None, 'venir_s2', 'usage_group', None, 'V. n.', 'V. n.', 0, 'medium', None, None, 0),
+            (60, 'venir', 59, 2, 'venir.2', 'venir_s2.1', 'sense', None, 'Sens 2.', 'Sens 2.', 0, None, None, None, 1),
+            (61, 'venir', 59, 3, 'venir.3', 'venir_s2.2', 'sense', None, 'Sens 3.', 'Sens 3.', 0, None, None, None, 1),
+            (62, 'venir', 59, 4, 'venir.4', 'venir_s2.3', 'sense', None, 'Sens 4.', 'Sens 4.', 0, None, None, None, 1),
+            (63, 'venir', 59, 5, 'venir.5', 'venir_s2.4', 'sense', None, 'Sens 5.', 'Sens 5.', 0, None, None, None, 1),
+            (64, 'venir', 59, 6, 'venir.6', 'venir_s2.5', 'sense', None, 'Sens 6.', 'Sens 6.', 0, None, None, None, 1),
+            (65, 'venir', 59, 7, 'venir.7', 'venir_s2.6', 'sense', None, 'Sens 7.', 'Sens 7.', 0, None, None, None, 1),
+            (66, 'venir', 59, 8, 'venir.8', 'venir_s2.7', 'sense', None, 'Sens 8.', 'Sens 8.', 0, None, None, None, 1),
+            (67, 'venir', 59, 9, 'venir.9', 'venir_s2.8', 'sense', None, 'Sens 9.', 'Sens 9.', 0, None, None, None, 1),
+            (68, 'venir', 59, 10, 'venir.10', 'venir_s2.9', 'sense', None, 'Sens 10.', 'Sens 10.', 0, None, None, None, 1),
+            (69, 'venir', 59, 11, 'venir.11', 'venir_s2.10', 'sense', None, 'Sens 11.', 'Sens 11.', 0, None, None, None, 1),
+            (70, 'venir', 59, 12, 'venir.12', 'venir_s2.11', 'sense', None, 'Sens 12.', 'Sens 12.', 0, None, None, None, 1),
+            (71, 'venir', 59, 13, 'venir.13', 'venir_s2.12', 'sense', None, 'Sens 13.', 'Sens 13.', 0, None, None, None, 1),
+            (72, 'venir', 59, 14, 'venir.14', 'venir_s2.13', 'sense', None, 'Sens 14.', 'Sens 14.', 0, None, None, None, 1),
+            (73, 'venir', 59, 15, 'venir.15', 'venir_s2.14', 'sense', None, 'Sens 15.', 'Sens 15.', 0, None, None, None, 1),
+            (74, 'venir', 59, 16, 'venir.16', 'venir_s2.15', 'sense', None, 'Sens 16.', 'Sens 16.', 0, None, None, None, 1),
+            (75, 'venir', 59, 17, 'venir.17', 'venir_s2.16', 'sense', None, 'Sens 17.', 'Sens 17.', 0, None, None, None, 1),
+            (76, 'venir', 59, 18, 'venir.18', 'venir_s2.17', 'sense', None, 'Sens 18.', 'Sens 18.', 0, None, None, None, 1),
         ],
     ),
     "rich_citations": (
@@ -384,11 +411,13 @@ EXPECTED = {
         [
             (18, 'Lever le voile'),
             (20, 'Prendre le voile'),
+            (54, 'Rendre gorge'),
         ],
     ),
     "rich_forms": (
         "xml_id VARCHAR, role VARCHAR, method VARCHAR, canonical_form VARCHAR, canonical_form_source VARCHAR",
         [
+            ('rendre_s1.2', 'Locution', 'LlmAssisted', 'Rendre gorge', 'prose'),
             ('voile.1_s1.10', 'Proverb', 'Heuristic', 'Petit voile cache grand mal', 'prose'),
             ('voile.1_s1.11', 'Proverb', 'Heuristic', 'Tout voile tombe', 'prose'),
             ('voile.1_s1.7', 'Locution', 'Deterministic', 'Lever le voile', 'exemple'),
@@ -416,20 +445,24 @@ EXPECTED = {
             (3, 'voile.1', 'phase3', 'unclassified', 'no rule matched', '{"sense_num":1,"indent_content":"Encore une, dont le contrôle ne va pas.","method":"Heuristic","prev_indent":"Autre chose, dite par verdict."}'),
             (4, 'voile.1', 'phase3', 'unclassified', 'no rule matched', '{"sense_num":null,"indent_content":"Un bloc simple.","method":"Heuristic"}'),
             (5, 'voile.1', 'phase3', 'unclassified', 'no rule matched', '{"sense_num":5,"indent_content":"S\'ENVOILER, v. réfl. Se plier.","method":"Heuristic"}'),
-            (6, 'voile.1', 'phase3', 'likely_locution', 'starts with Loc./Locution but classified as Unclassified', '{"sense_num":1,"indent_content":"Locution sans marque","current_role":"Unclassified"}'),
-            (7, 'esque', 'phase5', 'scope_decision', 'medium scope, 1 senses', '{"transition_content":"Absolument.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":1,"first_scoped":"Ajouté après.","last_scoped":"Ajouté après."}'),
-            (8, 'mot_1_1', 'phase5', 'scope_decision', 'medium scope, 1 senses', '{"transition_content":"Substantivement.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":1,"first_scoped":"Porté enfin.","last_scoped":"Porté enfin."}'),
-            (9, 'voile.1', 'phase5', 'large_intra_scope', 'NatureLabel scoped 6 children', '{"sense_num":2,"indent_content":"SE VOILER, v. réfl. Se cacher.","num_children":6}'),
-            (10, 'voile.1', 'phase5', 'scope_decision', 'medium scope, 1 senses', '{"transition_content":"Absolument.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":1,"first_scoped":"Premier sens porté.","last_scoped":"Premier sens porté."}'),
-            (11, 'voile.1', 'phase5', 'scope_decision', 'medium scope, 2 senses', '{"transition_content":"Neutralement.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":2,"first_scoped":"Un sens seul.","last_scoped":"Sous la forme."}'),
-            (12, 'voile.1', 'structural', 'metonymic_subsense', 'locution gloss opens with a definite article', '{"canonical_form":"Prendre le voile","gloss":"la coutume des nonnes."}'),
-            (13, 'voile.1', 'structural', 'metonymic_subsense', 'locution gloss opens with a definite article', '{"canonical_form":"Voile du palais","gloss":"la cloison de la bouche."}'),
-            (14, 'voile.1', 'structural', 'synonyme_citations', '1 citations emitted as siblings after the synonymy xr', '{"num_citations":1}'),
-            (15, 'voile.1', 'structural', 'intra_sense_form', 'printed form on an intra-sense transition (reflexive_form)', '{"form":"S\'envoiler","label":"v. réfl."}'),
-            (16, 'voile.1', 'structural', 'intra_sense_form', 'printed form on an intra-sense transition (locution_form)', '{"form":"À voile","label":"loc. adv."}'),
-            (17, 'voile.1', 'etymology', 'cognate_defaulted', 'etymon-vs-cognate not disambiguated by surrounding prose', '{"forms":"bel"}'),
-            (18, 'voile.1', 'etymology', 'suspect_language_token', 'token in language-abbreviation position missing from language table', '{"token":"re","anchor":"re"}'),
-            (19, 'voile.1', 'etymology', 'etym_fallback', 'content carries markup outside the segmentable inventory; emitted as pre-W4 prose', '{"content":"<b>gras</b> <i>x</i>"}'),
+            (6, 'rendre', 'phase4', 'skipped_locution', 'no canonical form extracted', '{"sense_num":1,"indent_content":"Dit sans virgule ni forme"}'),
+            (7, 'voile.1', 'phase3', 'likely_locution', 'starts with Loc./Locution but classified as Unclassified', '{"sense_num":1,"indent_content":"Locution sans marque","current_role":"Unclassified"}'),
+            (8, 'esque', 'phase5', 'scope_decision', 'medium scope, 1 senses', '{"transition_content":"Absolument.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":1,"first_scoped":"Ajouté après.","last_scoped":"Ajouté après."}'),
+            (9, 'mot_1_1', 'phase5', 'scope_decision', 'medium scope, 1 senses', '{"transition_content":"Substantivement.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":1,"first_scoped":"Porté enfin.","last_scoped":"Porté enfin."}'),
+            (10, 'voile.1', 'phase5', 'large_intra_scope', 'NatureLabel scoped 6 children', '{"sense_num":2,"indent_content":"SE VOILER, v. réfl. Se cacher.","num_children":6}'),
+            (11, 'voile.1', 'phase5', 'scope_decision', 'medium scope, 1 senses', '{"transition_content":"Absolument.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":1,"first_scoped":"Premier sens porté.","last_scoped":"Premier sens porté."}'),
+            (12, 'voile.1', 'phase5', 'scope_decision', 'medium scope, 2 senses', '{"transition_content":"Neutralement.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":2,"first_scoped":"Un sens seul.","last_scoped":"Sous la forme."}'),
+            (13, 'rendre', 'phase5', 'scope_decision', 'strong scope, 1 senses', '{"transition_content":"SE RENDRE, v. réfl. Aller.","scope_type":"strong","transition_form":"SE RENDRE","transition_pos":"v. réfl","num_scoped":1,"first_scoped":"Céder.","last_scoped":"Céder."}'),
+            (14, 'venir', 'phase5', 'large_scope', 'medium scope, 17 senses', '{"transition_content":"V. n.","scope_type":"medium","transition_form":"","transition_pos":"","num_scoped":17,"first_scoped":"Sens 2.","last_scoped":"Sens 18."}'),
+            (15, 'voile.1', 'structural', 'metonymic_subsense', 'locution gloss opens with a definite article', '{"canonical_form":"Prendre le voile","gloss":"la coutume des nonnes."}'),
+            (16, 'voile.1', 'structural', 'metonymic_subsense', 'locution gloss opens with a definite article', '{"canonical_form":"Voile du palais","gloss":"la cloison de la bouche."}'),
+            (17, 'venir', 'structural', 'sense_level_valency', 'valency transition scoped without a printed form', '{"transition_content":"V. n.","num_scoped":17}'),
+            (18, 'voile.1', 'structural', 'synonyme_citations', '1 citations emitted as siblings after the synonymy xr', '{"num_citations":1}'),
+            (19, 'voile.1', 'structural', 'intra_sense_form', 'printed form on an intra-sense transition (reflexive_form)', '{"form":"S\'envoiler","label":"v. réfl."}'),
+            (20, 'voile.1', 'structural', 'intra_sense_form', 'printed form on an intra-sense transition (locution_form)', '{"form":"À voile","label":"loc. adv."}'),
+            (21, 'voile.1', 'etymology', 'cognate_defaulted', 'etymon-vs-cognate not disambiguated by surrounding prose', '{"forms":"bel"}'),
+            (22, 'voile.1', 'etymology', 'suspect_language_token', 'token in language-abbreviation position missing from language table', '{"token":"re","anchor":"re"}'),
+            (23, 'voile.1', 'etymology', 'etym_fallback', 'content carries markup outside the segmentable inventory; emitted as pre-W4 prose', '{"content":"<b>gras</b> <i>x</i>"}'),
         ],
     ),
     "rich_samples": (
@@ -438,9 +471,10 @@ EXPECTED = {
             ('sample from CrossReference/Deterministic (n=1)', 1),
             ('sample from DomainLabel/Deterministic (n=2)', 2),
             ('sample from Figurative/Deterministic (n=1)', 1),
-            ('sample from Figurative/Heuristic (n=1)', 1),
+            ('sample from Figurative/Heuristic (n=2)', 2),
             ('sample from Figurative/LlmAssisted (n=1)', 1),
             ('sample from Locution/Deterministic (n=3)', 3),
+            ('sample from Locution/LlmAssisted (n=2)', 2),
             ('sample from NatureLabel/Deterministic (n=4)', 4),
             ('sample from Proverb/Heuristic (n=2)', 2),
             ('sample from RegisterLabel/Heuristic (n=2)', 2),
@@ -451,36 +485,39 @@ EXPECTED = {
     "rich_metrics": (
         "metric VARCHAR, value DOUBLE",
         [
-            ('ambiguous_scopes', 0.0),
-            ('classified', 36.0),
+            ('ambiguous_scopes', 1.0),
+            ('classified', 41.0),
             ('cue_hit_rate', 75.0),
             ('cues_resolved', 3.0),
             ('cues_suspect', 1.0),
-            ('flag calibration_sample', 24.0),
+            ('flag calibration_sample', 27.0),
             ('flag cognate_defaulted', 1.0),
             ('flag etym_fallback', 1.0),
             ('flag intra_sense_form', 2.0),
             ('flag large_intra_scope', 1.0),
+            ('flag large_scope', 1.0),
             ('flag likely_locution', 1.0),
             ('flag metonymic_subsense', 2.0),
-            ('flag scope_decision', 4.0),
+            ('flag scope_decision', 5.0),
+            ('flag sense_level_valency', 1.0),
+            ('flag skipped_locution', 1.0),
             ('flag suspect_language_token', 1.0),
             ('flag synonyme_citations', 1.0),
             ('flag unclassified', 5.0),
-            ('indents', 36.0),
+            ('indents', 41.0),
             ('intra_grouped', 6.0),
-            ('medium_scoped', 5.0),
+            ('medium_scoped', 22.0),
             ('percent_classified', 100.0),
             ('role CrossReference', 1.0),
             ('role DomainLabel', 2.0),
-            ('role Figurative', 3.0),
-            ('role Locution', 3.0),
+            ('role Figurative', 4.0),
+            ('role Locution', 5.0),
             ('role NatureLabel', 4.0),
             ('role Proverb', 2.0),
             ('role RegisterLabel', 2.0),
             ('role Unclassified', 13.0),
-            ('role VoiceTransition', 6.0),
-            ('strong_scoped', 0.0),
+            ('role VoiceTransition', 8.0),
+            ('strong_scoped', 1.0),
             ('unknown_rubriques', 1.0),
             ('zero_scope', 1.0),
         ],
@@ -548,6 +585,97 @@ EXPECTED = {
             ('mot_2', 5, '      <def>Une autre.</def>'),
             ('mot_2', 6, '    </sense>'),
             ('mot_2', 7, '  </entry>'),
+            ('rendre', 0, '  <entry xml:id="rendre" xml:lang="fr-x-lit19c" type="mainEntry">'),
+            ('rendre', 1, '    <form type="lemma">'),
+            ('rendre', 2, '      <orth norm="rendre">RENDRE</orth>'),
+            ('rendre', 3, '    </form>'),
+            ('rendre', 4, '    <gramGrp><gram type="pos" norm="verb">v.</gram><gram type="valency" norm="active">a.</gram></gramGrp>'),
+            ('rendre', 5, '    <sense xml:id="rendre_s1" n="1">'),
+            ('rendre', 6, '      <def>Remettre.</def>'),
+            ('rendre', 7, '      <sense xml:id="rendre_s1.1">'),
+            ('rendre', 8, '        <def>Dit sans virgule ni forme</def>'),
+            ('rendre', 9, '      </sense>'),
+            ('rendre', 10, '      <entry xml:id="rendre_s1.2.rendre_gorge" xml:lang="fr-x-lit19c" type="relatedEntry">'),
+            ('rendre', 11, '        <form type="lemma"><orth value="Rendre gorge"/></form>'),
+            ('rendre', 12, '        <sense xml:id="rendre_s1.2.rendre_gorge.1">'),
+            ('rendre', 13, '          <def>vomir.</def>'),
+            ('rendre', 14, '        </sense>'),
+            ('rendre', 15, '      </entry>'),
+            ('rendre', 16, '    </sense>'),
+            ('rendre', 17, '    <entry xml:id="rendre_s2" xml:lang="fr-x-lit19c" type="homonymicEntry">'),
+            ('rendre', 18, '      <form type="lemma"><orth>SE RENDRE</orth></form>'),
+            ('rendre', 19, '      <gramGrp><gram type="pos" norm="verb">v.</gram><gram type="valency" norm="reflexive">réfl</gram></gramGrp>'),
+            ('rendre', 20, '      <sense xml:id="rendre_s2.1" n="2">'),
+            ('rendre', 21, '        <def>Céder.</def>'),
+            ('rendre', 22, '        <sense xml:id="rendre_s2.1.1" ana="figurative">'),
+            ('rendre', 23, '          <usg type="meaningType" norm="figurative">fig.</usg>'),
+            ('rendre', 24, '          <def>Se donner.</def>'),
+            ('rendre', 25, '        </sense>'),
+            ('rendre', 26, '      </sense>'),
+            ('rendre', 27, '    </entry>'),
+            ('rendre', 28, '  </entry>'),
+            ('venir', 0, '  <entry xml:id="venir" xml:lang="fr-x-lit19c" type="mainEntry">'),
+            ('venir', 1, '    <form type="lemma">'),
+            ('venir', 2, '      <orth norm="venir">VENIR</orth>'),
+            ('venir', 3, '    </form>'),
+            ('venir', 4, '    <sense xml:id="venir_s1" n="1">'),
+            ('venir', 5, '      <def>Arriver.</def>'),
+            ('venir', 6, '    </sense>'),
+            ('venir', 7, '    <sense xml:id="venir_s2">'),
+            ('venir', 8, '      <gramGrp><gram type="pos" norm="verb">v.</gram><gram type="valency" norm="intransitive">n.</gram></gramGrp>'),
+            ('venir', 9, '      <sense xml:id="venir_s2.1" n="2">'),
+            ('venir', 10, '        <def>Sens 2.</def>'),
+            ('venir', 11, '      </sense>'),
+            ('venir', 12, '      <sense xml:id="venir_s2.2" n="3">'),
+            ('venir', 13, '        <def>Sens 3.</def>'),
+            ('venir', 14, '      </sense>'),
+            ('venir', 15, '      <sense xml:id="venir_s2.3" n="4">'),
+            ('venir', 16, '        <def>Sens 4.</def>'),
+            ('venir', 17, '      </sense>'),
+            ('venir', 18, '      <sense xml:id="venir_s2.4" n="5">'),
+            ('venir', 19, '        <def>Sens 5.</def>'),
+            ('venir', 20, '      </sense>'),
+            ('venir', 21, '      <sense xml:id="venir_s2.5" n="6">'),
+            ('venir', 22, '        <def>Sens 6.</def>'),
+            ('venir', 23, '      </sense>'),
+            ('venir', 24, '      <sense xml:id="venir_s2.6" n="7">'),
+            ('venir', 25, '        <def>Sens 7.</def>'),
+            ('venir', 26, '      </sense>'),
+            ('venir', 27, '      <sense xml:id="venir_s2.7" n="8">'),
+            ('venir', 28, '        <def>Sens 8.</def>'),
+            ('venir', 29, '      </sense>'),
+            ('venir', 30, '      <sense xml:id="venir_s2.8" n="9">'),
+            ('venir', 31, '        <def>Sens 9.</def>'),
+            ('venir', 32, '      </sense>'),
+            ('venir', 33, '      <sense xml:id="venir_s2.9" n="10">'),
+            ('venir', 34, '        <def>Sens 10.</def>'),
+            ('venir', 35, '      </sense>'),
+            ('venir', 36, '      <sense xml:id="venir_s2.10" n="11">'),
+            ('venir', 37, '        <def>Sens 11.</def>'),
+            ('venir', 38, '      </sense>'),
+            ('venir', 39, '      <sense xml:id="venir_s2.11" n="12">'),
+            ('venir', 40, '        <def>Sens 12.</def>'),
+            ('venir', 41, '      </sense>'),
+            ('venir', 42, '      <sense xml:id="venir_s2.12" n="13">'),
+            ('venir', 43, '        <def>Sens 13.</def>'),
+            ('venir', 44, '      </sense>'),
+            ('venir', 45, '      <sense xml:id="venir_s2.13" n="14">'),
+            ('venir', 46, '        <def>Sens 14.</def>'),
+            ('venir', 47, '      </sense>'),
+            ('venir', 48, '      <sense xml:id="venir_s2.14" n="15">'),
+            ('venir', 49, '        <def>Sens 15.</def>'),
+            ('venir', 50, '      </sense>'),
+            ('venir', 51, '      <sense xml:id="venir_s2.15" n="16">'),
+            ('venir', 52, '        <def>Sens 16.</def>'),
+            ('venir', 53, '      </sense>'),
+            ('venir', 54, '      <sense xml:id="venir_s2.16" n="17">'),
+            ('venir', 55, '        <def>Sens 17.</def>'),
+            ('venir', 56, '      </sense>'),
+            ('venir', 57, '      <sense xml:id="venir_s2.17" n="18">'),
+            ('venir', 58, '        <def>Sens 18.</def>'),
+            ('venir', 59, '      </sense>'),
+            ('venir', 60, '    </sense>'),
+            ('venir', 61, '  </entry>'),
             ('voile.1', 0, '  <entry xml:id="voile.1" xml:lang="fr-x-lit19c" type="mainEntry">'),
             ('voile.1', 1, '    <form type="lemma">'),
             ('voile.1', 2, '      <orth norm="voile">VOILE</orth>'),
@@ -918,23 +1046,25 @@ EXPECTED = {
             (3, 'voile.2', 1, '2654d81dee123a6bb80458c4b250fa0d'),
             (4, 'mot_1_2', 2, 'c17eaa27bf109dba5149b7c150d1d5e4'),
             (5, 'mot_2', 2, '9cf4517edbae73be80a61c68f63085a7'),
+            (6, 'rendre', 3, '1895d5d1ef413af4b9e9a312f940a606'),
+            (7, 'venir', 3, '7da3a6141fc8efe8c88bf9bd332cbe82'),
         ],
     ),
     "tei_document": (
         "first_line VARCHAR, last_line VARCHAR, n_lines BIGINT, n_entries BIGINT, first_entry VARCHAR, n_hoists BIGINT, n_prose BIGINT",
         [
-            ('<?xml version="1.0" encoding="UTF-8"?>', '</TEI>', 334, 6, '  <entry xml:id="esque" xml:lang="fr-x-lit19c" type="mainEntry">', 1, 1),
+            ('<?xml version="1.0" encoding="UTF-8"?>', '</TEI>', 425, 8, '  <entry xml:id="esque" xml:lang="fr-x-lit19c" type="mainEntry">', 1, 1),
         ],
     ),
     "written_tables": (
         "table_name VARCHAR, n_rows BIGINT, columns VARCHAR",
         [
             ('citations', 5, 'citation_id,sense_id,text_plain,text_markup,author,resolved_author,reference,is_hidden'),
-            ('entries', 6, 'entry_id,headword,homograph_index,pronunciation,pos,is_supplement,source_letter'),
-            ('locutions', 2, 'sense_id,canonical_form'),
-            ('review_queue', 43, 'review_id,entry_id,headword,phase,flag_type,reason,context,resolution,resolved_by'),
+            ('entries', 8, 'entry_id,headword,homograph_index,pronunciation,pos,is_supplement,source_letter'),
+            ('locutions', 3, 'sense_id,canonical_form'),
+            ('review_queue', 50, 'review_id,entry_id,headword,phase,flag_type,reason,context,resolution,resolved_by'),
             ('rubriques', 7, 'rubrique_id,entry_id,rubrique_type,content_plain,content_markup'),
-            ('senses', 51, 'sense_id,entry_id,parent_sense_id,num,indent_id,xml_id,sense_type,role,content_plain,content_markup,is_supplement,transition_type,transition_form,transition_pos,depth'),
+            ('senses', 76, 'sense_id,entry_id,parent_sense_id,num,indent_id,xml_id,sense_type,role,content_plain,content_markup,is_supplement,transition_type,transition_form,transition_pos,depth'),
         ],
     ),
     "stored_index": (

@@ -85,8 +85,22 @@ RICH_2 = """<xmllittre>
 <entree terme="MOT_1"><corps><variante num="1">Choc de noms.<indent>Absolument.</indent></variante><variante num="2">Adjectivement, porté.<indent>Substantivement.</indent></variante><variante num="3">Porté enfin.</variante></corps></entree>
 </xmllittre>"""
 
-FILES = {"small": [(FILE, TEXT)], "rich": [("/in/v.xml", RICH_1), ("/in/a_prep.xml", RICH_2)]}
+#: A strong group, a valency group over more than fifteen senses, a locution without a form.
+RICH_3 = """<xmllittre>
+<entree terme="RENDRE"><entete><nature>v. a.</nature></entete><corps>
+<variante num="1">Remettre.
+<indent>Dit sans virgule ni forme</indent>
+<indent>Rendre gorge, vomir.</indent>
+<indent>SE RENDRE, v. réfl. Aller.</indent></variante>
+<variante num="2">Céder.<indent>Fig. Se donner.</indent></variante>
+</corps></entree>
+<entree terme="VENIR"><corps>
+<variante num="1">Arriver.<indent>V. n.</indent></variante>
+"""
+RICH_3 += "\n".join(f'<variante num="{i}">Sens {i}.</variante>' for i in range(2, 19)) + "\n</corps></entree></xmllittre>"
+
+FILES = {"small": [(FILE, TEXT)], "rich": [("/in/v.xml", RICH_1), ("/in/a_prep.xml", RICH_2), ("/in/w.xml", RICH_3)]}
 #: Corrections by file name and line.
 PATCHES = {"rich": [{"file": "v.xml", "line": 45, "old": "Kind", "new": "Genre"}]}
-VERDICTS = [("v.xml", 24, "Autre chose", "RegisterLabel", 1), ("v.xml", 24, "Autre", "Figurative", 2), ("v.xml", 25, "Pas ce texte", "Figurative", 3), ("v.xml", 9999, "", "Proverb", 4)]
+VERDICTS = [("v.xml", 24, "Autre chose", "RegisterLabel", 1), ("v.xml", 24, "Autre", "Figurative", 2), ("v.xml", 25, "Pas ce texte", "Figurative", 3), ("v.xml", 9999, "", "Proverb", 4), ("w.xml", 4, "Dit sans", "Locution", 5), ("w.xml", 5, "", "Locution", 6), ("w.xml", 6, "SE RENDRE", "VoiceTransition", 7)]
 ADJUDICATIONS = [("voile.1_s1.9", "metonymic_subsense"), ("voile.1_s1.8", "idiom")]

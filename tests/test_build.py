@@ -100,7 +100,7 @@ def test_command_builds_everything(spark, tmp_path, monkeypatch, capsys):
     monkeypatch.setenv("LEXIFORGE_SOURCE", str(tmp_path / "in"))
     command.main([str(tmp_path / "in"), str(tmp_path / "out")])
     said = capsys.readouterr().out
-    assert "senses\t51" in said and "flag scope_decision\t4" in said
+    assert "senses\t76" in said and "flag scope_decision\t4" in said
     assert spark.read.parquet(f"{tmp_path}/out/tables/review_queue").count() > 40
     assert "<body>" in {r["value"] for r in spark.read.text(f"{tmp_path}/out/tei").collect()}
     assert spark.read.text(f"{tmp_path}/out/SHA256SUMS").count() >= 1
