@@ -23,7 +23,7 @@ ELEMENTS = {
 }
 FAMILIES = ("semantique", "exemple", "nature", "a", "i")
 REFERENCE_LABEL = re.compile(r'\b((?:[Vv]oy(?:ez)?|[Cc]f|[Cc]omparez)\.?)\s*(<xr type="related">)')
-LEADING_USAGE = re.compile(r'<usg\b[^>]*type="([^"]*)"[^>]*>(.*?)</usg>[,;:\s]*', re.S)
+LEADING_RUN = re.compile(r'(?:<usg\b[^>]*type="[^"]*"[^>]*>.*?</usg>[,;:\s]*)*', re.S)
 INLINE_USAGE = re.compile(r'<usg\b[^>]*type="([^"]*)"[^>]*>(.*?)</usg>', re.S)
 GRAM = re.compile(r'(.*?)<usg type="gram">(.*?)</usg>(.*)', re.S)
 _USAGE = re.compile(r"<usg\b[^>]*>(.*?)</usg>", re.S)

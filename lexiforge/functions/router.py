@@ -22,15 +22,9 @@ class Router:
     def __init__(self, tables: NormTables | None = None):
         self.t = tables or NormTables()
         self.rules = [(re.compile(p), kind, norm) for p, kind, norm in self.t.usage_rules()]
-        self.hanging = {k.split("|")[0] for k in self.t.pos_head_sensitive}
+        self.tokens = self.t.pos_tokens()
         self.spans = lru_cache(maxsize=100_000)(self._spans)
 
-    def _token(self, printed: str) -> str:
-        low = printed.lower()
-        bare = low.rstrip(".")
-        own = (self.t.pos_heads, self.t.pos_modifiers, self.hanging)
-        return next((x for x in (low, bare, bare + ".") if any(x in table for table in own)), low)
-
     def pos(self, text: str) -> tuple[Gram, ...] | None:
         """The elements of a part-of-speech string; None if any token is unknown."""
         text = re.sub(r"\.\.+$", ".", re.sub(r"[,;:]+$", "", _SPACE.sub(" ", text).strip()))
@@ -38,18 +32,18 @@ class Router:
             return None
         head, found = "", []
         for printed in text.split(" "):
-            token = self._token(printed)
-            if token in self.t.pos_connectors:
+            bare = printed.lower().rstrip(".")
+            spelt = [x for x in (printed.lower(), bare, bare + ".") if x in self.tokens]
+            if (spelt[0] if spelt else printed.lower()) in self.t.pos_connectors:
                 continue
-            if token in self.t.pos_heads:
-                head, hit = token, self.t.pos_heads[token]
-            elif token in self.hanging:
-                hit = self.t.pos_head_sensitive.get(f"{token}|{head}") or self.t.pos_head_sensitive.get(f"{token}|")
-            else:
-                hit = self.t.pos_modifiers.get(token)
-            if not hit:
+            place, kind, norm = self.tokens[spelt[0]] if spelt else ("", "", "")
+            if place == "hangs":
+                kind, norm = next((x for h in (head, "") if (x := self.t.pos_head_sensitive.get(f"{spelt[0]}|{h}"))), ("", ""))
+            elif place == "head":
+                head = spelt[0]
+            if not kind:
                 return None
-            found.append(Gram(*hit, printed))
+            found.append(Gram(kind, norm, printed))
         return tuple(found) or None
 
     def _gram(self, atom: str) -> tuple[Gram, ...] | None:

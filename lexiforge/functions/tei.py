@@ -85,21 +85,21 @@ class Renderer:
 
     def leading(self, text: str) -> tuple[list[str], str]:
         """The usage elements a definition opens with, as labels, and the rest."""
-        out = []
-        while m := M.LEADING_USAGE.match(text):
-            out += self.labels(m[1], M.lower_text(m[2]))
-            text = text[m.end() :].strip()
-        return out, text
+        run = M.LEADING_RUN.match(text)[0]
+        labels = [x for m in M.INLINE_USAGE.finditer(run) for x in self.labels(m[1], M.lower_text(m[2]))]
+        return labels, text[len(run) :].strip() if run else text
 
     def lifted(self, text: str, context: str, hoists: list) -> tuple[list[str], str]:
         """The usage elements inside a definition, as labels, and the definition without them."""
-        out = []
-        while m := M.INLINE_USAGE.search(text):
-            before, after = text[: m.start()], text[m.end() :]
-            out += self.labels(m[1], M.lower_text(m[2]))
-            hoists.append((context, M.usage_position(before, after), m[1], M.plain(m[2]), M.plain(text)[:120]))
-            text = re.sub(r"\s{2,}", " ", f"{before.rstrip()} {after.lstrip(' ,;:')}")
-        return out, re.sub(r"\s+([.,])", r"\1", text).strip()
+        found = list(M.INLINE_USAGE.finditer(text))
+        follows = [text[m.end() : n.start() if n else None] for m, n in zip(found, [*found[1:], None], strict=False)]
+        labels, kept = [], text[: found[0].start()] if found else text
+        for m, follow in zip(found, follows, strict=True):
+            labels += self.labels(m[1], M.lower_text(m[2]))
+            whole = kept + m[0] + text[m.end() :]
+            hoists.append((context, M.usage_position(kept, text[m.end() :]), m[1], M.plain(m[2]), M.plain(whole)[:120]))
+            kept = f"{kept.rstrip()} {follow.lstrip(' ,;:')}"
+        return labels, re.sub(r"\s+([.,])", r"\1", re.sub(r"\s{2,}", " ", kept) if found else kept).strip()
 
     def pos(self, text: str) -> str:
         found = self.router.pos(text)
