@@ -4,8 +4,11 @@ Every figure is a built-in expression over one row, so the operator is a scan an
 projection: no shuffle, no Python. Three-word windows are compared by their 64-bit
 hash inside one text only.
 
-Defined cases: a null text has no words and fails; blank lines never count as
-repeated; extra columns pass through untouched (helper columns carry a private prefix).
+Defined cases: a null or empty text has no words and fails; blank lines never count as
+repeated; figures at a bound are kept; long texts are read whole; repeated rows are judged
+alike; an empty table gives no rows. Extra columns pass through; ``quality_rules`` replaces
+those that bear the name of a figure, of ``base_failed`` or of ``kept``, ``quality_filter``
+returns the columns it was given, whatever their names.
 """
 
 from __future__ import annotations
