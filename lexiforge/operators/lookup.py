@@ -90,8 +90,9 @@ class Index:
         self.key = key
         made = postings(df, key, text).repartitionByRange(parts, "term", "key").sortWithinPartitions("term", "key")
         self.postings = staged(made, "postings")
-        size = df.agg(F.count("*").alias("n"), F.avg(F.size(words_of(F.col(text)))).alias("mean")).first()
-        self.n, self.mean = size["n"], size["mean"] or 1.0
+        words = self.postings.agg(F.sum("tf")).first()[0] or 0
+        self.n = df.count()
+        self.mean = words / self.n if words else 1.0
 
     def terms(self) -> DataFrame:
         """(term, df, cf) of every term."""

@@ -246,8 +246,8 @@ def neighbour_texts(spark, d):
 def path_ids(spark, d):
     lines = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     words = lines.select("doc_id", (F.col("i") + 1).alias("i"), F.posexplode(F.split("line", " ")).alias("j", "word"))
-    w = words.select("doc_id", F.concat_ws(".", F.col("doc_id").cast("string"), F.col("i").cast("string"), (F.col("j") + 1).cast("string")).alias("xml_id"), F.array("i", F.col("j") + 1).alias("path"))
-    return S.number_rows(w, ["doc_id", "path"], "node_id").select("node_id", "xml_id")
+    w = words.select("doc_id", "i", (F.col("j") + 1).alias("j"), F.concat_ws(".", F.col("doc_id").cast("string"), F.col("i").cast("string"), (F.col("j") + 1).cast("string")).alias("xml_id"))
+    return S.number_rows(w, ["doc_id", "i", "j"], "node_id").select("node_id", "xml_id")
 
 
 def stratified(spark, d):
