@@ -1,11 +1,11 @@
-"""The ten queries of this subpackage, their SQL and the pipeline's registration."""
+"""The queries of this subpackage, their SQL and the pipeline's registration."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, ctw, langid, mixing, packing, quality, simhash, suffix_dedup, topk, toxicity
+from . import alignment, chat, clustering, ctw, langid, mixing, packing, quality, simhash, suffix_dedup, topk, toxicity, vector_dedup
 from .common import table
 
 
@@ -63,6 +63,18 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ctw.score_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op12_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -82,6 +94,9 @@ QUERIES = {
         op8_top_k,
         op9_quality_rules,
         op10_lm_score,
+        op11_cross_tokenizer,
+        op12_vector_dedup,
+        op13_clusters,
         pipeline,
     )
 }
@@ -152,4 +167,44 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 """
 
 
-ORACLE_SQL = {"op2_chat_format": _CHAT_SQL, "op8_top_k": _TOP_K_SQL, "op9_quality_rules": _quality_sql()}
+_VECTOR_SQL = """
+WITH RECURSIVE fine AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0 AND len([x FOR x IN embedding IF x <> 0]) > 0
+), half AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.95
+), links AS MATERIALIZED (
+  SELECT a, b FROM half UNION ALL SELECT b, a FROM half
+), reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b
+), least AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+), degree AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT e.vec_id, coalesce(d.n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(l.b, e.vec_id)) AS component_id, e.vec_id = least(e.vec_id, coalesce(l.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN least l ON l.a = e.vec_id LEFT JOIN degree d ON d.a = e.vec_id
+"""
+
+
+def _cluster_sql() -> str:
+    near = """SELECT vec_id, any_value(v) AS v, min({{'d': d, 'c': c}}) AS m FROM (
+      SELECT vec_id, v.v, c.c, list_sum([(z[1] - z[2]) * (z[1] - z[2]) FOR z IN list_zip(v.v, c.v)])::BIGINT AS d FROM v, c{0} c) GROUP BY vec_id"""
+    parts = [
+        f"""v AS MATERIALIZED (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+      WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) = {clustering.LENGTH} AND len([x FOR x IN embedding IF x IS NULL OR isnan(x) OR isinf(x)]) = 0)""",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS c, v FROM (SELECT sha256('2:' || vec_id) AS h, v FROM v ORDER BY h LIMIT {clustering.CLUSTERS}))",
+    ]
+    for i in range(clustering.ROUNDS):
+        parts += [
+            f"a{i} AS MATERIALIZED ({near.format(i)})",
+            f"""s{i} AS (SELECT m.c AS c, i, sum(v[i]) AS s, count(*) AS n FROM a{i}, (SELECT unnest(range(1, {clustering.LENGTH + 1})) AS i) GROUP BY ALL)""",
+            f"""c{i + 1} AS MATERIALIZED (SELECT c.c, coalesce(w.v, c.v) AS v FROM c{i} c LEFT JOIN (SELECT c, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS v FROM s{i} GROUP BY c) w ON w.c = c.c)""",
+        ]
+    last = clustering.ROUNDS
+    return f"""WITH {", ".join(parts)}, a{last} AS MATERIALIZED ({near.format(last)})
+SELECT vec_id, m.c::INTEGER AS cluster, m.d AS distance, (sum(m.d) OVER (PARTITION BY m.c))::BIGINT AS cluster_inertia, (sum(m.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.v, ',')) AS centroid_sha256
+FROM a{last} a JOIN c{last} c ON c.c = a.m.c"""
+
+
+ORACLE_SQL = {"op2_chat_format": _CHAT_SQL, "op8_top_k": _TOP_K_SQL, "op9_quality_rules": _quality_sql(), "op12_vector_dedup": _VECTOR_SQL, "op13_clusters": _cluster_sql()}
