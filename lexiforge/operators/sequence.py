@@ -6,34 +6,65 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import truncate
-from ..staging import staged
+from .scan import by_size, ranged, running
 
 IDEM = "ID."
 
 
-def resolve_idem(df: DataFrame, keys: list[str], order: list, author: str = "author", out: str = "resolved_author") -> DataFrame:
+def resolve_idem(df: DataFrame, keys: list[str], order: list, author: str = "author", out: str = "resolved_author", hot_rows: int | None = None) -> DataFrame:
     """``ID.`` takes the last named author before it; an empty author stays empty and resets nothing."""
     w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     a = F.col(author)
-    named = F.last(F.when((a != "") & (a != IDEM), a), ignorenulls=True).over(w)
-    return df.withColumn(out, F.when(a == IDEM, F.coalesce(named, F.lit(IDEM))).otherwise(a))
+    named = F.when((a != "") & (a != IDEM), a)
 
+    def told(d: DataFrame, last: Column) -> DataFrame:
+        return d.withColumn(out, F.when(a == IDEM, F.coalesce(last, F.lit(IDEM))).otherwise(a))
 
-def number_repeats(df: DataFrame, keys: list[str], order: list, name: str) -> DataFrame:
+    def large(d: DataFrame) -> DataFrame:
+        return told(running(d, keys, order, lasts={"__named": named}), F.col("__named")).drop("__named")
+
+    return by_size(df, keys, lambda d: told(d, F.last(named, ignorenulls=True).over(w)), large, hot_rows)
+
+
+def number_repeats(df: DataFrame, keys: list[str], order: list, name: str, hot_rows: int | None = None) -> DataFrame:
     """A name that occurs more than once among ``keys`` gets ``_n`` at each occurrence, in order."""
-    part = Window.partitionBy(*keys, name)
-    n, i = F.count("*").over(part), F.row_number().over(part.orderBy(*order))
-    return df.withColumn(name, F.when(n > 1, F.concat(F.col(name), F.lit("_"), i)).otherwise(F.col(name)))
+    by = [*keys, name]
+    part = Window.partitionBy(*by)
+
+    def small(d: DataFrame) -> DataFrame:
+        n, i = F.count("*").over(part), F.row_number().over(part.orderBy(*order))
+        return d.withColumn(name, F.when(n > 1, F.concat(F.col(name), F.lit("_"), i)).otherwise(F.col(name)))
 
+    def large(d: DataFrame) -> DataFrame:
+        return running(d, by, order, row="__n").withColumn(name, F.concat(F.col(name), F.lit("_"), "__n")).drop("__n")
 
-def islands(df: DataFrame, keys: list[str], order: list, opens: Column, prefix: str = "") -> DataFrame:
+    return by_size(df, by, small, large, 1 if hot_rows == 0 else hot_rows)
+
+
+def islands(df: DataFrame, keys: list[str], order: list, opens: Column, prefix: str = "", hot_rows: int | None = None) -> DataFrame:
     """Rows with ``<prefix>island`` (0 before the first opener), ``<prefix>rank`` in it (0: the opener) and ``<prefix>size`` (followers)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    d = df.withColumn(prefix + "island", F.sum(opens.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    inner = Window.partitionBy(*keys, prefix + "island")
-    first = (F.col(prefix + "island") > 0).cast("int")
-    d = d.withColumn(prefix + "rank", F.row_number().over(inner.orderBy(*order)) - first)
-    return d.withColumn(prefix + "size", F.count("*").over(inner) - first)
+    island, rank, size = (prefix + x for x in ("island", "rank", "size"))
+    opened = F.coalesce(opens, F.lit(False))
+    first = (F.col(island) > 0).cast("long")
+
+    def small(d: DataFrame) -> DataFrame:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        d = d.withColumn(island, F.sum(opened.cast("int")).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+        inner = Window.partitionBy(*keys, island)
+        d = d.withColumn(rank, F.row_number().over(inner.orderBy(*order)) - first)
+        return d.withColumn(size, F.count("*").over(inner) - first)
+
+    def large(d: DataFrame) -> DataFrame:
+        d = running(d, keys, order, sums={island: opened.cast("long")}, row="__n", marks={"__open": opened})
+        d = d.withColumn(rank, F.when(first == 1, F.col("__n") - F.col("__open")).otherwise(F.col("__n"))).drop("__n", "__open")
+        # The last row of an island knows its size.
+        ends = d.groupBy(*keys, island).agg(F.max(rank).alias(size)).withColumnsRenamed({c: "__e_" + c for c in [*keys, island]})
+        same = F.lit(True)
+        for c in [*keys, island]:
+            same = same & F.col(c).eqNullSafe(F.col("__e_" + c))
+        return d.join(ends, same).drop(*["__e_" + c for c in [*keys, island]])
+
+    return by_size(df, keys, small, large, hot_rows)
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list, text: Column, most: int = 100) -> DataFrame:
@@ -63,17 +94,12 @@ def number_rows(df: DataFrame, order: list, out: str) -> DataFrame:
     the rows of the partitions before it, of which there are as many figures as partitions.
     ``order`` should tell rows apart; ties are numbered in an arbitrary but gapless way.
     """
-    spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    d = staged(ranged.withColumns({"__part": F.spark_partition_id(), "__place": F.monotonically_increasing_id()}), "numbered")
-    before, at = {}, 0
-    for r in sorted(d.groupBy("__part").count().collect()):  # one row a partition
-        before[r["__part"]] = at
-        at += r["count"]
-    start = F.element_at(F.create_map(*[F.lit(x) for kv in before.items() for x in kv]), F.col("__part")) if before else F.lit(0)
-    # The lower 33 bits of a monotonic id count within a partition.
-    return d.withColumn(out, (start + F.col("__place").bitwiseAND(F.lit((1 << 33) - 1)) + 1).cast("long")).drop("__part", "__place")
+    d = ranged(df, order, "numbered")
+    parts = d.groupBy("__part").agg(F.count("*").alias("__rows"))  # a row a partition
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(F.col("__part").alias("__p"), F.coalesce(F.sum("__rows").over(before), F.lit(0)).alias("__before"))
+    d = d.join(parts, F.col("__part") == F.col("__p"))
+    return d.withColumn(out, F.col("__before") + F.col("__place") + 1).drop("__part", "__place", "__p", "__before")
 
 
 def island_ends(df: DataFrame, keys: list[str], order: str, text: Column, most: int = 80) -> DataFrame:
