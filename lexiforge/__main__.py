@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .functions.labels import BUILT_IN
+from .functions.text import is_balanced
 from .operators import release
 from .plans.build import Dictionary
 from .sources import tables as T
@@ -25,14 +26,16 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="lexiforge", description="Build a dictionary's tables from its XML files.")
     p.add_argument("source", nargs="?", default=os.environ.get("LEXIFORGE_SOURCE"), help="folder of letter files (a.xml to z.xml, a_prep.xml)")
     p.add_argument("output", nargs="?", default=os.environ.get("LEXIFORGE_OUTPUT"), help="folder for tables, tei, reports and checksums")
-    for name, what in (("patches", "corrections (TOML)"), ("verdicts", "role overrides (CSV)"), ("adjudications", "adjudicated locutions (TSV)"), ("languages", "language table (TOML)"), ("register", "register norms (TOML)"), ("gram", "grammar norms (TOML)"), ("pos", "part-of-speech tokens (TOML)")):
+    for name, what in (("patches", "corrections (TOML)"), ("verdicts", "role overrides (CSV)"), ("adjudications", "adjudicated locutions (TSV)"), ("languages", "language table (TOML)"), ("register", "register norms (TOML)"), ("gram", "grammar norms (TOML)"), ("pos", "part-of-speech tokens (TOML)"), ("baseline", "the counts that a build may not fall behind: it ends if more entries are malformed than the file's invalid ones")):
         p.add_argument("--" + name, help=what)
     return p
 
 
-def build(spark: SparkSession, source: str, output: str, patches=None, verdicts=None, adjudications=None, languages=None, register=None, gram=None, pos=None) -> Dictionary:
+def build(spark: SparkSession, source: str, output: str, patches=None, verdicts=None, adjudications=None, languages=None, register=None, gram=None, pos=None, baseline=None) -> Dictionary:
     """Everything the command writes; (table, n_rows) and metrics are written beside the tables."""
-    norms = T.read_norm_tables(spark, register, gram, pos) if register and gram and pos else BUILT_IN
+    if any((register, gram, pos)) and not all((register, gram, pos)):
+        raise ValueError("the norm tables belong together: --register, --gram and --pos")
+    norms = T.read_norm_tables(spark, register, gram, pos) if register else BUILT_IN
     rows = scan_files(read_files(spark, source), T.read_patches(spark, patches) if patches else None)
     made = Dictionary(
         rows,
@@ -41,6 +44,8 @@ def build(spark: SparkSession, source: str, output: str, patches=None, verdicts=
         tables=norms,
         languages=T.read_language_table(spark, languages) if languages else None,
     )
+    if baseline:
+        release.gate(made.rendered.where(~is_balanced(F.col("tei"))).count(), T.read_baseline(spark, baseline))
     counts = made.write(f"{output}/tables")
     counts.write.mode("overwrite").parquet(f"{output}/counts")
     made.metrics().write.mode("overwrite").parquet(f"{output}/metrics")

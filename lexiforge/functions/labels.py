@@ -166,51 +166,9 @@ def has_valency(content: Column, t: NormTables = BUILT_IN) -> Column:
     return F.coalesce(F.exists(route(content, t), lambda r: (r["target"] == "gram") & F.exists(r["elements"], lambda e: e["kind"] == "valency")), F.lit(False))
 
 
-# -- markup of readings -----------------------------------------------------------------
-
-
-def _norm_attr(norm: Column) -> Column:
-    return F.when(norm == "", "").otherwise(F.concat(F.lit(' norm="'), norm, F.lit('"')))
-
-
-def label_markup(routed: Column) -> Column:
-    """One XML fragment for the routed pieces of a label."""
-    from .text import escape_xml
-
-    def gram(e: Column) -> Column:
-        return F.concat(F.lit('<gram type="'), e["kind"], F.lit('"'), _norm_attr(e["norm"]), F.lit(">"), escape_xml(e["printed"]), F.lit("</gram>"))
-
-    def piece(r: Column) -> Column:
-        u = r["elements"][0]
-        usage = F.concat(F.lit('<usg type="'), u["kind"], F.lit('"'), _norm_attr(u["norm"]), F.lit(">"), r["printed"], F.lit("</usg>"))
-        return F.when(r["target"] == "gram", F.concat(F.lit("<gramGrp>"), F.array_join(F.transform(r["elements"], gram), ""), F.lit("</gramGrp>"))).otherwise(usage)
-
-    return F.array_join(F.transform(routed, piece), "")
-
-
 # -- splitting a label from what it governs ---------------------------------------------
 
 
-def split_gram(content: Column) -> Column:
-    """struct(pre, label, rest, pre_kind) around the first ``<nature>``; pre_kind 'none' without one.
-
-    ``pre_kind``: reflexive_form, locution_form or headword_echo, by the label and what precedes it.
-    """
-    pattern = r"(?s)^(.*?)<nature>(.*?)</nature>(.*)$"
-    has = content.rlike(pattern)
-    part = [strip(F.regexp_extract(content, pattern, i)) for i in (1, 2, 3)]
-    pre = F.regexp_replace(part[0], r"(?U)[,;:\s]+$", "")
-    rest = F.regexp_replace(part[2], r"(?U)^[,;:\s]+", "")
-    label = part[1]
-    kind = (
-        F.when(~has | (pre == ""), "none")
-        .when(pre.rlike("^[Ss][e'’]") & label.contains("réfl"), "reflexive_form")
-        .when(label.rlike(r"(?iu)loc\.\s*(?:adv|prépos|conj)|locut\."), "locution_form")
-        .otherwise("headword_echo")
-    )
-    return F.struct(F.when(has, pre).otherwise("").alias("pre"), F.when(has, label).otherwise("").alias("label"), F.when(has, rest).otherwise("").alias("rest"), kind.alias("pre_kind"))
-
-
 #: Labels that can open a block without markup, in order.
 BARE_LABELS = [
     r"substantivement\b",

@@ -73,9 +73,10 @@ def words_of(text: Column) -> Column:
 
 
 def postings(df: DataFrame, key: str, text: str) -> DataFrame:
-    """(term, key, tf, length): the inverted index."""
-    d = df.select(F.col(key).alias("key"), words_of(F.col(text)).alias("w")).withColumn("length", F.size("w"))
-    return d.select("key", "length", F.explode("w").alias("term")).groupBy("term", "key", "length").agg(F.count("*").alias("tf"))
+    """(term, key, tf, length): the inverted index. Rows are dealt by key, so their words are counted where they are."""
+    d = df.select(F.col(key).alias("key"), F.col(text).alias("t")).repartition("key")
+    d = d.select("key", words_of(F.col("t")).alias("w")).withColumn("length", F.size("w"))
+    return d.select("key", "length", F.explode("w").alias("term")).groupBy("key", "length", "term").agg(F.count("*").alias("tf")).select("term", "key", "length", "tf")
 
 
 class Index:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import tei
@@ -17,6 +17,8 @@ from ..functions.etymology import segments
 from ..functions.labels import BUILT_IN, NormTables, has_valency, is_pronunciation_prose
 from ..functions.text import make_id, strip, strip_tags, truncate
 from ..operators.lookup import mismatches, override
+from ..operators.publish import Publication
+from ..operators.scan import SMALL
 from ..operators.sequence import islands, number_repeats, number_rows, resolve_idem, stratified_sample
 from ..sources.dictionary import RUBRIQUES
 from ..staging import staged
@@ -84,9 +86,12 @@ def _openings() -> set[str]:
     return set(words.split())
 
 
+TEXT_RULES = [(PROVERB, "Proverb"), (REGISTER, "RegisterLabel"), (VOICE, "VoiceTransition"), (FIGURATIVE, "Figurative"), (VOICE_LABEL, "VoiceTransition"), (REGISTER_LABEL, "RegisterLabel")]
+
+
 def role_by_text(plain: Column) -> Column:
     """Tier B: what the block opens with. Two letters rule most texts out before any pattern is tried."""
-    rules = [(PROVERB, "Proverb"), (REGISTER, "RegisterLabel"), (VOICE, "VoiceTransition"), (FIGURATIVE, "Figurative"), (VOICE_LABEL, "VoiceTransition"), (REGISTER_LABEL, "RegisterLabel")]
+    rules = TEXT_RULES
     cascade = reduce(lambda out, rule: out.when(_any(plain, rule[0]), rule[1]), rules[1:], F.when(_any(plain, rules[0][0]), rules[0][1]))
     opens = F.lower(F.substring(plain, 1, 2)).isin(*sorted(_openings()))
     return F.when(opens, cascade.otherwise("Unclassified")).otherwise("Unclassified")
@@ -129,14 +134,14 @@ def forms(d: DataFrame) -> DataFrame:
 def entries_of(rows: DataFrame) -> DataFrame:
     e = rows.where("kind = 'entry'").select(*ENTRY, "headword", "homograph_index", "is_supplement", "pronunciation", "pos", "resume_text")
     e = e.withColumn("entry_id", make_id(F.col("headword"), F.col("homograph_index")))
-    e = number_repeats(e, ["source_file"], ["entry_ord"], "entry_id")
-    e = number_repeats(e, [], ENTRY, "entry_id")
+    e = number_repeats(e, ["source_file"], ["entry_ord"], "entry_id", SMALL)
+    e = number_repeats(e, [], ENTRY, "entry_id", SMALL)
     return e.withColumn("source_letter", F.substring("source_file", 1, 1))
 
 
 def citations_of(rows: DataFrame) -> DataFrame:
     c = rows.where("kind = 'citation'").select(*ENTRY, F.col("path").alias("src_path"), "cit_ord", F.col("content").alias("text_markup"), "author", "reference", "hide", "source_line")
-    c = resolve_idem(c, ENTRY, ["src_path", "cit_ord"])
+    c = resolve_idem(c, ENTRY, ["src_path", "cit_ord"], hot_rows=SMALL)
     return c.withColumn("resolved_author", F.when(F.col("resolved_author") == "", F.col("author")).otherwise(F.col("resolved_author")))
 
 
@@ -157,7 +162,7 @@ def scoped(nodes: DataFrame, cited: DataFrame) -> DataFrame:
     s = senses.join(last, key, "left")
     s = s.join(has_cit.withColumnsRenamed({k: "__" + k for k in ENTRY}), (F.col("last.src_path") == F.col("c")) & reduce(lambda x, y: x & y, [F.col(k) == F.col("__" + k) for k in ENTRY]), "left").drop(*["__" + k for k in ENTRY])
     carrier = (F.coalesce(F.col("last.role"), F.lit("")) == "VoiceTransition") & F.col("c").isNull()
-    s = islands(s.withColumn("carrier", carrier), ENTRY, ["i"], F.col("carrier"), "g_")
+    s = islands(s.withColumn("carrier", carrier), ENTRY, ["i"], F.col("carrier"), "g_", SMALL)
     s = s.withColumn("opens", F.col("carrier") & (F.col("g_size") > 0)).withColumn("moved", (F.col("g_island") > 0) & (F.col("g_rank") > 0))
     # A place at top level: one for each sense that stays, one more after a carrier that opens.
     w = Window.partitionBy(*ENTRY).orderBy("i")
@@ -182,7 +187,7 @@ def scoped(nodes: DataFrame, cited: DataFrame) -> DataFrame:
     popped = s.where("opens").select(*ENTRY, F.col("last.src_path").alias("src_path"))
     t = tops.join(popped, [*ENTRY, "src_path"], "left_anti")
     transition = F.col("role").isin("NatureLabel", "VoiceTransition")
-    t = islands(t.withColumn("t", transition), key, ["a"], F.col("t"), "k_")
+    t = islands(t.withColumn("t", transition), key, ["a"], F.col("t"), "k_", SMALL)
     kids = body.where((F.col("kind") == "indent") & (F.size("src_path") == 4)).groupBy(*ENTRY, i.alias("i"), a.alias("a")).agg(F.count("*").alias("kids"))
     t = t.join(kids, [*key, "a"], "left").fillna(0, ["kids"])
     wk = Window.partitionBy(*key).orderBy("a")
@@ -331,13 +336,9 @@ class Dictionary:
             self.table(name).createOrReplaceTempView(name)
 
     def write(self, folder: str) -> DataFrame:
-        """The six tables as Parquet (an older build is replaced), and (table, n_rows) of what was written."""
-        counts = []
-        for name, df in self.contract.items():
-            path = f"{folder}/{name}"
-            df.write.mode("overwrite").parquet(path)
-            counts.append(self.spark.read.parquet(path).agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows"))
-        return reduce(DataFrame.unionByName, counts)
+        """The six tables as the next version of a publication, and (table_name, n_rows) as observed on the way."""
+        published = Publication(self.spark, folder)
+        return published.counts(published.write(self.contract))
 
     # -- rubriques and etymology ------------------------------------------------------------
 
@@ -446,11 +447,11 @@ class Dictionary:
         absorbed = self.body.where("kind = 'indent' and not in_rubrique and size(path) = size(sense_path) + 2 and size(src_path) = 3")
         carriers = self._terminal_transitions()
         parts = [
-            long(ind, indents=n, classified=known, percent_classified=F.coalesce(F.round(F.try_divide(known * 100, n), 1), F.lit(0.0))),
+            long(ind, indents=n, classified=known, percent_classified=F.coalesce(F.bround(F.try_divide(known * 100, n), 1), F.lit(0.0))),
             long(group, strong_scoped=sum_of(F.when(F.col("transition_type") == "strong", F.col("n_scoped"))), medium_scoped=sum_of(F.when(F.col("transition_type") == "medium", F.col("n_scoped"))), ambiguous_scopes=F.count_if(F.col("n_scoped") > LARGE_SCOPE)),
             long(absorbed, intra_grouped=n),
             long(carriers, zero_scope=n),
-            long(seg, cues_resolved=cues, cues_suspect=suspects, cue_hit_rate=F.coalesce(F.round(F.try_divide(cues * 100, cues + suspects), 1), F.lit(100.0))),
+            long(seg, cues_resolved=cues, cues_suspect=suspects, cue_hit_rate=F.coalesce(F.bround(F.try_divide(cues * 100, cues + suspects), 1), F.lit(100.0))),
             long(self.nodes.where("kind = 'rubrique'"), unknown_rubriques=F.count_if(~F.col("rubrique_name").isin(*RUBRIQUES))),
         ]
         roles = ind.groupBy(F.concat(F.lit("role "), F.coalesce("role", F.lit("unknown"))).alias("metric")).agg(n.cast("double").alias("value"))

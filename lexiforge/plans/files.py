@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels as N
@@ -16,6 +16,7 @@ from ..functions.etymology import segments
 from ..operators import lookup as L
 from ..operators import release as R
 from ..operators import validation as V
+from ..operators.publish import Publication
 from ..sources import tables as T
 from ..sources.dictionary import read_files, scan_files
 from ..staging import shared_dir
@@ -163,8 +164,7 @@ def written_tables(spark, d):
 
     folder = _folder(spark, "tables")
     counts = dictionary(spark, "rich").write(folder)
-    names = ["entries", "senses", "citations", "locutions", "rubriques", "review_queue"]
-    columns = spark.createDataFrame([(n, ",".join(spark.read.parquet(f"{folder}/{n}").columns)) for n in names], "table_name string, columns string")
+    columns = spark.createDataFrame([(n, ",".join(t.columns)) for n, t in Publication(spark, folder).read().items()], "table_name string, columns string")
     return counts.join(columns, "table_name")
 
 

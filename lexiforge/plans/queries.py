@@ -12,9 +12,11 @@ from ..functions import labels as N
 from ..functions import text as T
 from ..operators import lookup as L
 from ..operators import sequence as S
+from ..operators.observed import counted
+from ..operators.scan import items_before
 from ..sources.dictionary import scan_files
-from . import goldens, sample
-from .build import TABLES, Dictionary, role_by_text
+from . import given, goldens, sample
+from .build import TABLES, TEXT_RULES, Dictionary, role_by_text
 from .files import FILE_QUERIES
 
 # -- the user's SQL over the built tables -----------------------------------------------
@@ -244,10 +246,13 @@ def neighbour_texts(spark, d):
 
 
 def path_ids(spark, d):
-    lines = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
-    words = lines.select("doc_id", (F.col("i") + 1).alias("i"), F.posexplode(F.split("line", " ")).alias("j", "word"))
-    w = words.select("doc_id", "i", (F.col("j") + 1).alias("j"), F.concat_ws(".", F.col("doc_id").cast("string"), F.col("i").cast("string"), (F.col("j") + 1).cast("string")).alias("xml_id"))
-    return S.number_rows(w, ["doc_id", "i", "j"], "node_id").select("node_id", "xml_id")
+    """Words numbered over all documents: documents by the words before them, words by their place."""
+    docs = _t(spark, d, "documents").select("doc_id", "text")
+    marks = F.length("text") - F.length(F.translate("text", " \n", ""))
+    numbered = items_before(docs, ["doc_id"], marks + 1, "before")
+    places = F.flatten(F.transform(F.split("text", "\n"), lambda line, i: F.transform(F.split(line, " "), lambda _, j: F.struct((i + 1).alias("i"), (j + 1).alias("j")))))
+    w = numbered.select("doc_id", "before", F.posexplode(places).alias("at", "w"))
+    return w.select((F.col("before") + F.col("at") + 1).alias("node_id"), F.concat_ws(".", F.col("doc_id").cast("string"), F.col("w.i").cast("string"), F.col("w.j").cast("string")).alias("xml_id"))
 
 
 def stratified(spark, d):
@@ -296,13 +301,24 @@ LEADS = (
 )
 
 
-def cascade_classify(spark, d):
-    """Every line of every document, led in by an opening in turn, and every opening that stands alone."""
+def led_lines(spark, d):
+    """(turn, role) of every line of every document, led in by an opening in turn, and of every opening that stands alone."""
     lines = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
     turn = F.pmod(F.col("doc_id") + F.col("i"), F.lit(len(LEADS) + 3)).cast("int")
     alone = F.when(turn == len(LEADS), "Au fém.").when(turn == len(LEADS) + 1, "Vieillie.").when(turn == len(LEADS) + 2, "Avec un nom de chose")
     text = F.coalesce(alone, F.concat(F.get(F.array(*[F.lit(x) for x in LEADS]), turn), "line"))
-    return lines.select(turn.alias("turn"), role_by_text(text).alias("role")).groupBy("turn", "role").agg(F.count("*").alias("n"))
+    return lines.select(turn.alias("turn"), role_by_text(text).alias("role"))
+
+
+def cascade_classify(spark, d):
+    return led_lines(spark, d).groupBy("turn", "role").agg(F.count("*").alias("n"))
+
+
+def observed_roles(spark, d):
+    """How many lines have each role, counted while the lines are written: one scan for the table and its figures."""
+    roles = sorted({role for _, role in TEXT_RULES} | {"Unclassified"})
+    _, seen = counted(led_lines(spark, d), "led_lines", **{r: F.count_if(F.col("role") == r) for r in roles})
+    return spark.createDataFrame([(r, seen[r]) for r in roles], "role string, n long")
 
 
 def verdict_override(spark, d):
@@ -479,13 +495,16 @@ DATA_SQL = {
     "distinct_segments": "SELECT DISTINCT c_mktsegment FROM customer",
 }
 
-_DATA = (author_locf, id_dedup, scope_inter, scope_intra, neighbour_texts, path_ids, stratified, island_first_last, strip_tags, escape_xml, collapse_ws, slugs, xref_targets, dangling_refs, first_match_rules, cascade_classify, verdict_override, split_atoms, form_before_comma, century_ranges, json_context, flag_union, range_join, full_outer_verdicts, except_ids, object_counts, bm25_topk, postings_stats, balanced_tags, like_and_sort, distinct_segments)
+given.ORACLE_SQL["bm25_blockmax"] = DATA_SQL["bm25_topk"]
+DATA_SQL["observed_roles"] = f"SELECT role, sum(n)::BIGINT AS n FROM ({DATA_SQL['cascade_classify']}) GROUP BY role"
+
+_DATA = (author_locf, id_dedup, scope_inter, scope_intra, neighbour_texts, path_ids, stratified, island_first_last, strip_tags, escape_xml, collapse_ws, slugs, xref_targets, dangling_refs, first_match_rules, cascade_classify, observed_roles, verdict_override, split_atoms, form_before_comma, century_ranges, json_context, flag_union, range_join, full_outer_verdicts, except_ids, object_counts, bm25_topk, postings_stats, balanced_tags, like_and_sort, distinct_segments)
 
 _RICH = (rich_entries, rich_resumes, rich_senses, rich_citations, rich_locutions, rich_forms, rich_rubriques, rich_flags, rich_samples, rich_metrics, rich_mismatches, rich_tei, rich_hoists, rich_pronunciations)
 
 _OWN = (*_RICH, *FILE_QUERIES, dict_q22_search_senses, dict_q23_search_citations, dict_etymology_segments, dict_pos_readings, route_labels, bare_labels)
 
-QUERIES = {**{n: _user(n) for n in USER_SQL}, **{f.__name__: f for f in _OWN}, **{f.__name__: f for f in _DATA}}
+QUERIES = {**{n: _user(n) for n in USER_SQL}, **{f.__name__: f for f in _OWN}, **{f.__name__: f for f in _DATA}, **given.QUERIES}
 
 #: Rows worked out by hand from the rules, for the small dictionary.
 GOLDEN_SQL = {
@@ -501,7 +520,7 @@ GOLDEN_SQL = {
     "bare_labels": "SELECT * FROM (VALUES ('Populairement encore, une ficelle', 'populairement encore', 'une ficelle'), ('Substantivement et au neutre. Le beau.', 'substantivement et au neutre', 'Le beau.'), ('Absolument.', NULL, NULL), ('Une chose.', NULL, NULL)) t(block, label, rest)",
 }
 
-ORACLE_SQL = {**DATA_SQL, **WHOLE_SQL, **GOLDEN_SQL}
+ORACLE_SQL = {**DATA_SQL, **WHOLE_SQL, **GOLDEN_SQL, **given.ORACLE_SQL}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

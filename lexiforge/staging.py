@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -23,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder. A session in one process that names none (tests) gets a folder of its own; on a cluster that is an error."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         found = "file://" + tempfile.mkdtemp(prefix="lexiforge-")
         spark.conf.set("spark.checkpoint.dir", found)
@@ -52,6 +53,13 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A folder of one's own below the shared one, deleted with the stages of this process."""
+    path = f"{shared_dir(spark)}/lexiforge/{label}-{uuid.uuid4().hex}"
+    _written[path] = spark
+    return path
+
+
 def discard(df: DataFrame) -> None:
     """Delete a staged table that nothing will read again; frames read from it end here."""
     _delete(getattr(df, "lexiforge_stage", ""))

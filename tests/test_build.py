@@ -16,6 +16,7 @@ from lexiforge.functions.tei import Renderer
 from lexiforge.operators import lookup as L
 from lexiforge.operators import release as R
 from lexiforge.operators import sequence as S
+from lexiforge.operators.publish import Publication
 from lexiforge.plans import sample
 from lexiforge.sources.dictionary import entry_cuts, file_rows
 
@@ -98,14 +99,23 @@ def test_command_builds_everything(spark, tmp_path, monkeypatch, capsys):
     for path, text in sample.FILES["rich"]:
         (tmp_path / "in" / path.rsplit("/", 1)[-1]).write_text(text)
     monkeypatch.setenv("LEXIFORGE_SOURCE", str(tmp_path / "in"))
-    command.main([str(tmp_path / "in"), str(tmp_path / "out")])
+    (tmp_path / "baseline").write_text("total\t5\ninvalid\t0\n")
+    command.main([str(tmp_path / "in"), str(tmp_path / "out"), "--baseline", str(tmp_path / "baseline")])
     said = capsys.readouterr().out
     assert "senses\t76" in said and "flag scope_decision\t4" in said
-    assert spark.read.parquet(f"{tmp_path}/out/tables/review_queue").count() > 40
+    assert Publication(spark, f"{tmp_path}/out/tables").read()["review_queue"].count() > 40
     assert "<body>" in {r["value"] for r in spark.read.text(f"{tmp_path}/out/tei").collect()}
     assert spark.read.text(f"{tmp_path}/out/SHA256SUMS").count() >= 1
     with pytest.raises(FileNotFoundError):
         command.build(spark, str(tmp_path / "out" / "tei"), str(tmp_path / "none"))
+    with pytest.raises(ValueError, match="belong together"):
+        command.build(spark, str(tmp_path / "in"), str(tmp_path / "none"), register="r.toml")
+
+
+def test_a_tie_goes_to_the_even_tenth(spark):
+    known = ["Proverb"] * 49 + [None] * 351  # 12.25 per cent
+    d = spark.createDataFrame([(x,) for x in known], "role string").agg(F.bround(F.try_divide(F.count_if(F.col("role").isNotNull()) * 100, F.count("*")), 1).alias("p"))
+    assert d.first()["p"] == 12.2
 
 
 def test_empty_dictionary(spark):
