@@ -15,11 +15,11 @@ small part of the vectors. A search has three steps.
    are more vectors read; equal bounds are, for their ids could win a tie.
 
 Queries are dealt in blocks of bounded size (``BLOCK_BYTES``): a stated query set against
-all rows, one scan of the cells a block. Exact scores are sums of whole numbers: in doubles
+all rows, one scan of the cells a block, one block after the other. Exact scores are sums of whole numbers: in doubles
 where these hold them, else in numbers of any size.
 
 Defined cases: vectors that are null or hold a null or non-finite component, and rows
-without an id, take no part; only vectors of equal length are compared, empty ones have
+without an id, take no part; finite components of any size do; only vectors of equal length are compared, empty ones have
 score 0; a repeated vec_id is a candidate as often as it occurs and never its own query's;
 equal query rows are one query, rows of one vec_id with different vectors are queries of
 their own; ties go to the smaller vec_id; a score beyond a long is given as the nearest
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..staging import staged
+from ..staging import scratch, staged
 
 SCALE = 256
 CELLS = 256
@@ -43,15 +43,23 @@ _LONG = 2**63
 
 
 def integer_vectors(rows: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(vec_id, v): floor(SCALE * x) of each component as a whole double, of the vectors that take part."""
+    """(vec_id, v): floor(SCALE * x) / SCALE of each component, of the vectors that take part.
+
+    The quotient is a double whatever the size of x, where the whole number itself might be none.
+    """
     x = F.transform(F.col(vector), lambda e: e.cast("double"))
-    fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e * SCALE) < float("inf")))
+    fine = F.forall(x, lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
     d = rows.where(F.col(vector).isNotNull() & F.col(vec_id).isNotNull()).where(fine)
-    # Beyond 2**52 a double is whole already, and a long could not hold it.
-    whole = F.transform(x, lambda e: F.when(F.abs(e * SCALE) < float(1 << 52), F.floor(e * SCALE).cast("double")).otherwise(e * SCALE))
+    # Beyond 2**44 a multiple of SCALE is whole already, and a long could not hold it.
+    whole = F.transform(x, lambda e: F.when(F.abs(e) < float(1 << 44), F.floor(e * SCALE).cast("double") / SCALE).otherwise(e))
     return d.select(F.col(vec_id).cast("long").alias("vec_id"), whole.alias("v"))  # a negative zero stays zero in every sum
 
 
+def whole_number(x: float) -> int:
+    """SCALE * x of a component, exactly."""
+    return int(x * SCALE) if abs(x) < 2.0**900 else int(x) * SCALE
+
+
 class Grid:
     """Least value and cell width of each component, for the vectors of one length."""
 
@@ -60,7 +68,7 @@ class Grid:
 
         self.low = np.array(low, float)
         # In halves, for the whole range may exceed the greatest double.
-        self.width = np.maximum((np.array(high, float) / 2 - self.low / 2) / (CELLS / 2), 2.0**-20)
+        self.width = np.maximum((np.array(high, float) / 2 - self.low / 2) / (CELLS / 2), 2.0**-28)
         self.reach = np.maximum(np.abs(self.low), np.abs(np.array(high, float)))
 
     def cells(self, v):
@@ -87,12 +95,18 @@ def matrix_of(column, n: int):
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, n) if n else np.zeros((len(column), 0))
 
 
+def by_length_of(sizes):
+    """(length, row numbers) of rows of these lengths."""
+    import numpy as np
+
+    return [(n, np.flatnonzero(sizes == n)) for n in np.unique(sizes).tolist()]
+
+
 def by_length(batch, at: int):
     """(length, row numbers) of an array column."""
     import numpy as np
 
-    sizes = np.diff(batch.column(at).offsets.to_numpy())
-    return [(n, np.flatnonzero(sizes == n)) for n in np.unique(sizes).tolist()]
+    return by_length_of(np.diff(batch.column(at).offsets.to_numpy()))
 
 
 def extremes(batches):
@@ -144,19 +158,19 @@ def scan_cells(batches, blocks: dict, grids: dict, k: int):
 
 
 def exact_scores(a, b) -> list[int]:
-    """Inner products of the rows of two matrices of whole doubles."""
+    """Inner products, in whole numbers, of the rows of two matrices of components over SCALE."""
     import numpy as np
 
     if not a.shape[1]:
         return [0] * len(a)
     with np.errstate(over="ignore"):
         sizes = np.abs(a).max(axis=1) * np.abs(b).max(axis=1) * a.shape[1]
-    fits = sizes < 2.0**53
+    fits = sizes < 2.0**53 / SCALE**2
     out: list[int] = [0] * len(a)
-    for i, s in zip(np.flatnonzero(fits).tolist(), np.einsum("ij,ij->i", a[fits], b[fits]).tolist(), strict=True):
+    for i, s in zip(np.flatnonzero(fits).tolist(), np.einsum("ij,ij->i", a[fits] * SCALE, b[fits] * SCALE).tolist(), strict=True):
         out[i] = int(s)
     for i in np.flatnonzero(~fits).tolist():
-        out[i] = sum(int(x) * int(y) for x, y in zip(a[i].tolist(), b[i].tolist(), strict=True))
+        out[i] = sum(whole_number(x) * whole_number(y) for x, y in zip(a[i].tolist(), b[i].tolist(), strict=True))
     return out
 
 
@@ -180,9 +194,10 @@ def score_rows(batches):
 def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score) of each row of ``queries`` against all ``rows``."""
     spark = rows.sparkSession
-    asked = staged(integer_vectors(queries, vec_id, vector).distinct().withColumn("n", F.size("v")), "queries")
-    data = integer_vectors(rows, vec_id, vector).withColumn("n", F.size("v"))
-    ends = data.select("vec_id", "v").mapInArrow(extremes, "n int, d int, low double, high double").groupBy("n", "d").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    named = integer_vectors(queries, vec_id, vector).distinct().withColumn("n", F.size("v")).withColumn("q", F.monotonically_increasing_id())
+    asked = staged(named, "queries")  # written once, so each keeps its number
+    data = integer_vectors(rows, vec_id, vector)
+    ends = data.mapInArrow(extremes, "n int, d int, low double, high double").groupBy("n", "d").agg(F.min("low").alias("low"), F.max("high").alias("high"))
     grids: dict[int, Grid] = {0: Grid([], [])}
     found: dict[int, list] = {}
     for r in ends.orderBy("n", "d").collect():  # one row a component
@@ -190,19 +205,10 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id
     for n, x in found.items():
         grids[n] = Grid([a for a, _ in x], [b for _, b in x])
     shared = spark.sparkContext.broadcast(grids)
-    cells = staged(data.select("vec_id", "v").mapInArrow(lambda b: cell_rows(b, shared.value), "vec_id long, n int, cells binary"), "cells")
+    cells = staged(data.mapInArrow(lambda b: cell_rows(b, shared.value), "vec_id long, n int, cells binary"), "cells")
 
     total = asked.agg(F.count("*"), F.max("n")).first()
-    block = max(1, BLOCK_BYTES // (8 * max(1, total[1] or 1)))
-    blocks = max(1, -(-total[0] // block))
-    numbered = staged(asked.withColumn("q", F.xxhash64("vec_id", "v")), "asked")
-    open_ = []
-    for b in range(blocks):
-        open_.append(_scan(numbered.where(F.pmod("q", F.lit(blocks)) == b), cells, shared, k))
-    bounds = open_[0]
-    for x in open_[1:]:
-        bounds = bounds.unionByName(x)
-    bounds = staged(bounds, "bounds")
+    bounds = scan_blocks(asked, cells, shared, k, max(1, -(-(total[0] * 8 * max(1, total[1] or 1)) // BLOCK_BYTES)))
     best = Window.partitionBy("q").orderBy(F.desc("low"))
     least = bounds.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k).groupBy("q").agg(F.min("low").alias("sure"), F.count("*").alias("c"))
     least = least.select("q", F.when(F.col("c") < k, F.lit(float("-inf"))).otherwise(F.col("sure")).alias("sure"))
@@ -210,27 +216,45 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id
     left = staged(left.withColumn("r", F.row_number().over(Window.partitionBy("q").orderBy(F.desc("high"), "vec_id"))), "open")
 
     def read(wanted: DataFrame) -> DataFrame:
-        pairs = wanted.select("q", "vec_id").join(data.select("vec_id", "v"), "vec_id")
-        pairs = pairs.join(numbered.select("q", F.col("vec_id").alias("query_id"), F.col("v").alias("qv")), "q")
+        pairs = wanted.select("q", "vec_id").join(data, "vec_id")
+        pairs = pairs.join(asked.select("q", F.col("vec_id").alias("query_id"), F.col("v").alias("qv")), "q")
         return pairs.select("q", "query_id", "vec_id", "qv", "v").mapInArrow(score_rows, "q long, query_id long, vec_id long, score long, exact string")
 
     ranked = Window.partitionBy("q", "query_id").orderBy(F.desc("exact"), "vec_id")
     first = staged(read(left.where(F.col("r") <= READ * k)), "first")
     kth = first.withColumn("r", F.row_number().over(ranked)).where(F.col("r") == k).groupBy("q").agg(F.min("score").alias("kth"))
-    # The k-th score as a double, rounded down; what a long cannot hold rules nothing out.
-    floor = F.when(F.col("kth") > -_LONG, F.col("kth").cast("double") * (1 - F.signum("kth") * 2.0**-52))
+    # The k-th score in the bounds' unit, rounded down; what a long cannot hold rules nothing out.
+    floor = F.when(F.col("kth") > -_LONG, F.col("kth").cast("double") * (1 - F.signum("kth") * 2.0**-52) / SCALE**2)
     rest = staged(left.where(F.col("r") > READ * k).join(kth, "q", "left").where(floor.isNull() | (F.col("high") >= floor)), "rest")
     every = first if rest.isEmpty() else first.unionByName(read(rest))
     return every.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def _scan(block: DataFrame, cells: DataFrame, grids, k: int) -> DataFrame:
-    """Bounds (q, vec_id, low, high) of what one block of queries leaves open."""
+def scan_blocks(asked: DataFrame, cells: DataFrame, grids, k: int, blocks: int) -> DataFrame:
+    """Bounds (q, vec_id, low, high) of what the scans leave open, one block of queries after the other.
+
+    A block's bounds are added to one table and its broadcast is destroyed before the next
+    block is read, so driver, executors and plan hold one block, however many there are.
+    """
+    spark = asked.sparkSession
+    path, schema = scratch(spark, "bounds"), "q long, vec_id long, low double, high double"
+    for b in range(blocks):
+        block = asked.where(F.pmod(F.xxhash64("q"), F.lit(blocks)) == b) if blocks > 1 else asked
+        shared = spark.sparkContext.broadcast(_packed(block))
+        cells.mapInArrow(lambda x, own=shared: scan_cells(x, own.value, grids.value, k), schema).write.mode("append").parquet(path)
+        shared.destroy()
+    return spark.read.schema(schema).parquet(path)
+
+
+def _packed(block: DataFrame) -> dict:
+    """{length: (q, vec_id, vectors)} of one block, about BLOCK_BYTES."""
     import numpy as np
 
-    own: dict[int, list] = {}
-    for r in block.select("q", "vec_id", "v", "n").collect():  # about BLOCK_BYTES
-        own.setdefault(r["n"], []).append((r["q"], r["vec_id"], r["v"]))
-    packed = {n: (np.array([a for a, _, _ in x]), np.array([b for _, b, _ in x]), np.array([c for _, _, c in x], float).reshape(len(x), n)) for n, x in own.items()}
-    shared = block.sparkSession.sparkContext.broadcast(packed)
-    return cells.mapInArrow(lambda b: scan_cells(b, shared.value, grids.value, k), "q long, vec_id long, low double, high double")
+    held = block.select("q", "vec_id", "v", "n").toArrow()
+    out = {}
+    for n, own in by_length_of(held.column(3).to_numpy()):
+        part = held.take(pa.array(own)).combine_chunks()
+        flat = part.column(2).combine_chunks()
+        flat = flat.chunk(0) if isinstance(flat, pa.ChunkedArray) else flat
+        out[n] = (part.column(0).to_numpy(), part.column(1).to_numpy(), matrix_of(flat, n) if n else np.zeros((len(own), 0)))
+    return out

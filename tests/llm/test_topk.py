@@ -1,5 +1,6 @@
 """Top-k against brute force in whole numbers of any size."""
 
+from fractions import Fraction
 from math import floor
 
 import numpy as np
@@ -14,8 +15,8 @@ def brute(rows, k=5):
     """{(query id, vector): [(vec_id, score), ...]} for rows (vec_id, vector)."""
     fine = []
     for i, v in rows:
-        if i is not None and v is not None and all(x is not None and np.isfinite(x * 256.0) for x in v):
-            fine.append((i, tuple(floor(x * 256.0) for x in v)))
+        if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
+            fine.append((i, tuple(floor(256 * Fraction(x)) for x in v)))
     out = {}
     for i, q in fine:
         if i % 50 == 0:
@@ -60,7 +61,7 @@ def test_ties_and_repeats(spark):
     check(spark, rows, parts=7)
 
 
-@pytest.mark.parametrize("size", [70000.0, 1e12, 1e200, 1e305])
+@pytest.mark.parametrize("size", [70000.0, 1e12, 1e200, 1e305, 3e306, 2e307])
 def test_large_components(spark, size):
     rng = np.random.default_rng(2)
     rows = rows_of(np.floor(rng.normal(size=(120, 4)) * size))
