@@ -119,7 +119,8 @@ def bounded_sample(rows: DataFrame, most: int, seed: int = 5, key: tuple[str, ..
     n = rows.count()
     if n <= most:
         return rows
-    return rows.where(F.pmod(F.xxhash64(*key, F.lit(seed)), F.lit(1 << 24)) < int((1 << 24) * most / n))
+    # 60 bits of the hash: the share stays above 0 for any number of rows.
+    return rows.where(F.shiftrightunsigned(F.xxhash64(*key, F.lit(seed)), 4) < (1 << 60) * most // n)
 
 
 def log_matrix(table):

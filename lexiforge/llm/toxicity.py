@@ -7,11 +7,11 @@ term is swapped for another of the same kind, so that group names carry no weigh
 their own and neutral mentions are not marked. Each term also comes in the neutral
 sentences of ``TEMPLATES``, so terms that no labelled text holds are swapped as well.
 
-Bounds, all parameters: training takes ``TRAIN_ROWS`` labelled rows by a hash of id and
-text, ``WORDS`` features by the difference of their shares (of those in ``LEAST_DOCS``
-documents), and of each identity term ``TERM_PAIRS`` swapped sentences by a hash of the
-sentence; none depends on how rows are laid out. Every fitted weight is kept. Scoring reads
-every whole text and looks its words up in the broadcast weights.
+Every feature has a place in a vector of ``WIDTH`` weights, its hash; none is left out for
+being rare, and every swapped sentence of a training row is a pair. The one bound is
+``TRAIN_ROWS``, the labelled rows that training takes, by a hash of id and text; it does not
+depend on how rows are laid out. Scoring reads every whole text and adds up the broadcast
+weights of its features.
 
 Defined cases: null and empty texts get the score of no words at all; with no labels
 every score is 0, with one class of them all are that class; a doc_id that is labelled
@@ -24,18 +24,16 @@ from __future__ import annotations
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..staging import staged
 from .common import remainder
 from .langid import bounded_sample
 
-TRAIN_ROWS = 20_000
-WORDS = 20_000
+TRAIN_ROWS = 10_000
+WIDTH = 1 << 20
 PREFIXES = (5, 6, 7, 8)
-LEAST_DOCS = 5
-TERM_PAIRS = 200
+KNOWN = 200_000
 
 #: Neutral sentences that any identity term completes.
 TEMPLATES = ("I met {} today", "the {} in our street", "they said that {} came", "a {} wrote this")
@@ -66,6 +64,31 @@ def features(words) -> set[str]:
     return out
 
 
+class Places:
+    """The places of words' features in the weights, kept for a bounded number of words."""
+
+    def __init__(self, width: int = WIDTH):
+        self.width, self.known = width, {}
+
+    def word(self, w: str) -> list[int]:
+        from xxhash import xxh32_intdigest
+
+        if len(self.known) >= KNOWN:
+            self.known.clear()
+        found = self.known[w] = [xxh32_intdigest(f.encode("utf-8", "replace")) % self.width for f in features([w])]
+        return found
+
+    def __call__(self, words):
+        """Sorted places of a set of words, each once."""
+        import numpy as np
+
+        known = self.known
+        found = {x for w in words for x in known.get(w) or self.word(w)}
+        out = np.fromiter(found, np.int32, len(found))
+        out.sort()
+        return out
+
+
 def swapped(words: set[str]) -> list[set[str]]:
     """A sentence's words with each identity term replaced by the next of its kind."""
     out = []
@@ -75,52 +98,56 @@ def swapped(words: set[str]) -> list[set[str]]:
     return out
 
 
-def word_rows(batches):
-    """(toxic, text) to (toxic, features, swaps); a swap is a term, a sentence's hash, its features and those of the swapped one."""
-    from xxhash import xxh64_intdigest
+_CODED = pa.schema([("toxic", pa.int32()), ("own", pa.binary()), ("other", pa.binary())])
 
-    swap = pa.struct([("term", pa.string()), ("h", pa.int64()), ("own", pa.list_(pa.string())), ("other", pa.list_(pa.string()))])
-    schema = pa.schema([("toxic", pa.int32()), ("words", pa.list_(pa.string())), ("swaps", pa.list_(swap))])
+
+def coded_rows(batches, width: int):
+    """(toxic, text) to packed places: one row a text (other null), one for each swap of a sentence (toxic null)."""
+    places = Places(width)
     for batch in batches:
-        rows: dict[str, list] = {"toxic": [], "words": [], "swaps": []}
+        rows: list[dict] = []
         for y, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             w = words_of(text)
-            swaps = []
+            rows.append({"toxic": y, "own": places(w).tobytes(), "other": None})
             for s in SENTENCE.findall(text) if w & TERMS.keys() else ():
                 own = words_of(s)
-                h = xxh64_intdigest(" ".join(sorted(own)).encode("utf-8", "replace")) >> 1
-                swaps += [{"term": term, "h": h, "own": sorted(features(own)), "other": sorted(features(x))} for term, x in zip(sorted(own & TERMS.keys()), swapped(own), strict=True)]
-            rows["toxic"].append(y)
-            rows["words"].append(sorted(features(w)))
-            rows["swaps"].append(swaps)
-        yield pa.RecordBatch.from_pydict(rows, schema=schema)
+                rows += [{"toxic": None, "own": places(own).tobytes(), "other": places(x).tobytes()} for x in swapped(own)]
+        yield pa.RecordBatch.from_pylist(rows, _CODED)
 
 
-def template_pairs() -> list[tuple[set[str], set[str]]]:
-    """Features of each neutral sentence with each term, and with the next term of its kind."""
-    out = []
+def template_pairs(width: int = WIDTH) -> list[tuple[bytes, bytes]]:
+    """Places of each neutral sentence with each term, and with the next term of its kind."""
+    places, out = Places(width), []
     for sentence in TEMPLATES:
         for term in sorted(TERMS):
             own = words_of(sentence.format(term))
-            out += [(features(own), features(x)) for x in swapped(own)]
+            out += [(places(own).tobytes(), places(x).tobytes()) for x in swapped(own)]
     return out
 
 
-def fit(rows, pairs, size: int, fairness: float = 1.0, decay: float = 1e-4, rounds: int = 250):
-    """Rows (toxic, feature ids) and pairs (ids, ids of the swapped sentence) to (bias, weights)."""
+def coded(sets):
+    """(all places, the row of each) of packed sets of places."""
     import numpy as np
 
-    total = [sum(1 for y, _ in rows if y == k) for k in (0, 1)]
-    if not total[0] or not total[1]:
-        return (-20.0 if not total[1] else 20.0), np.zeros(size)
+    sizes = [len(x) // 4 for x in sets]
+    return np.frombuffer(b"".join(sets), np.int32), np.repeat(np.arange(len(sets), dtype=np.int32), sizes)
 
-    def coded(sets):
-        return np.array([x for r in sets for x in r], np.int64), np.repeat(np.arange(len(sets)), [len(r) for r in sets])
 
-    y = np.array([t for t, _ in rows], float)
-    x, of = coded([w for _, w in rows])
+def fit(toxic, sets, pairs, size: int, fairness: float = 1.0, decay: float = 1e-4, rounds: int = 250):
+    """Labels and packed places of their texts, and pairs (places, places of the swapped sentence), to (bias, weights)."""
+    import numpy as np
+
+    y = np.array(toxic, float)
+    total = [int((y == k).sum()) for k in (0, 1)]
+    if not total[0] or not total[1]:
+        return (-20.0 if not total[1] else 20.0), np.zeros(size)
+    x, of = coded(sets)
     left, left_of = coded([a for a, _ in pairs])
     right, right_of = coded([b for _, b in pairs])
+    # Places that no row holds keep a weight of 0.
+    held, at = np.unique(np.concatenate([x, left, right]), return_inverse=True)
+    x, left, right = np.split(at.astype(np.int32), [len(x), len(x) + len(left)])
+    width, size = size, len(held)
     w, bias = np.zeros(size), np.log((total[1] + 0.5) / (total[0] + 0.5))
     m, v, mb, vb = np.zeros(size), np.zeros(size), 0.0, 0.0
     n, k = len(y), max(1, len(pairs))
@@ -140,59 +167,38 @@ def fit(rows, pairs, size: int, fairness: float = 1.0, decay: float = 1e-4, roun
         c1, c2 = 1 - 0.9**step, 1 - 0.999**step
         w -= rate * (m / c1) / (np.sqrt(v / c2) + 1e-8) * (np.abs(g) > 1e-9)
         bias -= rate * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    return float(bias), w
+    out = np.zeros(width)
+    out[held] = w
+    return float(bias), out
 
 
-_SWAPS = "array<struct<term: string, h: long, own: array<string>, other: array<string>>>"
+def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, width: int = WIDTH, fairness: float = 1.0):
+    """Rows (doc_id, text, toxic) to (bias, weights)."""
+    import numpy as np
 
+    sample = bounded_sample(labelled.where("toxic is not null").dropDuplicates(["doc_id", "text"]), train_rows, key=("doc_id", "text"))
+    made = sample.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(lambda b: coded_rows(b, width), "toxic int, own binary, other binary")
+    got = made.toArrow()  # TRAIN_ROWS texts, four bytes a feature, and their swaps
+    label = got.column(0).to_numpy()
+    own, other = got.column(1).to_pylist(), got.column(2).to_pylist()
+    rows = sorted((int(label[i]), own[i]) for i in range(len(own)) if other[i] is None)
+    pairs = sorted({(own[i], other[i]) for i in range(len(own)) if other[i] is not None} | set(template_pairs(width)))
+    if not rows:
+        return -1e9, np.zeros(width)
+    return fit([y for y, _ in rows], [x for _, x in rows], pairs, width, fairness)
 
-def train(labelled: DataFrame, train_rows: int = TRAIN_ROWS, words: int = WORDS, term_pairs: int = TERM_PAIRS):
-    """Rows (doc_id, text, toxic) to (bias, weight by feature).
 
-    Documents are counted by feature on the executors; only the ``words`` features whose
-    share of toxic and of other documents differs most become the vocabulary, and only
-    ids of these reach the driver.
-    """
-    sample = bounded_sample(labelled.where("toxic is not null").dropDuplicates(["doc_id", "text"]), train_rows, key=("doc_id", "text"))
-    seen = staged(sample.select(F.col("toxic").cast("int").alias("toxic"), "text").mapInArrow(word_rows, f"toxic int, words array<string>, swaps {_SWAPS}"), "features")
-    total = {r["toxic"]: r["count"] for r in seen.groupBy("toxic").count().collect()}
-    if not total:
-        return -1e9, {}
-    pos, neg = F.sum("toxic"), F.sum(1 - F.col("toxic"))
-    per = seen.select("toxic", F.explode("words").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.abs(pos / F.lit(total.get(1, 0) + 1.0) - neg / F.lit(total.get(0, 0) + 1.0)).alias("gap"))
-    vocabulary = [r["w"] for r in per.where(F.col("n") >= LEAST_DOCS).orderBy(F.desc("gap"), "w").limit(words).select("w").collect()]
-    templates = template_pairs()
-    index = {w: i for i, w in enumerate(sorted({*vocabulary, *features(TERMS)}))}
-    known = seen.sparkSession.sparkContext.broadcast(index)  # ``words`` features and those of the terms
-
-    def ids(batches):
-        at = known.value
-        schema = pa.schema([("toxic", pa.int32()), ("x", pa.list_(pa.int32()))])
-        for batch in batches:
-            t, ws = (c.to_pylist() for c in batch.columns)
-            yield pa.RecordBatch.from_pydict({"toxic": t, "x": [[at[w] for w in own if w in at] for own in ws]}, schema=schema)
-
-    rows = sorted((r["toxic"], sorted(r["x"])) for r in seen.select("toxic", "words").mapInArrow(ids, "toxic int, x array<int>").toLocalIterator())  # TRAIN_ROWS at most
-    swaps = seen.select(F.explode("swaps").alias("s")).select("s.*").dropDuplicates(["term", "h"])
-    chosen = swaps.withColumn("r", F.row_number().over(Window.partitionBy("term").orderBy("h"))).where(F.col("r") <= term_pairs)
-    pairs = [(r["own"], r["other"]) for r in chosen.select("own", "other").toLocalIterator()]  # TERM_PAIRS a term at most
-    coded = sorted(tuple(sorted(index[w] for w in side if w in index) for side in pair) for pair in [*pairs, *templates])
-    bias, w = fit(rows, coded, len(index))
-    return bias, {t: float(w[i]) for t, i in index.items() if w[i]}
-
-
-def scorer(spark, bias: float, weights: dict[str, float]):
-    shared = spark.sparkContext.broadcast(weights)
+def scorer(spark, bias: float, weights):
+    shared = spark.sparkContext.broadcast(weights)  # WIDTH doubles
 
     @F.arrow_udf("double")
     def score(col: pa.Array) -> pa.Array:
         from math import exp
 
         weight = shared.value
-        known = weight.keys()
-        out = []
+        places, out = Places(len(weight)), []
         for text in col.to_pylist():
-            z = bias + sum(weight[w] for w in sorted(known & features(words_of(text))))
+            z = bias + float(weight[places(words_of(text))].sum())
             out.append(1 / (1 + exp(-z)) if z > -700 else 0.0)
         return pa.array(out, pa.float64())
 

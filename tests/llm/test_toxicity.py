@@ -8,6 +8,14 @@ from lexiforge.llm import toxicity
 PROSE = "The ship was in the bay and the town was far away. "
 
 
+def packed(ids):
+    return np.array(sorted(ids), np.int32).tobytes()
+
+
+def fit(rows, pairs, size, **how):
+    return toxicity.fit([y for y, _ in rows], [packed(x) for _, x in rows], [(packed(a), packed(b)) for a, b in pairs], size, **how)
+
+
 def loss(rows, pairs, size, bias, w, fairness, decay=1e-4):
     """The stated loss, term by term."""
     n = len(rows)
@@ -27,7 +35,7 @@ def test_fit_is_near_a_minimum_of_the_loss(fairness):
     rng = np.random.default_rng(3)
     rows = [(int(0 in x or (1 in x and i % 3 == 0)), sorted(x)) for i, x in enumerate(set(rng.integers(0, 6, 4).tolist()) for _ in range(60))]
     pairs = [([1, 2], [2, 3]), ([1], [4])]
-    bias, w = toxicity.fit(rows, pairs, 6, fairness=fairness, rounds=1500)
+    bias, w = fit(rows, pairs, 6, fairness=fairness, rounds=1500)
     here = loss(rows, pairs, 6, bias, w, fairness)
     assert here < loss(rows, pairs, 6, 0.0, np.zeros(6), fairness)
     for _ in range(200):
@@ -37,8 +45,8 @@ def test_fit_is_near_a_minimum_of_the_loss(fairness):
 
 def test_swaps_pull_group_names_together():
     rows = [(i % 2, [0, 1] if i % 2 else [0, 2]) for i in range(40)]  # feature 1 stands in toxic texts only
-    free = toxicity.fit(rows, [], 3)[1]
-    bound = toxicity.fit(rows, [([1], [2])] * 20, 3)[1]
+    free = fit(rows, [], 3)[1]
+    bound = fit(rows, [([1], [2])] * 20, 3)[1]
     assert abs(bound[1] - bound[2]) < 0.3 * abs(free[1] - free[2])
 
 
@@ -70,3 +78,44 @@ def test_empty_and_one_class(spark):
 def test_every_term_is_swapped():
     pairs = toxicity.template_pairs()
     assert len(pairs) == len(toxicity.TEMPLATES) * len(toxicity.TERMS) and all(a != b for a, b in pairs)
+
+
+def test_scores_are_those_of_the_fitted_weights(spark):
+    """Everything from the text on written out again: words, beginnings, hashes, swaps, the sum and its logistic."""
+    import math
+    import re
+
+    import xxhash
+
+    def names(text):
+        words = {m.group().lower() for m in re.finditer(r"[^\W\d_]+(?:['’][^\W\d_]+)*", (text or "").lower())}
+        return words | {w[:n] + "*" for w in words for n in (5, 6, 7, 8) if len(w) > n}
+
+    def ids(text):
+        return {xxhash.xxh32(x.encode()).intdigest() % toxicity.WIDTH for x in names(text)}
+
+    def swaps(text):
+        out = []
+        for sentence in re.split(r"[.!?\n]", text or ""):
+            own = {m.group() for m in re.finditer(r"[^\W\d_]+(?:['’][^\W\d_]+)*", sentence.lower())}
+            for kin in toxicity.IDENTITY.values():
+                for i, term in enumerate(kin):
+                    if term in own:
+                        other = own - {term} | {kin[(i + 1) % len(kin)]}
+                        out.append((packed(ids(" ".join(own))), packed(ids(" ".join(other)))))
+        return out
+
+    rows = rows_of(90)
+    d = spark.createDataFrame(rows, "doc_id long, text string, score double, toxic int")
+    y = {i: int(i % 4 == 0) for i in range(90)}
+    labels = spark.createDataFrame([(i, 1, t) for i, t in y.items()], "doc_id long, quality int, toxic int")
+    import zlib
+
+    taught = sorted((y[i], packed(ids(t))) for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 5)
+    neutral = [s.format(t) for s in toxicity.TEMPLATES for t in toxicity.TERMS]
+    pairs = sorted({p for i, t, *_ in rows if zlib.crc32(str(i).encode()) % 5 for p in swaps(t)} | {p for t in neutral for p in swaps(t)})
+    bias, w = toxicity.fit([a for a, _ in taught], [x for _, x in taught], pairs, toxicity.WIDTH)
+    for r in toxicity.toxicity(d, labels).collect():
+        z = bias + sum(w[x] for x in ids(rows[r["doc_id"]][1]))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
