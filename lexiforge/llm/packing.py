@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..staging import staged
+from .common import row_key
 
 CAPACITY = 2048
 END_ID = 0
@@ -249,8 +250,58 @@ def pack_documents(docs: DataFrame, text: str = "text", path: str | None = None,
     return out.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", *["ids"] * ids)
 
 
+def pack_with_ids(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+    """The rows of ``pack_documents`` with ``ids``, each piece's ids as unsigned little-endian 32-bit numbers.
+
+    Only lengths are sorted and packed. The places of a text's pieces then go to the text,
+    which is encoded once more where it lies, so ids are neither sorted nor staged. Rows
+    equal in id and text share one text and bring their places to it.
+    """
+    path = path or tokenizer_path()
+    key = row_key(F.col("doc_id").cast("long"), F.col(text))
+    rows = docs.select(key.alias("key"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("t"))
+    numbered = rows.mapInArrow(lambda b: piece_lengths(b, path, capacity, end_id), "key binary, piece int, start long, length long")
+    placed = pack(numbered, capacity).select("key", F.struct("piece", "start", "length", "sequence_id", "offset").alias("p"))
+    places = placed.groupBy("key").agg(F.sort_array(F.collect_list("p")).alias("p"))  # the pieces of one text
+    one = rows.groupBy("key").agg(F.first("doc_id").alias("doc_id"), F.first("t").alias("t"))
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, ids binary"
+    return one.join(places, "key").select("doc_id", "t", "p").mapInArrow(lambda b: placed_rows(b, path, end_id), schema)
+
+
+def piece_lengths(batches, path: str, capacity: int, end_id: int):
+    """(key, doc_id, text) to (key, piece, start, length)."""
+    for batch in batches:
+        part = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows), pa.int64()), batch.column(2)], ["doc_id", "t"])
+        for made in piece_rows([part], path, capacity, end_id):
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(made.column(0)), *[made.column(i) for i in (1, 2, 3)]], ["key", "piece", "start", "length"])
+
+
+def placed_rows(batches, path: str, end_id: int):
+    """(doc_id, text, places) to one row a piece, with its ids."""
+    from zlib import crc32
+
+    encoder, end = Encoder(path), end_id.to_bytes(4, "little")
+    names = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "ids"]
+    kinds = [pa.int64(), pa.int32(), *[pa.int64()] * 5, pa.binary()]
+    for batch in batches:
+        out: list[list] = [[] for _ in names]
+        size = 0
+        for doc_id, text, places in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            ids = encoder.encode(text or "") + end
+            for p in places:
+                own = ids[4 * p["start"] : 4 * (p["start"] + p["length"])]
+                for col, x in zip(out, (doc_id, p["piece"], p["start"], p["length"], crc32(own), p["sequence_id"], p["offset"], own), strict=True):
+                    col.append(x)
+                size += len(own)
+            if size >= 1 << 25:
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names)
+                out, size = [[] for _ in names], 0
+        if out[0]:
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(out, kinds, strict=True)], names)
+
+
 def packed_sequences(docs: DataFrame, text: str = "text", path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """(sequence_id, ids): the packed sequences themselves, each of at most ``capacity`` ids."""
-    d = pack_documents(docs, text, path, capacity, ids=True)
+    d = pack_with_ids(docs, text, path, capacity)
     parts = F.array_sort(F.collect_list(F.struct("offset", "ids")))  # at most ``capacity`` pieces a sequence
     return d.groupBy("sequence_id").agg(F.aggregate(parts, F.lit(b""), lambda a, x: F.concat(a, x["ids"])).alias("ids"))

@@ -1,6 +1,7 @@
 """The pipeline stage by stage against brute force, each stage on what its predecessor wrote."""
 
 import random
+import zlib
 from collections import Counter
 
 import pytest
@@ -105,6 +106,20 @@ def test_packing_stage(stages):
     before, pieces = rows_of(made[4]), made[5].collect()
     e = packing.Encoder(packing.tokenizer_path())
     assert sum(r["length"] for r in pieces) == sum(len(e.encode(r[1])) // 4 + 1 for r in before)
+    # The pieces of each row, in order, are its ids and the end.
+    held = Counter()
+    for r in pieces:
+        assert zlib.crc32(r["ids"]) == r["ids_crc32"] and len(r["ids"]) == 4 * r["length"]
+        held[r["doc_id"], r["piece"], r["start"], bytes(r["ids"])] += 1
+    want = Counter()
+    for r in before:
+        ids, at, k = e.encode(r[1]) + bytes(4), 0, 0
+        while at < len(ids):
+            rest = (len(ids) - at) % (4 * packing.CAPACITY)
+            stop = at + rest if k == 0 and rest else at + 4 * packing.CAPACITY
+            want[r[0], k, at // 4, ids[at:stop]] += 1
+            at, k = stop, k + 1
+    assert held == want
     by = {}
     for r in pieces:
         by.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
