@@ -1,11 +1,17 @@
-"""The training-data pipeline: five stages over ``documents``, each written and read again."""
+"""The training-data pipeline: five stages over ``documents``, each written and read again.
+
+The result is the packed training data: a row for each piece of a document with its token
+ids, its sequence and its place there. A null text is rejected by the first stage; equal
+rows are near-duplicates of each other, so one of them is left before the mix repeats
+any; an empty table gives no pieces; further columns go through all stages but the last.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lexiforge.llm import mixing, packing, quality, simhash, suffix_dedup
-from lexiforge.staging import staged
+from lexiforge.staging import discard, staged
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +31,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packed_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packing.pack_documents(docs)
+    return packing.pack_with_ids(docs)
 
 
 STAGES = [
@@ -43,5 +49,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        before, docs = docs, staged(stage(spark, docs, sf_dir), name)
+        discard(before)
     return STAGES[-1][1](spark, docs, sf_dir)
