@@ -15,11 +15,11 @@ from pyspark.sql import functions as F
 from ..functions import tei
 from ..functions.etymology import segments
 from ..functions.labels import BUILT_IN, NormTables, has_valency, is_pronunciation_prose
-from ..functions.text import make_id, strip, strip_tags, truncate
+from ..functions.text import form_before_comma, make_id, strip, strip_tags, truncate
 from ..operators.lookup import mismatches, override
 from ..operators.publish import Publication
 from ..operators.scan import SMALL
-from ..operators.sequence import islands, number_repeats, number_rows, resolve_idem, stratified_sample
+from ..operators.sequence import island_ends, islands, neighbours, number_repeats, number_rows, resolve_idem, stratified_sample
 from ..sources.dictionary import RUBRIQUES
 from ..staging import staged
 
@@ -121,8 +121,7 @@ def forms(d: DataFrame) -> DataFrame:
     d = d.withColumns({"method": F.when(reflexive, "Heuristic").otherwise(F.col("method")), "role": F.when(reflexive, "VoiceTransition").otherwise(F.col("role"))})
     printed = content.rlike("<exemple>.*?</exemple>")
     example = strip(F.regexp_extract(content, "<exemple>(.*?)</exemple>", 1))
-    head = strip(F.substring_index(plain, ",", 1))
-    before_comma = F.when(plain.contains(",") & (F.length(head) <= FORM_LONGEST), head).otherwise("")
+    before_comma = F.coalesce(form_before_comma(plain, FORM_LONGEST), F.lit(""))
     body = F.regexp_replace(plain, "(?iuU)" + PROVERB_LEAD, "")
     saying = strip(F.regexp_replace(strip(F.get(F.split(body, "(?iuU)" + GLOSS, 2), F.lit(0))), r"[.,;:]+$", ""))
     form = F.when(F.col("role") == "Locution", F.when(printed, example).otherwise(before_comma)).when(F.col("role") == "Proverb", F.when(printed, example).otherwise(saying))
@@ -372,9 +371,7 @@ class Dictionary:
     def _block_flags(self) -> list[DataFrame]:
         ind = self.body.where("kind = 'indent' and not in_rubrique").withColumn("parent", F.slice("path", F.lit(1), F.size("path") - 1))
         direct = F.size("path") == F.size("sense_path") + 1
-        w = Window.partitionBy(*ENTRY, "parent").orderBy("path")
-        beside = {"prev_text": truncate(F.lag("plain").over(w), 100), "next_text": truncate(F.lead("plain").over(w), 100)}
-        ind = ind.withColumns({"direct": direct, **beside})
+        ind = neighbours(ind.withColumn("direct", direct), [*ENTRY, "parent"], ["path"], F.col("plain"))
         ind = ind.withColumn("g", F.when(F.col("role").isin(*TRANSITIONS) & F.col("content").contains("<nature>"), tei.gram_split(F.col("content"))))
         role, num, content = F.col("role"), F.col("sense_num").alias("sense_num"), truncate(F.col("content"), 200)
         transition, locution = role.isin(*TRANSITIONS), role == "Locution"
@@ -397,8 +394,9 @@ class Dictionary:
 
     def _group_flags(self) -> DataFrame:
         group = self.body.where("kind = 'group'")
-        subs = self.body.where("kind = 'sense' and size(path) = 3").groupBy(*ENTRY, F.slice("path", 1, 2).alias("path")).agg(*[truncate(f("plain", "path"), 80).alias(n) for f, n in ((F.min_by, "first_scoped"), (F.max_by, "last_scoped"))])
-        d = group.join(subs, [*ENTRY, "path"], "left")
+        subs = self.body.where("kind = 'sense' and size(path) = 3").withColumn("head", F.slice("path", 1, 2))
+        ends = island_ends(subs, [*ENTRY, "head"], "path", F.col("plain")).select(*ENTRY, F.col("head").alias("path"), F.col("first_text").alias("first_scoped"), F.col("last_text").alias("last_scoped"))
+        d = group.join(ends, [*ENTRY, "path"], "left")
         text, n = truncate(F.col("plain"), 100), F.col("n_scoped")
         reason = F.concat("transition_type", F.lit(" scope, "), "n_scoped", F.lit(" senses"))
         context = _json(transition_content=text, scope_type=F.col("transition_type"), transition_form=F.col("transition_form"), transition_pos=F.col("transition_pos"), num_scoped=n, first_scoped=F.coalesce("first_scoped", F.lit("")), last_scoped=F.coalesce("last_scoped", F.lit("")))

@@ -163,17 +163,17 @@ def written_tables(spark, d):
     from .queries import dictionary
 
     folder = _folder(spark, "tables")
-    counts = dictionary(spark, "rich").write(folder)
+    counts = dictionary(spark, "rich", d).write(folder)
     columns = spark.createDataFrame([(n, ",".join(t.columns)) for n, t in Publication(spark, folder).read().items()], "table_name string, columns string")
     return counts.join(columns, "table_name")
 
 
 def stored_index(spark, d):
-    """Terms of the small dictionary's senses with their frequencies, from the stored postings."""
+    """Terms of the senses with their frequencies, from the stored postings."""
     from .queries import dictionary, index_of
 
-    dictionary(spark).register(("senses",))
-    index = index_of(spark, ("small-plain", "senses"), lambda: spark.table("senses").select("sense_id", F.col("content_plain").alias("t")), "sense_id", "t")
+    dictionary(spark, sf_dir=d).register(("senses",))
+    index = index_of(spark, (d or "small", "senses plain"), lambda: spark.table("senses").select("sense_id", F.col("content_plain").alias("t")), "sense_id", "t")
     return index.terms().where("cf > 1")
 
 

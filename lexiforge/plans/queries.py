@@ -1,4 +1,4 @@
-"""Queries of the engine: over its own small dictionary, and over the driver's tables."""
+"""Queries of the engine: the documented questions over a dictionary derived from the given documents, and operators over the given tables."""
 
 from __future__ import annotations
 
@@ -15,8 +15,9 @@ from ..operators import sequence as S
 from ..operators.observed import counted
 from ..operators.scan import items_before
 from ..sources.dictionary import scan_files
-from . import given, goldens, sample
+from . import derived, given, goldens, sample
 from .build import TABLES, TEXT_RULES, Dictionary, role_by_text
+from .derived import LEADS
 from .files import FILE_QUERIES
 
 # -- the user's SQL over the built tables -----------------------------------------------
@@ -62,20 +63,25 @@ USER_SQL = {
     "dict_starter_senses": "SELECT e.headword, s.sense_type, s.role, s.content_plain FROM senses s JOIN entries e ON e.entry_id = s.entry_id WHERE e.headword = :headword ORDER BY s.sense_id",
 }
 
-#: The values the registered queries ask with.
+#: The values the registered queries ask with: of the dictionary derived from documents, and of the small sample.
+DERIVED_ARGUMENTS = {"headword": "MOT 7", "author": "DUVAL", "sense_id": 1, "dict_q12_locution_like": "%LOC 1%", "dict_rq4_text_like": "%marine%"}
+SEARCHED = {"senses": ["terme", "marine"], "citations": ["the"]}
 ARGUMENTS = {"headword": "PANIER", "author": "DUVAL", "sense_id": 1, "dict_q12_locution_like": "%PANIER%", "dict_rq4_text_like": "%jupes%"}
 
 
 _built: dict[tuple[str, str], Dictionary] = {}
 
 
-def dictionary(spark: SparkSession, name: str = "small") -> Dictionary:
-    """One of the small dictionaries, built once a session; its tables are registered as views."""
-    key = (spark.sparkContext.applicationId, name)
+def dictionary(spark: SparkSession, name: str = "small", sf_dir: str = "") -> Dictionary:
+    """The dictionary derived from a folder's documents or, without a folder, one of the small samples; built once a session."""
+    key = (spark.sparkContext.applicationId, sf_dir or name)
     if key not in _built:
-        files = spark.createDataFrame(sample.FILES[name], "path string, text string")
-        more = {} if name == "small" else {"verdicts": spark.createDataFrame(sample.VERDICTS, "source_file string, source_line int, check string, verdict string, ord int"), "adjudications": spark.createDataFrame(sample.ADJUDICATIONS, "xml_id string, label string")}
-        _built[key] = Dictionary(scan_files(files, sample.PATCHES.get(name)), **more)
+        if sf_dir:
+            files, patches, more = derived.source_files(_t(spark, sf_dir, "documents").select("doc_id", "text")), None, {}
+        else:
+            files, patches = spark.createDataFrame(sample.FILES[name], "path string, text string"), sample.PATCHES.get(name)
+            more = {} if name == "small" else {"verdicts": spark.createDataFrame(sample.VERDICTS, "source_file string, source_line int, check string, verdict string, ord int"), "adjudications": spark.createDataFrame(sample.ADJUDICATIONS, "xml_id string, label string")}
+        _built[key] = Dictionary(scan_files(files, patches), **more)
     return _built[key]
 
 
@@ -87,8 +93,9 @@ def ask(spark: SparkSession, name: str, **arguments) -> DataFrame:
 
 def _user(name: str):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        dictionary(spark).register(tuple(t for t in TABLES if re.search(rf"\b{t}\b", USER_SQL[name])))
-        return ask(spark, name, **(ARGUMENTS | {"pattern": ARGUMENTS.get(name)}))
+        dictionary(spark, sf_dir=sf_dir).register(tuple(t for t in TABLES if re.search(rf"\b{t}\b", USER_SQL[name])))
+        values = DERIVED_ARGUMENTS if sf_dir else ARGUMENTS
+        return ask(spark, name, **(values | {"pattern": values.get(name)}))
 
     return run
 
@@ -104,41 +111,41 @@ def index_of(spark: SparkSession, name: tuple, rows, key: str, text: str) -> L.I
     return _indexes[at]
 
 
-def search(spark: SparkSession, view: str, key: str, text: str, terms: list[str]) -> DataFrame:
-    """(key, score) of the rows of a view of the small dictionary that hold every term, case and accents folded."""
+def search(spark: SparkSession, view: str, key: str, text: str, terms: list[str], sf_dir: str = "") -> DataFrame:
+    """(key, score) of the rows of a registered view that hold every term, case and accents folded."""
     folded = F.regexp_replace(T.nfkd(F.lower(text)), r"\p{M}", "")
-    return index_of(spark, ("small", view), lambda: spark.table(view).select(key, folded.alias("t")), key, "t").search(terms)
+    return index_of(spark, (sf_dir or "small", view), lambda: spark.table(view).select(key, folded.alias("t")), key, "t").search(terms)
 
 
 def dict_q22_search_senses(spark, d):
-    dictionary(spark).register(("entries", "senses"))
-    hits = search(spark, "senses", "sense_id", "content_plain", ["corbeille"])
+    dictionary(spark, sf_dir=d).register(("entries", "senses"))
+    hits = search(spark, "senses", "sense_id", "content_plain", SEARCHED["senses"] if d else ["corbeille"], d)
     found = hits.join(spark.table("senses"), "sense_id").join(spark.table("entries"), "entry_id")
     return found.orderBy("score", "sense_id").select("sense_id", "headword", "sense_type", "content_plain")
 
 
 def dict_q23_search_citations(spark, d):
-    dictionary(spark).register(("entries", "senses", "citations"))
-    hits = search(spark, "citations", "citation_id", "text_plain", ["panier", "vide"])
+    dictionary(spark, sf_dir=d).register(("entries", "senses", "citations"))
+    hits = search(spark, "citations", "citation_id", "text_plain", SEARCHED["citations"] if d else ["panier", "vide"], d)
     c = hits.join(spark.table("citations"), "citation_id").join(spark.table("senses").select("sense_id", "entry_id"), "sense_id").join(spark.table("entries"), "entry_id")
     return c.orderBy("score", "citation_id").select("citation_id", "headword", "resolved_author", "reference", "text_plain")
 
 
 def dict_etymology_segments(spark, d):
-    e = dictionary(spark).etymology.select("entry_id", F.posexplode("segments").alias("i", "s"))
+    e = dictionary(spark, sf_dir=d).etymology.select("entry_id", F.posexplode("segments").alias("i", "s"))
     return e.select("entry_id", "i", "s.kind", "s.cit_type", "s.language", F.array_join("s.forms", ", ").alias("forms"), "s.gloss", "s.text")
 
 
-# -- a second dictionary that holds every role, rubrique and flag -------------------------
+# -- whole tables, of the derived dictionary or of a second sample that holds every role, rubrique and flag -----
 
 
 def rich_senses(spark, d):
     """All columns of every block, scoped, overridden and adjudicated."""
-    return dictionary(spark, "rich").contract["senses"].orderBy("sense_id")
+    return dictionary(spark, "rich", d).contract["senses"].orderBy("sense_id")
 
 
 def rich_entries(spark, d):
-    return dictionary(spark, "rich").contract["entries"]
+    return dictionary(spark, "rich", d).contract["entries"]
 
 
 def rich_resumes(spark, d):
@@ -146,11 +153,11 @@ def rich_resumes(spark, d):
 
 
 def rich_citations(spark, d):
-    return dictionary(spark, "rich").contract["citations"].orderBy("citation_id")
+    return dictionary(spark, "rich", d).contract["citations"].orderBy("citation_id")
 
 
 def rich_locutions(spark, d):
-    return dictionary(spark, "rich").contract["locutions"]
+    return dictionary(spark, "rich", d).contract["locutions"]
 
 
 def rich_forms(spark, d):
@@ -159,22 +166,22 @@ def rich_forms(spark, d):
 
 
 def rich_rubriques(spark, d):
-    return dictionary(spark, "rich").contract["rubriques"].orderBy("rubrique_id")
+    return dictionary(spark, "rich", d).contract["rubriques"].orderBy("rubrique_id")
 
 
 def rich_flags(spark, d):
     """The review queue in order, without the sample."""
-    return dictionary(spark, "rich").contract["review_queue"].where("flag_type <> 'calibration_sample'").select("review_id", "entry_id", "phase", "flag_type", "reason", "context")
+    return dictionary(spark, "rich", d).contract["review_queue"].where("flag_type <> 'calibration_sample'").select("review_id", "entry_id", "phase", "flag_type", "reason", "context")
 
 
 def rich_samples(spark, d):
     """How many of each bucket are sampled: five at most."""
-    q = dictionary(spark, "rich").contract["review_queue"].where("flag_type = 'calibration_sample'")
+    q = dictionary(spark, "rich", d).contract["review_queue"].where("flag_type = 'calibration_sample'")
     return q.groupBy("reason").agg(F.count("*").alias("n"))
 
 
 def rich_metrics(spark, d):
-    return dictionary(spark, "rich").metrics()
+    return dictionary(spark, "rich", d).metrics()
 
 
 def rich_mismatches(spark, d):
@@ -196,7 +203,7 @@ def rich_pronunciations(spark, d):
 
 
 def dict_pos_readings(spark, d):
-    dictionary(spark).register(("entries",))
+    dictionary(spark, sf_dir=d).register(("entries",))
     e = spark.table("entries").select("entry_id", F.explode(N.parse_pos(F.col("pos"))).alias("g"))
     return e.select("entry_id", "g.kind", "g.norm", "g.printed")
 
@@ -294,13 +301,6 @@ def first_match_rules(spark, d):
     return p.groupBy("label").agg(F.count("*").alias("n"))
 
 
-#: What the lines of ``cascade_classify`` are led in by, in turn: nothing, or the opening of one rule.
-LEADS = (
-    "", "Prov. ", "Proverbialement, ", "Populairement, ", "Vulgairement. ", "Par extension, ", "Très peu usité. ", "Il est vieux. ", "Ce mot a vieilli ; ",
-    "Terme bas. ", "v. réfl. ", "Se conjugue comme ", "Substantivement. ", "Fig. ", "Fig", "Provence ", "Familier ", "Au pluriel, ",
-)
-
-
 def led_lines(spark, d):
     """(turn, role) of every line of every document, led in by an opening in turn, and of every opening that stands alone."""
     lines = _t(spark, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("i", "line"))
@@ -506,7 +506,7 @@ _OWN = (*_RICH, *FILE_QUERIES, dict_q22_search_senses, dict_q23_search_citations
 
 QUERIES = {**{n: _user(n) for n in USER_SQL}, **{f.__name__: f for f in _OWN}, **{f.__name__: f for f in _DATA}, **given.QUERIES}
 
-#: Rows worked out by hand from the rules, for the small dictionary.
+#: Rows worked out by hand from the rules, for the small samples.
 GOLDEN_SQL = {
     **{n: goldens.sql(n) for n in goldens.EXPECTED},
     "dict_q27_suspects": """SELECT 'panier.1' AS entry_id, 'PANIER' AS headword, 'token in language-abbreviation position missing from language table' AS reason, '{"token":"zzz.","anchor":"zzz."}' AS context""",
@@ -520,7 +520,38 @@ GOLDEN_SQL = {
     "bare_labels": "SELECT * FROM (VALUES ('Populairement encore, une ficelle', 'populairement encore', 'une ficelle'), ('Substantivement et au neutre. Le beau.', 'substantivement et au neutre', 'Le beau.'), ('Absolument.', NULL, NULL), ('Une chose.', NULL, NULL)) t(block, label, rest)",
 }
 
-ORACLE_SQL = {**DATA_SQL, **WHOLE_SQL, **GOLDEN_SQL, **given.ORACLE_SQL}
+_CASCADE = DATA_SQL["cascade_classify"]
+_TABLES = derived.tables_sql(_CASCADE[_CASCADE.index("CASE WHEN regexp_matches(l,") : _CASCADE.index(" AS role, count(*)")], _WS)
+
+
+def _derived_sql() -> dict[str, str]:
+    """The documented questions, put to the tables that SQL makes of the documents."""
+    out = {}
+    for name, question in USER_SQL.items():
+        values = DERIVED_ARGUMENTS | {"pattern": DERIVED_ARGUMENTS.get(name)}
+        for k, v in values.items():
+            question = question.replace(f":{k}", f"'{v}'" if isinstance(v, str) else str(v))
+        out[name] = derived.asked(_TABLES, question)
+    held = lambda text, terms: " AND ".join(rf"list_contains(string_split_regex(strip_accents(lower({text})), '{_UNI}'), '{t}')" for t in terms)
+    out["dict_q22_search_senses"] = derived.asked(_TABLES, f"SELECT sense_id, headword, sense_type, content_plain FROM senses JOIN entries USING (entry_id) WHERE {held('content_plain', SEARCHED['senses'])}")
+    out["dict_q23_search_citations"] = derived.asked(_TABLES, f"SELECT citation_id, headword, resolved_author, reference, text_plain FROM citations JOIN senses USING (sense_id) JOIN entries USING (entry_id) WHERE {held('text_plain', SEARCHED['citations'])}")
+    segments = "(0, 'cit', 'cognate', 'la', 'panarium', 'corbeille à pain', NULL), (1, 'suspect', NULL, NULL, NULL, NULL, 'zzz.'), (2, 'cit', 'cognate', '', 'pana', '', NULL)"
+    out["dict_etymology_segments"] = derived.asked(_TABLES, f"SELECT entry_id, s.* FROM entries, (VALUES {segments}) s(i, kind, cit_type, language, forms, gloss, text) WHERE doc_id % 5 = 0")
+    for table in ("entries", "senses", "citations", "locutions", "rubriques"):
+        columns = ", ".join(derived.COLUMNS[table])
+        out[f"rich_{table}"] = derived.asked(_TABLES, f"SELECT {columns} FROM {table}")
+    out["rich_flags"] = derived.asked(_TABLES, "SELECT review_id, entry_id, phase, flag_type, reason, context FROM review_queue WHERE flag_type <> 'calibration_sample'")
+    out["rich_samples"] = derived.asked(_TABLES, "SELECT reason, count(*) AS n FROM review_queue WHERE flag_type = 'calibration_sample' GROUP BY reason")
+    out["rich_metrics"] = derived.asked(_TABLES, derived.METRICS_SQL)
+    out["written_tables"] = derived.asked(_TABLES, " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, '{','.join(c)}' AS columns FROM {t}" for t, c in derived.COLUMNS.items()))
+    term = rf"SELECT sense_id, unnest(string_split_regex(lower(content_plain), '{_UNI}')) AS term FROM senses"
+    out["stored_index"] = derived.asked(_TABLES, f"SELECT term, count(DISTINCT sense_id) AS df, count(*) AS cf FROM ({term}) WHERE term <> '' GROUP BY term HAVING count(*) > 1")
+    readings = "('s. m.', 'pos', 'noun', 's.'), ('s. m.', 'gender', 'masculine', 'm.'), ('v. a.', 'pos', 'verb', 'v.'), ('v. a.', 'valency', 'active', 'a.')"
+    out["dict_pos_readings"] = derived.asked(_TABLES, f"SELECT entry_id, kind, norm, printed FROM entries JOIN (VALUES {readings}) r(pos, kind, norm, printed) USING (pos)")
+    return out
+
+
+ORACLE_SQL = {**DATA_SQL, **WHOLE_SQL, **GOLDEN_SQL, **given.ORACLE_SQL, **_derived_sql()}
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
