@@ -16,7 +16,7 @@ def fit(rows, pairs, size, **how):
     return toxicity.fit([y for y, _ in rows], [packed(x) for _, x in rows], [(packed(a), packed(b)) for a, b in pairs], size, **how)
 
 
-def loss(rows, pairs, size, bias, w, fairness, decay=1e-4):
+def loss(rows, pairs, size, bias, w, fairness, decay=toxicity.DECAY):
     """The stated loss, term by term."""
     n = len(rows)
     many = [sum(y == k for y, _ in rows) for k in (0, 1)]
