@@ -168,8 +168,8 @@ def fit(toxic, sets, pairs, size: int, fairness: float = 1.0, decay: float = DEC
         return np.concatenate([err, pull, -pull]), err.sum()
 
     # The greatest curvature, by a power iteration, gives the step.
-    v, most = np.ones(len(held) + 1), 1.0
-    for _ in range(20):
+    v, most = np.random.default_rng(1).normal(size=len(held) + 1), 1.0
+    for _ in range(30):
         v /= np.sqrt((v * v).sum()) or 1.0
         z = scores(v[:-1])
         bent, pull = balance / 4 * (z[:n] + v[-1]), 2 * fairness / max(1, k) * (z[n : n + k] - z[n + k :])
