@@ -77,7 +77,8 @@ def dictionary(spark: SparkSession, name: str = "small", sf_dir: str = "") -> Di
     key = (spark.sparkContext.applicationId, sf_dir or name)
     if key not in _built:
         if sf_dir:
-            files, patches, more = derived.source_files(_t(spark, sf_dir, "documents").select("doc_id", "text")), None, {}
+            docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+            files, patches, more = derived.source_files(docs), None, {"verdicts": derived.verdicts(docs)}
         else:
             files, patches = spark.createDataFrame(sample.FILES[name], "path string, text string"), sample.PATCHES.get(name)
             more = {} if name == "small" else {"verdicts": spark.createDataFrame(sample.VERDICTS, "source_file string, source_line int, check string, verdict string, ord int"), "adjudications": spark.createDataFrame(sample.ADJUDICATIONS, "xml_id string, label string")}
@@ -149,7 +150,7 @@ def rich_entries(spark, d):
 
 
 def rich_resumes(spark, d):
-    return dictionary(spark, "rich").entries.where("resume_text <> ''").select("entry_id", "resume_text")
+    return dictionary(spark, "rich", d).entries.where("resume_text <> ''").select("entry_id", "resume_text")
 
 
 def rich_citations(spark, d):
@@ -162,7 +163,7 @@ def rich_locutions(spark, d):
 
 def rich_forms(spark, d):
     """Where each form comes from, proverbs included."""
-    return dictionary(spark, "rich").senses.where("canonical_form_source <> 'none'").select("xml_id", "role", "method", "canonical_form", "canonical_form_source")
+    return dictionary(spark, "rich", d).senses.where("canonical_form_source <> 'none'").select("xml_id", "role", "method", "canonical_form", "canonical_form_source")
 
 
 def rich_rubriques(spark, d):
@@ -185,7 +186,7 @@ def rich_metrics(spark, d):
 
 
 def rich_mismatches(spark, d):
-    return dictionary(spark, "rich").verdict_mismatches()
+    return dictionary(spark, "rich", d).verdict_mismatches()
 
 
 def rich_tei(spark, d):
@@ -208,15 +209,26 @@ def dict_pos_readings(spark, d):
     return e.select("entry_id", "g.kind", "g.norm", "g.printed")
 
 
+ROUTED = ("s. m. et f.", "v. a. et n.", "Familièrement et par plaisanterie", "Populairement encore", "Terme de marine", "Au plur.", "Absolument aussi", "Inusité")
+BARE = ("Populairement encore, une ficelle", "Substantivement et au neutre. Le beau.", "Absolument.", "Une chose.")
+
+
+def _dealt(spark, d: str, texts: tuple[str, ...], name: str) -> DataFrame:
+    """One of ``texts`` for each document in turn or, without a folder, each of them once."""
+    if not d:
+        return spark.createDataFrame([(x,) for x in texts], f"{name} string")
+    return _t(spark, d, "documents").select("doc_id", F.get(F.array(*[F.lit(x) for x in texts]), (F.col("doc_id") % len(texts)).cast("int")).alias(name))
+
+
 def route_labels(spark, d):
-    labels = ["s. m. et f.", "v. a. et n.", "Familièrement et par plaisanterie", "Populairement encore", "Terme de marine", "Au plur.", "Absolument aussi", "Inusité"]
-    r = spark.createDataFrame([(x,) for x in labels], "label string").select("label", F.explode(N.route(F.col("label"))).alias("r"))
-    return r.select("label", "r.printed", "r.target", F.array_join(F.transform("r.elements", lambda e: F.concat(e["kind"], F.lit("="), e["norm"])), " ").alias("reading"))
+    rows = _dealt(spark, d, ROUTED, "label")
+    r = rows.select("*", F.explode(N.route(F.col("label"))).alias("r"))
+    return r.select(*rows.columns, "r.printed", "r.target", F.array_join(F.transform("r.elements", lambda e: F.concat(e["kind"], F.lit("="), e["norm"])), " ").alias("reading"))
 
 
 def bare_labels(spark, d):
-    blocks = ["Populairement encore, une ficelle", "Substantivement et au neutre. Le beau.", "Absolument.", "Une chose."]
-    return spark.createDataFrame([(x,) for x in blocks], "block string").select("block", N.split_bare_label(F.col("block")).alias("s")).select("block", "s.label", "s.rest")
+    rows = _dealt(spark, d, BARE, "block")
+    return rows.select("*", N.split_bare_label(F.col("block")).alias("s")).select(*rows.columns, "s.label", "s.rest")
 
 
 # -- the same operators over the driver's tables ----------------------------------------
@@ -542,10 +554,15 @@ def _derived_sql() -> dict[str, str]:
         out[f"rich_{table}"] = derived.asked(_TABLES, f"SELECT {columns} FROM {table}")
     out["rich_flags"] = derived.asked(_TABLES, "SELECT review_id, entry_id, phase, flag_type, reason, context FROM review_queue WHERE flag_type <> 'calibration_sample'")
     out["rich_samples"] = derived.asked(_TABLES, "SELECT reason, count(*) AS n FROM review_queue WHERE flag_type = 'calibration_sample' GROUP BY reason")
+    for name, sql in (("rich_forms", derived.FORMS_SQL), ("rich_resumes", derived.RESUMES_SQL), ("rich_mismatches", derived.MISMATCHES_SQL)):
+        out[name] = derived.asked(_TABLES, sql)
     out["rich_metrics"] = derived.asked(_TABLES, derived.METRICS_SQL)
     out["written_tables"] = derived.asked(_TABLES, " UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows, '{','.join(c)}' AS columns FROM {t}" for t, c in derived.COLUMNS.items()))
     term = rf"SELECT sense_id, unnest(string_split_regex(lower(content_plain), '{_UNI}')) AS term FROM senses"
     out["stored_index"] = derived.asked(_TABLES, f"SELECT term, count(DISTINCT sense_id) AS df, count(*) AS cf FROM ({term}) WHERE term <> '' GROUP BY term HAVING count(*) > 1")
+    for name, column, texts in (("route_labels", "label", ROUTED), ("bare_labels", "block", BARE)):
+        quoted = ", ".join("'" + x + "'" for x in texts)
+        out[name] = f"SELECT doc_id, g.* FROM documents JOIN ({GOLDEN_SQL[name]}) g ON g.{column} = [{quoted}][doc_id % {len(texts)} + 1]"
     readings = "('s. m.', 'pos', 'noun', 's.'), ('s. m.', 'gender', 'masculine', 'm.'), ('v. a.', 'pos', 'verb', 'v.'), ('v. a.', 'valency', 'active', 'a.')"
     out["dict_pos_readings"] = derived.asked(_TABLES, f"SELECT entry_id, kind, norm, printed FROM entries JOIN (VALUES {readings}) r(pos, kind, norm, printed) USING (pos)")
     return out
