@@ -125,3 +125,32 @@ def test_empty_dictionary(spark):
     made = Dictionary(scan_files(spark.createDataFrame([("/x/a.xml", "<xmllittre/>"), ("/x/b.xml", None)], "path string, text string")))
     assert {n: d.count() for n, d in made.contract.items()} == dict.fromkeys(("entries", "senses", "citations", "locutions", "rubriques", "review_queue"), 0)
     assert made.rendered.count() == 0 and {r["metric"]: r["value"] for r in made.metrics().collect()}["cue_hit_rate"] == 100.0
+
+
+def _bytes(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_texts_are_staged_once(spark, tmp_path, monkeypatch):
+    from lexiforge import staging
+    from lexiforge.plans import queries as Q
+
+    rnd = random.Random(7)
+    line = lambda: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(40))
+    spark.createDataFrame([(i, "\n".join(line() for _ in range(20))) for i in range(200)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(staging, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    made = Q.dictionary(spark, sf_dir=str(tmp_path))
+    assert made.table("senses").where("length(content_plain) > 300").count() > 2 * 200 * 15
+    assert made.table("review_queue").count() > 0
+    assert [n for n in ("entries", "all_citations", "nodes", "body") if {"content", "plain"} & {*getattr(made, n).columns}] == []
+    assert _bytes(tmp_path / "shared") < 2.5 * _bytes(tmp_path / "documents.parquet")
+    assert Q.dict_pos_readings(spark, str(tmp_path)).count() == 268
+
+
+def test_entries_alone_build_no_more_than_entries(spark):
+    from lexiforge.plans.build import Dictionary
+    from lexiforge.sources.dictionary import scan_files
+
+    made = Dictionary(scan_files(spark.createDataFrame(sample.FILES["small"], "path string, text string")))
+    made.register(("entries", "rubriques"))
+    assert spark.table("entries").count() and not {"nodes", "body", "all_citations"} & {*made.__dict__}
