@@ -93,7 +93,7 @@ class Index:
         parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         self.key = key
         made = postings(df, key, text).repartitionByRange(parts, "term", "key").sortWithinPartitions("term", "key")
-        self.postings = staged(made, "postings")
+        self.postings = staged(made, "postings", codec="zstd")
         words = self.postings.agg(F.sum("tf")).first()[0] or 0
         self.n = df.count()
         self.mean = words / self.n if words else 1.0

@@ -204,6 +204,10 @@ TRANSITIONS = ("NatureLabel", "VoiceTransition")
 ORDER = ["source_file", "entry_ord"]
 
 
+def _xml_id() -> Column:
+    return F.concat(F.col("entry_id"), F.lit("_s"), F.array_join(F.slice("path", F.lit(2), F.size("path")), "."))
+
+
 TABLES = ("entries", "senses", "citations", "locutions", "rubriques", "review_queue")
 
 
@@ -309,8 +313,7 @@ class Dictionary:
         above = d.select(*ENTRY, F.col("path").alias("parent_path"), F.col("at").alias("parent_at"))
         d = d.join(kids, [*ENTRY, "path"], "left").fillna(0, ["kids"]).join(above, [*ENTRY, "parent_path"], "left")
         d = d.join(self._spread(self.entries.select(*ENTRY, "entry_id", "headword")), ENTRY).join(self._spread(before), ENTRY)
-        xml_id = F.concat(F.col("entry_id"), F.lit("_s"), F.array_join(F.slice("path", F.lit(2), F.size("path")), "."))
-        d = d.withColumns({"xml_id": xml_id, "sense_id": F.col("before") + F.col("at"), "parent_sense_id": F.col("before") + F.col("parent_at")})
+        d = d.withColumns({"xml_id": _xml_id(), "sense_id": F.col("before") + F.col("at"), "parent_sense_id": F.col("before") + F.col("parent_at")})
         d = staged(d.drop("before", "at", "parent_at", "parent_path"), "body", together=True, codec="zstd")
         discard(walked)
         return d
@@ -320,7 +323,9 @@ class Dictionary:
     @cached_property
     def senses(self) -> DataFrame:
         """The contract's senses with the keys that lead back to the source, without their texts."""
-        d = self.body
+        return self._senses(self.body)
+
+    def _senses(self, d: DataFrame, *more: str) -> DataFrame:
         d = d.join(self.adjudications.withColumn("metonymic", F.lit(True)), "xml_id", "left").withColumn("metonymic", F.coalesce("metonymic", F.lit(False)) & (F.col("role") == "Locution"))
         named = F.create_map(*[F.lit(x) for p in SENSE_TYPE.items() for x in p])
         kind = (
@@ -336,7 +341,7 @@ class Dictionary:
             (F.coalesce("is_supplement", F.lit(False)) & (F.col("kind") == "sense")).cast("int").alias("is_supplement"),
             "transition_type", F.expr("nullif(transition_form, '')").alias("transition_form"), F.expr("nullif(transition_pos, '')").alias("transition_pos"),
             (F.size("path") - 2).alias("depth"), "canonical_form", "canonical_form_source", "method", "metonymic", *ENTRY, F.when(F.col("kind") != "group", F.col("src_path")).alias("src_path"), "source_line",
-            F.col("src_path").alias("text_path"), (F.col("kind") == "indent").alias("is_block"),
+            F.col("src_path").alias("text_path"), (F.col("kind") == "indent").alias("is_block"), *more,
         )
 
     @cached_property
@@ -363,7 +368,9 @@ class Dictionary:
             columns = "sense_id entry_id parent_sense_id num indent_id xml_id sense_type role content_plain content_markup is_supplement transition_type transition_form transition_pos depth".split()
             if not texts:
                 return self.senses.select(*[c for c in columns if not c.startswith("content_")])
-            d = self.with_text(self.senses, "text_path")
+            # What follows from other columns is worked out behind the exchange.
+            d = self.with_text(self.body.drop("xml_id")).withColumn("xml_id", _xml_id())
+            d = self._senses(d, "content", "plain")
             said = F.col("is_block") | (F.col("content") != "")
             return d.withColumns({"content_plain": F.when(said, F.col("plain")), "content_markup": F.when(said, F.col("content"))}).select(*columns)
         if name == "locutions":
