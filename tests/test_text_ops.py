@@ -4,6 +4,7 @@ import math
 import random
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from lexiforge.functions.nested import EMPHASIS, straightened
@@ -79,3 +80,38 @@ def test_block_max(spark):
     told = index.top(["w0", "w25"], 3)[1]
     assert 0 < told["read"] < told["blocks"] / 2
     assert BlockIndex(df.limit(0), "id", "text").top(["a"], 3)[0].count() == 0
+
+
+def test_packed_postings(spark):
+    rows = corpus(3)
+    df = spark.createDataFrame([*rows, (7, "w0 once"), (None, "w0 w0"), (-5, None)], "id long, text string").repartition(3)
+    index = Index(df, "id", "text")
+    held: dict[str, list] = {}
+    for i, text in [*rows, (7, "w0 once"), (None, "w0 w0")]:
+        for w in re.findall(r"\w+", (text or "").lower()):
+            held.setdefault(w, []).append(i)
+    want = {w: (len({i for i in ids if i is not None}), len(ids)) for w, ids in held.items()}
+    assert {r["term"]: (r["df"], r["cf"]) for r in index.terms().collect()} == want
+    # A row for each term and portion, not for each word of each text.
+    assert index.postings.count() < sum(len(set(ids)) for ids in held.values()) / 3
+
+
+def test_portions_and_numbers():
+    import numpy as np
+
+    from lexiforge.operators.postings import numbers, portions, varints
+
+    x = np.array([0, 1, 127, 128, 300, 1 << 35, (1 << 64) - 1], np.uint64)
+    raw, begin = varints(x)
+    assert (numbers(raw.tobytes()) == x).all() and begin[-1] == len(raw)
+    keys = [1, 1, 2, 3, 3, 3, 3, None, None, 4]
+    batches = [pa.record_batch({"k": pa.array(keys[i : i + 3], pa.int64()), "w": [["a", "b"]] * len(keys[i : i + 3])}) for i in range(0, 10, 3)]
+    got = [t.column(0).to_pylist() for t in portions(batches, 4)]
+    assert [k for t in got for k in t] == keys and len(got) > 1
+    assert all(not set(a) & set(b) for i, a in enumerate(got) for b in got[i + 1 :])
+
+
+def test_blocks_of_rows_that_share_a_key(spark):
+    df = spark.createDataFrame([(1, "w0 w1"), (1, "w0 w0 w0"), (2, "w0"), (3, "w1"), (4, "w2")], "id long, text string")
+    best, told = BlockIndex(df, "id", "text", width=2).top(["w0"], 5)
+    assert sorted(r["id"] for r in best.collect()) == [1, 1, 2] and told["blocks"] >= 2
