@@ -72,6 +72,11 @@ def source_files(docs: DataFrame) -> DataFrame:
     return docs.where(n.isNotNull()).select(F.concat(F.lit("/derived/"), _file(n)).alias("path"), entry.alias("text"))
 
 
+def dealt(docs: DataFrame, parts: int) -> DataFrame:
+    """``docs`` dealt out as the rows of their entries will be: by file, and by the entry's number in it."""
+    return docs.repartition(parts, _file(F.col("doc_id")), F.lit(1))
+
+
 def _file(n: Column) -> Column:
     return F.concat(F.chr(97 + n % 26), F.lpad(n.cast("string"), 10, "0"), F.lit(".xml"))
 

@@ -154,3 +154,17 @@ def test_entries_alone_build_no_more_than_entries(spark):
     made = Dictionary(scan_files(spark.createDataFrame(sample.FILES["small"], "path string, text string")))
     made.register(("entries", "rubriques"))
     assert spark.table("entries").count() and not {"nodes", "body", "all_citations"} & {*made.__dict__}
+
+
+def test_texts_meet_their_rows_without_an_exchange(spark):
+    from lexiforge.plans.queries import dictionary
+
+    d = dictionary(spark, "rich")
+    d.body
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = d.table("senses")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Join" in plan and "Exchange" not in plan
