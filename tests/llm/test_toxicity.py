@@ -119,3 +119,13 @@ def test_scores_are_those_of_the_fitted_weights(spark):
         z = bias + sum(w[x] for x in ids(rows[r["doc_id"]][1]))
         assert r["score"] == pytest.approx(1 / (1 + math.exp(-z)), abs=1e-9)
         assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+
+
+def test_no_text_waits_for_its_score(spark):
+    from lexiforge.llm.toxicity import toxicity
+
+    docs = spark.createDataFrame([(i, "a fool" if i % 2 else "a friend") for i in range(40)] + [(99, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    got = toxicity(docs, labels)
+    assert "ArrowEvalPython" not in got._jdf.queryExecution().executedPlan().toString()
+    assert got.columns == ["doc_id", "held_out", "score", "predicted"] and got.where("score is null").count() == 0 and got.count() == 41
