@@ -62,17 +62,22 @@ def gram_hashes(data, gram: int = GRAM):
 
     rng = np.random.default_rng(20240501)
     letters = rng.integers(0, 1 << 63, 256, dtype=np.uint64)
-    by_width, h, width = {1: letters[data]}, letters[data], 1
+    h, width = letters[data], 1
+    by_width = {1: h}
     while width * 2 <= gram:
         m = np.uint64((_SALT * (2 * width + 1) | 1) & (2**64 - 1))
-        h = h[:-width] * m + h[width:]
+        if not gram & width:
+            by_width.pop(width)  # only widths that make up the gram are asked for again
+        longer = h[:-width] * m
+        longer += h[width:]
         width *= 2
-        by_width[width] = h
+        h = by_width[width] = longer
     done, out = width, h
     for w in sorted((w for w in by_width if w < width and gram & w), reverse=True):
         m = np.uint64((_SALT * (2 * w + 3) | 1) & (2**64 - 1))
         n = len(data) - done - w + 1
-        out = out[:n] * m + by_width[w][done : done + n]
+        out = out[:n] * m
+        out += by_width.pop(w)[done : done + n]
         done += w
     out = out ^ (out >> np.uint64(29))
     out *= np.uint64(0xBF58476D1CE4E5B9)
@@ -178,7 +183,8 @@ def anchor_rows(batches, length: int, gram: int):
     held: list = []
     size = 0
     for batch in batches:
-        for o, text in zip(batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist(), strict=True):
+        for o, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):  # one text at a time leaves Arrow
+            text = None if not text.is_valid else text.as_buffer().to_pybytes()
             if text is None or len(text) < length:
                 continue
             for base in range(0, len(text) - length + 1, PIECE):

@@ -358,3 +358,18 @@ def test_contexts_beyond_two_bytes_are_used(spark):
     rows = [(i, "".join(c + "xx" + c for c in rng.choice(list("abcdefgh"), 200)), "en", "s", 1) for i in range(60)]
     got = ctw.score_documents(docs_of(spark, rows)).where("held_out").collect()
     assert got and all(r["bits_per_byte"] < 0.95 for r in got)  # 3 bits of every 4 bytes are new; 6 without deep contexts
+
+
+def test_gram_hashes_hold_few_arrays():
+    import tracemalloc
+
+    import numpy as np
+
+    from lexiforge.llm.suffix_dedup import gram_hashes
+
+    data = np.random.default_rng(1).integers(0, 255, 1 << 18).astype(np.uint8)
+    tracemalloc.start()
+    gram_hashes(data)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 5 * 8 * len(data)
