@@ -168,3 +168,44 @@ def test_texts_meet_their_rows_without_an_exchange(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Join" in plan and "Exchange" not in plan
+
+
+def _documents(spark, folder):
+    """Documents whose every line is long and told apart, so that staged texts show."""
+    rnd = random.Random(11)
+    line = lambda: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(9)) for _ in range(40))
+    spark.createDataFrame([(i, "\n".join(line() for _ in range(20))) for i in range(60)], "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
+
+
+@pytest.mark.parametrize("name", ["dict_pos_readings"])
+def test_questions_that_show_few_texts_stage_none(spark, tmp_path, monkeypatch, name):
+    from lexiforge import staging
+    from lexiforge.plans import queries as Q
+
+    _documents(spark, tmp_path)
+    monkeypatch.setattr(staging, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    assert Q.QUERIES[name](spark, str(tmp_path)).count() > 0
+    assert not [*(tmp_path / "shared").rglob("scan-*")] and _bytes(tmp_path / "shared") < _bytes(tmp_path / "documents.parquet")
+
+
+def test_slices_hold_every_document_once(spark, tmp_path):
+    from lexiforge.plans import queries as Q
+
+    _documents(spark, tmp_path)
+    made = Q.dictionary(spark, sf_dir=str(tmp_path))
+    found = [{r["source_file"] for r in d.where("kind = 'entry'").select("source_file").collect()} for d in made.by_entry]
+    assert len(found) > 1 and sum(map(len, found)) == len(set().union(*found)) == 60
+
+
+def test_verdicts_that_ask_for_a_text_get_it(spark):
+    from lexiforge.plans.build import Dictionary
+    from lexiforge.sources.dictionary import scan_files
+
+    block = lambda x: f"<indent>{x}</indent>"
+    text = "<xmllittre>\n<entree terme='A'><corps><variante>un\n" + "\n".join(map(block, ("Faire un saut, sauter.", "Prov. Qui dort dîne, se dit des dormeurs.", "Se dit activement.", "Fig. Une chose.", "Autre, chose."))) + "\n</variante></corps></entree></xmllittre>"
+    v = [("a.xml", 3, "Faire", "Locution", 1), ("a.xml", 4, "", "Proverb", 1), ("a.xml", 5, "Se", "VoiceTransition", 1), ("a.xml", 6, "", "RegisterLabel", 1), ("a.xml", 7, "Non", "Locution", 1)]
+    verdicts = spark.createDataFrame(v, "source_file string, source_line int, check string, verdict string, ord int")
+    made = Dictionary(scan_files(spark.createDataFrame([("/x/a.xml", text)], "path string, text string")), verdicts=verdicts)
+    got = [(r["role"], r["method"], r["canonical_form"], r["voice"]) for r in made.nodes.where("kind = 'indent'").orderBy("src_path").collect()]
+    assert got[:4] == [("Locution", "LlmAssisted", "Faire un saut", None), ("Proverb", "LlmAssisted", "Qui dort dîne", None), ("VoiceTransition", "LlmAssisted", "", "Se dit activement."), ("RegisterLabel", "LlmAssisted", "", None)]
+    assert got[4][:2] == ("Unclassified", "Heuristic") and "rows" not in made.__dict__
