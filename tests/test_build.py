@@ -177,7 +177,7 @@ def _documents(spark, folder):
     spark.createDataFrame([(i, "\n".join(line() for _ in range(20))) for i in range(60)], "doc_id long, text string").coalesce(1).write.parquet(f"{folder}/documents.parquet")
 
 
-@pytest.mark.parametrize("name", ["dict_pos_readings", "dict_q03_top_senses", "dict_q11_locutions", "dict_q21_objects", "dict_q01_vocabularies", "rich_samples", "rich_citations", "rich_rubriques", "dict_q20_review_counts"])
+@pytest.mark.parametrize("name", ["dict_pos_readings", "dict_q03_top_senses", "dict_q11_locutions", "dict_q21_objects", "dict_q01_vocabularies", "rich_samples", "rich_citations", "rich_rubriques", "dict_q20_review_counts", "dict_q17_rubriques"])
 def test_questions_that_show_few_texts_stage_none(spark, tmp_path, monkeypatch, name):
     from lexiforge import staging
     from lexiforge.plans import queries as Q
