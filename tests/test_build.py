@@ -188,6 +188,37 @@ def test_questions_that_show_few_texts_stage_none(spark, tmp_path, monkeypatch,
     assert not [*(tmp_path / "shared").rglob("scan-*")]
 
 
+@pytest.mark.parametrize("name", ["rich_rubriques"])
+def test_rubriques_stage_no_marks(spark, tmp_path, monkeypatch, name):
+    from lexiforge import staging
+    from lexiforge.plans import queries as Q
+
+    _documents(spark, tmp_path)
+    monkeypatch.setattr(staging, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    found = Q.QUERIES[name](spark, str(tmp_path))
+    assert found.count() > 0 and not [*(tmp_path / "shared").rglob("marks-*")]
+    moved = [x for x in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "RepartitionByExpression" in x]
+    assert moved and not [x for x in moved if "content" in x]
+
+
+def test_rubriques_with_blocks_and_without(spark):
+    from lexiforge.plans.build import Dictionary
+    from lexiforge.sources.dictionary import scan_files
+
+    rubrique = lambda name, x: f"<rubrique nom='{name}'>{x}</rubrique>"
+    block = lambda x: f"<indent>{x}</indent>"
+    inner = rubrique("REMARQUE", "dans le sens")
+    text = f"<xmllittre><entree terme='A'><corps><variante>un{block('bloc')}{inner}</variante>{rubrique('SYNONYME', 's' + block('t' + block('u')) + block('') + block('v'))}</corps>{rubrique('HISTORIQUE', '')}</entree><entree terme='B'><corps/>{rubrique('ÉTYMOLOGIE', block('w'))}</entree><entree terme='C'><corps/></entree></xmllittre>"
+    files = spark.createDataFrame([("/x/a.xml", text)], "path string, text string")
+    want = [(1, "a", "Synonyme", "s t  v"), (2, "a", "Historique", ""), (3, "b", "Etymologie", "w")]
+    for first in ((), ("marks",), ("rows",)):
+        made = Dictionary(scan_files(files))
+        for name in first:
+            getattr(made, name)
+        got = made.table("rubriques").orderBy("rubrique_id").select("rubrique_id", "entry_id", "rubrique_type", "content_markup")
+        assert [tuple(r) for r in got.collect()] == want, first
+
+
 def test_slices_hold_every_document_once(spark, tmp_path):
     from lexiforge.plans import queries as Q
 
