@@ -219,6 +219,19 @@ def test_rubriques_with_blocks_and_without(spark):
         assert [tuple(r) for r in got.collect()] == want, first
 
 
+def test_buckets_follow_the_size_of_the_texts(spark, tmp_path, monkeypatch):
+    from lexiforge.plans import queries as Q
+
+    _documents(spark, tmp_path)
+    size = spark.read.parquet(f"{tmp_path}/documents.parquet").agg(F.sum(F.octet_length("text"))).first()[0]
+    monkeypatch.setattr(Q, "BUCKET", size // 7)
+    made = Q.dictionary(spark, sf_dir=str(tmp_path))
+    assert made.dealt[0] == 8 and made.marks.rdd.getNumPartitions() > 0
+    plan = made.marks.groupBy("source_file", "entry_ord").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "8 out of 8" in plan
+    assert Q.QUERIES["dict_q21_objects"](spark, str(tmp_path)).count() == 60
+
+
 def test_slices_hold_every_document_once(spark, tmp_path):
     from lexiforge.plans import queries as Q
 
