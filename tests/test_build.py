@@ -188,7 +188,7 @@ def test_questions_that_show_few_texts_stage_none(spark, tmp_path, monkeypatch,
     assert not [*(tmp_path / "shared").rglob("scan-*")]
 
 
-@pytest.mark.parametrize("name", ["rich_rubriques"])
+@pytest.mark.parametrize("name", ["rich_rubriques", "dict_q17_rubriques"])
 def test_rubriques_stage_no_marks(spark, tmp_path, monkeypatch, name):
     from lexiforge import staging
     from lexiforge.plans import queries as Q
@@ -232,6 +232,18 @@ def test_buckets_follow_the_size_of_the_texts(spark, tmp_path, monkeypatch):
     assert Q.QUERIES["dict_q21_objects"](spark, str(tmp_path)).count() == 60
 
 
+def test_stages_of_the_other_tables_end_before_the_largest_is_written(spark, tmp_path, monkeypatch):
+    from lexiforge import staging
+    from lexiforge.plans import queries as Q
+
+    _documents(spark, tmp_path)
+    monkeypatch.setattr(staging, "shared_dir", lambda _: f"file://{tmp_path}/shared")
+    made = Q.dictionary(spark, sf_dir=str(tmp_path))
+    rows = {r["table_name"]: r["n_rows"] for r in made.write(f"file://{tmp_path}/tables").collect()}
+    assert not [x for n in ("marks", "numbered", "cited") for x in (tmp_path / "shared").rglob(f"{n}-*")]
+    assert rows == {n: made.table(n).count() for n in rows} and rows["senses"] > 60 * 40
+
+
 def test_slices_hold_every_document_once(spark, tmp_path):
     from lexiforge.plans import queries as Q
 
