@@ -7,9 +7,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+#: What (?U)\s matches.
+SPACES = "\t\n\v\f\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+
 
 def strip(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Without white space at both ends; only the ends are looked at."""
+    return F.btrim(c, F.lit(SPACES))
 
 
 def collapse_ws(c: Column) -> Column:
@@ -17,7 +21,7 @@ def collapse_ws(c: Column) -> Column:
 
 
 def strip_tags(c: Column) -> Column:
-    return strip(F.regexp_replace(c, "<[^>]+>", ""))
+    return strip(F.when(F.contains(c, F.lit("<")), F.regexp_replace(c, "<[^>]+>", "")).otherwise(c))
 
 
 def escape_xml(c: Column) -> Column:

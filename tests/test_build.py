@@ -265,3 +265,44 @@ def test_verdicts_that_ask_for_a_text_get_it(spark):
     got = [(r["role"], r["method"], r["canonical_form"], r["voice"]) for r in made.nodes.where("kind = 'indent'").orderBy("src_path").collect()]
     assert got[:4] == [("Locution", "LlmAssisted", "Faire un saut", None), ("Proverb", "LlmAssisted", "Qui dort dîne", None), ("VoiceTransition", "LlmAssisted", "", "Se dit activement."), ("RegisterLabel", "LlmAssisted", "", None)]
     assert got[4][:2] == ("Unclassified", "Heuristic") and "rows" not in made.__dict__
+
+
+@pytest.mark.parametrize("name", ["rich_senses", "stored_index", "dict_q22_search_senses"])
+def test_questions_that_read_all_texts_scan_the_source_once(spark, tmp_path, monkeypatch, name):
+    from lexiforge.plans import build
+    from lexiforge.plans import queries as Q
+
+    _documents(spark, tmp_path)
+    read, marked = [], build.Dictionary._marked
+    monkeypatch.setattr(build.Dictionary, "_marked", lambda self, d, longest: read.append(d) or marked(self, d, longest))
+    assert Q.QUERIES[name](spark, str(tmp_path)).count() >= 0
+    assert len(read) == 1 and read[0] is Q.dictionary(spark, sf_dir=str(tmp_path)).rows
+
+
+@pytest.mark.parametrize("cited", [False, True])
+def test_scope_reads_its_rows_once(spark, cited):
+    from lexiforge.plans.build import scoped
+
+    nodes = "source_file string, entry_ord int, kind string, src_path array<int>, num int, in_rubrique boolean, in_body boolean, role string, strong struct<form:string,pos:string>, voice string"
+    row = lambda kind, path, role=None, num=None: ("a.xml", 1, kind, path, num, False, True, role, None, "v" if role == "VoiceTransition" else None)
+    rows = [row("sense", [1, 1], num=7), row("indent", [1, 1, 1], "Locution"), row("indent", [1, 1, 2], "VoiceTransition"), row("sense", [1, 2]), row("indent", [1, 2, 1], "NatureLabel"), row("indent", [1, 2, 1, 1]), row("indent", [1, 2, 2], "Locution"), row("indent", [1, 2, 2, 1]), row("sense", [1, 3])]
+    cits = spark.createDataFrame([("a.xml", 1, [1, 1, 2] if cited else [1, 3])], "source_file string, entry_ord int, src_path array<int>")
+    got = scoped(spark.createDataFrame(rows, nodes), cits)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
+    told = sorted((tuple(r["path"]), r["kind"], r["n_scoped"]) for r in got.collect())
+    if cited:
+        kept = [((1, 1), "sense"), ((1, 1, 1), "indent"), ((1, 1, 2), "indent"), ((1, 2), "sense"), ((1, 2, 1), "indent"), ((1, 2, 1, 1), "indent"), ((1, 2, 1, 2), "indent"), ((1, 2, 1, 2, 1), "indent"), ((1, 3), "sense")]
+        assert told == [(*x, None) for x in kept]
+    else:
+        moved = [((1, 1), "sense"), ((1, 1, 1), "indent"), ((1, 2), "group"), ((1, 2, 1), "sense"), ((1, 2, 1, 1), "indent"), ((1, 2, 1, 1, 1), "indent"), ((1, 2, 1, 1, 2), "indent"), ((1, 2, 1, 1, 2, 1), "indent"), ((1, 2, 2), "sense")]
+        assert told == [(*x, 2 if x[1] == "group" else None) for x in moved]
+
+
+def test_white_space_goes_from_both_ends(spark):
+    rnd = random.Random(5)
+    ends = [chr(i) for i in (*range(1, 33), 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000)] + ["a", "é", "<i>", " b "]
+    d = spark.createDataFrame([("".join(rnd.choice(ends) for _ in range(rnd.randint(0, 7))),) for _ in range(3000)] + [(None,)], "t string")
+    strip = lambda x: F.regexp_replace(x, r"(?U)^\s+|\s+$", "")
+    assert d.where(~T.strip(F.col("t")).eqNullSafe(strip("t"))).isEmpty()
+    assert d.where(~T.strip_tags(F.col("t")).eqNullSafe(strip(F.regexp_replace("t", "<[^>]+>", "")))).isEmpty()
+    assert "regexp" not in d.select(T.strip(F.col("t")))._jdf.queryExecution().optimizedPlan().toString()
